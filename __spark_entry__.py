@@ -264,7 +264,7 @@ def q_url_parts(spark, sf_dir):
 def q_format_hms(spark, sf_dir):
     ev = _t(spark, sf_dir, "events")
     span = ev.groupBy("event_type").agg(
-        ((F.unix_micros(F.max("ts")) - F.unix_micros(F.min("ts"))) / F.lit(1_000_000.0)).alias("elapsed_s"))
+        (F.expr("timestampdiff(MICROSECOND, min(ts), max(ts))") / F.lit(1_000_000.0)).alias("elapsed_s"))
     return span.select("event_type", "elapsed_s", format_hms("elapsed_s").alias("hms"))
 
 
@@ -441,7 +441,7 @@ _SUMMARY_HEAD = [
 ]
 SUMMARY = (
     f"WITH r AS ({RUN_RESULT}), lines AS (SELECT list_concat([{', '.join(_SUMMARY_HEAD)}], "
-    "list_transform(sample_urls, u -> '- ' || u)) AS arr FROM r) "
+    "list_transform(sample_urls, lambda u: '- ' || u)) AS arr FROM r) "
     "SELECT CAST(p AS INTEGER) AS line_no, arr[p + 1] AS text FROM lines, unnest(range(len(arr))) AS t(p)"
 )
 
