@@ -28,7 +28,7 @@ def object_exists(spark: SparkSession, root: str, path: str | None = None) -> bo
     try:
         listing = file_inventory(spark, root)
     except AnalysisException as err:
-        if "PATH_NOT_FOUND" in str(getattr(err, "getErrorClass", lambda: "")() or err):
+        if (err.getCondition() or "") == "PATH_NOT_FOUND" or "PATH_NOT_FOUND" in str(err):
             return False
         raise
     if path is not None:
@@ -38,7 +38,7 @@ def object_exists(spark: SparkSession, root: str, path: str | None = None) -> bo
 
 def raw_lines_with_source(spark: SparkSession, src: str, line_sep: str | None = None) -> DataFrame:
     """Lines of ``src`` with their provenance: the raw-landing schema."""
-    r = spark.read.format("text")
+    r = spark.read.format("text").option("recursiveFileLookup", "true")
     if line_sep is not None:
         r = r.option("lineSep", line_sep)
     return r.load(src).select(
