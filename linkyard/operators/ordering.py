@@ -17,7 +17,7 @@ executor just recomputes its tasks.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.patterns import DEFAULT_BATCH_SIZE
@@ -44,7 +44,7 @@ def _bucket_width(df: DataFrame, num: str) -> tuple[int, int]:
 def exclusive_prefix_sum(
     df: DataFrame,
     order_cols: list[str],
-    weight: str,
+    weight: str | Column,
     out: str,
     width: int | None = None,
     low: int | None = None,
@@ -53,40 +53,46 @@ def exclusive_prefix_sum(
 
     ``order_cols``: leading group columns (ordered as strings/values), then
     one integer column unique within the group (e.g. ``file_path, line_no``).
+    ``weight`` is a column name or an expression over ``df``'s columns.
+
+    When ``df`` holds only the order columns and what ``weight`` reads, both
+    consumers of the bucket exchange (totals and running sum) need the same
+    columns, so Spark plans one exchange and reuses it.
     """
     *grp, num = order_cols
+    w = F.col(weight) if isinstance(weight, str) else weight
     if width is None or low is None:
         low, width = _bucket_width(df, num)
     bkt = "_lk_bucket"
     keyed = df.withColumn(bkt, F.expr(f"(`{num}` - {low}) div {width}")).repartition(*grp, bkt)
-    totals = keyed.groupBy(*grp, bkt).agg(F.sum(weight).alias("_lk_total"))
-    before_bucket = Window.orderBy(*grp, bkt).rowsBetween(Window.unboundedPreceding, -1)
+    # Buckets are contiguous key ranges, so ordering them by their last key
+    # is ordering them by bucket; it also makes this branch read the same
+    # columns as the running sum below (one exchange, reused).
+    totals = keyed.groupBy(*grp, bkt).agg(F.sum(w).alias("_lk_total"), F.max(num).alias("_lk_last"))
+    before_bucket = Window.orderBy(*grp, "_lk_last").rowsBetween(Window.unboundedPreceding, -1)
     bases = totals.select(
         *grp, bkt, F.coalesce(F.sum("_lk_total").over(before_bucket), F.lit(0)).alias("_lk_base")
     )
     before_row = Window.partitionBy(*grp, bkt).orderBy(num).rowsBetween(Window.unboundedPreceding, -1)
     return (
-        keyed.join(bases, on=[*grp, bkt], how="inner")
-        .withColumn(out, (F.col("_lk_base") + F.coalesce(F.sum(weight).over(before_row), F.lit(0))).cast("long"))
+        # Every bucket has a base row; a left join infers no extra filter on
+        # ``keyed``, which keeps its exchange identical to the totals' one.
+        keyed.join(bases, on=[*grp, bkt], how="left")
+        .withColumn(out, (F.col("_lk_base") + F.coalesce(F.sum(w).over(before_row), F.lit(0))).cast("long"))
         .drop(bkt, "_lk_base")
     )
 
 
 def with_ordinal(df: DataFrame, order_cols: list[str], out: str = "ordinal") -> DataFrame:
     """0-based rank of each row in ``order_cols`` order (keys must be unique)."""
-    return exclusive_prefix_sum(df.withColumn("_lk_one", F.lit(1)), order_cols, "_lk_one", out).drop("_lk_one")
+    return exclusive_prefix_sum(df, order_cols, F.lit(1), out)
 
 
 def indexed_refs(lines: DataFrame, value: str = "value") -> DataFrame:
     """``(<line key>, pos, file_url, ref_index)``: 0-based global encounter index."""
     keys = line_key(lines)
-    per_line = (
-        lines.where(F.col(value).contains("http"))
-        .select(*keys, refs_array(value).alias("_lk_refs"))
-        .withColumn("_lk_n", F.size("_lk_refs"))
-        .where(F.col("_lk_n") > 0)
-    )
-    based = exclusive_prefix_sum(per_line, keys, "_lk_n", "_lk_line_base")
+    per_line = lines.where(F.col(value).contains("http")).select(*keys, refs_array(value).alias("_lk_refs"))
+    based = exclusive_prefix_sum(per_line, keys, F.size("_lk_refs"), "_lk_line_base")
     return based.select(
         *keys,
         F.posexplode("_lk_refs").alias("pos", "file_url"),
