@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.patterns import DEFAULT_ENTITY_TYPE
 from ..operators.ordering import with_ordinal
+from .spread import spread_if_narrow
 
 # The generated index line shape.
 SAMPLE_HOST = "https://example.com/"
@@ -44,9 +45,10 @@ def index_line_value(k: Column | str) -> Column:
     )
 
 
-def index_lines_from(df: DataFrame, key: str) -> DataFrame:
+def index_lines_from(df: DataFrame, key: str, spread: bool = True) -> DataFrame:
     """One index line per row: ``(line_no = key, value)``; key must be unique."""
-    return df.select(F.col(key).cast("long").alias("line_no"), index_line_value(key).alias("value"))
+    src = spread_if_narrow(df.select(key), [key]) if spread else df.select(key)
+    return src.select(F.col(key).cast("long").alias("line_no"), index_line_value(key).alias("value"))
 
 
 def order_lines(orders: DataFrame) -> DataFrame:

@@ -23,6 +23,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .spread import spread_if_narrow
+
 # Row bound of the split table below which it is broadcast (about 100 bytes a row).
 SPLIT_BROADCAST_ROWS = 200_000
 
@@ -34,10 +36,12 @@ def _reader(spark: SparkSession, line_sep: str | None):
     return r
 
 
-def read_lines_raw(spark: SparkSession, paths: str | list[str], line_sep: str | None = None) -> DataFrame:
+def read_lines_raw(spark: SparkSession, paths: str | list[str], line_sep: str | None = None,
+                   spread: bool = True) -> DataFrame:
     """``(file_path, value)`` without line numbers: the cheapest scan (S1)."""
     df = _reader(spark, line_sep).load(paths)
-    return df.select(F.col("_metadata.file_path").alias("file_path"), "value")
+    df = df.select(F.col("_metadata.file_path").alias("file_path"), "value")
+    return spread_if_narrow(df) if spread else df
 
 
 def read_lines(
@@ -45,6 +49,7 @@ def read_lines(
     paths: str | list[str],
     line_sep: str | None = None,
     recursive: bool = False,
+    spread: bool = True,
 ) -> DataFrame:
     """S1 + S2: ``(file_path, line_no BIGINT, value)``, ``line_no`` 0-based per file.
 
@@ -75,11 +80,12 @@ def read_lines(
     bound = len(scan.inputFiles()) + scan.rdd.getNumPartitions()
     if bound <= SPLIT_BROADCAST_ROWS:
         splits = F.broadcast(splits)
-    return raw.join(splits, on=["file_path", "_lk_split"], how="inner").select(
+    lines = raw.join(splits, on=["file_path", "_lk_split"], how="inner").select(
         "file_path",
         (F.col("_lk_first") + F.col("_lk_rid") - F.col("_lk_rid0")).alias("line_no"),
         "value",
     )
+    return spread_if_narrow(lines, ["file_path", "line_no"]) if spread else lines
 
 
 def read_lines_stream(
