@@ -25,6 +25,9 @@ from .refs import extract_refs, line_key, ref_key, refs_array
 
 # Upper bound of lines per bucket: a bucket is one window partition.
 MAX_BUCKET_WIDTH = 1 << 20
+# Per-file line numbers start at 0 and are dense: a fixed width needs no
+# min/max job (which would read the text again).  ~13 MB of index text a bucket.
+FILE_BUCKET_WIDTH = 1 << 16
 # Small ``n`` goes to Spark's top-k operator; larger caps use the index.
 TOP_K_LIMIT = 10_000
 
@@ -61,6 +64,8 @@ def exclusive_prefix_sum(
     """
     *grp, num = order_cols
     w = F.col(weight) if isinstance(weight, str) else weight
+    if (width is None or low is None) and order_cols[:1] == ["file_path"] and num == "line_no":
+        low, width = 0, FILE_BUCKET_WIDTH
     if width is None or low is None:
         low, width = _bucket_width(df, num)
     bkt = "_lk_bucket"

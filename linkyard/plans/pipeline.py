@@ -26,7 +26,7 @@ from ..operators.metrics import sample_urls, summary_lines
 from ..operators.ordering import cap_records
 from ..operators.refs import classified_refs, classify, filter_http, to_file_refs
 from ..sinks.tables import ensure_table, write_refs
-from ..sources.lines import read_lines
+from ..sources.lines import read_lines, read_lines_raw
 
 
 @dataclass
@@ -54,14 +54,22 @@ class ExtractionRun:
         return summary_lines(self.result, cfg.table, cfg.batch_size, self.batch_count, completed_at)
 
 
-def run_extraction(spark: SparkSession, lines: DataFrame, cfg: ExtractionConfig) -> ExtractionRun:
-    """Extract, classify and write all references of ``lines``; return the run result."""
+def run_extraction(spark: SparkSession, lines: DataFrame, cfg: ExtractionConfig,
+                   unordered_lines: DataFrame | None = None) -> ExtractionRun:
+    """Extract, classify and write all references of ``lines``; return the run result.
+
+    ``unordered_lines`` (same lines, no line numbers) may feed the write
+    when no cap is set: the table has no order, so the write pass then skips
+    the line-numbering scan.  The sample always uses the ordered ``lines``.
+    """
     ensure_table(spark, cfg.table, cfg.provider, cfg.location)
     if cfg.max_records > 0:
         classified = classify(filter_http(cap_records(lines, cfg.max_records)))
+        to_write = classified
     else:
         classified = classified_refs(lines)
-    rows = to_file_refs(classified, cfg.entity_name, cfg.entity_type, cfg.as_of, cfg.as_of_ts)
+        to_write = classified_refs(unordered_lines) if unordered_lines is not None else classified
+    rows = to_file_refs(to_write, cfg.entity_name, cfg.entity_type, cfg.as_of, cfg.as_of_ts)
     net = F.col("file_network")
     report = write_refs(rows, cfg.table, cfg.mode, metrics={
         "in_network_count": F.count_if(net == IN_NETWORK),
@@ -89,7 +97,8 @@ def run_extraction(spark: SparkSession, lines: DataFrame, cfg: ExtractionConfig)
 def extract_index_file(spark: SparkSession, index_path: str, cfg: ExtractionConfig,
                        line_sep: str | None = None) -> ExtractionRun:
     """The job over text/gzip index files at ``index_path`` (any Hadoop scheme)."""
-    return run_extraction(spark, read_lines(spark, index_path, line_sep=line_sep), cfg)
+    return run_extraction(spark, read_lines(spark, index_path, line_sep=line_sep), cfg,
+                          unordered_lines=read_lines_raw(spark, index_path, line_sep=line_sep))
 
 
 def write_summary(run: ExtractionRun, cfg: ExtractionConfig, path: str, completed_at: str) -> str:
