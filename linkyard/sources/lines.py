@@ -76,16 +76,21 @@ def read_lines(
         "file_path", "_lk_split", "_lk_rid0",
         F.coalesce(F.sum("_lk_n").over(earlier), F.lit(0)).alias("_lk_first"),
     )
-    # Bound on split count, known from the plan without a job.
-    bound = len(scan.inputFiles()) + scan.rdd.getNumPartitions()
+    # Bound on split count, known from the plan without a job: every split
+    # is a whole file or one maxPartitionBytes piece of one.
+    n_parts = scan.rdd.getNumPartitions()
+    bound = len(scan._jdf.inputFiles()) + n_parts  # Py4J array: length read on the JVM side
     if bound <= SPLIT_BROADCAST_ROWS:
         splits = F.broadcast(splits)
+    # Beyond the bound: a shuffle join on the split key; AQE's skew-join
+    # handling splits a hot file's partition and repeats its few split rows.
     lines = raw.join(splits, on=["file_path", "_lk_split"], how="inner").select(
         "file_path",
         (F.col("_lk_first") + F.col("_lk_rid") - F.col("_lk_rid0")).alias("line_no"),
         "value",
     )
-    return spread_if_narrow(lines, ["file_path", "line_no"]) if spread else lines
+    # The broadcast join keeps the scan's partitioning.
+    return spread_if_narrow(lines, ["file_path", "line_no"], current=n_parts) if spread else lines
 
 
 def read_lines_stream(

@@ -12,12 +12,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 
+def scan_partitions(df: DataFrame) -> int | None:
+    """Partition count of ``df`` if its plan has no exchange, else None.
+
+    Building the RDD of a plan with a shuffle or broadcast would run those
+    stages, and such a plan is distributed by its exchange anyway.
+    """
+    if "Exchange" in df._jdf.queryExecution().executedPlan().toString():
+        return None
+    return df.rdd.getNumPartitions()
+
+
 def spread_if_narrow(df: DataFrame, keys: list[str] | None = None,
-                     min_partitions: int | None = None) -> DataFrame:
+                     min_partitions: int | None = None, current: int | None = None) -> DataFrame:
     """Hash-spread on ``keys`` (unique line keys: even and deterministic without
-    a sort); round-robin when there are none."""
+    a sort); round-robin when there are none.  ``current`` is the known
+    partition count of ``df`` (else it is read from a plan with no exchange)."""
     spark = df.sparkSession
     target = min_partitions or spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    n = current if current is not None else scan_partitions(df)
+    if n is None or n >= target:
         return df
     return df.repartition(target, *keys) if keys else df.repartition(target)
