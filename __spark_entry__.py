@@ -12,6 +12,7 @@ Fixed literals pin the run date and time, so results are deterministic.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -63,8 +64,13 @@ def _classified(spark, sf_dir):
     return classified_refs(_lines(spark, sf_dir))
 
 
+def _instant(ts: str) -> dt.datetime:
+    """A run timestamp as a UTC instant, so it does not move with the session zone."""
+    return dt.datetime.fromisoformat(ts).replace(tzinfo=dt.timezone.utc)
+
+
 def _refs10(spark, sf_dir, as_of=AS_OF, as_of_ts=AS_OF_TS):
-    return file_refs(_lines(spark, sf_dir), ENTITY, ENTITY_TYPE, as_of, as_of_ts)
+    return file_refs(_lines(spark, sf_dir), ENTITY, ENTITY_TYPE, as_of, _instant(as_of_ts))
 
 
 def _fresh_table(spark: SparkSession, tag: str) -> str:
@@ -237,7 +243,7 @@ def _stream_source(spark, sf_dir):
 def q_stream_file_refs(spark, sf_dir):
     src = _stream_source(spark, sf_dir)
     sink, ckpt = scratch_path(spark, "stream-sink"), scratch_path(spark, "stream-ckpt")
-    q = stream_file_refs(spark, src, sink, ckpt, ENTITY, ENTITY_TYPE, AS_OF, AS_OF_TS,
+    q = stream_file_refs(spark, src, sink, ckpt, ENTITY, ENTITY_TYPE, AS_OF, _instant(AS_OF_TS),
                          max_files_per_trigger=1)
     q.awaitTermination()
     return spark.read.parquet(sink).select(*FILE_REFS_COLUMNS)

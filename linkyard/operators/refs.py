@@ -78,7 +78,15 @@ def _date_col(as_of: str | dt.date | None) -> Column:
 
 
 def _ts_col(as_of_ts: str | dt.datetime | None) -> Column:
-    return F.current_timestamp() if as_of_ts is None else F.lit(str(as_of_ts)).cast("timestamp")
+    """Run timestamp: ``current_timestamp()``; a zone-aware datetime is an
+    absolute instant (independent of the session time zone); a string or
+    naive datetime is read in the session time zone, as Spark casts do."""
+    if as_of_ts is None:
+        return F.current_timestamp()
+    if isinstance(as_of_ts, dt.datetime) and as_of_ts.tzinfo is not None:
+        micros = (as_of_ts - dt.datetime(1970, 1, 1, tzinfo=dt.timezone.utc)) // dt.timedelta(microseconds=1)
+        return F.timestamp_micros(F.lit(micros))
+    return F.lit(str(as_of_ts)).cast("timestamp")
 
 
 def to_file_refs(
