@@ -28,20 +28,60 @@ MAX_BUCKET_WIDTH = 1 << 20
 # Per-file line numbers start at 0 and are dense: a fixed width needs no
 # min/max job (which would read the text again).  ~13 MB of index text a bucket.
 FILE_BUCKET_WIDTH = 1 << 16
+# Buckets of one level per bucket of the next level up.
+FANOUT = 1 << 16
+# A bucket table up to this size gets its running sum in one task.
+TOP_LEVEL_ROWS = 1 << 16
 # Small ``n`` goes to Spark's top-k operator; larger caps use the index.
 TOP_K_LIMIT = 10_000
 
 
-def _bucket_width(df: DataFrame, num: str) -> tuple[int, int]:
-    """(low key, width) so the key range splits into ~4 buckets per shuffle partition."""
+def _bucket_width(df: DataFrame, num: str) -> tuple[int, int, int]:
+    """(low key, width, bucket count) so the key range splits into ~4 buckets
+    per shuffle partition, with at most ``MAX_BUCKET_WIDTH`` keys a bucket."""
     row = df.agg(F.min(num).alias("lo"), F.max(num).alias("hi")).first()
     lo, hi = row["lo"], row["hi"]
     if lo is None:
-        return 0, 1
+        return 0, 1, 0
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     span = int(hi) - int(lo) + 1
     width = max(1, min(MAX_BUCKET_WIDTH, -(-span // (4 * parts))))
-    return int(lo), width
+    return int(lo), width, -(-span // width)
+
+
+def _levels_for(n_buckets: int) -> int:
+    """Extra levels needed until the top bucket table is one-task small."""
+    levels = 0
+    while n_buckets > TOP_LEVEL_ROWS:
+        n_buckets = -(-n_buckets // FANOUT)
+        levels += 1
+    return levels
+
+
+def _prefix_level(df: DataFrame, grp: list[str], num: str, w: Column, out: str,
+                  low: int, width: int, level: int, levels: int, fanout: int) -> DataFrame:
+    tag = f"_lk{level}"
+    bkt, total, last, base = f"{tag}_bucket", f"{tag}_total", f"{tag}_last", f"{tag}_base"
+    keyed = df.withColumn(bkt, F.expr(f"(`{num}` - {low}) div {width}")).repartition(*grp, bkt)
+    # Buckets are contiguous key ranges, so ordering them by their last key
+    # is ordering them by bucket; it also makes this branch read the same
+    # columns as the running sum below (one exchange, reused).
+    totals = keyed.groupBy(*grp, bkt).agg(F.sum(w).alias(total), F.max(num).alias(last))
+    if level < levels:
+        # The bucket table is still large: number it the same way, one level up.
+        bases = _prefix_level(totals, grp, last, F.col(total), base, low, width * fanout,
+                              level + 1, levels, fanout).select(*grp, bkt, base)
+    else:
+        before_bucket = Window.orderBy(*grp, last).rowsBetween(Window.unboundedPreceding, -1)
+        bases = totals.select(*grp, bkt, F.coalesce(F.sum(total).over(before_bucket), F.lit(0)).alias(base))
+    before_row = Window.partitionBy(*grp, bkt).orderBy(num).rowsBetween(Window.unboundedPreceding, -1)
+    return (
+        # Every bucket has a base row; a left join infers no extra filter on
+        # ``keyed``, which keeps its exchange identical to the totals' one.
+        keyed.join(bases, on=[*grp, bkt], how="left")
+        .withColumn(out, (F.col(base) + F.coalesce(F.sum(w).over(before_row), F.lit(0))).cast("long"))
+        .drop(bkt, base)
+    )
 
 
 def exclusive_prefix_sum(
@@ -51,6 +91,8 @@ def exclusive_prefix_sum(
     out: str,
     width: int | None = None,
     low: int | None = None,
+    levels: int | None = None,
+    fanout: int = FANOUT,
 ) -> DataFrame:
     """Add ``out`` = sum of ``weight`` over all rows strictly before each row.
 
@@ -58,6 +100,11 @@ def exclusive_prefix_sum(
     one integer column unique within the group (e.g. ``file_path, line_no``).
     ``weight`` is a column name or an expression over ``df``'s columns.
 
+    Rows go into key-range buckets of ``width`` keys; bucket bases come from
+    the same procedure one level up (``FANOUT`` buckets a bucket) until the
+    top table is small, so no single task ever sees a table that grows with
+    the data faster than the number of groups.
+
     When ``df`` holds only the order columns and what ``weight`` reads, both
     consumers of the bucket exchange (totals and running sum) need the same
     columns, so Spark plans one exchange and reuses it.
@@ -65,27 +112,13 @@ def exclusive_prefix_sum(
     *grp, num = order_cols
     w = F.col(weight) if isinstance(weight, str) else weight
     if (width is None or low is None) and order_cols[:1] == ["file_path"] and num == "line_no":
+        # Dense per-file numbers from 0: size is unknown but no job is needed.
         low, width = 0, FILE_BUCKET_WIDTH
+        levels = 1 if levels is None else levels
     if width is None or low is None:
-        low, width = _bucket_width(df, num)
-    bkt = "_lk_bucket"
-    keyed = df.withColumn(bkt, F.expr(f"(`{num}` - {low}) div {width}")).repartition(*grp, bkt)
-    # Buckets are contiguous key ranges, so ordering them by their last key
-    # is ordering them by bucket; it also makes this branch read the same
-    # columns as the running sum below (one exchange, reused).
-    totals = keyed.groupBy(*grp, bkt).agg(F.sum(w).alias("_lk_total"), F.max(num).alias("_lk_last"))
-    before_bucket = Window.orderBy(*grp, "_lk_last").rowsBetween(Window.unboundedPreceding, -1)
-    bases = totals.select(
-        *grp, bkt, F.coalesce(F.sum("_lk_total").over(before_bucket), F.lit(0)).alias("_lk_base")
-    )
-    before_row = Window.partitionBy(*grp, bkt).orderBy(num).rowsBetween(Window.unboundedPreceding, -1)
-    return (
-        # Every bucket has a base row; a left join infers no extra filter on
-        # ``keyed``, which keeps its exchange identical to the totals' one.
-        keyed.join(bases, on=[*grp, bkt], how="left")
-        .withColumn(out, (F.col("_lk_base") + F.coalesce(F.sum(w).over(before_row), F.lit(0))).cast("long"))
-        .drop(bkt, "_lk_base")
-    )
+        low, width, n_buckets = _bucket_width(df, num)
+        levels = _levels_for(n_buckets) if levels is None else levels
+    return _prefix_level(df, grp, num, w, out, low, width, 0, levels or 0, fanout)
 
 
 def with_ordinal(df: DataFrame, order_cols: list[str], out: str = "ordinal") -> DataFrame:

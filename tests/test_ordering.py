@@ -32,6 +32,15 @@ def test_exclusive_prefix_sum_brute_force(spark):
     # Tiny buckets (width 1) and huge ones give the same answer.
     tiny = exclusive_prefix_sum(df, ["g", "k"], "w", "s", width=1, low=-5000)
     assert {(r["g"], r["k"]): r["s"] for r in tiny.collect()} == want
+    # Several real levels: buckets of 7 keys, 4 buckets per upper bucket.
+    deep = exclusive_prefix_sum(df, ["g", "k"], "w", "s", width=7, low=-5000, levels=3, fanout=4)
+    assert {(r["g"], r["k"]): r["s"] for r in deep.collect()} == want
+    flat = exclusive_prefix_sum(df.select("k", "w"), ["k"], "w", "s", width=5, low=-5000, levels=2, fanout=3)
+    run, want_flat = 0, {}
+    for k, wt in sorted((k, wt) for _, k, wt in rows):
+        want_flat[k] = run
+        run += wt
+    assert {r["k"]: r["s"] for r in flat.collect()} == want_flat
 
 
 def test_ordinal_is_dense_rank(spark):
