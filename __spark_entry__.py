@@ -29,7 +29,7 @@ from linkyard.schema import FILE_REFS_COLUMNS, FILE_REFS_SCHEMA
 from linkyard.session import scratch_path, unique_table_name
 from linkyard.sinks import ensure_table, table_exists, table_rows, write_refs
 from linkyard.sources import (
-    file_inventory, generate_index_lines, land_raw, object_exists, order_lines, read_lines,
+    file_inventory, generate_index_lines, land_raw, object_exists, order_lines, page_lines, read_lines,
     write_index_files,
 )
 from linkyard.operators.ordering import with_ordinal
@@ -120,6 +120,11 @@ def q_file_refs(spark, sf_dir):
     return _refs10(spark, sf_dir)
 
 
+def q_page_refs(spark, sf_dir):
+    """P1-P7 on real-looking URLs (query strings, fragments, mixed case)."""
+    return classified_refs(page_lines(_t(spark, sf_dir, "pages")))
+
+
 def q_network_counts(spark, sf_dir):
     return ref_counters(_classified(spark, sf_dir)).select(
         "in_network_count", "allowed_amount_count", "other_count")
@@ -307,6 +312,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "classify_network": q_classify_network,
     "classify_file_type": q_classify_file_type,
     "file_refs": q_file_refs,
+    "page_refs": q_page_refs,
     "network_counts": q_network_counts,
     "total_refs": q_total_refs,
     "refs_by_network": q_refs_by_network,
@@ -387,6 +393,17 @@ def _file_refs_sql(as_of: str = AS_OF, as_of_ts: str = AS_OF_TS) -> str:
 
 
 FILE_REFS = _file_refs_sql()
+PAGE_LINES = (
+    "SELECT CAST(page_id AS BIGINT) AS line_no, '{\"url\": \"' || url || '\", \"mirror\": \"' || url || "
+    "CASE page_id % 3 WHEN 0 THEN '/in-network.json.gz' WHEN 1 THEN '/Allowed-Amount.CSV.gz' ELSE '/x.csv' END "
+    "|| '\"} see ' || url || '. (' || url || ')' AS value FROM pages"
+)
+PAGE_REFS = (
+    f"WITH lines AS ({PAGE_LINES}), m AS (SELECT line_no, list_concat({_BARE}, {_KEYED}) AS arr FROM lines), "
+    "r AS (SELECT line_no, CAST(p AS INTEGER) AS pos, arr[p + 1] AS file_url FROM m, unnest(range(len(arr))) AS t(p)) "
+    f"SELECT line_no, pos, file_url, {NET} AS file_network, {FTYPE} AS file_type FROM r "
+    "WHERE starts_with(file_url, 'http')"
+)
 COUNTERS = (
     "SELECT CAST(count(*) FILTER (WHERE file_network = 'in-network') AS BIGINT) AS in_network_count, "
     "CAST(count(*) FILTER (WHERE file_network = 'allowed-amount') AS BIGINT) AS allowed_amount_count, "
@@ -479,6 +496,7 @@ _ORACLE: dict[str, str] = {
     "classify_network": f"SELECT line_no, pos, file_url, file_network FROM ({CLASSIFIED}) c",
     "classify_file_type": f"SELECT line_no, pos, file_url, file_type FROM ({CLASSIFIED}) c",
     "file_refs": FILE_REFS,
+    "page_refs": PAGE_REFS,
     "network_counts": f"SELECT in_network_count, allowed_amount_count, other_count FROM ({COUNTERS}) c",
     "total_refs": f"SELECT total_file_refs_identified FROM ({COUNTERS}) c",
     "refs_by_network": f"SELECT file_network, CAST(count(*) AS BIGINT) AS n_refs FROM ({CLASSIFIED}) c GROUP BY file_network",

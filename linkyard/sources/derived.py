@@ -62,6 +62,24 @@ def lineitem_lines(lineitem: DataFrame) -> DataFrame:
     return index_lines_from(keyed, "_lk_key")
 
 
+# The index line built around a real-looking URL (page lines).
+# by page_id % 3: the suffix of the mirror URL.
+MIRROR_SUFFIXES = ["/in-network.json.gz", "/Allowed-Amount.CSV.gz", "/x.csv"]
+
+
+def page_lines(pages: DataFrame, spread: bool = True) -> DataFrame:
+    """One index line per page: the URL keyed, a mirror URL, and the URL bare
+    in prose (once before a period, once in parentheses)."""
+    src = pages.select("page_id", "url")
+    src = spread_if_narrow(src, ["page_id"]) if spread else src
+    u = F.col("url")
+    value = F.concat(
+        F.lit('{"url": "'), u, F.lit('", "mirror": "'), u, _by_mod3(F.col("page_id"), MIRROR_SUFFIXES),
+        F.lit('"} see '), u, F.lit(". ("), u, F.lit(")"),
+    )
+    return src.select(F.col("page_id").cast("long").alias("line_no"), value.alias("value"))
+
+
 def generate_index_lines(ids: DataFrame, id_col: str, entity_name: str,
                          entity_type: str = DEFAULT_ENTITY_TYPE) -> DataFrame:
     """S4: a whole index as ``(line_no, value)``: header, one line per id, footer.

@@ -84,3 +84,19 @@ def test_random_lines_match_python_statement(spark, lines):
         for i, line in enumerate(lines) for p, u in enumerate(py_refs(line))
     )
     assert got == want
+
+
+def test_page_lines_match_python_statement(spark):
+    from linkyard.sources import page_lines
+
+    from .conftest import SF_MID
+
+    lines = page_lines(spark.read.parquet(f"{SF_MID}/pages.parquet"))
+    rows = lines.collect()
+    got = sorted(tuple(r) for r in classified_refs(lines)
+                 .select("line_no", "pos", "file_url", "file_network", "file_type").collect())
+    want = sorted((r["line_no"], p, u, py_network(u), py_type(u))
+                  for r in rows for p, u in enumerate(py_refs(r["value"])))
+    assert got == want
+    assert {g[3] for g in got} == {"in-network", "allowed-amount", "other"}
+    assert {"gz", "json.gz", "csv", "unknown"} <= {g[4] for g in got}
