@@ -111,6 +111,7 @@ def stream_into_table(
     max_files_per_trigger: int | None = None,
     available_now: bool = True,
     line_sep: str | None = None,
+    processing_time: str | None = None,
 ) -> StreamingQuery:
     """T1/T4: append each micro-batch to ``table``, skipping replayed batch ids."""
     ledger = checkpoint.rstrip("/") + "/linkyard_committed_batches"
@@ -127,7 +128,10 @@ def stream_into_table(
          .write.mode("append").parquet(ledger))
 
     w = df.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
-    w = w.trigger(availableNow=True) if available_now else w
+    if available_now:
+        w = w.trigger(availableNow=True)
+    elif processing_time:
+        w = w.trigger(processingTime=processing_time)
     return w.start()
 
 

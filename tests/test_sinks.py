@@ -99,3 +99,22 @@ def test_whole_job_over_gzip_index(spark, workdir):
                               max_records=10, as_of="2025-05-01", as_of_ts="2025-05-01 00:00:00")
     run2 = run_extraction(spark, _lines(spark), capped)
     assert run2.counters["written"] == 10
+
+
+def test_command_line_job(spark, workdir):
+    from linkyard.plans.cli import parse_args, run
+
+    path = write_text(f"{workdir}/cli/index.json.gz", x1_lines(), gz=True)
+    args = parse_args(["--index-file", path, "--warehouse-location", f"{workdir}/wh", "--file-refs-table",
+                       f"cli_{uuid.uuid4().hex[:6]}", "--batch-size", "64", "--entity-name", "E",
+                       "--summary-path", f"{workdir}/cli-summary"])
+    out = run(spark, args)
+    assert out["total_file_refs_identified"] == 200 and out["batch_count"] == 4
+    assert out["elapsed"].endswith("s")
+    src = f"{workdir}/cli-stream"
+    write_text(f"{src}/a.json.gz", x1_lines(), gz=True)
+    sargs = parse_args(["--index-file", src, "--file-refs-table", f"clis_{uuid.uuid4().hex[:6]}",
+                        "--warehouse-location", f"{workdir}/wh2", "--entity-name", "E", "--stream",
+                        "--progress-interval", "0", "--checkpoint", f"{workdir}/cli-ckpt"])
+    sout = run(spark, sargs)
+    assert sum(b["refs"] for b in sout["batches"]) == 200
