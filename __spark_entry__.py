@@ -21,9 +21,8 @@ from pyspark.sql import functions as F
 from linkyard.functions.patterns import BARE_URL_RE2, KEYED_URL_RE2
 from linkyard.functions.urls import url_authority, url_key, format_hms
 from linkyard.operators import (
-    assign_batches, batch_counts, cap_records, classified_refs, classify, extract_refs, file_refs,
-    filter_http, reconcile, ref_counters, refs_by_network, run_result, sample_urls, summary_lines,
-    to_file_refs,
+    assign_batches, batch_counts, cap_records, classified_refs, extract_refs, file_refs, filter_http,
+    reconcile, ref_counters, refs_by_network, sample_urls, summary_lines,
 )
 from linkyard.schema import FILE_REFS_COLUMNS, FILE_REFS_SCHEMA
 from linkyard.session import scratch_path, unique_table_name
@@ -33,6 +32,7 @@ from linkyard.sources import (
     write_index_files,
 )
 from linkyard.operators.ordering import with_ordinal
+from linkyard.plans import ExtractionConfig, run_extraction
 from linkyard.streaming import progress_rows, stream_file_refs
 
 # Fixed values of the checked runs.
@@ -221,20 +221,21 @@ def q_reconcile(spark, sf_dir):
     return reconcile(_classified(spark, sf_dir), table_rows(spark, t, AS_OF))
 
 
-def _run_result(spark, sf_dir):
-    t = _fresh_table(spark, "result")
-    report = write_refs(_refs10(spark, sf_dir), t)
-    return run_result(_classified(spark, sf_dir), report.records_written)
+def _job(spark, sf_dir):
+    """The whole job (K1, K3, A1-A5, L1, L2, K8): one observed write + the top-k sample."""
+    cfg = ExtractionConfig(table=unique_table_name("job"), entity_name=ENTITY, entity_type=ENTITY_TYPE,
+                           batch_size=BATCH_SIZE, location=scratch_path(spark, "table-job"),
+                           as_of=AS_OF, as_of_ts=_instant(AS_OF_TS))
+    return run_extraction(spark, _lines(spark, sf_dir), cfg), cfg
 
 
 def q_run_result(spark, sf_dir):
-    return _run_result(spark, sf_dir)
+    return _job(spark, sf_dir)[0].result
 
 
 def q_summary_report(spark, sf_dir):
-    res = _run_result(spark, sf_dir)
-    n_batches = F.expr(f"(total_file_refs_identified + {BATCH_SIZE - 1}) div {BATCH_SIZE}")
-    return summary_lines(res, "file_refs", BATCH_SIZE, n_batches, AS_OF_TS)
+    job, _ = _job(spark, sf_dir)
+    return summary_lines(job.result, "file_refs", BATCH_SIZE, job.batch_count, AS_OF_TS)
 
 
 def _stream_source(spark, sf_dir):
