@@ -38,6 +38,8 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     p.add_argument("--mode", default="append", choices=["append", "replace_date"])
     p.add_argument("--line-sep", default=None, help='e.g. "}," for an index written on one line')
     p.add_argument("--summary-path", default=None, help="where to write the summary text")
+    p.add_argument("--spread", choices=["auto", "always", "never"], default="auto",
+                   help="hash-spread lines before the regex (always: a few huge .gz files among many)")
     p.add_argument("--stream", action="store_true")
     p.add_argument("--checkpoint", default=None, help="stream checkpoint (default: under spark.checkpoint.dir)")
     p.add_argument("--max-files-per-trigger", type=int, default=None)
@@ -67,7 +69,8 @@ def run(spark: SparkSession, args: argparse.Namespace) -> dict:
         q.awaitTermination()
         out = {"table": table, "batches": progress_rows(q)}
     else:
-        job = extract_index_file(spark, args.index_file, cfg, line_sep=args.line_sep)
+        spread = {"auto": None, "always": True, "never": False}[args.spread]
+        job = extract_index_file(spark, args.index_file, cfg, line_sep=args.line_sep, spread=spread)
         row = job.result.first().asDict()
         out = {"table": table, "batch_count": job.batch_count, **row}
         if args.summary_path:

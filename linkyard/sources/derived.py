@@ -45,9 +45,9 @@ def index_line_value(k: Column | str) -> Column:
     )
 
 
-def index_lines_from(df: DataFrame, key: str, spread: bool = True) -> DataFrame:
+def index_lines_from(df: DataFrame, key: str, spread: bool | None = None) -> DataFrame:
     """One index line per row: ``(line_no = key, value)``; key must be unique."""
-    src = spread_if_narrow(df.select(key), [key]) if spread else df.select(key)
+    src = spread_if_narrow(df.select(key), [key], force=spread)
     return src.select(F.col(key).cast("long").alias("line_no"), index_line_value(key).alias("value"))
 
 
@@ -67,11 +67,11 @@ def lineitem_lines(lineitem: DataFrame) -> DataFrame:
 MIRROR_SUFFIXES = ["/in-network.json.gz", "/Allowed-Amount.CSV.gz", "/x.csv"]
 
 
-def page_lines(pages: DataFrame, spread: bool = True) -> DataFrame:
+def page_lines(pages: DataFrame, spread: bool | None = None) -> DataFrame:
     """One index line per page: the URL keyed, a mirror URL, and the URL bare
     in prose (once before a period, once in parentheses)."""
     src = pages.select("page_id", "url")
-    src = spread_if_narrow(src, ["page_id"]) if spread else src
+    src = spread_if_narrow(src, ["page_id"], force=spread)
     u = F.col("url")
     value = F.concat(
         F.lit('{"url": "'), u, F.lit('", "mirror": "'), u, _by_mod3(F.col("page_id"), MIRROR_SUFFIXES),

@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .spread import spread_if_narrow
+from .spread import names_unsplittable, spread_if_narrow
 
 # Row bound of the split table below which it is broadcast (about 100 bytes a row).
 SPLIT_BROADCAST_ROWS = 200_000
@@ -36,12 +36,23 @@ def _reader(spark: SparkSession, line_sep: str | None):
     return r
 
 
+def _spread_choice(paths: str | list[str], spread: bool | None) -> bool | None:
+    """``None`` (auto): force a spread when a named file cannot be split, else
+    let the partition count decide; ``True``/``False`` force it."""
+    if spread is None and names_unsplittable(paths):
+        return True
+    return spread
+
+
 def read_lines_raw(spark: SparkSession, paths: str | list[str], line_sep: str | None = None,
-                   spread: bool = True) -> DataFrame:
-    """``(file_path, value)`` without line numbers: the cheapest scan (S1)."""
+                   spread: bool | None = None) -> DataFrame:
+    """``(file_path, value)`` without line numbers: the cheapest scan (S1).
+
+    ``spread``: see ``read_lines``.
+    """
     df = _reader(spark, line_sep).load(paths)
     df = df.select(F.col("_metadata.file_path").alias("file_path"), "value")
-    return spread_if_narrow(df) if spread else df
+    return spread_if_narrow(df, force=_spread_choice(paths, spread))
 
 
 def read_lines(
@@ -49,7 +60,7 @@ def read_lines(
     paths: str | list[str],
     line_sep: str | None = None,
     recursive: bool = False,
-    spread: bool = True,
+    spread: bool | None = None,
 ) -> DataFrame:
     """S1 + S2: ``(file_path, line_no BIGINT, value)``, ``line_no`` 0-based per file.
 
@@ -57,6 +68,10 @@ def read_lines(
     the file system is chosen by the scheme.  ``.gz`` is read as gzip.
     ``line_sep`` cuts one huge line (a whole index on one line) into rows,
     e.g. ``"},"``; the default ends lines at LF, CRLF and CR.
+    ``spread``: hash-spread the numbered lines before the per-line work.
+    ``None`` spreads when the scan has fewer partitions than the cluster has
+    cores or a named file is not splittable (one big ``.gz``); pass ``True``
+    for a folder holding a few very large gzip files among many small ones.
     """
     reader = _reader(spark, line_sep)
     if recursive:
@@ -90,7 +105,8 @@ def read_lines(
         "value",
     )
     # The broadcast join keeps the scan's partitioning.
-    return spread_if_narrow(lines, ["file_path", "line_no"], current=n_parts) if spread else lines
+    return spread_if_narrow(lines, ["file_path", "line_no"], current=n_parts,
+                            force=_spread_choice(paths, spread))
 
 
 def read_lines_stream(

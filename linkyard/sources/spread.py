@@ -11,6 +11,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+# Compression suffixes Hadoop cannot split (one task per file).
+UNSPLITTABLE_SUFFIXES = (".gz", ".zst", ".deflate", ".snappy", ".lz4")
+
+
+def names_unsplittable(paths: str | list[str]) -> bool:
+    """True when a given path (as the caller wrote it) is a non-splittable file."""
+    items = [paths] if isinstance(paths, str) else list(paths)
+    return any(p.rstrip("/").lower().endswith(UNSPLITTABLE_SUFFIXES) for p in items)
+
 
 def scan_partitions(df: DataFrame) -> int | None:
     """Partition count of ``df`` if its plan has no exchange, else None.
@@ -24,13 +33,18 @@ def scan_partitions(df: DataFrame) -> int | None:
 
 
 def spread_if_narrow(df: DataFrame, keys: list[str] | None = None,
-                     min_partitions: int | None = None, current: int | None = None) -> DataFrame:
+                     min_partitions: int | None = None, current: int | None = None,
+                     force: bool | None = None) -> DataFrame:
     """Hash-spread on ``keys`` (unique line keys: even and deterministic without
     a sort); round-robin when there are none.  ``current`` is the known
-    partition count of ``df`` (else it is read from a plan with no exchange)."""
+    partition count of ``df`` (else it is read from a plan with no exchange).
+    ``force``: True always spreads, False never, None decides by partitions."""
     spark = df.sparkSession
     target = min_partitions or spark.sparkContext.defaultParallelism
-    n = current if current is not None else scan_partitions(df)
-    if n is None or n >= target:
+    if force is False:
         return df
+    if force is None:
+        n = current if current is not None else scan_partitions(df)
+        if n is None or n >= target:
+            return df
     return df.repartition(target, *keys) if keys else df.repartition(target)

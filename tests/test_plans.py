@@ -61,3 +61,15 @@ def test_counters_use_partial_aggregation(spark):
 def test_listing_reads_no_content(spark):
     plan = _plan(file_inventory(spark, SF_MID))
     assert "ReadSchema: struct<path:string,length:bigint>" in plan
+
+
+def test_spread_choice_for_one_gzip_file(spark, workdir):
+    from linkyard.sources import read_lines, read_lines_raw
+
+    from .fixtures import write_text, x1_lines
+
+    path = write_text(f"{workdir}/one/index.json.gz", x1_lines(), gz=True)
+    auto = _plan(read_lines(spark, path))
+    assert "Exchange hashpartitioning(file_path" in auto and "line_no" in auto.split("Exchange hashpartitioning(file_path")[1][:80]
+    assert "Exchange" not in _plan(read_lines_raw(spark, path, spread=False))
+    assert "RoundRobinPartitioning" in _plan(read_lines_raw(spark, path))
