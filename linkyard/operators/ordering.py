@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.patterns import DEFAULT_BATCH_SIZE
-from .refs import extract_refs, line_key, ref_key, refs_array
+from .refs import extract_refs, filter_http, line_key, ref_key, refs_array
 
 # Upper bound of lines per bucket: a bucket is one window partition.
 MAX_BUCKET_WIDTH = 1 << 20
@@ -127,15 +127,18 @@ def with_ordinal(df: DataFrame, order_cols: list[str], out: str = "ordinal") ->
 
 
 def indexed_refs(lines: DataFrame, value: str = "value") -> DataFrame:
-    """``(<line key>, pos, file_url, ref_index)``: 0-based global encounter index."""
+    """``(<line key>, pos, file_url, ref_index)``: 0-based global encounter index.
+
+    A line weighs ``size(refs)``; every match passes the ``http`` guard (both
+    patterns start with it), so the guard after the explode drops nothing
+    and leaves no gap in the index.
+    """
     keys = line_key(lines)
     per_line = lines.where(F.col(value).contains("http")).select(*keys, refs_array(value).alias("_lk_refs"))
     based = exclusive_prefix_sum(per_line, keys, F.size("_lk_refs"), "_lk_line_base")
-    return based.select(
-        *keys,
-        F.posexplode("_lk_refs").alias("pos", "file_url"),
-        "_lk_line_base",
-    ).select(*keys, "pos", "file_url", (F.col("_lk_line_base") + F.col("pos")).alias("ref_index"))
+    exploded = based.select(*keys, F.posexplode("_lk_refs").alias("pos", "file_url"), "_lk_line_base")
+    return filter_http(exploded).select(
+        *keys, "pos", "file_url", (F.col("_lk_line_base") + F.col("pos")).alias("ref_index"))
 
 
 def assign_batches(lines: DataFrame, batch_size: int = DEFAULT_BATCH_SIZE, value: str = "value") -> DataFrame:
