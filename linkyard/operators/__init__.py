@@ -1,7 +1,7 @@
 """DataFrame -> DataFrame operators of the extraction job."""
 
 from .metrics import (
-    reconcile, ref_counters, refs_by_network, refs_by_type, run_result, sample_urls, summary_lines,
+    reconcile, ref_counters, refs_by_network, run_result, sample_urls, summary_lines,
 )
 from .ordering import (
     assign_batches, batch_counts, cap_records, exclusive_prefix_sum, first_refs, indexed_refs, with_ordinal,
@@ -15,6 +15,6 @@ __all__ = [
     "line_key", "ref_key", "refs_array",
     "exclusive_prefix_sum", "with_ordinal", "indexed_refs", "assign_batches", "batch_counts",
     "first_refs", "cap_records",
-    "ref_counters", "refs_by_network", "refs_by_type", "sample_urls", "reconcile", "run_result",
+    "ref_counters", "refs_by_network", "sample_urls", "reconcile", "run_result",
     "summary_lines",
 ]

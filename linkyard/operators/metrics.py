@@ -35,10 +35,6 @@ def refs_by_network(classified: DataFrame) -> DataFrame:
     return classified.groupBy("file_network").agg(F.count(F.lit(1)).cast("long").alias("n_refs"))
 
 
-def refs_by_type(classified: DataFrame) -> DataFrame:
-    return classified.groupBy("file_network", "file_type").agg(F.count(F.lit(1)).cast("long").alias("n_refs"))
-
-
 def sample_urls(refs: DataFrame, n: int = SAMPLE_SIZE) -> DataFrame:
     """L1: ``(sample_rank, <ref key>, file_url)`` of the first ``n`` references."""
     return first_refs(refs.select(*ref_key(refs), "file_url"), n)
