@@ -45,7 +45,7 @@ EARLIER_TS = "2025-04-01 00:00:00"
 BATCH_SIZE = 10_000
 SMALL_CAP = 1_000
 LARGE_CAP = 12_345
-STREAM_FILES = 4
+STREAM_BATCHES = 4
 
 
 # ---------------------------------------------------------------------------
@@ -239,27 +239,29 @@ def q_summary_report(spark, sf_dir):
 
 
 def _stream_source(spark, sf_dir):
-    """The derived index split into ``STREAM_FILES`` gzip files."""
+    """The derived index as gzip text files, one per partition of the lines
+    (so the number of files grows with the table), and a micro-batch size
+    that splits them into about ``STREAM_BATCHES`` batches."""
     path = scratch_path(spark, "stream-src")
-    (_lines(spark, sf_dir).repartition(STREAM_FILES, "line_no").select("value")
-     .write.option("compression", "gzip").text(path))
-    return path
+    _lines(spark, sf_dir).select("value").write.option("compression", "gzip").text(path)
+    n_files = len(spark.read.text(path)._jdf.inputFiles())
+    return path, max(1, -(-n_files // STREAM_BATCHES))
 
 
 def q_stream_file_refs(spark, sf_dir):
-    src = _stream_source(spark, sf_dir)
+    src, per_batch = _stream_source(spark, sf_dir)
     sink, ckpt = scratch_path(spark, "stream-sink"), scratch_path(spark, "stream-ckpt")
     q = stream_file_refs(spark, src, sink, ckpt, ENTITY, ENTITY_TYPE, AS_OF, _instant(AS_OF_TS),
-                         max_files_per_trigger=1)
+                         max_files_per_trigger=per_batch)
     q.awaitTermination()
     return spark.read.parquet(sink).select(*FILE_REFS_COLUMNS)
 
 
 def q_stream_progress(spark, sf_dir):
-    src = _stream_source(spark, sf_dir)
+    src, per_batch = _stream_source(spark, sf_dir)
     sink, ckpt = scratch_path(spark, "stream-sink"), scratch_path(spark, "stream-ckpt")
-    q = stream_file_refs(spark, src, sink, ckpt, ENTITY, ENTITY_TYPE, AS_OF, AS_OF_TS,
-                         max_files_per_trigger=1)
+    q = stream_file_refs(spark, src, sink, ckpt, ENTITY, ENTITY_TYPE, AS_OF, _instant(AS_OF_TS),
+                         max_files_per_trigger=per_batch)
     q.awaitTermination()
     rows = [r for r in progress_rows(q) if r["input_rows"] > 0]
     return spark.createDataFrame(
@@ -294,7 +296,7 @@ def q_object_exists(spark, sf_dir):
 
 
 def q_land_raw(spark, sf_dir):
-    src = _stream_source(spark, sf_dir)
+    src, _ = _stream_source(spark, sf_dir)
     return land_raw(spark, src, scratch_path(spark, "raw"))
 
 
