@@ -8,7 +8,10 @@ weighs its number of references), not a window over all references:
 2. one hash exchange on the bucket feeds both the per-bucket totals and the
    per-line running sum (Spark reuses the exchange, so the regex runs once);
 3. bucket bases come from a running sum over the bucket totals, a table
-   ``width`` times smaller than the lines;
+   ``width`` times smaller than the lines; while that table is still large
+   its running sum is found the same way, one level up (``FANOUT`` buckets
+   per upper bucket), so the one-task running sum at the top only sees a
+   table that is small whatever the data size;
 4. a line's base + the position of a reference in it = its index.
 
 Nothing is materialised and nothing depends on partition ids, so a lost
