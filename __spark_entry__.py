@@ -283,14 +283,17 @@ def q_format_hms(spark, sf_dir):
 
 
 def q_file_inventory(spark, sf_dir):
-    return file_inventory(spark, sf_dir.rstrip("/"))
+    """S5 over the index files written from ``orders`` (files and bytes grow with it)."""
+    src, _ = _stream_source(spark, sf_dir)
+    return file_inventory(spark, src)
 
 
 def q_object_exists(spark, sf_dir):
-    root = sf_dir.rstrip("/")
-    hit = object_exists(spark, root)
-    miss = object_exists(spark, root + "/no-such-folder")
-    return file_inventory(spark, root).agg(
+    """S6: the written index folder exists, a missing one does not; its file count."""
+    src, _ = _stream_source(spark, sf_dir)
+    hit = object_exists(spark, src)
+    miss = object_exists(spark, src + "-missing")
+    return file_inventory(spark, src).agg(
         F.lit(hit).alias("root_exists"), F.lit(miss).alias("missing_exists"),
         F.count(F.lit(1)).cast("long").alias("n_files"))
 
