@@ -101,3 +101,32 @@ def test_first_refs_rejects_unbounded_top_k(spark):
     refs = extract_refs(_lines_df(spark, ["https://a"]))
     with pytest.raises(ValueError):
         first_refs(refs, 10**6)
+
+
+def test_hot_file_and_hot_line(spark, workdir):
+    """One file holds a third of all lines; one line holds a third of all refs."""
+    from linkyard.sources import read_lines
+
+    from .fixtures import write_text
+
+    hot_line = " ".join(f"https://hot/{i}" for i in range(40_000))  # a third of all refs
+    big = [f'{{"url": "https://b/{i}.json"}}' for i in range(19_999)] + [hot_line]
+    files = {"big.txt": big}
+    for k in range(40):
+        files[f"small{k:02d}.txt"] = [f"https://s{k}/{i} x" for i in range(1000)]
+    for name, content in files.items():
+        write_text(f"{workdir}/hot/{name}", content)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "128k")
+    try:
+        got = sorted((r["file_path"].rsplit("/", 1)[1], r["line_no"], r["pos"], r["ref_index"], r["batch_no"])
+                     for r in assign_batches(read_lines(spark, f"{workdir}/hot"), 777).collect())
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    want, idx = [], 0
+    for name in sorted(files):  # encounter order: file path, then line, then position
+        for n, text in enumerate(files[name]):
+            for p, _ in enumerate(py_refs(text)):
+                want.append((name, n, p, idx, idx // 777 + 1))
+                idx += 1
+    assert got == sorted(want)
