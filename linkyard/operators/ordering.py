@@ -71,9 +71,13 @@ def _prefix_level(df: DataFrame, grp: list[str], num: str, w: Column, out: str,
     # columns as the running sum below (one exchange, reused).
     totals = keyed.groupBy(*grp, bkt).agg(F.sum(w).alias(total), F.max(num).alias(last))
     if level < levels:
-        # The bucket table is still large: number it the same way, one level up.
-        bases = _prefix_level(totals, grp, last, F.col(total), base, low, width * fanout,
-                              level + 1, levels, fanout).select(*grp, bkt, base)
+        # The bucket table is still large: number it the same way, one level
+        # up.  The bucket id is not carried up but recomputed from the
+        # bucket's last key, so both consumers of the upper exchange read the
+        # same columns (one exchange, reused) and the totals are built once.
+        upper = _prefix_level(totals.select(*grp, total, last), grp, last, F.col(total), base,
+                              low, width * fanout, level + 1, levels, fanout)
+        bases = upper.select(*grp, F.expr(f"(`{last}` - {low}) div {width}").alias(bkt), base)
     else:
         before_bucket = Window.orderBy(*grp, last).rowsBetween(Window.unboundedPreceding, -1)
         bases = totals.select(*grp, bkt, F.coalesce(F.sum(total).over(before_bucket), F.lit(0)).alias(base))
