@@ -41,6 +41,7 @@ class ExtractionConfig:
     location: str | None = None
     as_of: str | dt.date | None = None
     as_of_ts: str | dt.datetime | None = None
+    records_per_file: int | None = None
 
 
 @dataclass
@@ -71,7 +72,7 @@ def run_extraction(spark: SparkSession, lines: DataFrame, cfg: ExtractionConfig,
         to_write = classified_refs(unordered_lines) if unordered_lines is not None else classified
     rows = to_file_refs(to_write, cfg.entity_name, cfg.entity_type, cfg.as_of, cfg.as_of_ts)
     net = F.col("file_network")
-    report = write_refs(rows, cfg.table, cfg.mode, metrics={
+    report = write_refs(rows, cfg.table, cfg.mode, records_per_file=cfg.records_per_file, metrics={
         "in_network_count": F.count_if(net == IN_NETWORK),
         "allowed_amount_count": F.count_if(net == ALLOWED_AMOUNT),
         "other_count": F.count_if(net == OTHER),

@@ -9,6 +9,7 @@ the write job really saw, without a second pass.
 
 from __future__ import annotations
 
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -50,14 +51,34 @@ class WriteReport:
     metrics: dict = field(default_factory=dict)
 
 
+@contextmanager
+def _session_conf(spark: SparkSession, settings: dict[str, str | None]):
+    """Set session settings for one write and put the old values back."""
+    before = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            if v is not None:
+                spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
 def write_refs(df: DataFrame, table: str, mode: str = "append",
-               metrics: dict[str, Column] | None = None) -> WriteReport:
+               metrics: dict[str, Column] | None = None,
+               records_per_file: int | None = None) -> WriteReport:
     """K3/K6: write 10-column file refs into ``table``, columns matched by name.
 
     ``append`` keeps every earlier row (a re-run doubles them, as re-running
     an append does); ``replace_date`` swaps only the ``file_date`` partitions
     present in ``df`` and keeps other dates.  ``metrics`` are extra
     aggregates observed on the written rows in the same job.
+    ``records_per_file`` caps rows per output file (the file-level form of a
+    write batch; leave it unset for large runs, small files cost more).
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}")
@@ -65,23 +86,19 @@ def write_refs(df: DataFrame, table: str, mode: str = "append",
     obs = Observation("linkyard_write")
     extra = [c.alias(name) for name, c in (metrics or {}).items()]
     rows = df.select(*FILE_REFS_COLUMNS).observe(obs, F.count(F.lit(1)).alias("written"), *extra)
+    settings = {"spark.sql.files.maxRecordsPerFile": str(int(records_per_file)) if records_per_file else None}
     if _is_v2(spark, table):
-        writer = rows.writeTo(table)
-        writer.append() if mode == "append" else writer.overwritePartitions()
+        with _session_conf(spark, settings):
+            writer = rows.writeTo(table)
+            writer.append() if mode == "append" else writer.overwritePartitions()
     else:
         # v1 tables keep partition columns last and insertInto is positional,
         # so order the columns as the table has them.
         ordered = rows.select(*spark.table(table).columns)
-        if mode == "append":
-            ordered.write.insertInto(table)
-        else:
-            key = "spark.sql.sources.partitionOverwriteMode"
-            before = spark.conf.get(key)
-            spark.conf.set(key, "dynamic")
-            try:
-                ordered.write.insertInto(table, overwrite=True)
-            finally:
-                spark.conf.set(key, before)
+        if mode == "replace_date":
+            settings["spark.sql.sources.partitionOverwriteMode"] = "dynamic"
+        with _session_conf(spark, settings):
+            ordered.write.insertInto(table, overwrite=(mode == "replace_date"))
     got = {k: int(v) for k, v in obs.get.items()}
     return WriteReport(table, mode, got.get("written", 0), got)
 

@@ -118,3 +118,14 @@ def test_command_line_job(spark, workdir):
                         "--progress-interval", "0", "--checkpoint", f"{workdir}/cli-ckpt"])
     sout = run(spark, sargs)
     assert sum(b["refs"] for b in sout["batches"]) == 200
+
+
+def test_records_per_file_caps_output_files(spark, workdir):
+    t = _table(spark, workdir)
+    refs = file_refs(_lines(spark).coalesce(1), "E", "payer", "2025-05-01", "2025-05-01 00:00:00")
+    write_refs(refs, t, records_per_file=50)
+    part_dir = f"{workdir}/{t}/file_date=2025-05-01"
+    files = [f for f in os.listdir(part_dir) if f.endswith(".parquet")]
+    assert len(files) == 4
+    assert spark.conf.get("spark.sql.files.maxRecordsPerFile") in ("0", None)
+    assert spark.table(t).count() == 200
