@@ -12,6 +12,10 @@ its file is found without shuffling the lines:
   bound (input files + input partitions, both known before any job) is
   small, a shuffle join otherwise.
 
+When every input file is non-splittable (gzip) and has a partition of its
+own - the usual case for index files - the record number within the
+partition is the line number, and the split table is skipped: one pass.
+
 gzip files are not splittable (one split per file); plain text files
 split by ``spark.sql.files.maxPartitionBytes`` and still number exactly.
 The ids are recomputed identically when a task re-runs, because the split
@@ -27,6 +31,11 @@ from .spread import names_unsplittable, spread_if_narrow
 
 # Row bound of the split table below which it is broadcast (about 100 bytes a row).
 SPLIT_BROADCAST_ROWS = 200_000
+# File count up to which the names are checked for the one-file-per-partition case.
+NAME_CHECK_FILES = 100_000
+# monotonically_increasing_id(): partition id in the upper 31 bits, record
+# number within the partition in the lower 33 (as documented in the API).
+RECORD_BITS = (1 << 33) - 1
 
 
 def _reader(spark: SparkSession, line_sep: str | None):
@@ -55,6 +64,17 @@ def read_lines_raw(spark: SparkSession, paths: str | list[str], line_sep: str |
     return spread_if_narrow(df, force=_spread_choice(paths, spread))
 
 
+def _one_file_per_partition(scan: DataFrame, n_parts: int, n_files: int) -> bool:
+    """Every input file is non-splittable and has a scan partition of its own.
+
+    Spark never plans an empty file partition, so equal counts mean one file
+    per partition; the names are only read when there are few enough.
+    """
+    if n_files != n_parts or n_files > NAME_CHECK_FILES:
+        return False
+    return all(names_unsplittable(f) for f in scan.inputFiles())
+
+
 def read_lines(
     spark: SparkSession,
     paths: str | list[str],
@@ -77,6 +97,19 @@ def read_lines(
     if recursive:
         reader = reader.option("recursiveFileLookup", "true")
     scan = reader.load(paths)
+    n_parts = scan.rdd.getNumPartitions()
+    n_files = len(scan._jdf.inputFiles())  # Py4J array: length read on the JVM side
+    if _one_file_per_partition(scan, n_parts, n_files):
+        # Each partition is one whole non-splittable file read from its
+        # start, so the record number in the partition is the line number:
+        # one pass, no split table.
+        lines = scan.select(
+            F.col("_metadata.file_path").alias("file_path"),
+            (F.monotonically_increasing_id().bitwiseAND(F.lit(RECORD_BITS))).alias("line_no"),
+            "value",
+        )
+        return spread_if_narrow(lines, ["file_path", "line_no"], current=n_parts,
+                                force=_spread_choice(paths, spread))
     raw = scan.select(
         F.col("_metadata.file_path").alias("file_path"),
         F.col("_metadata.file_block_start").alias("_lk_split"),
@@ -93,8 +126,7 @@ def read_lines(
     )
     # Bound on split count, known from the plan without a job: every split
     # is a whole file or one maxPartitionBytes piece of one.
-    n_parts = scan.rdd.getNumPartitions()
-    bound = len(scan._jdf.inputFiles()) + n_parts  # Py4J array: length read on the JVM side
+    bound = n_files + n_parts
     if bound <= SPLIT_BROADCAST_ROWS:
         splits = F.broadcast(splits)
     # Beyond the bound: a shuffle join on the split key; AQE's skew-join

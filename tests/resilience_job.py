@@ -47,6 +47,15 @@ def main() -> None:
                 idx += 1
     assert numbered.rdd.getNumPartitions() > 4, "input must be split"
     assert got == sorted(want), "results differ after task retries"
+    # Gzip only: one file per partition, numbered in one pass.
+    for k in range(3):
+        write_text(f"{d}/gz/p{k}.txt.gz", lines[k * 1000:(k + 1) * 1000 + 500], gz=True)
+    gz = read_lines(spark, f"{d}/gz", spread=False)
+    shaky_gz = gz.mapInPandas(flaky, gz.schema)
+    got_gz = sorted((os.path.basename(r["file_path"]), r["line_no"], r["value"]) for r in shaky_gz.collect())
+    want_gz = sorted((f"p{k}.txt.gz", i, v) for k in range(3)
+                     for i, v in enumerate(lines[k * 1000:(k + 1) * 1000 + 500]))
+    assert got_gz == want_gz, "gzip line numbers differ after task retries"
     print("RESILIENCE-OK", len(got))
     spark.stop()
 

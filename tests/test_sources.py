@@ -85,3 +85,15 @@ def test_inventory_exists_and_raw_landing(spark, workdir):
 def test_raw_scan_has_no_line_numbers(spark, workdir):
     write_text(f"{workdir}/r/a.txt", ["p", "q"])
     assert read_lines_raw(spark, f"{workdir}/r").columns == ["file_path", "value"]
+
+
+def test_gzip_files_number_in_one_pass(spark, workdir):
+    contents = {f"f{k}.json.gz": [f"{k}-{i} https://x/{i}" for i in range(50 + 1000 * k)] for k in range(5)}
+    for name, lines in contents.items():
+        write_text(f"{workdir}/gzonly/{name}", lines, gz=True)
+    df = read_lines(spark, f"{workdir}/gzonly")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "_lk_split" not in plan and "HashAggregate" not in plan  # no split table
+    got = {(os.path.basename(r["file_path"]), r["line_no"]): r["value"] for r in df.collect()}
+    want = {(name, i): v for name, lines in contents.items() for i, v in enumerate(lines)}
+    assert got == want
