@@ -3,9 +3,10 @@ an independent DuckDB statement of each result in ``oracle_sql()``.
 
 Input of the reference-extraction queries: one index line per ``orders`` row
 (``line_no = o_orderkey``), in the shape of a payer's index file, so every
-query reads a whole driver table and grows with it.  ``url_parts`` reads
-``pages.url``; ``format_hms`` reads ``events``.  Write and stream queries
-write to fresh places under the session's checkpoint folder and read back.
+query reads a whole driver table and grows with it.  ``page_refs`` and
+``url_parts`` read ``pages.url``; ``format_hms`` reads ``events``.  Write,
+listing and stream queries write to fresh places under the session's
+checkpoint folder and read back.
 
 Fixed literals pin the run date and time, so results are deterministic.
 """
