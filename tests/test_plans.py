@@ -73,3 +73,21 @@ def test_spread_choice_for_one_gzip_file(spark, workdir):
     assert "Exchange hashpartitioning(file_path" in auto and "line_no" in auto.split("Exchange hashpartitioning(file_path")[1][:80]
     assert "Exchange" not in _plan(read_lines_raw(spark, path, spread=False))
     assert "RoundRobinPartitioning" in _plan(read_lines_raw(spark, path))
+
+
+def test_partitioned_write_adds_no_sort(spark, workdir):
+    import datetime as dt
+    import uuid
+
+    from linkyard.sinks import ensure_table
+
+    t = f"w_{uuid.uuid4().hex[:8]}"
+    ensure_table(spark, t, location=f"{workdir}/{t}")
+    lines = order_lines(spark.read.parquet(f"{SF_MID}/orders.parquet"))
+    refs = file_refs(lines, "E", "payer", "2025-05-01", dt.datetime(2025, 5, 1, tzinfo=dt.timezone.utc))
+    view = f"v_{uuid.uuid4().hex[:8]}"
+    refs.createOrReplaceTempView(view)
+    cols = ", ".join(spark.table(t).columns)
+    plan = spark.sql(f"EXPLAIN FORMATTED INSERT INTO {t} SELECT {cols} FROM {view}").first()[0]
+    # One run writes one date: no per-task sort before the partitioned writer.
+    assert "InsertIntoHadoopFsRelationCommand" in plan and "Sort" not in plan
