@@ -49,12 +49,29 @@ def raw_lines_with_source(spark: SparkSession, src: str, line_sep: str | None =
     )
 
 
-def land_raw(spark: SparkSession, src: str, raw_path: str, line_sep: str | None = None) -> DataFrame:
-    """S7: append the lines of ``src`` unchanged, with provenance, to a raw zone.
+def land_raw(spark: SparkSession, src: str, raw_path: str, line_sep: str | None = None,
+             mode: str = "replace_source") -> DataFrame:
+    """S7: land the lines of ``src`` unchanged, with provenance, in a raw zone.
 
-    One distributed write (one task per input split) to Parquet with zstd;
-    returns the raw zone as a DataFrame.
+    ``replace_source`` (default) partitions the zone by source file and
+    overwrites only the partitions of the files landed now, so landing a
+    file again replaces it, as writing an object to the same key does;
+    ``append`` adds rows.  One distributed write, Parquet with zstd; returns
+    the raw zone as a DataFrame.
     """
-    (raw_lines_with_source(spark, src, line_sep)
-     .write.mode("append").option("compression", "zstd").parquet(raw_path))
-    return spark.read.parquet(raw_path)
+    rows = raw_lines_with_source(spark, src, line_sep)
+    writer = rows.write.option("compression", "zstd")
+    if mode == "append":
+        writer.mode("append").parquet(raw_path)
+    elif mode == "replace_source":
+        key = "spark.sql.sources.partitionOverwriteMode"
+        before = spark.conf.get(key, None)
+        spark.conf.set(key, "dynamic")
+        try:
+            writer.mode("overwrite").partitionBy("source_path").parquet(raw_path)
+        finally:
+            spark.conf.set(key, before) if before is not None else spark.conf.unset(key)
+    else:
+        raise ValueError("mode must be 'replace_source' or 'append'")
+    zone = spark.read.option("basePath", raw_path).parquet(raw_path)
+    return zone.select("source_path", "source_size", "source_mtime", "value")

@@ -80,6 +80,12 @@ def test_inventory_exists_and_raw_landing(spark, workdir):
     assert raw.columns == ["source_path", "source_size", "source_mtime", "value"]
     assert sorted(r["value"] for r in raw.collect()) == ["one", "three", "two"]
     assert raw.where(F.col("source_size") <= 0).count() == 0
+    assert {os.path.basename(r["source_path"]) for r in raw.collect()} == {"a.txt", "b.txt.gz"}
+    # Landing a file again replaces it; other landed files stay.
+    write_text(f"{workdir}/land2/b.txt.gz", ["three", "four"], gz=True)
+    land_raw(spark, f"{workdir}/land", f"{workdir}/raw")
+    again = land_raw(spark, f"{workdir}/land2", f"{workdir}/raw")
+    assert sorted(r["value"] for r in again.collect()) == ["four", "one", "three", "three", "two"]
 
 
 def test_raw_scan_has_no_line_numbers(spark, workdir):
