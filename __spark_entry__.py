@@ -265,9 +265,12 @@ def q_stream_progress(spark, sf_dir):
                          max_files_per_trigger=per_batch)
     q.awaitTermination()
     rows = [r for r in progress_rows(q) if r["input_rows"] > 0]
-    return spark.createDataFrame(
+    per_batch = spark.createDataFrame(
         rows, "batch_id long, input_rows long, refs long, in_network_count long, "
               "allowed_amount_count long, other_count long")
+    # The per-batch counters observed by the stream must add up to the totals.
+    return per_batch.agg(*[F.sum(c).cast("long").alias(c) for c in
+                           ("input_rows", "refs", "in_network_count", "allowed_amount_count", "other_count")])
 
 
 def q_url_parts(spark, sf_dir):
@@ -300,8 +303,11 @@ def q_object_exists(spark, sf_dir):
 
 
 def q_land_raw(spark, sf_dir):
+    """S7: the landed lines equal the source lines, each with its provenance."""
     src, _ = _stream_source(spark, sf_dir)
-    return land_raw(spark, src, scratch_path(spark, "raw"))
+    zone = land_raw(spark, src, scratch_path(spark, "raw"))
+    return zone.select("value", (F.col("source_path").isNotNull() & (F.col("source_size") > 0)
+                                 & F.col("source_mtime").isNotNull()).alias("has_provenance"))
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -527,13 +533,18 @@ _ORACLE: dict[str, str] = {
     "summary_report": SUMMARY,
     "run_result": RUN_RESULT,
     "stream_file_refs": FILE_REFS,
+    "stream_progress": (
+        f"SELECT (SELECT CAST(count(*) AS BIGINT) FROM orders) AS input_rows, c.total_file_refs_identified AS refs, "
+        f"c.in_network_count, c.allowed_amount_count, c.other_count FROM ({COUNTERS}) c"
+    ),
+    "land_raw": f"SELECT value, true AS has_provenance FROM ({LINES}) l",
     "url_parts": URL_PARTS,
     "format_hms": FORMAT_HMS,
 }
 
 
 def oracle_sql() -> dict[str, str]:
-    """DuckDB SQL for each checked key; the four listing/progress queries
-    (file_inventory, object_exists, land_raw, stream_progress) depend on
-    file layout or micro-batch timing and get the rows-only check."""
+    """DuckDB SQL for each checked key; the two listing queries
+    (file_inventory, object_exists) depend on the file layout Spark chose
+    and get the rows-only check."""
     return dict(_ORACLE)

@@ -11,7 +11,7 @@ SURVEY_QUERIES = (
     "reconcile summary_report run_result stream_file_refs url_parts format_hms file_inventory object_exists "
     "land_raw stream_progress"
 ).split()
-ROWS_ONLY = {"file_inventory", "object_exists", "land_raw", "stream_progress"}
+ROWS_ONLY = {"file_inventory", "object_exists"}
 
 
 def test_every_survey_query_is_registered():
