@@ -7,38 +7,29 @@ import gzip
 import os
 import re
 
-# The extraction semantics in plain Python (Python regex syntax): every bare
-# URL, then every JSON "url" value; keep those starting with http; class by
-# case-insensitive substring and case-sensitive suffix, first hit wins.
+# The two URL patterns in Python regex syntax (Python's \s is
+# Unicode whitespace plus U+001C..U+001F), the network rules and the suffix
+# rules, stated independently of the library for brute-force checks.
 PY_BARE = r'https?://[^\s"\'\)\(\[\]\{\}]+'
 PY_KEYED = r'"url"\s*:\s*"(https?://[^"]+)"'
+PY_NETWORKS = (("in-network", "in-network"), ("allowed-amount", "allowed-amount"))
+PY_TYPES = ((".json.gz", "json.gz"), (".csv.gz", "csv.gz"), (".json", "json"), (".csv", "csv"), (".gz", "gz"))
 
 
 def py_refs(line: str) -> list[str]:
-    out = []
-    for pat in (PY_BARE, PY_KEYED):
-        for m in re.findall(pat, line):
-            u = m[0] if isinstance(m, tuple) else m
-            if u.startswith("http"):
-                out.append(u)
-    return out
+    """All bare matches left to right, then all keyed values; http-guarded."""
+    found = [m.group(0) for m in re.finditer(PY_BARE, line)]
+    found += [m.group(1) for m in re.finditer(PY_KEYED, line)]
+    return [u for u in found if u.startswith("http")]
 
 
 def py_network(url: str) -> str:
     low = url.lower()
-    if "in-network" in low:
-        return "in-network"
-    if "allowed-amount" in low:
-        return "allowed-amount"
-    return "other"
+    return next((label for needle, label in PY_NETWORKS if needle in low), "other")
 
 
 def py_type(url: str) -> str:
-    for suffix, label in ((".json.gz", "json.gz"), (".csv.gz", "csv.gz"), (".json", "json"),
-                          (".csv", "csv"), (".gz", "gz")):
-        if url.endswith(suffix):
-            return label
-    return "unknown"
+    return next((label for suffix, label in PY_TYPES if url.endswith(suffix)), "unknown")
 
 
 def x1_lines(entity: str = "E") -> list[str]:
