@@ -32,7 +32,7 @@ from .spread import names_unsplittable, spread_if_narrow
 # Row bound of the split table below which it is broadcast (about 100 bytes a row).
 SPLIT_BROADCAST_ROWS = 200_000
 # File count up to which the names are checked for the one-file-per-partition case.
-NAME_CHECK_FILES = 100_000
+NAME_CHECK_FILES = 10_000  # names cross Py4J one by one
 # monotonically_increasing_id(): partition id in the upper 31 bits, record
 # number within the partition in the lower 33 (as documented in the API).
 RECORD_BITS = (1 << 33) - 1
