@@ -29,8 +29,12 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     p.add_argument("--warehouse-location", default=None, help="table root on shared storage (parquet tables)")
     p.add_argument("--catalog-name", default=None, help="catalog/database of the table")
     p.add_argument("--file-refs-table", default="file_refs")
-    p.add_argument("--batch-size", type=int, default=DEFAULT_BATCH_SIZE)
-    p.add_argument("--max-records", type=int, default=0, help="0 = all")
+    p.add_argument("--batch-size", type=int, default=DEFAULT_BATCH_SIZE,
+                   help="write batch size: batch count in the result (one atomic write per run)")
+    p.add_argument("--max-records", type=int, default=0,
+                   help="first N references in file order, 0 = all (batch mode; a stream has no global order)")
+    p.add_argument("--records-per-file", type=int, default=None,
+                   help="cap rows per output file (file-level write batches); unset for large runs")
     p.add_argument("--progress-interval", type=int, default=30, help="seconds per micro-batch in --stream mode")
     p.add_argument("--entity-name", required=True)
     p.add_argument("--entity-type", default=DEFAULT_ENTITY_TYPE)
@@ -55,7 +59,7 @@ def run(spark: SparkSession, args: argparse.Namespace) -> dict:
     location = f"{args.warehouse_location.rstrip('/')}/{args.file_refs_table}" if args.warehouse_location else None
     cfg = ExtractionConfig(table=table, entity_name=args.entity_name, entity_type=args.entity_type,
                            batch_size=args.batch_size, max_records=args.max_records, mode=args.mode,
-                           provider=args.provider, location=location)
+                           provider=args.provider, location=location, records_per_file=args.records_per_file)
     start = time.time()
     if args.stream:
         ensure_table(spark, table, args.provider, location)
