@@ -23,12 +23,21 @@ def file_inventory(spark: SparkSession, root: str, limit: int | None = None) ->
     return listing
 
 
+def _path_exists(spark: SparkSession, path: str) -> bool:
+    """One file-system metadata call (any Hadoop scheme), no job."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    return bool(hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hpath))
+
+
 def object_exists(spark: SparkSession, root: str, path: str | None = None) -> bool:
     """S6: does ``root`` hold any file (or the file ``path``)?  Missing root -> False."""
+    if not _path_exists(spark, root):
+        return False
     try:
         listing = file_inventory(spark, root)
-    except AnalysisException as err:
-        if (err.getCondition() or "") == "PATH_NOT_FOUND" or "PATH_NOT_FOUND" in str(err):
+    except AnalysisException as err:  # removed between the probe and the listing
+        if (err.getCondition() or "") == "PATH_NOT_FOUND":
             return False
         raise
     if path is not None:
