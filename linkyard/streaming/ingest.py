@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -94,8 +95,10 @@ def stream_file_refs(
 def _ledger_has(spark: SparkSession, ledger: str, batch_id: int) -> bool:
     try:
         done = spark.read.parquet(ledger)
-    except Exception:  # no ledger yet
-        return False
+    except AnalysisException as err:
+        if (err.getCondition() or "") == "PATH_NOT_FOUND":  # no batch committed yet
+            return False
+        raise
     return len(done.where(F.col("batch_id") == batch_id).take(1)) > 0
 
 
