@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 
 from pyspark.sql import functions as F
 
@@ -24,6 +25,11 @@ def test_line_numbers_exact_across_splits(spark, workdir):
     try:
         df = read_lines(spark, f"{workdir}/big")
         assert df.rdd.getNumPartitions() > 4  # really split
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        # The split table is broadcast; the lines themselves are not shuffled.
+        assert "BroadcastHashJoin" in plan
+        assert re.search(r"hashpartitioning\(file_path#\d+, _lk_split", plan)
+        assert not re.search(r"hashpartitioning\(file_path#\d+, line_no", plan)
         got = {(os.path.basename(r["file_path"]), r["line_no"]): r["value"] for r in df.collect()}
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
