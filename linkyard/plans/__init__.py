@@ -1,5 +1,5 @@
 """End-to-end job plans built from the operators."""
 
-from .pipeline import ExtractionConfig, ExtractionRun, extract_index_file, run_extraction, write_summary
+from .job import ExtractionConfig, ExtractionRun, extract_index_file, run_extraction, write_summary
 
 __all__ = ["ExtractionConfig", "ExtractionRun", "extract_index_file", "run_extraction", "write_summary"]

@@ -20,7 +20,7 @@ from ..functions.patterns import DEFAULT_BATCH_SIZE, DEFAULT_ENTITY_TYPE
 from ..session import scratch_path
 from ..sinks.tables import ensure_table
 from ..streaming.ingest import progress_rows, stream_into_table
-from .pipeline import ExtractionConfig, extract_index_file, write_summary
+from .job import ExtractionConfig, extract_index_file, write_summary
 
 
 def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
