@@ -60,6 +60,9 @@ def run(spark: SparkSession, args: argparse.Namespace) -> dict:
     cfg = ExtractionConfig(table=table, entity_name=args.entity_name, entity_type=args.entity_type,
                            batch_size=args.batch_size, max_records=args.max_records, mode=args.mode,
                            provider=args.provider, location=location, records_per_file=args.records_per_file)
+    if args.catalog_name and args.provider == "parquet":
+        # Session catalog: the "catalog" is a database; create it on first use.
+        spark.sql(f"CREATE NAMESPACE IF NOT EXISTS {args.catalog_name}")
     start = time.time()
     if args.stream:
         ensure_table(spark, table, args.provider, location)

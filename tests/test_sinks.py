@@ -105,11 +105,13 @@ def test_command_line_job(spark, workdir):
     from linkyard.plans.cli import parse_args, run
 
     path = write_text(f"{workdir}/cli/index.json.gz", x1_lines(), gz=True)
-    args = parse_args(["--index-file", path, "--warehouse-location", f"{workdir}/wh", "--file-refs-table",
-                       f"cli_{uuid.uuid4().hex[:6]}", "--batch-size", "64", "--entity-name", "E",
-                       "--summary-path", f"{workdir}/cli-summary"])
+    db = f"db_{uuid.uuid4().hex[:6]}"
+    args = parse_args(["--index-file", "file://" + path, "--warehouse-location", f"{workdir}/wh",
+                       "--catalog-name", db, "--file-refs-table", f"cli_{uuid.uuid4().hex[:6]}",
+                       "--batch-size", "64", "--entity-name", "E", "--summary-path", f"{workdir}/cli-summary"])
     out = run(spark, args)
     assert out["total_file_refs_identified"] == 200 and out["batch_count"] == 4
+    assert out["table"].startswith(db + ".") and spark.table(out["table"]).count() == 200
     assert out["elapsed"].endswith("s")
     src = f"{workdir}/cli-stream"
     write_text(f"{src}/a.json.gz", x1_lines(), gz=True)
