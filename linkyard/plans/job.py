@@ -122,8 +122,9 @@ def run_extraction(spark: SparkSession, lines: DataFrame, cfg: ExtractionConfig,
 def extract_index_file(spark: SparkSession, index_path: str, cfg: ExtractionConfig,
                        line_sep: str | None = None, spread: bool | None = None) -> ExtractionRun:
     """The job over text/gzip index files at ``index_path`` (any Hadoop scheme)."""
-    return run_extraction(spark, read_lines(spark, index_path, line_sep=line_sep, spread=spread), cfg,
-                          unordered_lines=read_lines_raw(spark, index_path, line_sep=line_sep, spread=spread))
+    lines = read_lines(spark, index_path, line_sep=line_sep, spread=spread)
+    unordered = None if cfg.cache_refs else read_lines_raw(spark, index_path, line_sep=line_sep, spread=spread)
+    return run_extraction(spark, lines, cfg, unordered_lines=unordered)
 
 
 def write_summary(run: ExtractionRun, cfg: ExtractionConfig, path: str, completed_at: str) -> str:
