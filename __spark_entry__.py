@@ -89,6 +89,14 @@ def q_scan_lines(spark, sf_dir):
     return numbered.select(F.col("global_line_no").alias("line_no"), "value")
 
 
+def q_scan_text_lines(spark, sf_dir):
+    """S1, plain text: the split-table numbering path (splittable files)."""
+    gen = generate_index_lines(_t(spark, sf_dir, "orders"), "o_orderkey", ENTITY, ENTITY_TYPE)
+    path = write_index_files(gen, scratch_path(spark, "index-txt"), compression=None)
+    numbered = with_ordinal(read_lines(spark, path), ["file_path", "line_no"], "global_line_no")
+    return numbered.select(F.col("global_line_no").alias("line_no"), "value")
+
+
 def q_gen_index_lines(spark, sf_dir):
     return generate_index_lines(_t(spark, sf_dir, "orders"), "o_orderkey", ENTITY, ENTITY_TYPE)
 
@@ -317,6 +325,7 @@ def entry(spark: SparkSession) -> DataFrame:
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scan_lines": q_scan_lines,
+    "scan_text_lines": q_scan_text_lines,
     "gen_index_lines": q_gen_index_lines,
     "extract_bare": q_extract_bare,
     "extract_keyed": q_extract_keyed,
@@ -501,6 +510,7 @@ FORMAT_HMS = (
 
 _ORACLE: dict[str, str] = {
     "scan_lines": GEN,
+    "scan_text_lines": GEN,
     "gen_index_lines": GEN,
     "extract_bare": _refs(_BARE),
     "extract_keyed": _refs(_KEYED),

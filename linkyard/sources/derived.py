@@ -96,12 +96,12 @@ def generate_index_lines(ids: DataFrame, id_col: str, entity_name: str,
     return header.unionByName(body).unionByName(footer)
 
 
-def write_index_files(lines: DataFrame, path: str, compression: str = "gzip") -> str:
+def write_index_files(lines: DataFrame, path: str, compression: str | None = "gzip") -> str:
     """Write ``lines`` as text files in ``line_no`` order (part files follow the order).
 
     The range-partitioned sort keeps part-file names in line order, so reading
     the folder back by path order gives the lines back in order.
     """
-    (lines.orderBy("line_no").select("value")
-     .write.mode("errorifexists").option("compression", compression).text(path))
+    writer = lines.orderBy("line_no").select("value").write.mode("errorifexists")
+    writer.option("compression", compression or "none").text(path)
     return path
