@@ -1,5 +1,5 @@
 """Structured Streaming ingest of index files."""
 
-from .ingest import progress_rows, stream_file_refs, stream_into_table, streaming_file_refs
+from .ingest import ProgressRecorder, progress_rows, stream_file_refs, stream_into_table, streaming_file_refs
 
-__all__ = ["streaming_file_refs", "stream_file_refs", "stream_into_table", "progress_rows"]
+__all__ = ["streaming_file_refs", "stream_file_refs", "stream_into_table", "progress_rows", "ProgressRecorder"]

@@ -22,7 +22,7 @@ import datetime as dt
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from ..functions.patterns import ALLOWED_AMOUNT, DEFAULT_ENTITY_TYPE, IN_NETWORK, OTHER
 from ..operators.refs import classified_refs, to_file_refs
@@ -138,13 +138,53 @@ def stream_into_table(
     return w.start()
 
 
+_COUNTERS = ("refs", "in_network_count", "allowed_amount_count", "other_count")
+
+
+def _progress_row(p) -> dict:
+    metrics = (p.observedMetrics or {}).get(PROGRESS_NAME)
+    row = {"batch_id": int(p.batchId), "input_rows": int(p.numInputRows)}
+    for k in _COUNTERS:
+        row[k] = int(metrics[k]) if metrics is not None else 0
+    return row
+
+
 def progress_rows(query: StreamingQuery) -> list[dict]:
-    """T3: per micro-batch ``batch_id``, input rows and the observed counters."""
-    rows = []
-    for p in query.recentProgress:
-        metrics = (p.observedMetrics or {}).get(PROGRESS_NAME)
-        row = {"batch_id": int(p.batchId), "input_rows": int(p.numInputRows)}
-        for k in ("refs", "in_network_count", "allowed_amount_count", "other_count"):
-            row[k] = int(metrics[k]) if metrics is not None else 0
-        rows.append(row)
-    return rows
+    """T3: per micro-batch ``batch_id``, input rows and the observed counters.
+
+    Only the last ``spark.sql.streaming.numRecentProgressUpdates`` batches
+    are kept by the query; ``ProgressRecorder`` keeps all of them.
+    """
+    return [_progress_row(p) for p in query.recentProgress]
+
+
+class ProgressRecorder(StreamingQueryListener):
+    """T3: every micro-batch's counters, as Spark reports each trigger.
+
+    One small row per micro-batch is kept on the driver (the counters are
+    aggregated on the executors); ``every`` > 1 keeps one report in ``every``
+    batches in ``reports`` for periodic logging while ``rows`` keeps all.
+    """
+
+    def __init__(self, every: int = 1):
+        self.every = max(1, int(every))
+        self.rows: dict[str, list[dict]] = {}
+        self.reports: list[dict] = []
+
+    def onQueryStarted(self, event) -> None:  # noqa: N802 (Spark's listener API)
+        pass
+
+    def onQueryProgress(self, event) -> None:  # noqa: N802
+        row = _progress_row(event.progress)
+        self.rows.setdefault(str(event.progress.id), []).append(row)
+        if row["batch_id"] % self.every == 0:
+            self.reports.append(row)
+
+    def onQueryIdle(self, event) -> None:  # noqa: N802
+        pass
+
+    def onQueryTerminated(self, event) -> None:  # noqa: N802
+        pass
+
+    def for_query(self, query: StreamingQuery) -> list[dict]:
+        return list(self.rows.get(str(query.id), []))

@@ -54,3 +54,28 @@ def test_stream_into_table_skips_replayed_batches(spark, workdir):
     assert [r["records_written"] for r in ledger.collect()] == [200]
     stream_into_table(spark, src, table, ckpt, "E", "payer", *TS).awaitTermination()
     assert spark.table(table).count() == 200
+
+
+def test_progress_recorder_keeps_every_batch(spark, workdir):
+    from linkyard.streaming import ProgressRecorder
+
+    src = f"{workdir}/src3"
+    for k in range(5):
+        write_text(f"{src}/p{k}.json.gz", x1_lines()[k * 20:(k + 1) * 20], gz=True)
+    rec = ProgressRecorder(every=2)
+    spark.streams.addListener(rec)
+    try:
+        q = stream_file_refs(spark, src, f"{workdir}/sink3", f"{workdir}/ckpt3", "E", "payer", *TS,
+                             max_files_per_trigger=1)
+        q.awaitTermination()
+        import time
+
+        for _ in range(50):  # listener events arrive asynchronously
+            if sum(r["input_rows"] for r in rec.for_query(q)) >= 100:
+                break
+            time.sleep(0.2)
+    finally:
+        spark.streams.removeListener(rec)
+    rows = [r for r in rec.for_query(q) if r["input_rows"] > 0]
+    assert len(rows) == 5 and sum(r["refs"] for r in rows) == 198  # lines 0-99: header + 99 URL lines x 2
+    assert all(r["batch_id"] % 2 == 0 for r in rec.reports)
