@@ -19,7 +19,7 @@ from pyspark.sql import SparkSession
 from ..functions.patterns import DEFAULT_BATCH_SIZE, DEFAULT_ENTITY_TYPE
 from ..session import scratch_path
 from ..sinks.tables import ensure_table
-from ..streaming.ingest import progress_rows, stream_into_table
+from ..streaming.ingest import ProgressRecorder, progress_rows, stream_into_table
 from .job import ExtractionConfig, extract_index_file, write_summary
 
 
@@ -67,13 +67,18 @@ def run(spark: SparkSession, args: argparse.Namespace) -> dict:
     if args.stream:
         ensure_table(spark, table, args.provider, location)
         ckpt = args.checkpoint or scratch_path(spark, "stream-ckpt")
+        recorder = ProgressRecorder(on_report=lambda row: print(json.dumps({"progress": row}), flush=True))
+        spark.streams.addListener(recorder)
         q = stream_into_table(spark, args.index_file, table, ckpt, args.entity_name, args.entity_type,
                               max_files_per_trigger=args.max_files_per_trigger,
                               available_now=args.progress_interval <= 0,
                               processing_time=(f"{args.progress_interval} seconds"
                                                if args.progress_interval > 0 else None),
                               line_sep=args.line_sep)
-        q.awaitTermination()
+        try:
+            q.awaitTermination()
+        finally:
+            spark.streams.removeListener(recorder)
         out = {"table": table, "batches": progress_rows(q)}
     else:
         spread = {"auto": None, "always": True, "never": False}[args.spread]

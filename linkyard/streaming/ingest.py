@@ -166,8 +166,9 @@ class ProgressRecorder(StreamingQueryListener):
     batches in ``reports`` for periodic logging while ``rows`` keeps all.
     """
 
-    def __init__(self, every: int = 1):
+    def __init__(self, every: int = 1, on_report=None):
         self.every = max(1, int(every))
+        self.on_report = on_report
         self.rows: dict[str, list[dict]] = {}
         self.reports: list[dict] = []
 
@@ -179,6 +180,8 @@ class ProgressRecorder(StreamingQueryListener):
         self.rows.setdefault(str(event.progress.id), []).append(row)
         if row["batch_id"] % self.every == 0:
             self.reports.append(row)
+            if self.on_report is not None:
+                self.on_report(row)
 
     def onQueryIdle(self, event) -> None:  # noqa: N802
         pass
