@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.patterns import DEFAULT_BATCH_SIZE
+from ..session import scan_partitions
 from .refs import extract_refs, filter_http, line_key, ref_key, refs_array
 
 # Upper bound of lines per bucket: a bucket is one window partition.
@@ -37,6 +38,9 @@ FANOUT = 1 << 16
 TOP_LEVEL_ROWS = 1 << 16
 # Small ``n`` goes to Spark's top-k operator; larger caps use the index.
 TOP_K_LIMIT = 10_000
+# Top-k merges n rows from every partition in one task: keep n x partitions
+# under this many rows, else filter on the global index.
+TOP_K_MERGE_BUDGET = 20_000_000
 
 
 def _bucket_width(df: DataFrame, num: str) -> tuple[int, int, int]:
@@ -190,14 +194,25 @@ def first_refs(refs: DataFrame, n: int) -> DataFrame:
     return top.withColumn("sample_rank", F.row_number().over(Window.orderBy(*order)))
 
 
+def _partitions_hint(df: DataFrame) -> int:
+    """Partitions feeding a top-k over ``df``: the scan's if the plan has no
+    exchange, else the larger of the cluster's cores and shuffle partitions."""
+    n = scan_partitions(df)
+    if n is not None:
+        return n
+    spark = df.sparkSession
+    return max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
 def cap_records(lines: DataFrame, max_records: int, value: str = "value") -> DataFrame:
     """L3: the first ``max_records`` references in encounter order; 0 keeps all.
 
-    ``(<line key>, pos, file_url)``.  Small caps are a top-k; large ones
-    filter on the global index, which is exact and fully distributed.
+    ``(<line key>, pos, file_url)``.  A cap whose top-k merge
+    (``max_records`` x partitions rows in one task) fits the budget is a
+    top-k; a larger one filters on the global index, exact and distributed.
     """
     if max_records <= 0:
         return extract_refs(lines, "both", value)
-    if max_records <= TOP_K_LIMIT:
+    if max_records <= TOP_K_LIMIT and max_records * _partitions_hint(lines) <= TOP_K_MERGE_BUDGET:
         return first_refs(extract_refs(lines, "both", value), max_records).drop("sample_rank")
     return indexed_refs(lines, value).where(F.col("ref_index") < max_records).drop("ref_index")

@@ -11,6 +11,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from ..session import scan_partitions
+
 # Compression suffixes Hadoop cannot split (one task per file).
 UNSPLITTABLE_SUFFIXES = (".gz", ".zst", ".deflate", ".snappy", ".lz4")
 
@@ -21,17 +23,6 @@ def names_unsplittable(paths: str | list[str]) -> bool:
     return any(p.rstrip("/").lower().endswith(UNSPLITTABLE_SUFFIXES) for p in items)
 
 
-def scan_partitions(df: DataFrame) -> int | None:
-    """Partition count of ``df`` if its plan has no exchange, else None.
-
-    Building the RDD of a plan with a shuffle or broadcast would run those
-    stages, and such a plan is distributed by its exchange anyway.
-    """
-    if "Exchange" in df._jdf.queryExecution().executedPlan().toString():
-        return None
-    return df.rdd.getNumPartitions()
-
-
 def spread_if_narrow(df: DataFrame, keys: list[str] | None = None,
                      min_partitions: int | None = None, current: int | None = None,
                      force: bool | None = None) -> DataFrame:
