@@ -491,13 +491,15 @@ SUMMARY = (
 )
 
 _URL_SPLIT = r"^(?:([A-Za-z][A-Za-z0-9+.\-]*):)?(?://([^/?#]*))?([^?#]*)"
+_CLEAN_URL = r"regexp_replace(regexp_replace(url, '[\t\r\n]', '', 'g'), '^[\x00-\x20]+', '')"
 URL_PARTS = (
-    f"SELECT page_id, url, regexp_extract(url, {_s(_URL_SPLIT)}, 2) AS authority, "
-    "regexp_replace(CASE WHEN lower(regexp_extract(url, " + _s(_URL_SPLIT) + ", 1)) IN "
+    f"SELECT page_id, url, regexp_extract(cu, {_s(_URL_SPLIT)}, 2) AS authority, "
+    "regexp_replace(CASE WHEN lower(regexp_extract(cu, " + _s(_URL_SPLIT) + ", 1)) IN "
     "('', 'ftp', 'hdl', 'prospero', 'http', 'imap', 'https', 'shttp', 'rtsp', 'rtsps', 'rtspu', "
     "'sip', 'sips', 'mms', 'sftp', 'tel') "
-    f"THEN regexp_replace(regexp_extract(url, {_s(_URL_SPLIT)}, 3), ';[^/]*$', '') "
-    f"ELSE regexp_extract(url, {_s(_URL_SPLIT)}, 3) END, '^/+', '') AS url_key FROM pages"
+    f"THEN regexp_replace(regexp_extract(cu, {_s(_URL_SPLIT)}, 3), ';[^/]*$', '') "
+    f"ELSE regexp_extract(cu, {_s(_URL_SPLIT)}, 3) END, '^/+', '') AS url_key "
+    f"FROM (SELECT page_id, url, {_CLEAN_URL} AS cu FROM pages) p"
 )
 
 FORMAT_HMS = (

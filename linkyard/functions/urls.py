@@ -28,17 +28,23 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _clean(url: Column | str) -> Column:
+    """As the Python split does first: drop tab, CR and LF anywhere, and
+    leading C0 controls and spaces."""
+    return F.regexp_replace(F.regexp_replace(_col(url), "[\\t\\r\\n]", ""), "^[\\x00-\\x20]+", "")
+
+
 def url_scheme(url: Column | str) -> Column:
-    return F.lower(F.regexp_extract(_col(url), URL_SPLIT, 1))
+    return F.lower(F.regexp_extract(_clean(url), URL_SPLIT, 1))
 
 
 def url_authority(url: Column | str) -> Column:
     """``netloc``: user, host and port as written (``HOST`` would drop them)."""
-    return F.regexp_extract(_col(url), URL_SPLIT, 2)
+    return F.regexp_extract(_clean(url), URL_SPLIT, 2)
 
 
 def url_path(url: Column | str) -> Column:
-    u = _col(url)
+    u = _clean(url)
     raw = F.regexp_extract(u, URL_SPLIT, 3)
     return F.when(
         url_scheme(u).isin(PARAM_SCHEMES), F.regexp_replace(raw, ";[^/]*$", "")

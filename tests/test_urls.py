@@ -19,6 +19,10 @@ EDGE = [
     "file:///tmp/a.txt",
     "s3a://b/k;v",
     "https://e.com/in-network/a.json.gz",
+    "https://e.com/a\tb",
+    " \x01https://e.com/x",
+    "https://e\n.com/p?q",
+    "ht\ttps://e.com/z",
 ]
 
 
