@@ -6,7 +6,8 @@ next ``/``, ``?`` or ``#``; the path runs to the next ``?`` or ``#``; for the
 schemes that carry ``;params`` the params of the last path segment are not
 part of the path.  ``parse_url`` is not used because it returns NULL for any
 URL the JVM's ``java.net.URI`` rejects (a space, a ``|``), where the Python
-split still yields parts.
+split still yields parts.  Where the Python split raises (a malformed
+bracketed host such as ``http://[x/``), these return the parts as written.
 """
 
 from __future__ import annotations

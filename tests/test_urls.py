@@ -43,3 +43,24 @@ def test_format_hms(spark):
     got = [r[0] for r in df.select(format_hms("s")).collect()]
     want = [f"{int(s // 3600)}h {int((s % 3600) // 60)}m {int(s % 60)}s" for s in secs]
     assert got == want
+
+
+def test_random_url_like_strings_match_urlparse(spark):
+    import random
+
+    rnd = random.Random(11)
+    toks = ["http", "https", "s3a", "HTTP", ":", "//", "/", "///", "?", "#", ";", "@", "[", "]", "a", "B",
+            "1", ".", "-", "+", " ", "\t", "\x01", "%20", "x:y", "e.com", "::"]
+    urls = sorted({"".join(rnd.choice(toks) for _ in range(rnd.randint(1, 10))) for _ in range(4000)})
+    df = spark.createDataFrame([(u,) for u in urls], "u string")
+    got = {r["u"]: (r["a"], r["k"]) for r in df.select("u", url_authority("u").alias("a"),
+                                                            url_key("u").alias("k")).collect()}
+    checked = 0
+    for u in urls:
+        try:
+            p = urlparse(u)
+        except ValueError:  # Python rejects malformed bracketed hosts; we return the split as written
+            continue
+        assert got[u] == (p.netloc, p.path.lstrip("/")), repr(u)
+        checked += 1
+    assert checked > 3000
