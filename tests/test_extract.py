@@ -67,7 +67,7 @@ _TOKENS = [
     "https://", "http://", "HTTP://", '"url"', '"URL"', ":", " : ", '"', "'", "(", ")", "[", "]", "{", "}",
     " ", "\u00a0", "\u001c", "\u001f", "\u3000", "\u2028", "\t", "\u0085", ",", ".", "a", "Z9", "/",
     "e.com", ".json", ".csv", ".gz", ".json.gz", "in-network", "IN-Network", "allowed-amount", "?x=1",
-    "\\", "é", "漢",
+    "\\", "é", "漢", "\U0001F600", "\U00010348", "\x00", "\u200b", "\ufeff",
 ]
 
 
