@@ -71,8 +71,22 @@ _TOKENS = [
 ]
 
 
+_SOUP = st.lists(st.sampled_from(_TOKENS), max_size=14).map("".join)
+# URL-shaped lines (bare or keyed starts, random tails) mixed with free soup.
+_LINE = st.one_of(
+    _SOUP,
+    st.tuples(
+        st.sampled_from(["", "x ", '{"url": "', '"url":"', '{"URL": "', '"url" :\u3000"', "'"]),
+        st.sampled_from(["https://", "http://", "HTTPS://", "https:/", "https://e.com/"]),
+        _SOUP,
+        st.sampled_from(['"', "", '"}', " ", '"},{"url": "https://b/', "\u00a0"]),
+        _SOUP,
+    ).map("".join),
+)
+
+
 @settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(st.lists(st.lists(st.sampled_from(_TOKENS), max_size=14).map("".join), min_size=1, max_size=60))
+@given(st.lists(_LINE, min_size=20, max_size=80))
 def test_random_lines_match_python_statement(spark, lines):
     df = _lines_df(spark, lines)
     got = sorted(tuple(r) for r in classified_refs(df)
