@@ -26,8 +26,9 @@ def _final_plan(df) -> str:
     return text.split("== Initial Plan ==")[0]
 
 
-@pytest.mark.parametrize("name", ["file_refs", "batch_assign", "run_result", "sample_20",
-                                  "network_counts", "url_parts", "scan_lines"])
+@pytest.mark.parametrize("name", ["file_refs", "page_refs", "batch_assign", "batch_counts", "run_result",
+                                  "sample_20", "max_records_large", "network_counts", "reconcile", "url_parts",
+                                  "format_hms", "scan_lines", "scan_text_lines", "gen_index_lines"])
 def test_no_python_in_plans(spark, name):
     plan = _plan(E.queries()[name](spark, SF_MID))
     assert not any(node in plan for node in PYTHON_NODES), plan
