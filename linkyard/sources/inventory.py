@@ -23,25 +23,32 @@ def file_inventory(spark: SparkSession, root: str, limit: int | None = None) ->
     return listing
 
 
-def _path_exists(spark: SparkSession, path: str) -> bool:
-    """One file-system metadata call (any Hadoop scheme), no job."""
+def _fs_status(spark: SparkSession, path: str):
+    """(exists, is_file) by one file-system metadata call (any Hadoop scheme), no job."""
     jvm = spark.sparkContext._jvm
     hpath = jvm.org.apache.hadoop.fs.Path(path)
-    return bool(hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hpath))
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(hpath):
+        return False, False
+    return True, bool(fs.getFileStatus(hpath).isFile())
 
 
 def object_exists(spark: SparkSession, root: str, path: str | None = None) -> bool:
-    """S6: does ``root`` hold any file (or the file ``path``)?  Missing root -> False."""
-    if not _path_exists(spark, root):
+    """S6: does ``root`` hold any file?  With ``path``: is ``path`` a file
+    (the one-object probe)?  A missing root or object is False."""
+    if path is not None:
+        return _fs_status(spark, path)[1]
+    exists, is_file = _fs_status(spark, root)
+    if not exists:
         return False
+    if is_file:
+        return True
     try:
         listing = file_inventory(spark, root)
     except AnalysisException as err:  # removed between the probe and the listing
         if (err.getCondition() or "") == "PATH_NOT_FOUND":
             return False
         raise
-    if path is not None:
-        listing = listing.where(F.col("path") == path)
     return len(listing.select("path").take(1)) > 0
 
 

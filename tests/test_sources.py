@@ -82,6 +82,9 @@ def test_inventory_exists_and_raw_landing(spark, workdir):
     assert object_exists(spark, f"{workdir}/land")
     assert not object_exists(spark, f"{workdir}/nothing-here")
     assert not object_exists(spark, f"{workdir}/land", "file:/no/such/file")
+    assert object_exists(spark, f"{workdir}/land", f"{workdir}/land/x/a.txt")  # plain path form
+    assert object_exists(spark, f"{workdir}/land", f"file://{workdir}/land/b.txt.gz")
+    assert not object_exists(spark, f"{workdir}/land", f"{workdir}/land/x")  # a folder is not an object
     raw = land_raw(spark, f"{workdir}/land", f"{workdir}/raw")
     assert raw.columns == ["source_path", "source_size", "source_mtime", "value"]
     assert sorted(r["value"] for r in raw.collect()) == ["one", "three", "two"]
