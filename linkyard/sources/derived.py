@@ -100,7 +100,8 @@ def write_index_files(lines: DataFrame, path: str, compression: str | None = "gz
     """Write ``lines`` as text files in ``line_no`` order (part files follow the order).
 
     The range-partitioned sort keeps part-file names in line order, so reading
-    the folder back by path order gives the lines back in order.
+    the folder back by path order gives the lines back in order (part numbers
+    have five digits, so this holds up to 100 000 part files).
     """
     writer = lines.orderBy("line_no").select("value").write.mode("errorifexists")
     writer.option("compression", compression or "none").text(path)
