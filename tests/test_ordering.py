@@ -130,3 +130,17 @@ def test_hot_file_and_hot_line(spark, workdir):
                 want.append((name, n, p, idx, idx // 777 + 1))
                 idx += 1
     assert got == sorted(want)
+
+
+def test_cap_switches_to_index_beyond_merge_budget(spark, monkeypatch):
+    import linkyard.operators.ordering as ordering
+
+    lines = _lines_df(spark, [f"https://a/{i} https://b/{i}" for i in range(3000)])
+    top_k_plan = ordering.cap_records(lines, 100)._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrderedAndProject" in top_k_plan
+    monkeypatch.setattr(ordering, "TOP_K_MERGE_BUDGET", 10)
+    capped = ordering.cap_records(lines, 100)
+    plan = capped._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrderedAndProject" not in plan
+    got = sorted((r["line_no"], r["pos"]) for r in capped.collect())
+    assert got == [(i, p) for i in range(50) for p in range(2)]

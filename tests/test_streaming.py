@@ -79,3 +79,16 @@ def test_progress_recorder_keeps_every_batch(spark, workdir):
     rows = [r for r in rec.for_query(q) if r["input_rows"] > 0]
     assert len(rows) == 5 and sum(r["refs"] for r in rows) == 198  # lines 0-99: header + 99 URL lines x 2
     assert all(r["batch_id"] % 2 == 0 for r in rec.reports)
+
+
+def test_stream_caps_rows_per_file(spark, workdir):
+    import os
+
+    src = f"{workdir}/src4"
+    write_text(f"{src}/a.json.gz", x1_lines(), gz=True)
+    sink = f"{workdir}/sink4"
+    q = stream_file_refs(spark, src, sink, f"{workdir}/ckpt4", "E", "payer", *TS, max_records_per_file=30)
+    q.awaitTermination()
+    part = f"{sink}/file_date=2025-05-01"
+    files = [f for f in os.listdir(part) if f.endswith(".parquet")]
+    assert len(files) >= 200 // 30 and spark.read.parquet(sink).count() == 200
