@@ -30,7 +30,7 @@ from linkyard.session import scratch_path, unique_table_name
 from linkyard.sinks import ensure_table, table_exists, table_rows, write_refs
 from linkyard.sources import (
     file_inventory, generate_index_lines, land_raw, object_exists, order_lines, page_lines, read_lines,
-    write_index_files,
+    read_lines_raw, write_index_files,
 )
 from linkyard.operators.ordering import with_ordinal
 from linkyard.plans import ExtractionConfig, run_extraction
@@ -97,6 +97,15 @@ def q_scan_text_lines(spark, sf_dir):
     return numbered.select(F.col("global_line_no").alias("line_no"), "value")
 
 
+def q_one_line_index_refs(spark, sf_dir):
+    """S1 with ``line_sep``: each written file is one long line of JSON
+    objects; reading it with ``line_sep="},"`` cuts it back into objects."""
+    path = scratch_path(spark, "index-one-line")
+    (_lines(spark, sf_dir).select("value").write.option("lineSep", " ")
+     .option("compression", "gzip").text(path))
+    return file_refs(read_lines_raw(spark, path, line_sep="},"), ENTITY, ENTITY_TYPE, AS_OF, _instant(AS_OF_TS))
+
+
 def q_gen_index_lines(spark, sf_dir):
     return generate_index_lines(_t(spark, sf_dir, "orders"), "o_orderkey", ENTITY, ENTITY_TYPE)
 
@@ -326,6 +335,7 @@ def entry(spark: SparkSession) -> DataFrame:
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scan_lines": q_scan_lines,
     "scan_text_lines": q_scan_text_lines,
+    "one_line_index_refs": q_one_line_index_refs,
     "gen_index_lines": q_gen_index_lines,
     "extract_bare": q_extract_bare,
     "extract_keyed": q_extract_keyed,
@@ -513,6 +523,7 @@ FORMAT_HMS = (
 _ORACLE: dict[str, str] = {
     "scan_lines": GEN,
     "scan_text_lines": GEN,
+    "one_line_index_refs": FILE_REFS,
     "gen_index_lines": GEN,
     "extract_bare": _refs(_BARE),
     "extract_keyed": _refs(_KEYED),
