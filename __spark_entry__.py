@@ -33,7 +33,7 @@ from linkyard.sources import (
     read_lines_raw, write_index_files,
 )
 from linkyard.operators.ordering import with_ordinal
-from linkyard.plans import ExtractionConfig, run_extraction
+from linkyard.plans import ExtractionConfig, extract_index_file, run_extraction
 from linkyard.streaming import progress_rows, stream_file_refs
 
 # Fixed values of the checked runs.
@@ -251,6 +251,16 @@ def q_run_result(spark, sf_dir):
     return _job(spark, sf_dir)[0].result
 
 
+def q_index_file_job(spark, sf_dir):
+    """The whole job over gzip index files written in key order: numbered
+    scan, cached references, observed write, checkpointed sample."""
+    path = write_index_files(_lines(spark, sf_dir), scratch_path(spark, "index-job"))
+    cfg = ExtractionConfig(table=unique_table_name("filejob"), entity_name=ENTITY, entity_type=ENTITY_TYPE,
+                           batch_size=BATCH_SIZE, location=scratch_path(spark, "table-filejob"),
+                           as_of=AS_OF, as_of_ts=_instant(AS_OF_TS))
+    return extract_index_file(spark, path, cfg).result
+
+
 def q_summary_report(spark, sf_dir):
     job, _ = _job(spark, sf_dir)
     return summary_lines(job.result, "file_refs", BATCH_SIZE, job.batch_count, AS_OF_TS)
@@ -362,6 +372,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "reconcile": q_reconcile,
     "summary_report": q_summary_report,
     "run_result": q_run_result,
+    "index_file_job": q_index_file_job,
     "stream_file_refs": q_stream_file_refs,
     "url_parts": q_url_parts,
     "format_hms": q_format_hms,
@@ -555,6 +566,7 @@ _ORACLE: dict[str, str] = {
                   f"CAST(0 AS BIGINT) AS lost FROM ({CLASSIFIED}) c"),
     "summary_report": SUMMARY,
     "run_result": RUN_RESULT,
+    "index_file_job": RUN_RESULT,
     "stream_file_refs": FILE_REFS,
     "stream_progress": (
         f"SELECT (SELECT CAST(count(*) AS BIGINT) FROM orders) AS input_rows, c.total_file_refs_identified AS refs, "
