@@ -112,3 +112,15 @@ def test_gzip_files_number_in_one_pass(spark, workdir):
     got = {(os.path.basename(r["file_path"]), r["line_no"]): r["value"] for r in df.collect()}
     want = {(name, i): v for name, lines in contents.items() for i, v in enumerate(lines)}
     assert got == want
+
+
+def test_gzip_one_pass_with_crlf_and_empty_lines(spark, workdir):
+    lines = ["first https://a/1", "", "third\u001cstill third", "https://b/2.csv"]
+    write_text(f"{workdir}/crlfgz/a.txt.gz", lines, gz=True, eol="\r\n")
+    write_text(f"{workdir}/crlfgz/b.txt.gz", lines[::-1], gz=True)
+    df = read_lines(spark, f"{workdir}/crlfgz")
+    assert "_lk_split" not in df._jdf.queryExecution().executedPlan().toString()
+    got = sorted((os.path.basename(r["file_path"]), r["line_no"], r["value"]) for r in df.collect())
+    want = sorted([("a.txt.gz", i, v) for i, v in enumerate(lines)] +
+                  [("b.txt.gz", i, v) for i, v in enumerate(lines[::-1])])
+    assert got == want
