@@ -262,8 +262,9 @@ def q_index_file_job(spark, sf_dir):
 
 
 def q_summary_report(spark, sf_dir):
+    """K7: the summary lists the counters and the 20-URL sample."""
     job, _ = _job(spark, sf_dir)
-    return summary_lines(job.result, "file_refs", BATCH_SIZE, job.batch_count, AS_OF_TS)
+    return summary_lines(job.report, "file_refs", BATCH_SIZE, job.batch_count, AS_OF_TS)
 
 
 def _stream_source(spark, sf_dir):
@@ -485,11 +486,15 @@ PER_DATE_NET = (
     "GROUP BY file_date, file_network"
 )
 
-RUN_RESULT = (
-    "SELECT c.total_file_refs_identified, c.total_file_refs_identified AS total_records_written, "
-    "c.in_network_count, c.allowed_amount_count, c.other_count, s.sample_urls FROM "
-    f"({COUNTERS}) c, (SELECT list(file_url ORDER BY sample_rank) AS sample_urls FROM ({_sample(15)}) x) s"
-)
+def _result_sql(n: int) -> str:
+    return (
+        "SELECT c.total_file_refs_identified, c.total_file_refs_identified AS total_records_written, "
+        "c.in_network_count, c.allowed_amount_count, c.other_count, s.sample_urls FROM "
+        f"({COUNTERS}) c, (SELECT list(file_url ORDER BY sample_rank) AS sample_urls FROM ({_sample(n)}) x) s"
+    )
+
+
+RUN_RESULT = _result_sql(15)
 
 _SUMMARY_HEAD = [
     "'File reference extraction summary'",
@@ -506,7 +511,7 @@ _SUMMARY_HEAD = [
     "'Sample URLs: ' || CAST(len(sample_urls) AS VARCHAR)",
 ]
 SUMMARY = (
-    f"WITH r AS ({RUN_RESULT}), lines AS (SELECT list_concat([{', '.join(_SUMMARY_HEAD)}], "
+    f"WITH r AS ({_result_sql(20)}), lines AS (SELECT list_concat([{', '.join(_SUMMARY_HEAD)}], "
     "list_transform(sample_urls, lambda u: '- ' || u)) AS arr FROM r) "
     "SELECT CAST(p AS INTEGER) AS line_no, arr[p + 1] AS text FROM lines, unnest(range(len(arr))) AS t(p)"
 )

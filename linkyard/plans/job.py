@@ -50,13 +50,14 @@ class ExtractionConfig:
 
 @dataclass
 class ExtractionRun:
-    result: DataFrame
-    sample: DataFrame
+    result: DataFrame   # K8: counters + the first 15 URLs
+    sample: DataFrame   # L1: the first 20 references, ranked
+    report: DataFrame   # counters + all 20 sample URLs (what the summary lists)
     counters: dict = field(default_factory=dict)
     batch_count: int = 0
 
     def summary(self, cfg: ExtractionConfig, completed_at: str) -> DataFrame:
-        return summary_lines(self.result, cfg.table, cfg.batch_size, self.batch_count, completed_at)
+        return summary_lines(self.report, cfg.table, cfg.batch_size, self.batch_count, completed_at)
 
 
 def run_extraction(spark: SparkSession, lines: DataFrame, cfg: ExtractionConfig,
@@ -107,8 +108,9 @@ def run_extraction(spark: SparkSession, lines: DataFrame, cfg: ExtractionConfig,
     counters["total_file_refs_identified"] = identified
     batch_count = -(-identified // cfg.batch_size) if identified else 0
 
-    first = sample.where(F.col("sample_rank") <= RESULT_SAMPLE_SIZE)
-    result = first.agg(F.sort_array(F.collect_list(F.struct("sample_rank", "file_url"))).alias("_s")).select(
+    # One report row: the counters and all SAMPLE_SIZE sample URLs (the
+    # summary lists them); the run result keeps the first RESULT_SAMPLE_SIZE.
+    report = sample.agg(F.sort_array(F.collect_list(F.struct("sample_rank", "file_url"))).alias("_s")).select(
         F.lit(identified).cast("long").alias("total_file_refs_identified"),
         F.lit(counters["written"]).cast("long").alias("total_records_written"),
         F.lit(counters["in_network_count"]).cast("long").alias("in_network_count"),
@@ -116,7 +118,8 @@ def run_extraction(spark: SparkSession, lines: DataFrame, cfg: ExtractionConfig,
         F.lit(counters["other_count"]).cast("long").alias("other_count"),
         F.transform("_s", lambda s: s["file_url"]).alias("sample_urls"),
     )
-    return ExtractionRun(result=result, sample=sample, counters=counters, batch_count=batch_count)
+    result = report.withColumn("sample_urls", F.slice("sample_urls", 1, RESULT_SAMPLE_SIZE))
+    return ExtractionRun(result=result, sample=sample, report=report, counters=counters, batch_count=batch_count)
 
 
 def extract_index_file(spark: SparkSession, index_path: str, cfg: ExtractionConfig,
