@@ -34,6 +34,8 @@ MAX_BUCKET_WIDTH = 1 << 20
 FILE_BUCKET_WIDTH = 1 << 16
 # Buckets of one level per bucket of the next level up.
 FANOUT = 1 << 16
+# Widths stay inside a long (very sparse keys can ask for more).
+MAX_WIDTH = 1 << 62
 # A bucket table up to this size gets its running sum in one task.
 TOP_LEVEL_ROWS = 1 << 16
 # Small ``n`` goes to Spark's top-k operator; larger caps use the index.
@@ -80,7 +82,7 @@ def _prefix_level(df: DataFrame, grp: list[str], num: str, w: Column, out: str,
         # bucket's last key, so both consumers of the upper exchange read the
         # same columns (one exchange, reused) and the totals are built once.
         upper = _prefix_level(totals.select(*grp, total, last), grp, last, F.col(total), base,
-                              low, width * fanout, level + 1, levels, fanout)
+                              low, min(width * fanout, MAX_WIDTH), level + 1, levels, fanout)
         bases = upper.select(*grp, F.expr(f"(`{last}` - {low}) div {width}").alias(bkt), base)
     else:
         before_bucket = Window.orderBy(*grp, last).rowsBetween(Window.unboundedPreceding, -1)
@@ -108,8 +110,9 @@ def exclusive_prefix_sum(
     """Add ``out`` = sum of ``weight`` over all rows strictly before each row.
 
     ``order_cols``: leading group columns (ordered as strings/values), then
-    one integer column unique within the group (e.g. ``file_path, line_no``).
-    ``weight`` is a column name or an expression over ``df``'s columns.
+    one integer column unique within the group (e.g. ``file_path, line_no``)
+    whose values span less than 2**63.  ``weight`` is a column name or an
+    expression over ``df``'s columns.
 
     Rows go into key-range buckets of ``width`` keys; bucket bases come from
     the same procedure one level up (``FANOUT`` buckets a bucket) until the

@@ -144,3 +144,16 @@ def test_cap_switches_to_index_beyond_merge_budget(spark, monkeypatch):
     assert "TakeOrderedAndProject" not in plan
     got = sorted((r["line_no"], r["pos"]) for r in capped.collect())
     assert got == [(i, p) for i in range(50) for p in range(2)]
+
+
+def test_prefix_sum_over_very_sparse_keys(spark):
+    rnd = random.Random(5)
+    keys = sorted({rnd.randrange(-(2**62), 2**62) for _ in range(2000)})
+    rows = [(k, rnd.randint(0, 5)) for k in keys]
+    df = spark.createDataFrame(rows, "k long, w long")
+    got = {r["k"]: r["s"] for r in exclusive_prefix_sum(df, ["k"], "w", "s").collect()}
+    run, want = 0, {}
+    for k, w in rows:
+        want[k] = run
+        run += w
+    assert got == want
