@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
@@ -74,6 +75,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_suffix_automaton": op8_suffix_automaton,
     "op9_katz": op9_katz,
     "op10_restored_toxicity": op10_restored_toxicity,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLES: dict[str, str] = {"op2_curriculum_mix": MIX_SQL}
