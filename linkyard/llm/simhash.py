@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .components import components
+from .components import components, forest_batches
 from .ship import ship, stored
 
 SEED = 42
@@ -191,13 +191,8 @@ def near_links(distinct: DataFrame, radius: int = 4, tile: int = TILE) -> DataFr
     pairs = left.join(tiles, "cell").filter((F.col("cell0") != F.col("cell")) | (F.col("tile0") <= F.col("tile")))
 
     def compare(batches):
-        for batch in batches:
-            us, vs = [], []
-            for same, x, y in zip(*(c.to_pylist() for c in batch.columns)):
-                found = tile_links(np.frombuffer(x, "<i8"), None if same else np.frombuffer(y, "<i8"), radius)
-                us += [u for u, _ in found]
-                vs += [v for _, v in found]
-            yield pa.RecordBatch.from_arrays([pa.array(us, pa.int64()), pa.array(vs, pa.int64())], names=["u", "v"])
+        return forest_batches(tile_links(np.frombuffer(x, "<i8"), None if same else np.frombuffer(y, "<i8"), radius)
+                              for batch in batches for same, x, y in zip(*(c.to_pylist() for c in batch.columns)))
 
     return pairs.select((F.col("tile0") == F.col("tile")).alias("same"), "fps0", "fps").mapInArrow(compare, "u long, v long")
 

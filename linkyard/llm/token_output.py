@@ -121,7 +121,7 @@ class PieceEncoder:
     and goes straight to the library's model; any other goes through all of it.
     """
 
-    def __init__(self, tokenizer_path: str, keep: int = 500_000):
+    def __init__(self, tokenizer_path: str, keep: int = 200_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -133,7 +133,7 @@ class PieceEncoder:
         self.code = "H" if self.width.itemsize == 2 else "I"
 
     @classmethod
-    def shared(cls, tokenizer_path: str, keep: int = 500_000) -> "PieceEncoder":
+    def shared(cls, tokenizer_path: str, keep: int = 200_000) -> "PieceEncoder":
         """One per worker process, so that later tasks find the pieces of earlier ones."""
         key = (tokenizer_path, keep)
         if key not in _ENCODERS:
@@ -290,32 +290,19 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int =
         .coalesce(1).write.parquet(f"{path}/directory")
 
 
-def _records(rows) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [pa.array(c, t) for c, t in zip(zip(*rows) if rows else [[]] * 4, (pa.int64(), pa.int64(), pa.int64(), pa.binary()))],
-        names=["key", "start", "n_ids", "ids"])
+PLACE = "key long, shard int, part int, row int, start long, n_ids long"
 
 
-def _shard_ids(keys: np.ndarray, mph: bytes, slots: bytes, bounds: bytes, payload: bytes, width: int, before: int):
-    """``(key, start, n, ids bytes)`` of each row of each of ``keys`` that the shard has."""
-    table, edge = np.frombuffer(slots, SLOT), np.frombuffer(bounds, "<i8")
-    at = Mph(mph).slots(keys)
-    ok = at >= 0
-    ok[ok] = table["fingerprint"][at[ok]] == fingerprint(keys)[ok]
-    for k, slot in zip(keys[ok].tolist(), at[ok].tolist()):
-        row = int(table["row"][slot])
-        for r in range(row, row + int(table["rows"][slot])):
-            yield k, before + int(edge[r]), int(edge[r + 1] - edge[r]), payload[edge[r] * width: edge[r + 1] * width]
+def locate_tokens(spark: SparkSession, path: str, keys: DataFrame, key: str = "doc_id") -> DataFrame:
+    """Keyed access to the index: ``PLACE`` of every stored row whose key is in ``keys``.
 
-
-def lookup_tokens(spark: SparkSession, path: str, keys: DataFrame, key: str = "doc_id") -> DataFrame:
-    """Keyed access: ``(key, start, n_ids, ids)`` for every stored row whose key is in
-    ``keys``.  The directory (one row per shard of some MB) maps a key to its shards;
-    within the shard the perfect hash and the fingerprint find the row."""
+    The directory (one row per shard of some MB) maps a key to its shards; within the shard the perfect
+    hash and the fingerprint find the row.  No id payload is read.
+    """
     ship(spark)
-    # The directory's key ranges cut the key line into slices; each key meets the shards of its slice.
-    directory = spark.read.parquet(f"{path}/directory").orderBy("shard", "part")
-    ends = np.unique(np.array([r[0] for r in directory.select("last_key").collect()], np.int64))
+    directory = spark.read.parquet(f"{path}/directory").orderBy("shard", "part").collect()
+    # The shards' last keys cut the key line into slices; a shard meets the keys of its slices.
+    ends = np.unique(np.array([r["last_key"] for r in directory], np.int64))
 
     def slice_of(batches):
         for b in batches:
@@ -325,39 +312,75 @@ def lookup_tokens(spark: SparkSession, path: str, keys: DataFrame, key: str = "d
     asked = (keys.select(F.coalesce(F.col(key).cast("long"), F.lit(NULL_KEY)).alias("key")).distinct()
              .mapInArrow(slice_of, "slice long, key long"))
     spans = [(int(r["shard"]), int(r["part"]), int(r["ids_before"]), int(np.searchsorted(ends, r["first_key"], "left")),
-              int(np.searchsorted(ends, r["last_key"], "left"))) for r in directory.collect()]
+              int(np.searchsorted(ends, r["last_key"], "left"))) for r in directory]
     heads = spark.createDataFrame(spans, "shard int, part int, ids_before long, lo long, hi long")
-    shards = spark.read.parquet(f"{path}/shards").join(heads, ["shard", "part"]) \
-        .withColumn("slice", F.explode(F.sequence("lo", "hi"))) \
-        .select("slice", "width", "payload", "bounds", "mph", "slots", "ids_before")
+    index = spark.read.parquet(f"{path}/shards").select("shard", "part", "mph", "slots", "bounds").join(heads, ["shard", "part"]) \
+        .withColumn("slice", F.explode(F.sequence("lo", "hi"))).drop("lo", "hi")
     packed = asked.groupBy("slice").agg(F.collect_list("key").alias("keys"))  # at most the keys of one shard
 
     def find_rows(batches):
         for b in batches:
+            out = []
             for r in b.to_pylist():
-                yield _records(list(_shard_ids(np.array(r["keys"], np.int64), r["mph"], r["slots"], r["bounds"], r["payload"],
-                                               r["width"], r["ids_before"])))
+                table, edge, wanted = np.frombuffer(r["slots"], SLOT), np.frombuffer(r["bounds"], "<i8"), np.array(r["keys"], np.int64)
+                at = Mph(r["mph"]).slots(wanted)
+                ok = at >= 0
+                ok[ok] = table["fingerprint"][at[ok]] == fingerprint(wanted)[ok]
+                first, rows = table["row"][at[ok]].astype(np.int64), table["rows"][at[ok]].astype(np.int64)
+                row = np.repeat(first, rows) + np.arange(rows.sum()) - np.repeat(np.cumsum(rows) - rows, rows)
+                n = len(row)
+                out.append([np.repeat(wanted[ok], rows), np.full(n, r["shard"]), np.full(n, r["part"]), row,
+                            r["ids_before"] + edge[row], edge[row + 1] - edge[row]])
+            cols = [np.concatenate(c) for c in zip(*out)] if out else [np.empty(0, np.int64)] * 6
+            yield pa.RecordBatch.from_arrays([pa.array(c.astype(t)) for c, t in zip(cols, ("i8", "i4", "i4", "i4", "i8", "i8"))],
+                                             names=["key", "shard", "part", "row", "start", "n_ids"])
 
-    out = shards.join(packed, "slice").select("keys", "width", "payload", "bounds", "mph", "slots", "ids_before") \
-        .mapInArrow(find_rows, "key long, start long, n_ids long, ids binary")
-    return out.withColumn("key", F.when(F.col("key") != NULL_KEY, F.col("key")))
+    return index.join(packed, "slice").select("shard", "part", "mph", "slots", "bounds", "ids_before", "keys").mapInArrow(find_rows, PLACE)
 
 
-DIGEST = "doc_id long, start long, n_tokens long, ids_crc32 long"
+def _null_key(df: DataFrame) -> DataFrame:
+    return df.withColumn("key", F.when(F.col("key") != NULL_KEY, F.col("key")))
 
 
-def token_digests(spark: SparkSession, path: str, keys: DataFrame, key: str = "doc_id") -> DataFrame:
-    """Per stored row, from the files by key: ids before it, number of ids, CRC-32 of its ids as 32-bit integers."""
-    widths = [r[0] for r in spark.read.parquet(f"{path}/shards").select("width").distinct().limit(2).collect()]
-    dtype = np.dtype(f"<u{widths[0]}") if widths else np.dtype("<u2")
+def lookup_tokens(spark: SparkSession, path: str, keys: DataFrame, key: str = "doc_id") -> DataFrame:
+    """``(key, start, n_ids, ids)`` for every stored row whose key is in ``keys``: ids as written, little-endian."""
+    places = locate_tokens(spark, path, keys, key).groupBy("shard", "part").agg(  # at most the rows of one shard
+        F.collect_list(F.struct("key", "row", "start", "n_ids")).alias("rows"))
+    shards = spark.read.parquet(f"{path}/shards").select("shard", "part", "width", "payload", "bounds")
+
+    def cut(batches):
+        for b in batches:
+            for r in b.to_pylist():
+                edge, w = np.frombuffer(r["bounds"], "<i8"), r["width"]
+                rows = r["rows"]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([x["key"] for x in rows], pa.int64()), pa.array([x["start"] for x in rows], pa.int64()),
+                     pa.array([x["n_ids"] for x in rows], pa.int64()),
+                     pa.array([r["payload"][edge[x["row"]] * w: edge[x["row"] + 1] * w] for x in rows], pa.binary())],
+                    names=["key", "start", "n_ids", "ids"])
+
+    found = shards.join(places, ["shard", "part"]).select("width", "payload", "bounds", "rows")
+    return _null_key(found.mapInArrow(cut, "key long, start long, n_ids long, ids binary"))
+
 
-    def digest(batches):
+def token_digests(spark: SparkSession, path: str, keys: DataFrame, key: str = "doc_id") -> DataFrame:
+    """Per stored row, from the files by key: ids before it, number of ids, CRC-32 of its ids as 32-bit
+    integers.  The payload is read once where it lies; only checksums meet the index."""
+    def checksums(batches):
         for b in batches:
-            crc = [zlib.crc32(np.frombuffer(x, dtype).astype("<u4").tobytes()) for x in b.column(3).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(crc, pa.int64())],
-                                             names=["doc_id", "start", "n_tokens", "ids_crc32"])
+            for r in b.to_pylist():
+                ids = np.frombuffer(r["payload"], f"<u{r['width']}")
+                edge = np.frombuffer(r["bounds"], "<i8").tolist()
+                crc = [zlib.crc32(ids[x:y].astype("<u4").tobytes()) for x, y in zip(edge[:-1], edge[1:])]
+                n = len(crc)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(n, r["shard"], "i4")), pa.array(np.full(n, r["part"], "i4")), pa.array(np.arange(n, dtype="i4")),
+                     pa.array(crc, pa.int64())], names=["shard", "part", "row", "ids_crc32"])
 
-    return lookup_tokens(spark, path, keys, key).mapInArrow(digest, DIGEST)
+    sums = spark.read.parquet(f"{path}/shards").select("shard", "part", "width", "payload", "bounds").mapInArrow(
+        checksums, "shard int, part int, row int, ids_crc32 long")
+    found = locate_tokens(spark, path, keys, key).join(sums, ["shard", "part", "row"])
+    return _null_key(found).select(F.col("key").alias("doc_id"), "start", F.col("n_ids").alias("n_tokens"), "ids_crc32")
 
 
 def encode_and_read(docs: DataFrame, tokenizer_path: str, end_id: int = 2) -> DataFrame:
