@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from linkyard.functions.patterns import BARE_URL_RE2, KEYED_URL_RE2
 from linkyard.functions.urls import url_authority, url_key, format_hms
 from linkyard.operators import (
-    assign_batches, batch_counts, cap_records, classified_refs, extract_refs, file_refs, filter_http,
+    assign_batches, batch_counts, cap_records, classified_refs, detailed_lines, extract_refs, file_refs, filter_http,
     reconcile, ref_counters, refs_by_network, sample_urls, summary_lines,
 )
 from linkyard.schema import FILE_REFS_COLUMNS, FILE_REFS_SCHEMA
@@ -30,11 +30,11 @@ from linkyard.session import scratch_path, unique_table_name
 from linkyard.sinks import ensure_table, table_exists, table_rows, write_refs
 from linkyard.sources import (
     file_inventory, generate_index_lines, land_raw, object_exists, order_lines, page_lines, read_lines,
-    read_lines_raw, write_index_files,
+    read_lines_raw, varied_order_lines, write_index_files,
 )
 from linkyard.operators.ordering import with_ordinal
 from linkyard.plans import ExtractionConfig, extract_index_file, run_extraction
-from linkyard.streaming import progress_rows, stream_file_refs
+from linkyard.streaming import progress_rows, stream_file_refs, stream_into_table
 
 # Fixed values of the checked runs.
 ENTITY = "Example Health Plan"
@@ -61,6 +61,11 @@ def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order_lines(_t(spark, sf_dir, "orders"))
 
 
+def _varied(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines with 0 to 5 references each: the hard part of the global index."""
+    return varied_order_lines(_t(spark, sf_dir, "orders"))
+
+
 def _classified(spark, sf_dir):
     return classified_refs(_lines(spark, sf_dir))
 
@@ -165,15 +170,15 @@ def q_sample_15(spark, sf_dir):
 
 
 def q_max_records(spark, sf_dir):
-    return cap_records(_lines(spark, sf_dir), SMALL_CAP)
+    return cap_records(_varied(spark, sf_dir), SMALL_CAP)
 
 
 def q_max_records_large(spark, sf_dir):
-    return cap_records(_lines(spark, sf_dir), LARGE_CAP)
+    return cap_records(_varied(spark, sf_dir), LARGE_CAP)
 
 
 def q_batch_assign(spark, sf_dir):
-    return assign_batches(_lines(spark, sf_dir), BATCH_SIZE)
+    return assign_batches(_varied(spark, sf_dir), BATCH_SIZE)
 
 
 def q_batch_counts(spark, sf_dir):
@@ -252,9 +257,9 @@ def q_run_result(spark, sf_dir):
 
 
 def q_index_file_job(spark, sf_dir):
-    """The whole job over gzip index files written in key order: numbered
-    scan, cached references, observed write, checkpointed sample."""
-    path = write_index_files(_lines(spark, sf_dir), scratch_path(spark, "index-job"))
+    """The whole job over gzip index files written in key order: one uncached
+    observed write, the sample from the first lines."""
+    path = write_index_files(_varied(spark, sf_dir), scratch_path(spark, "index-job"))
     cfg = ExtractionConfig(table=unique_table_name("filejob"), entity_name=ENTITY, entity_type=ENTITY_TYPE,
                            batch_size=BATCH_SIZE, location=scratch_path(spark, "table-filejob"),
                            as_of=AS_OF, as_of_ts=_instant(AS_OF_TS))
@@ -267,6 +272,22 @@ def q_summary_report(spark, sf_dir):
     return summary_lines(job.report, "file_refs", BATCH_SIZE, job.batch_count, AS_OF_TS)
 
 
+def q_detailed_report(spark, sf_dir):
+    """K7: the second report, with place, shares and columns."""
+    job, _ = _job(spark, sf_dir)
+    return detailed_lines(job.report, "file_refs", AS_OF_TS)
+
+
+def q_replace_date_empty(spark, sf_dir):
+    """K6: a replacing run without references leaves its date empty and keeps the others."""
+    t = _fresh_table(spark, "replace_empty")
+    write_refs(_refs10(spark, sf_dir, EARLIER_DATE, EARLIER_TS), t, "append")
+    write_refs(_refs10(spark, sf_dir), t, "append")
+    none = _refs10(spark, sf_dir).where(F.col("file_url").isNull())
+    write_refs(none, t, "replace_date", run_date=AS_OF)
+    return _per_date_net(spark, t)
+
+
 def _stream_source(spark, sf_dir):
     """The derived index as gzip text files, one per partition of the lines
     (so the number of files grows with the table), and a micro-batch size
@@ -301,6 +322,26 @@ def q_stream_progress(spark, sf_dir):
                            ("input_rows", "refs", "in_network_count", "allowed_amount_count", "other_count")])
 
 
+def q_stream_table_refs(spark, sf_dir):
+    """T1/T4 into a table, with the last batch replayed as after a crash between the
+    table's files and the end of the batch: its mark and Spark's commit entry are gone."""
+    src, per_batch = _stream_source(spark, sf_dir)
+    t, ckpt = _fresh_table(spark, "stream"), scratch_path(spark, "stream-table-ckpt")
+
+    def run():
+        stream_into_table(spark, src, t, ckpt, ENTITY, ENTITY_TYPE, AS_OF, _instant(AS_OF_TS),
+                          max_files_per_trigger=per_batch).awaitTermination()
+
+    run()
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = hpath(ckpt).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    last = max(int(f.getPath().getName()) for f in fs.globStatus(hpath(f"{ckpt}/commits/[0-9]*")))
+    fs.delete(hpath(f"{ckpt}/commits/{last}"), False)
+    fs.delete(hpath(f"{ckpt}/linkyard_batches_done/{last}"), True)
+    run()
+    return table_rows(spark, t)
+
+
 def q_url_parts(spark, sf_dir):
     pages = _t(spark, sf_dir, "pages")
     return pages.select("page_id", "url", url_authority("url").alias("authority"),
@@ -314,28 +355,52 @@ def q_format_hms(spark, sf_dir):
     return span.select("event_type", "elapsed_s", format_hms("elapsed_s").alias("hms"))
 
 
+def _text_index(spark, sf_dir, tag: str) -> str:
+    """The derived index as plain text: every line's bytes and one line feed."""
+    path = scratch_path(spark, tag)
+    _lines(spark, sf_dir).select("value").write.option("compression", "none").text(path)
+    return path
+
+
 def q_file_inventory(spark, sf_dir):
-    """S5 over the index files written from ``orders`` (files and bytes grow with it)."""
-    src, _ = _stream_source(spark, sf_dir)
-    return file_inventory(spark, src)
+    """S5 over an index written as plain text: the listed bytes are those of the lines."""
+    src = _text_index(spark, sf_dir, "inventory-src")
+    return file_inventory(spark, src).agg(
+        F.sum("length").cast("long").alias("total_bytes"), (F.count(F.lit(1)) > 0).alias("listed"))
 
 
 def q_object_exists(spark, sf_dir):
-    """S6: the written index folder exists, a missing one does not; its file count."""
-    src, _ = _stream_source(spark, sf_dir)
-    hit = object_exists(spark, src)
-    miss = object_exists(spark, src + "-missing")
-    return file_inventory(spark, src).agg(
-        F.lit(hit).alias("root_exists"), F.lit(miss).alias("missing_exists"),
-        F.count(F.lit(1)).cast("long").alias("n_files"))
+    """S6: the written index folder and its success mark exist, a missing folder does not."""
+    src = _text_index(spark, sf_dir, "exists-src")
+    hit, miss = object_exists(spark, src), object_exists(spark, src + "-missing")
+    mark = object_exists(spark, src, f"{src}/_SUCCESS")
+    return _t(spark, sf_dir, "orders").agg(
+        F.lit(hit).alias("root_exists"), F.lit(miss).alias("missing_exists"), F.lit(mark).alias("mark_exists"),
+        F.count(F.lit(1)).cast("long").alias("n_lines"))
 
 
 def q_land_raw(spark, sf_dir):
-    """S7: the landed lines equal the source lines, each with its provenance."""
-    src, _ = _stream_source(spark, sf_dir)
+    """S7: the source's files can be put together again from the zone: its lines in order, with provenance."""
+    src = write_index_files(_lines(spark, sf_dir), scratch_path(spark, "land-src"))
     zone = land_raw(spark, src, scratch_path(spark, "raw"))
-    return zone.select("value", (F.col("source_path").isNotNull() & (F.col("source_size") > 0)
-                                 & F.col("source_mtime").isNotNull()).alias("has_provenance"))
+    kept = zone.select(F.col("source_path").alias("file_path"), "line_no", "value", (
+        (F.col("source_size") > 0) & F.col("source_mtime").isNotNull()).alias("has_provenance"))
+    return with_ordinal(kept, ["file_path", "line_no"], "global_line_no").select(
+        F.col("global_line_no").alias("line_no"), "value", "has_provenance")
+
+
+def q_land_raw_emptied(spark, sf_dir):
+    """S7: files that have become empty, landed again, leave no old line behind."""
+    src, lines = scratch_path(spark, "land-emptied"), _lines(spark, sf_dir)
+    for odd in (0, 1):
+        lines.where(F.col("line_no") % 2 == odd).select("value").write.option("compression", "none").text(f"{src}/part{odd}")
+    raw = scratch_path(spark, "raw-emptied")
+    land_raw(spark, src, raw)
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = hpath(src).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for f in fs.globStatus(hpath(f"{src}/part1/part-*")):
+        fs.create(f.getPath(), True).close()
+    return land_raw(spark, src, raw).select("value")
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -380,6 +445,10 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "file_inventory": q_file_inventory,
     "object_exists": q_object_exists,
     "land_raw": q_land_raw,
+    "land_raw_emptied": q_land_raw_emptied,
+    "replace_date_empty": q_replace_date_empty,
+    "detailed_report": q_detailed_report,
+    "stream_table_refs": q_stream_table_refs,
     "stream_progress": q_stream_progress,
 }
 
@@ -413,26 +482,48 @@ LINES = (
     """CASE o_orderkey % 3 WHEN 0 THEN '.json.gz' WHEN 1 THEN '.json' ELSE '.csv' END || '"},' AS value """
     "FROM orders"
 )
+def _varied_url(i: int) -> str:
+    return (f"'https://example.com/' || CASE (o_orderkey + {i}) % 3 WHEN 0 THEN 'in-network/file' WHEN 1 THEN 'allowed-amount/file' "
+            f"ELSE 'other/file' END || CAST(o_orderkey AS VARCHAR) || '-{i}' || "
+            f"CASE (o_orderkey + {i}) % 3 WHEN 0 THEN '.json.gz' WHEN 1 THEN '.json' ELSE '.csv' END")
+
+
+def _varied_keyed(i: int) -> str:
+    return "'{\"url\": \"' || " + _varied_url(i) + " || '\"},'"
+
+
+VARIED = (
+    "SELECT CAST(o_orderkey AS BIGINT) AS line_no, CASE o_orderkey % 6 WHEN 0 THEN 'note ' || CAST(o_orderkey AS VARCHAR) "
+    f"WHEN 1 THEN 'see ' || {_varied_url(1)} WHEN 2 THEN {_varied_keyed(1)} "
+    f"WHEN 3 THEN {_varied_keyed(1)} || ' see ' || {_varied_url(2)} WHEN 4 THEN {_varied_keyed(1)} || {_varied_keyed(2)} "
+    f"ELSE {_varied_keyed(1)} || {_varied_keyed(2)} || ' see ' || {_varied_url(3)} END AS value FROM orders"
+)
 _BARE = f"regexp_extract_all(value, {_s(BARE_URL_RE2)}, 0)"
 _KEYED = f"regexp_extract_all(value, {_s(KEYED_URL_RE2)}, 1)"
 
 
-def _refs(arr: str) -> str:
+def _refs(arr: str, lines: str = LINES) -> str:
     return (
-        f"WITH lines AS ({LINES}), m AS (SELECT line_no, {arr} AS arr FROM lines) "
+        f"WITH lines AS ({lines}), m AS (SELECT line_no, {arr} AS arr FROM lines) "
         "SELECT line_no, CAST(p AS INTEGER) AS pos, arr[p + 1] AS file_url "
         "FROM m, unnest(range(len(arr))) AS t(p)"
     )
 
 
 REFS = _refs(f"list_concat({_BARE}, {_KEYED})")
+VARIED_REFS = _refs(f"list_concat({_BARE}, {_KEYED})", VARIED)
 NET = ("CASE WHEN contains(lower(file_url), 'in-network') THEN 'in-network' "
        "WHEN contains(lower(file_url), 'allowed-amount') THEN 'allowed-amount' ELSE 'other' END")
 FTYPE = ("CASE WHEN ends_with(file_url, '.json.gz') THEN 'json.gz' WHEN ends_with(file_url, '.csv.gz') THEN 'csv.gz' "
          "WHEN ends_with(file_url, '.json') THEN 'json' WHEN ends_with(file_url, '.csv') THEN 'csv' "
          "WHEN ends_with(file_url, '.gz') THEN 'gz' ELSE 'unknown' END")
-CLASSIFIED = (f"SELECT line_no, pos, file_url, {NET} AS file_network, {FTYPE} AS file_type "
-              f"FROM ({REFS}) r WHERE starts_with(file_url, 'http')")
+def _classified_sql(refs: str) -> str:
+    return (f"SELECT line_no, pos, file_url, {NET} AS file_network, {FTYPE} AS file_type "
+            f"FROM ({refs}) r WHERE starts_with(file_url, 'http')")
+
+
+CLASSIFIED = _classified_sql(REFS)
+VARIED_CLASSIFIED = _classified_sql(VARIED_REFS)
 
 
 def _file_refs_sql(as_of: str = AS_OF, as_of_ts: str = AS_OF_TS) -> str:
@@ -457,21 +548,29 @@ PAGE_REFS = (
     f"SELECT line_no, pos, file_url, {NET} AS file_network, {FTYPE} AS file_type FROM r "
     "WHERE starts_with(file_url, 'http')"
 )
-COUNTERS = (
+def _counters_sql(classified: str) -> str:
+    return (
     "SELECT CAST(count(*) FILTER (WHERE file_network = 'in-network') AS BIGINT) AS in_network_count, "
     "CAST(count(*) FILTER (WHERE file_network = 'allowed-amount') AS BIGINT) AS allowed_amount_count, "
     "CAST(count(*) FILTER (WHERE file_network = 'other') AS BIGINT) AS other_count, "
-    f"CAST(count(*) AS BIGINT) AS total_file_refs_identified FROM ({CLASSIFIED}) c"
-)
+    f"CAST(count(*) AS BIGINT) AS total_file_refs_identified FROM ({classified}) c"
+    )
+
 
+COUNTERS = _counters_sql(CLASSIFIED)
 
-def _sample(n: int) -> str:
+
+def _sample(n: int, classified: str = CLASSIFIED) -> str:
     return (f"SELECT CAST(row_number() OVER (ORDER BY line_no, pos) AS INTEGER) AS sample_rank, line_no, pos, file_url "
-            f"FROM (SELECT line_no, pos, file_url FROM ({CLASSIFIED}) c ORDER BY line_no, pos LIMIT {n}) s")
+            f"FROM (SELECT line_no, pos, file_url FROM ({classified}) c ORDER BY line_no, pos LIMIT {n}) s")
+
+
+def _indexed_sql(classified: str) -> str:
+    return (f"SELECT line_no, pos, file_url, CAST(row_number() OVER (ORDER BY line_no, pos) - 1 AS BIGINT) AS ref_index "
+            f"FROM ({classified}) c")
 
 
-INDEXED = (f"SELECT line_no, pos, file_url, CAST(row_number() OVER (ORDER BY line_no, pos) - 1 AS BIGINT) AS ref_index "
-           f"FROM ({CLASSIFIED}) c")
+INDEXED = _indexed_sql(CLASSIFIED)
 
 GEN = (
     "SELECT CAST(0 AS BIGINT) AS line_no, "
@@ -495,11 +594,12 @@ PER_DATE_NET = (
     "GROUP BY file_date, file_network"
 )
 
-def _result_sql(n: int) -> str:
+def _result_sql(n: int, classified: str = CLASSIFIED) -> str:
     return (
         "SELECT c.total_file_refs_identified, c.total_file_refs_identified AS total_records_written, "
         "c.in_network_count, c.allowed_amount_count, c.other_count, s.sample_urls FROM "
-        f"({COUNTERS}) c, (SELECT list(file_url ORDER BY sample_rank) AS sample_urls FROM ({_sample(n)}) x) s"
+        f"({_counters_sql(classified)}) c, "
+        f"(SELECT list(file_url ORDER BY sample_rank) AS sample_urls FROM ({_sample(n, classified)}) x) s"
     )
 
 
@@ -516,7 +616,9 @@ _SUMMARY_HEAD = [
     "'Other: ' || CAST(other_count AS VARCHAR)",
     f"'Batches: ' || CAST((total_file_refs_identified + {BATCH_SIZE - 1}) // {BATCH_SIZE} AS VARCHAR)",
     f"'Batch size: ' || '{BATCH_SIZE}'",
+    "'Catalog: session catalog'",
     "'Table: file_refs'",
+    "'Warehouse: catalog default'",
     "'Sample URLs: ' || CAST(len(sample_urls) AS VARCHAR)",
 ]
 SUMMARY = (
@@ -525,16 +627,43 @@ SUMMARY = (
     "SELECT CAST(p AS INTEGER) AS line_no, arr[p + 1] AS text FROM lines, unnest(range(len(arr))) AS t(p)"
 )
 
-_URL_SPLIT = r"^(?:([A-Za-z][A-Za-z0-9+.\-]*):)?(?://([^/?#]*))?([^?#]*)"
+
+def _share(label: str, name: str) -> str:
+    return (f"'{label}: ' || CAST({name} AS VARCHAR) || ' (' || "
+            f"printf('%.2f', CASE WHEN total_file_refs_identified > 0 THEN {name} * 100 / total_file_refs_identified ELSE 0.0 END) || ' %)'")
+
+
+DETAILS = (
+    f"WITH r AS ({_result_sql(20)}), lines AS (SELECT ['File reference extraction, details', 'Completed: {AS_OF_TS}', "
+    "'Catalog: session catalog', 'Table: file_refs', 'Warehouse: catalog default', "
+    "'References identified: ' || CAST(total_file_refs_identified AS VARCHAR), "
+    "'Records written: ' || CAST(total_records_written AS VARCHAR), "
+    f"{_share('In-network', 'in_network_count')}, {_share('Allowed-amount', 'allowed_amount_count')}, {_share('Other', 'other_count')}, "
+    f"'Columns: {', '.join(FILE_REFS_COLUMNS)}'] AS arr FROM r) "
+    "SELECT CAST(p AS INTEGER) AS line_no, arr[p + 1] AS text FROM lines, unnest(range(len(arr))) AS t(p)"
+)
+
+# Cut at positions, without the library's pattern: scheme up to the first colon (if it is one),
+# authority from // to the next of / ? #, path up to ? or #, parameters from ; in the last segment.
 _CLEAN_URL = r"regexp_replace(regexp_replace(url, '[\t\r\n]', '', 'g'), '^[\x00-\x20]+', '')"
 URL_PARTS = (
-    f"SELECT page_id, url, regexp_extract(cu, {_s(_URL_SPLIT)}, 2) AS authority, "
-    "regexp_replace(CASE WHEN lower(regexp_extract(cu, " + _s(_URL_SPLIT) + ", 1)) IN "
+    f"WITH c AS (SELECT page_id, url, {_CLEAN_URL} AS cu FROM pages), "
+    "s AS (SELECT *, strpos(cu, ':') AS colon, lower(left(cu, greatest(strpos(cu, ':') - 1, 0))) AS word FROM c), "
+    "v AS (SELECT *, colon > 1 AND word[1] BETWEEN 'a' AND 'z' AND "
+    "translate(word, 'abcdefghijklmnopqrstuvwxyz0123456789+.-', '') = '' AS has_scheme FROM s), "
+    "a AS (SELECT *, CASE WHEN has_scheme THEN word ELSE '' END AS scheme, "
+    "CASE WHEN has_scheme THEN substr(cu, colon + 1) ELSE cu END AS rest FROM v), "
+    "n AS (SELECT *, starts_with(rest, '//') AS has_net, substr(rest, 3) AS body FROM a), "
+    "e AS (SELECT *, least(CASE WHEN strpos(body, '/') > 0 THEN strpos(body, '/') ELSE 1000000 END, "
+    "CASE WHEN strpos(body, '?') > 0 THEN strpos(body, '?') ELSE 1000000 END, "
+    "CASE WHEN strpos(body, '#') > 0 THEN strpos(body, '#') ELSE 1000000 END) AS stop FROM n), "
+    "p AS (SELECT *, CASE WHEN has_net THEN left(body, stop - 1) ELSE '' END AS authority, "
+    "split_part(split_part(CASE WHEN has_net THEN substr(body, stop) ELSE rest END, '#', 1), '?', 1) AS path FROM e), "
+    "l AS (SELECT *, list_last(string_split(path, '/')) AS seg FROM p) "
+    "SELECT page_id, url, authority, ltrim(CASE WHEN scheme IN "
     "('', 'ftp', 'hdl', 'prospero', 'http', 'imap', 'https', 'shttp', 'rtsp', 'rtsps', 'rtspu', "
     "'sip', 'sips', 'mms', 'sftp', 'tel') "
-    f"THEN regexp_replace(regexp_extract(cu, {_s(_URL_SPLIT)}, 3), ';[^/]*$', '') "
-    f"ELSE regexp_extract(cu, {_s(_URL_SPLIT)}, 3) END, '^/+', '') AS url_key "
-    f"FROM (SELECT page_id, url, {_CLEAN_URL} AS cu FROM pages) p"
+    "THEN left(path, length(path) - length(seg)) || split_part(seg, ';', 1) ELSE path END, '/') AS url_key FROM l"
 )
 
 FORMAT_HMS = (
@@ -563,9 +692,9 @@ _ORACLE: dict[str, str] = {
     "refs_by_network": f"SELECT file_network, CAST(count(*) AS BIGINT) AS n_refs FROM ({CLASSIFIED}) c GROUP BY file_network",
     "sample_20": _sample(20),
     "sample_15": _sample(15),
-    "max_records": f"SELECT line_no, pos, file_url FROM ({REFS}) r ORDER BY line_no, pos LIMIT {SMALL_CAP}",
-    "max_records_large": f"SELECT line_no, pos, file_url FROM ({REFS}) r ORDER BY line_no, pos LIMIT {LARGE_CAP}",
-    "batch_assign": f"SELECT *, CAST(ref_index // {BATCH_SIZE} + 1 AS BIGINT) AS batch_no FROM ({INDEXED}) i",
+    "max_records": f"SELECT line_no, pos, file_url FROM ({VARIED_REFS}) r ORDER BY line_no, pos LIMIT {SMALL_CAP}",
+    "max_records_large": f"SELECT line_no, pos, file_url FROM ({VARIED_REFS}) r ORDER BY line_no, pos LIMIT {LARGE_CAP}",
+    "batch_assign": f"SELECT *, CAST(ref_index // {BATCH_SIZE} + 1 AS BIGINT) AS batch_no FROM ({_indexed_sql(VARIED_CLASSIFIED)}) i",
     "batch_counts": (
         f"SELECT CAST(ref_index // {BATCH_SIZE} + 1 AS BIGINT) AS batch_no, CAST(count(*) AS BIGINT) AS n_refs "
         f"FROM ({INDEXED}) i GROUP BY 1"
@@ -580,20 +709,26 @@ _ORACLE: dict[str, str] = {
                   f"CAST(0 AS BIGINT) AS lost FROM ({CLASSIFIED}) c"),
     "summary_report": SUMMARY,
     "run_result": RUN_RESULT,
-    "index_file_job": RUN_RESULT,
+    "index_file_job": _result_sql(15, VARIED_CLASSIFIED),
+    "detailed_report": DETAILS,
+    "replace_date_empty": PER_DATE_NET.format(mult=1, src=_file_refs_sql(EARLIER_DATE, EARLIER_TS)),
+    "stream_table_refs": FILE_REFS,
+    "file_inventory": f"SELECT CAST(sum(strlen(value) + 1) AS BIGINT) AS total_bytes, true AS listed FROM ({LINES}) l",
+    "object_exists": ("SELECT true AS root_exists, false AS missing_exists, true AS mark_exists, "
+                      "CAST(count(*) AS BIGINT) AS n_lines FROM orders"),
+    "land_raw_emptied": f"SELECT value FROM ({LINES}) l WHERE line_no % 2 = 0",
     "stream_file_refs": FILE_REFS,
     "stream_progress": (
         f"SELECT (SELECT CAST(count(*) AS BIGINT) FROM orders) AS input_rows, c.total_file_refs_identified AS refs, "
         f"c.in_network_count, c.allowed_amount_count, c.other_count FROM ({COUNTERS}) c"
     ),
-    "land_raw": f"SELECT value, true AS has_provenance FROM ({LINES}) l",
+    "land_raw": (f"SELECT CAST(row_number() OVER (ORDER BY line_no) - 1 AS BIGINT) AS line_no, value, "
+                 f"true AS has_provenance FROM ({LINES}) l"),
     "url_parts": URL_PARTS,
     "format_hms": FORMAT_HMS,
 }
 
 
 def oracle_sql() -> dict[str, str]:
-    """DuckDB SQL for each checked key; the two listing queries
-    (file_inventory, object_exists) depend on the file layout Spark chose
-    and get the rows-only check."""
+    """DuckDB SQL for each checked key."""
     return {**_ORACLE, **(_llm.ORACLES if _llm else {})}

@@ -27,18 +27,6 @@ def keyed_urls(value: Column | str) -> Column:
     return F.regexp_extract_all(_col(value), F.lit(KEYED_URL), KEYED_URL_GROUP)
 
 
-def all_refs(value: Column | str) -> Column:
-    """Bare matches first, then keyed matches; duplicates are kept.
-
-    A line that holds no ``http`` literal cannot match either pattern, so
-    it gets an empty array without running the two regexes.
-    """
-    v = _col(value)
-    return F.when(
-        v.contains(URL_MARKER), F.concat(bare_urls(v), keyed_urls(v))
-    ).otherwise(F.array().cast("array<string>"))
-
-
 def might_hold_url(value: Column | str) -> Column:
     """Cheap pre-filter: true for every line that can yield a reference."""
     return _col(value).contains(URL_MARKER)

@@ -1,9 +1,9 @@
-"""Counters, reconciliation, run result and summary report (A1-A7, K7, K8).
+"""Counters, reconciliation, and reports (A1-A7, K7).
 
 Each result is one aggregate over the references: partial counts per task,
-one tiny final merge.  Where two inputs feed one row (references and the
-sample, or source and table) they are unioned and tagged, then aggregated
-once - no join between one-row tables.
+one tiny final merge.  Where two inputs feed one row (source and table) they
+are unioned and tagged, then aggregated once.  The run result itself is
+built by the job (``plans.job``) from the counters of its write.
 """
 
 from __future__ import annotations
@@ -11,7 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.patterns import ALLOWED_AMOUNT, IN_NETWORK, OTHER, RESULT_SAMPLE_SIZE, SAMPLE_SIZE
+from ..functions.patterns import ALLOWED_AMOUNT, IN_NETWORK, OTHER, SAMPLE_SIZE
+from ..schema import FILE_REFS_COLUMNS
 from .ordering import first_refs
 from .refs import ref_key
 
@@ -54,64 +55,56 @@ def reconcile(identified: DataFrame, written: DataFrame) -> DataFrame:
     ).withColumn("lost", F.col("identified") - F.col("written"))
 
 
-def run_result(classified: DataFrame, records_written: Column | int,
-               n_sample: int = RESULT_SAMPLE_SIZE) -> DataFrame:
-    """K8: one row - 4 counters, rows written and the first ``n_sample`` URLs.
+def _kv(label: str, col: Column) -> Column:
+    return F.concat(F.lit(label + ": "), col.cast("string"))
 
-    The sample rows are unioned with the references and picked up by a
-    ``collect_list`` that only sees non-null values, so its buffer holds
-    ``n_sample`` entries at most.
-    """
-    keys = ref_key(classified)
-    sample = first_refs(classified.select(*keys, "file_url"), n_sample)
-    tagged = classified.select(
-        "file_network", F.lit(None).cast("struct<r:int,u:string>").alias("_lk_s")
-    ).unionByName(
-        sample.select(
-            F.lit(None).cast("string").alias("file_network"),
-            F.struct(F.col("sample_rank").cast("int").alias("r"), F.col("file_url").alias("u")).alias("_lk_s"),
-        )
-    )
-    written = records_written if isinstance(records_written, Column) else F.lit(int(records_written))
-    return tagged.agg(
-        F.count("file_network").cast("long").alias("total_file_refs_identified"),
-        _count_net(IN_NETWORK).alias("in_network_count"),
-        _count_net(ALLOWED_AMOUNT).alias("allowed_amount_count"),
-        _count_net(OTHER).alias("other_count"),
-        F.sort_array(F.collect_list("_lk_s")).alias("_lk_sample"),
-    ).select(
-        "total_file_refs_identified",
-        written.cast("long").alias("total_records_written"),
-        "in_network_count", "allowed_amount_count", "other_count",
-        F.transform("_lk_sample", lambda s: s["u"]).alias("sample_urls"),
-    )
+
+def _place_lines(table: str, catalog: str | None, warehouse: str | None) -> list[Column]:
+    return [_kv("Catalog", F.lit(catalog or "session catalog")), _kv("Table", F.lit(table)),
+            _kv("Warehouse", F.lit(warehouse or "catalog default"))]
 
 
 def summary_lines(result: DataFrame, table: str, batch_size: int, batch_count: Column | int,
-                  completed_at: Column | str) -> DataFrame:
+                  completed_at: Column | str, catalog: str | None = None, warehouse: str | None = None) -> DataFrame:
     """K7: the run summary as ``(line_no INT, text STRING)`` rows.
 
     Built from the one-row run result, so it needs no second pass.
     """
     ts = F.lit(completed_at) if isinstance(completed_at, str) else completed_at
     nb = F.lit(batch_count) if isinstance(batch_count, int) else batch_count
-
-    def kv(label: str, col: Column) -> Column:
-        return F.concat(F.lit(label + ": "), col.cast("string"))
-
     head = F.array(
         F.lit("File reference extraction summary"),
-        kv("Completed", ts),
-        kv("References identified", F.col("total_file_refs_identified")),
-        kv("Records written", F.col("total_records_written")),
-        kv("Not written", F.col("total_file_refs_identified") - F.col("total_records_written")),
-        kv("In-network", F.col("in_network_count")),
-        kv("Allowed-amount", F.col("allowed_amount_count")),
-        kv("Other", F.col("other_count")),
-        kv("Batches", nb),
-        kv("Batch size", F.lit(int(batch_size))),
-        kv("Table", F.lit(table)),
-        kv("Sample URLs", F.size("sample_urls")),
+        _kv("Completed", ts),
+        _kv("References identified", F.col("total_file_refs_identified")),
+        _kv("Records written", F.col("total_records_written")),
+        _kv("Not written", F.col("total_file_refs_identified") - F.col("total_records_written")),
+        _kv("In-network", F.col("in_network_count")),
+        _kv("Allowed-amount", F.col("allowed_amount_count")),
+        _kv("Other", F.col("other_count")),
+        _kv("Batches", nb),
+        _kv("Batch size", F.lit(int(batch_size))),
+        *_place_lines(table, catalog, warehouse),
+        _kv("Sample URLs", F.size("sample_urls")),
     )
     body = F.transform("sample_urls", lambda u: F.concat(F.lit("- "), u))
     return result.select(F.posexplode(F.concat(head, body)).alias("line_no", "text"))
+
+
+def detailed_lines(result: DataFrame, table: str, completed_at: Column | str, catalog: str | None = None,
+                   warehouse: str | None = None, columns: list[str] | None = None) -> DataFrame:
+    """K7, the second report: where the rows went, each class with its share of all references, and
+    the table's columns, as ``(line_no INT, text STRING)``."""
+    ts = F.lit(completed_at) if isinstance(completed_at, str) else completed_at
+    total = F.col("total_file_refs_identified")
+
+    def share(label: str, name: str) -> Column:
+        part = F.when(total > 0, F.col(name) * 100 / total).otherwise(F.lit(0.0))
+        return F.concat(F.lit(label + ": "), F.col(name).cast("string"), F.lit(" ("), F.format_string("%.2f", part), F.lit(" %)"))
+
+    lines = F.array(
+        F.lit("File reference extraction, details"), _kv("Completed", ts), *_place_lines(table, catalog, warehouse),
+        _kv("References identified", total), _kv("Records written", F.col("total_records_written")),
+        share("In-network", "in_network_count"), share("Allowed-amount", "allowed_amount_count"), share("Other", "other_count"),
+        F.lit("Columns: " + ", ".join(columns or FILE_REFS_COLUMNS)),
+    )
+    return result.select(F.posexplode(lines).alias("line_no", "text"))

@@ -23,8 +23,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.extract import might_hold_url
 from ..functions.patterns import DEFAULT_BATCH_SIZE
-from ..session import scan_partitions
 from .refs import extract_refs, filter_http, line_key, ref_key, refs_array
 
 # Upper bound of lines per bucket: a bucket is one window partition.
@@ -38,11 +38,12 @@ FANOUT = 1 << 16
 MAX_WIDTH = 1 << 62
 # A bucket table up to this size gets its running sum in one task.
 TOP_LEVEL_ROWS = 1 << 16
-# Small ``n`` goes to Spark's top-k operator; larger caps use the index.
-TOP_K_LIMIT = 10_000
-# Top-k merges n rows from every partition in one task: keep n x partitions
-# under this many rows, else filter on the global index.
-TOP_K_MERGE_BUDGET = 20_000_000
+
+
+def _require_number(df: DataFrame) -> None:
+    """Encounter order needs numbered lines: without ``line_no`` the order would be arbitrary."""
+    if "line_no" not in df.columns:
+        raise ValueError("encounter order needs a line_no column; read the lines with read_lines, not read_lines_raw")
 
 
 def _bucket_width(df: DataFrame, num: str) -> tuple[int, int, int]:
@@ -147,6 +148,7 @@ def indexed_refs(lines: DataFrame, value: str = "value") -> DataFrame:
     patterns start with it), so the guard after the explode drops nothing
     and leaves no gap in the index.
     """
+    _require_number(lines)
     keys = line_key(lines)
     per_line = lines.where(F.col(value).contains("http")).select(*keys, refs_array(value).alias("_lk_refs"))
     based = exclusive_prefix_sum(per_line, keys, F.size("_lk_refs"), "_lk_line_base")
@@ -165,57 +167,51 @@ def assign_batches(lines: DataFrame, batch_size: int = DEFAULT_BATCH_SIZE, value
 def batch_counts(refs: DataFrame, batch_size: int = DEFAULT_BATCH_SIZE) -> DataFrame:
     """``(batch_no, n_refs)`` for ``ceil(n / batch_size)`` batches, from the total alone.
 
-    Every batch but the last is full, so the sizes follow from ``count(*)``:
-    one partial/final aggregate and a tiny explode, no index needed.
+    Every batch but the last is full, so the sizes follow from ``count(*)``, which runs
+    when this is called; the batches themselves are a distributed ``range``.
     """
-    size = int(batch_size)
-    total = refs.agg(F.count(F.lit(1)).alias("n"))
-    n_batches = F.expr(f"(n + {size - 1}) div {size}")
-    return (
-        total.where(F.col("n") > 0)
-        .select("n", F.explode(F.sequence(F.lit(1).cast("long"), n_batches)).alias("batch_no"))
-        .select(
-            "batch_no",
-            F.least(F.lit(size).cast("long"), F.col("n") - (F.col("batch_no") - 1) * size).alias("n_refs"),
-        )
-    )
+    size, spark = int(batch_size), refs.sparkSession
+    n = refs.count()
+    left = F.lit(n) - (F.col("batch_no") - 1) * F.lit(size).cast("long")
+    return spark.range(1, -(-n // size) + 1).select(F.col("id").alias("batch_no")).select(
+        "batch_no", F.least(F.lit(size).cast("long"), left.cast("long")).alias("n_refs"))
 
 
 def first_refs(refs: DataFrame, n: int) -> DataFrame:
     """L1/L2: the first ``n`` references in encounter order, with their rank.
 
-    Top-k is the feature here: Spark's TakeOrderedAndProject keeps ``n``
-    rows per partition and merges ``n`` rows per partition in one task, so
-    it is only used up to ``TOP_K_LIMIT``; a larger ``n`` needs the global
-    index (``cap_records`` on lines).
+    Top-k is the feature here: ``n`` rows per partition, merged in one task.  For a cap
+    that may be large use ``cap_records``, which filters on the global index.
     """
-    if n > TOP_K_LIMIT:
-        raise ValueError(f"first_refs is a top-k for n <= {TOP_K_LIMIT}; use cap_records(lines, n)")
     order = ref_key(refs)
+    _require_number(refs)
     top = refs.orderBy(*order).limit(n)
     # ``n`` rows only, so ranking them in one partition is fine.
     return top.withColumn("sample_rank", F.row_number().over(Window.orderBy(*order)))
 
 
-def _partitions_hint(df: DataFrame) -> int:
-    """Partitions feeding a top-k over ``df``: the scan's if the plan has no
-    exchange, else the larger of the cluster's cores and shuffle partitions."""
-    n = scan_partitions(df)
-    if n is not None:
-        return n
-    spark = df.sparkSession
-    return max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+def first_refs_of_lines(lines: DataFrame, n: int, value: str = "value") -> DataFrame:
+    """The first ``n`` references of ``lines`` without extracting from all of them: the first lines
+    that can hold a URL, four times as many while they yield too few.
+
+    Lines are picked by a top-k on the line key; the patterns run on those lines only.
+    """
+    _require_number(lines)
+    marked = lines.where(might_hold_url(value))
+    m = max(1, n)
+    while True:
+        some = marked.orderBy(*line_key(lines)).limit(m)
+        refs = filter_http(extract_refs(some, "both", value))
+        if refs.limit(n).count() >= n or some.count() < m:
+            return first_refs(refs, n)
+        m *= 4
 
 
 def cap_records(lines: DataFrame, max_records: int, value: str = "value") -> DataFrame:
     """L3: the first ``max_records`` references in encounter order; 0 keeps all.
 
-    ``(<line key>, pos, file_url)``.  A cap whose top-k merge
-    (``max_records`` x partitions rows in one task) fits the budget is a
-    top-k; a larger one filters on the global index, exact and distributed.
+    ``(<line key>, pos, file_url)``: a filter on the global index, exact and distributed at any cap.
     """
     if max_records <= 0:
         return extract_refs(lines, "both", value)
-    if max_records <= TOP_K_LIMIT and max_records * _partitions_hint(lines) <= TOP_K_MERGE_BUDGET:
-        return first_refs(extract_refs(lines, "both", value), max_records).drop("sample_rank")
     return indexed_refs(lines, value).where(F.col("ref_index") < max_records).drop("ref_index")

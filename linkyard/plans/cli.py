@@ -11,20 +11,22 @@ and stop).
 from __future__ import annotations
 
 import argparse
+import hashlib
 import json
 import time
 
 from pyspark.sql import SparkSession
 
 from ..functions.patterns import DEFAULT_BATCH_SIZE, DEFAULT_ENTITY_TYPE
-from ..session import scratch_path
+from ..session import stable_checkpoint_root
 from ..sinks.tables import ensure_table
-from ..streaming.ingest import ProgressRecorder, progress_rows, stream_into_table
-from .job import ExtractionConfig, extract_index_file, write_summary
+from ..streaming.ingest import ProgressRecorder, committed_batches, stream_into_table
+from .job import ExtractionConfig, extract_index_file, write_details, write_summary
 
 
 def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     p = argparse.ArgumentParser(prog="linkyard", description=__doc__)
+    # The names of the seven run parameters.
     p.add_argument("--index-file", required=True, help="file or folder, any Hadoop scheme (s3a://, hdfs://, file://)")
     p.add_argument("--warehouse-location", default=None, help="table root on shared storage (parquet tables)")
     p.add_argument("--catalog-name", default=None, help="catalog/database of the table")
@@ -42,31 +44,58 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     p.add_argument("--mode", default="append", choices=["append", "replace_date"])
     p.add_argument("--line-sep", default=None, help='e.g. "}," for an index written on one line')
     p.add_argument("--summary-path", default=None, help="where to write the summary text")
+    p.add_argument("--details-path", default=None, help="where to write the detailed report")
     p.add_argument("--spread", choices=["auto", "always", "never"], default="auto",
                    help="hash-spread lines before the regex (always: a few huge .gz files among many)")
     p.add_argument("--stream", action="store_true")
-    p.add_argument("--checkpoint", default=None, help="stream checkpoint (default: under spark.checkpoint.dir)")
+    p.add_argument("--checkpoint", default=None, help="stream checkpoint (default: one per source and table under spark.checkpoint.dir)")
     p.add_argument("--max-files-per-trigger", type=int, default=None)
-    return p.parse_args(argv)
+    args = p.parse_args(argv)
+    if args.stream:
+        # What a stream cannot do is refused, not ignored.
+        for flag, wrong in (("--max-records", args.max_records > 0), ("--mode replace_date", args.mode != "append"),
+                            ("--batch-size", args.batch_size != DEFAULT_BATCH_SIZE), ("--summary-path", args.summary_path),
+                            ("--details-path", args.details_path)):
+            if wrong:
+                p.error(f"{flag} has no meaning with --stream")
+    return args
+
+
+def _stream_checkpoint(spark: SparkSession, table: str, source: str) -> str:
+    """The same folder for every run over this source and table, so a restart goes on where it stopped."""
+    name = hashlib.sha1(f"{table}|{source.rstrip('/')}".encode()).hexdigest()[:16]
+    return f"{stable_checkpoint_root(spark)}/linkyard-streams/{name}"
 
 
 def _table_name(args: argparse.Namespace) -> str:
     return f"{args.catalog_name}.{args.file_refs_table}" if args.catalog_name else args.file_refs_table
 
 
+def _wait_for_reports(recorder: ProgressRecorder, query, seconds: float = 10.0) -> None:
+    """Listener events arrive a little after the query has ended: wait for its last one."""
+    last, until = query.lastProgress, time.time() + seconds
+    while last is not None and time.time() < until:
+        rows = recorder.for_query(query)
+        if rows and rows[-1]["batch_id"] >= int(last.batchId):
+            return
+        time.sleep(0.05)
+
+
 def run(spark: SparkSession, args: argparse.Namespace) -> dict:
     table = _table_name(args)
     location = f"{args.warehouse_location.rstrip('/')}/{args.file_refs_table}" if args.warehouse_location else None
     cfg = ExtractionConfig(table=table, entity_name=args.entity_name, entity_type=args.entity_type,
                            batch_size=args.batch_size, max_records=args.max_records, mode=args.mode,
-                           provider=args.provider, location=location, records_per_file=args.records_per_file)
+                           provider=args.provider, location=location, records_per_file=args.records_per_file,
+                           catalog=args.catalog_name, warehouse=args.warehouse_location)
     if args.catalog_name and args.provider == "parquet":
         # Session catalog: the "catalog" is a database; create it on first use.
         spark.sql(f"CREATE NAMESPACE IF NOT EXISTS {args.catalog_name}")
     start = time.time()
+    spread = {"auto": None, "always": True, "never": False}[args.spread]
     if args.stream:
         ensure_table(spark, table, args.provider, location)
-        ckpt = args.checkpoint or scratch_path(spark, "stream-ckpt")
+        ckpt = args.checkpoint or _stream_checkpoint(spark, table, args.index_file)
         recorder = ProgressRecorder(on_report=lambda row: print(json.dumps({"progress": row}), flush=True))
         spark.streams.addListener(recorder)
         q = stream_into_table(spark, args.index_file, table, ckpt, args.entity_name, args.entity_type,
@@ -74,19 +103,23 @@ def run(spark: SparkSession, args: argparse.Namespace) -> dict:
                               available_now=args.progress_interval <= 0,
                               processing_time=(f"{args.progress_interval} seconds"
                                                if args.progress_interval > 0 else None),
-                              line_sep=args.line_sep)
+                              line_sep=args.line_sep, records_per_file=args.records_per_file, spread=spread)
         try:
             q.awaitTermination()
+            _wait_for_reports(recorder, q)
         finally:
             spark.streams.removeListener(recorder)
-        out = {"table": table, "batches": progress_rows(q)}
+        batches = committed_batches(spark, ckpt).orderBy("batch_id")
+        out = {"table": table, "checkpoint": ckpt, "totals": recorder.totals.get(str(q.id), {}),
+               "batches": [r.asDict() for r in batches.toLocalIterator()]}
     else:
-        spread = {"auto": None, "always": True, "never": False}[args.spread]
         job = extract_index_file(spark, args.index_file, cfg, line_sep=args.line_sep, spread=spread)
         row = job.result.first().asDict()
         out = {"table": table, "batch_count": job.batch_count, **row}
         if args.summary_path:
             write_summary(job, cfg, args.summary_path, time.strftime("%Y-%m-%d %H:%M:%S"))
+        if args.details_path:
+            write_details(job, cfg, args.details_path, time.strftime("%Y-%m-%d %H:%M:%S"))
     elapsed = time.time() - start
     out["elapsed_s"] = round(elapsed, 3)
     out["elapsed"] = f"{int(elapsed // 3600)}h {int(elapsed % 3600 // 60)}m {int(elapsed % 60)}s"

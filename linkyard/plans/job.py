@@ -2,14 +2,14 @@
 
 Plan of one run (``explain`` shows it):
 
-* scan (text, or any lines DataFrame) -> ``contains('http')`` filter ->
-  two ``regexp_extract_all`` + ``posexplode`` -> classify -> 10 columns ->
-  one write job into the ``file_date``-partitioned table.  No shuffle and
-  no Python in that stage.
+* scan (text without line numbers, or any lines DataFrame) -> ``contains('http')``
+  filter -> two ``regexp_extract_all`` + ``posexplode`` -> classify -> 10 columns ->
+  one write job into the ``file_date``-partitioned table.  Nothing is cached; there is no
+  shuffle (unless a lopsided scan is spread) and no Python in that stage.
 * The counters of the run are observed on the write itself
   (``Observation``), so they cost no second pass.
-* The sample (first 20 in encounter order) is a top-k over the references
-  persisted by the write job, the only other job.
+* The sample (first 20 in encounter order) reads the first lines only: the first
+  files in path order until there are enough, or a top-k on the line key.
 """
 
 from __future__ import annotations
@@ -17,19 +17,18 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.patterns import (
-    ALLOWED_AMOUNT, DEFAULT_BATCH_SIZE, DEFAULT_ENTITY_TYPE, IN_NETWORK, OTHER, RESULT_SAMPLE_SIZE, SAMPLE_SIZE,
+    ALLOWED_AMOUNT, DEFAULT_BATCH_SIZE, DEFAULT_ENTITY_TYPE, IN_NETWORK, OTHER, RESULT_SAMPLE_SIZE, SAMPLE_SIZE, URL_MARKER,
 )
-from ..operators.metrics import sample_urls, summary_lines
-from ..operators.ordering import cap_records
-from ..operators.refs import classified_refs, classify, filter_http, to_file_refs
+from ..operators.metrics import detailed_lines, summary_lines
+from ..operators.ordering import cap_records, first_refs, first_refs_of_lines
+from ..operators.refs import classified_refs, classify, extract_refs, filter_http, to_file_refs
 from ..session import checkpoint_dir
 from ..sinks.tables import ensure_table, write_refs
-from ..sources.lines import read_lines, read_lines_raw
+from ..sources.lines import first_lines, read_lines, read_lines_raw
 
 
 @dataclass
@@ -45,7 +44,8 @@ class ExtractionConfig:
     as_of: str | dt.date | None = None
     as_of_ts: str | dt.datetime | None = None
     records_per_file: int | None = None
-    cache_refs: bool = True
+    catalog: str | None = None
+    warehouse: str | None = None
 
 
 @dataclass
@@ -57,52 +57,38 @@ class ExtractionRun:
     batch_count: int = 0
 
     def summary(self, cfg: ExtractionConfig, completed_at: str) -> DataFrame:
-        return summary_lines(self.report, cfg.table, cfg.batch_size, self.batch_count, completed_at)
+        return summary_lines(self.report, cfg.table, cfg.batch_size, self.batch_count, completed_at, cfg.catalog, cfg.warehouse)
+
+    def details(self, cfg: ExtractionConfig, completed_at: str) -> DataFrame:
+        return detailed_lines(self.report, cfg.table, completed_at, cfg.catalog, cfg.warehouse)
 
 
 def run_extraction(spark: SparkSession, lines: DataFrame, cfg: ExtractionConfig,
-                   unordered_lines: DataFrame | None = None) -> ExtractionRun:
+                   sample: DataFrame | None = None) -> ExtractionRun:
     """Extract, classify and write all references of ``lines``; return the run result.
 
-    Two actions read the references: the write and the top-k sample.  With
-    ``cfg.cache_refs`` (default) the references are persisted between them
-    (memory, spilling to disk; lost blocks are recomputed from the scan), so
-    the text is read and matched once - for one big gzip index, whose
-    decompression is single-threaded, that halves the run.  The 20 sample
-    rows are then checkpointed to the shared checkpoint folder and the cache
-    is released before returning.
-
-    ``unordered_lines`` (same lines, no line numbers) may feed the write when
-    references are not cached and no cap is set: the table has no order, so
-    that write pass skips the line numbering.
+    The write is one uncached pass over ``lines``, which need no numbers unless a cap is set.
+    ``sample``: the first references, ranked, if the caller has found them
+    already; else they are taken from the first (numbered) lines.
     """
     ensure_table(spark, cfg.table, cfg.provider, cfg.location)
+    # One date for the whole run, also for what a replacing run without rows clears.
+    as_of = cfg.as_of or spark.range(1).select(F.current_date()).first()[0]
     if cfg.max_records > 0:
         classified = classify(filter_http(cap_records(lines, cfg.max_records)))
     else:
         classified = classified_refs(lines)
-    if cfg.cache_refs:
-        classified = classified.persist(StorageLevel.MEMORY_AND_DISK)
-        to_write = classified
-    elif unordered_lines is not None and cfg.max_records <= 0:
-        to_write = classified_refs(unordered_lines)
-    else:
-        to_write = classified
-    try:
-        rows = to_file_refs(to_write, cfg.entity_name, cfg.entity_type, cfg.as_of, cfg.as_of_ts)
-        net = F.col("file_network")
-        report = write_refs(rows, cfg.table, cfg.mode, records_per_file=cfg.records_per_file, metrics={
-            "in_network_count": F.count_if(net == IN_NETWORK),
-            "allowed_amount_count": F.count_if(net == ALLOWED_AMOUNT),
-            "other_count": F.count_if(net == OTHER),
-        })
-        sample = sample_urls(classified, SAMPLE_SIZE)
-        if cfg.cache_refs:
-            checkpoint_dir(spark)
-            sample = sample.checkpoint(eager=True)  # 20 rows, reliable; frees the cache
-    finally:
-        if cfg.cache_refs:
-            classified.unpersist()
+    rows = to_file_refs(classified, cfg.entity_name, cfg.entity_type, as_of, cfg.as_of_ts)
+    net = F.col("file_network")
+    report = write_refs(rows, cfg.table, cfg.mode, records_per_file=cfg.records_per_file, run_date=as_of, metrics={
+        "in_network_count": F.count_if(net == IN_NETWORK),
+        "allowed_amount_count": F.count_if(net == ALLOWED_AMOUNT),
+        "other_count": F.count_if(net == OTHER),
+    })
+    if sample is None:
+        sample = first_refs_of_lines(lines, _sample_size(cfg))
+    checkpoint_dir(spark)
+    sample = sample.select("sample_rank", "file_url").checkpoint(eager=True)  # 20 rows at most
     counters = dict(report.metrics)
     identified = counters["in_network_count"] + counters["allowed_amount_count"] + counters["other_count"]
     counters["total_file_refs_identified"] = identified
@@ -122,12 +108,28 @@ def run_extraction(spark: SparkSession, lines: DataFrame, cfg: ExtractionConfig,
     return ExtractionRun(result=result, sample=sample, report=report, counters=counters, batch_count=batch_count)
 
 
+def _sample_size(cfg: ExtractionConfig) -> int:
+    return min(SAMPLE_SIZE, cfg.max_records) if cfg.max_records > 0 else SAMPLE_SIZE
+
+
+def sample_of_files(spark: SparkSession, paths: str | list[str], n: int, line_sep: str | None = None) -> DataFrame:
+    """The first ``n`` references of the files in path order, from their first lines only."""
+    m = n
+    while True:
+        lines = first_lines(spark, paths, m, URL_MARKER, line_sep)
+        refs = filter_http(extract_refs(lines))
+        if refs.count() >= n or lines.count() < m:
+            return first_refs(refs, n)
+        m *= 4
+
+
 def extract_index_file(spark: SparkSession, index_path: str, cfg: ExtractionConfig,
                        line_sep: str | None = None, spread: bool | None = None) -> ExtractionRun:
-    """The job over text/gzip index files at ``index_path`` (any Hadoop scheme)."""
-    lines = read_lines(spark, index_path, line_sep=line_sep, spread=spread)
-    unordered = None if cfg.cache_refs else read_lines_raw(spark, index_path, line_sep=line_sep, spread=spread)
-    return run_extraction(spark, lines, cfg, unordered_lines=unordered)
+    """The job over text/gzip index files at ``index_path`` (any Hadoop scheme).  Lines are only
+    numbered for a capped run; the table itself has no order."""
+    read = read_lines if cfg.max_records > 0 else read_lines_raw
+    lines = read(spark, index_path, line_sep=line_sep, spread=spread)
+    return run_extraction(spark, lines, cfg, sample=sample_of_files(spark, index_path, _sample_size(cfg), line_sep))
 
 
 def write_summary(run: ExtractionRun, cfg: ExtractionConfig, path: str, completed_at: str) -> str:
@@ -136,3 +138,10 @@ def write_summary(run: ExtractionRun, cfg: ExtractionConfig, path: str, complete
     (run.summary(cfg, completed_at).coalesce(1).sortWithinPartitions("line_no").select("text")
      .write.mode("overwrite").text(path))
     return path
+
+
+def write_details(run: ExtractionRun, cfg: ExtractionConfig, path: str, completed_at: str) -> str:
+    """K7, the detailed report as a text file of its own."""
+    (run.details(cfg, completed_at).coalesce(1).sortWithinPartitions("line_no").select("text")
+     .write.mode("overwrite").text(path))
+    return path

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql.types import DateType, StringType, StructField, StructType, TimestampType
 
+# Names, order and types of the table's columns.
 FILE_REFS_SCHEMA = StructType([
     StructField("reporting_entity_name", StringType(), True),
     StructField("reporting_entity_type", StringType(), True),
@@ -19,12 +20,6 @@ FILE_REFS_SCHEMA = StructType([
 FILE_REFS_COLUMNS = [f.name for f in FILE_REFS_SCHEMA.fields]
 PARTITION_COLUMN = "file_date"
 
-RUN_RESULT_DDL = (
-    "total_file_refs_identified BIGINT, total_records_written BIGINT, "
-    "in_network_count BIGINT, allowed_amount_count BIGINT, other_count BIGINT, "
-    "sample_urls ARRAY<STRING>"
-)
-
 
 def file_refs_ddl(table: str, provider: str = "parquet", location: str | None = None) -> str:
     """``CREATE TABLE IF NOT EXISTS`` text for the file-reference table."""

@@ -8,6 +8,7 @@ A folder is only made up here when the session names none (tests, local).
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
@@ -23,12 +24,20 @@ def checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         sc.setCheckpointDir(configured)
-    else:
-        # Unset: local runs and tests only.
+    elif sc.master.startswith("local") and not sc.master.startswith("local-cluster"):
+        # Unset: local runs and tests only, where driver and executor are one process.
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="linkyard-ckpt-"))
+    else:
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     return sc.getCheckpointDir()
 
 
+def stable_checkpoint_root(spark: SparkSession) -> str:
+    """The folder as configured: the same in every run, unlike the per-run folder Spark makes below it."""
+    checkpoint_dir(spark)
+    return (spark.conf.get("spark.checkpoint.dir", None) or os.path.dirname(checkpoint_dir(spark))).rstrip("/")
+
+
 def scratch_path(spark: SparkSession, tag: str) -> str:
     """A fresh, unique path under the shared checkpoint folder."""
     base = checkpoint_dir(spark).rstrip("/")

@@ -9,6 +9,7 @@ the write job really saw, without a second pass.
 
 from __future__ import annotations
 
+import datetime as dt
 from contextlib import contextmanager
 from dataclasses import dataclass, field
 
@@ -38,7 +39,7 @@ def table_exists(spark: SparkSession, table: str) -> bool:
     return spark.catalog.tableExists(table)
 
 
-def _is_v2(spark: SparkSession, table: str) -> bool:
+def is_v2(spark: SparkSession, table: str) -> bool:
     rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where(F.col("col_name") == "Provider").collect()
     return bool(rows) and rows[0]["data_type"].lower() not in ("parquet", "orc", "json", "csv", "text", "hive")
 
@@ -70,12 +71,14 @@ def _session_conf(spark: SparkSession, settings: dict[str, str | None]):
 
 def write_refs(df: DataFrame, table: str, mode: str = "append",
                metrics: dict[str, Column] | None = None,
-               records_per_file: int | None = None) -> WriteReport:
+               records_per_file: int | None = None,
+               run_date: str | dt.date | None = None) -> WriteReport:
     """K3/K6: write 10-column file refs into ``table``, columns matched by name.
 
     ``append`` keeps every earlier row (a re-run doubles them, as re-running
     an append does); ``replace_date`` swaps only the ``file_date`` partitions
-    present in ``df`` and keeps other dates.  ``metrics`` are extra
+    present in ``df`` and keeps other dates.  With ``run_date`` that date is replaced even
+    by a run without rows, which leaves it empty.  ``metrics`` are extra
     aggregates observed on the written rows in the same job.
     ``records_per_file`` caps rows per output file (the file-level form of a
     write batch; leave it unset for large runs, small files cost more).
@@ -87,7 +90,7 @@ def write_refs(df: DataFrame, table: str, mode: str = "append",
     extra = [c.alias(name) for name, c in (metrics or {}).items()]
     rows = df.select(*FILE_REFS_COLUMNS).observe(obs, F.count(F.lit(1)).alias("written"), *extra)
     settings = {"spark.sql.files.maxRecordsPerFile": str(int(records_per_file)) if records_per_file else None}
-    if _is_v2(spark, table):
+    if is_v2(spark, table):
         with _session_conf(spark, settings):
             writer = rows.writeTo(table)
             writer.append() if mode == "append" else writer.overwritePartitions()
@@ -100,9 +103,28 @@ def write_refs(df: DataFrame, table: str, mode: str = "append",
         with _session_conf(spark, settings):
             ordered.write.insertInto(table, overwrite=(mode == "replace_date"))
     got = {k: int(v) for k, v in obs.get.items()}
+    if mode == "replace_date" and run_date is not None and not got.get("written"):
+        clear_date(spark, table, run_date)
     return WriteReport(table, mode, got.get("written", 0), got)
 
 
+def clear_date(spark: SparkSession, table: str, run_date: str | dt.date) -> None:
+    """Replace the partition of one date by no rows."""
+    day = dt.date.fromisoformat(str(run_date))
+    if is_v2(spark, table):
+        spark.table(table).limit(0).writeTo(table).overwrite(F.col(PARTITION_COLUMN) == F.lit(day))
+        return
+    nothing = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()}) AS {f.name}"
+                        for f in spark.table(table).schema.fields if f.name != PARTITION_COLUMN)
+    with _session_conf(spark, {"spark.sql.sources.partitionOverwriteMode": "static"}):
+        spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION ({PARTITION_COLUMN} = DATE '{day}') SELECT {nothing} WHERE 1 = 0")
+
+
+def table_location(spark: SparkSession, table: str) -> str:
+    """Where the table's files are."""
+    return spark.sql(f"DESCRIBE FORMATTED {table}").where(F.col("col_name") == "Location").first()["data_type"]
+
+
 def table_rows(spark: SparkSession, table: str, file_date: str | None = None) -> DataFrame:
     """The table, optionally one ``file_date`` (partition-pruned)."""
     t = spark.table(table)

@@ -22,6 +22,7 @@ SAMPLE_EXTS = [".json.gz", ".json", ".csv"]  # by id % 3
 LINE_PREFIX = '{"url": "'
 LINE_SUFFIX = '"},'
 FOOTER = "]}"
+MAX_PARTS = 100_000
 
 
 def header_text(entity_name: str, entity_type: str = DEFAULT_ENTITY_TYPE) -> str:
@@ -56,6 +57,25 @@ def order_lines(orders: DataFrame) -> DataFrame:
     return index_lines_from(orders, "o_orderkey")
 
 
+def varied_order_lines(orders: DataFrame) -> DataFrame:
+    """One line per order with ``o_orderkey % 6`` references (0 to 5): plain text, bare URLs
+    and keyed members in turn, so encounter order and weights differ from line to line."""
+    k = F.col("o_orderkey")
+
+    def url(i: int) -> Column:
+        return F.concat(F.lit(SAMPLE_HOST), _by_mod3(k + i, SAMPLE_DIRS), k.cast("string"), F.lit(f"-{i}"), _by_mod3(k + i, SAMPLE_EXTS))
+
+    keyed = [F.concat(F.lit(LINE_PREFIX), url(i), F.lit(LINE_SUFFIX)) for i in (1, 2)]
+    n = F.pmod(k, F.lit(6))
+    value = (F.when(n == 0, F.concat(F.lit("note "), k.cast("string")))
+             .when(n == 1, F.concat(F.lit("see "), url(1)))
+             .when(n == 2, keyed[0])
+             .when(n == 3, F.concat(keyed[0], F.lit(" see "), url(2)))
+             .when(n == 4, F.concat(*keyed))
+             .otherwise(F.concat(*keyed, F.lit(" see "), url(3))))
+    return orders.select(k.cast("long").alias("line_no"), value.alias("value"))
+
+
 def lineitem_lines(lineitem: DataFrame) -> DataFrame:
     """A larger derived index: one line per lineitem (key = orderkey * 8 + linenumber)."""
     keyed = lineitem.select((F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("_lk_key"))
@@ -91,7 +111,8 @@ def generate_index_lines(ids: DataFrame, id_col: str, entity_name: str,
     body = with_ordinal(ids.select(F.col(id_col).cast("long").alias("_lk_id")), ["_lk_id"], "_lk_ord")
     body = body.select((F.col("_lk_ord") + 1).alias("line_no"), index_line_value("_lk_id").alias("value"))
     counted = ids.agg(F.count(F.lit(1)).alias("_lk_n"))
-    header = counted.select(F.lit(0).cast("long").alias("line_no"), F.lit(header_text(entity_name, entity_type)).alias("value"))
+    header = ids.sparkSession.range(1).select(
+        F.lit(0).cast("long").alias("line_no"), F.lit(header_text(entity_name, entity_type)).alias("value"))
     footer = counted.select((F.col("_lk_n") + 1).cast("long").alias("line_no"), F.lit(FOOTER).alias("value"))
     return header.unionByName(body).unionByName(footer)
 
@@ -100,9 +121,11 @@ def write_index_files(lines: DataFrame, path: str, compression: str | None = "gz
     """Write ``lines`` as text files in ``line_no`` order (part files follow the order).
 
     The range-partitioned sort keeps part-file names in line order, so reading
-    the folder back by path order gives the lines back in order (part numbers
-    have five digits, so this holds up to 100 000 part files).
+    the folder back by path order gives the lines back in order.  Part numbers have
+    five digits; there are never more parts than they can order.
     """
-    writer = lines.orderBy("line_no").select("value").write.mode("errorifexists")
+    parts = min(MAX_PARTS, int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    ordered = lines.repartitionByRange(parts, "line_no").sortWithinPartitions("line_no")
+    writer = ordered.select("value").write.mode("errorifexists")
     writer.option("compression", compression or "none").text(path)
     return path

@@ -7,13 +7,17 @@ bytes (the scan's ReadSchema has path and length only).
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .lines import read_lines
+
 
 def file_inventory(spark: SparkSession, root: str, limit: int | None = None) -> DataFrame:
-    """S5: ``(path, length)`` of every file under ``root``; ``limit`` = first keys by path."""
+    """S5: ``(path, length)`` of every file under ``root``; ``limit`` = first keys by path.
+
+    As Spark lists them: names that begin with ``_`` or ``.`` are hidden, and empty files are not read.
+    """
     listing = (
         spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
         .select("path", "length")
@@ -23,71 +27,75 @@ def file_inventory(spark: SparkSession, root: str, limit: int | None = None) ->
     return listing
 
 
-def _fs_status(spark: SparkSession, path: str):
-    """(exists, is_file) by one file-system metadata call (any Hadoop scheme), no job."""
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(hpath):
-        return False, False
-    return True, bool(fs.getFileStatus(hpath).isFile())
+def _fs(spark: SparkSession, path: str):
+    """The path and its file system (any Hadoop scheme)."""
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hpath, hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
 def object_exists(spark: SparkSession, root: str, path: str | None = None) -> bool:
     """S6: does ``root`` hold any file?  With ``path``: is ``path`` a file
-    (the one-object probe)?  A missing root or object is False."""
-    if path is not None:
-        return _fs_status(spark, path)[1]
-    exists, is_file = _fs_status(spark, root)
-    if not exists:
+    (the one-object probe)?  A missing root or object is False.
+
+    The listing is a file-system iterator that stops at the first file and, unlike
+    Spark's own listing, hides no name (``_`` and ``.`` included).
+    """
+    hpath, fs = _fs(spark, path if path is not None else root)
+    if not fs.exists(hpath):
         return False
-    if is_file:
-        return True
-    try:
-        listing = file_inventory(spark, root)
-    except AnalysisException as err:  # removed between the probe and the listing
-        if (err.getCondition() or "") == "PATH_NOT_FOUND":
-            return False
-        raise
-    return len(listing.select("path").take(1)) > 0
-
-
-def raw_lines_with_source(spark: SparkSession, src: str, line_sep: str | None = None) -> DataFrame:
-    """Lines of ``src`` with their provenance: the raw-landing schema."""
-    r = spark.read.format("text").option("recursiveFileLookup", "true")
-    if line_sep is not None:
-        r = r.option("lineSep", line_sep)
-    return r.load(src).select(
-        F.col("_metadata.file_path").alias("source_path"),
-        F.col("_metadata.file_size").alias("source_size"),
-        F.col("_metadata.file_modification_time").alias("source_mtime"),
-        "value",
-    )
+    if path is not None:
+        return bool(fs.getFileStatus(hpath).isFile())
+    return bool(fs.listFiles(hpath, True).hasNext())
+
+
+def raw_lines_with_source(spark: SparkSession, src: str, line_sep: str | None = "\n") -> DataFrame:
+    """Numbered lines of ``src`` with their provenance: the raw-landing schema.
+
+    Lines end at LF only, so a CR before it stays in the value and each file's bytes can be
+    put together again from its lines and its size.
+    """
+    lines = read_lines(spark, src, line_sep=line_sep, recursive=True, spread=False)
+    return lines.select(F.col("file_path").alias("source_path"), "line_no", "value")
 
 
-def land_raw(spark: SparkSession, src: str, raw_path: str, line_sep: str | None = None,
+def land_raw(spark: SparkSession, src: str, raw_path: str, line_sep: str | None = "\n",
              mode: str = "replace_source") -> DataFrame:
-    """S7: land the lines of ``src`` unchanged, with provenance, in a raw zone.
+    """S7: land the lines of ``src`` unchanged and numbered, with provenance, in a raw zone.
 
     ``replace_source`` (default) partitions the zone by source file and
-    overwrites only the partitions of the files landed now, so landing a
-    file again replaces it, as writing an object to the same key does;
-    ``append`` adds rows.  One distributed write, Parquet with zstd; returns
+    overwrites the partitions of the files listed now, so landing a file again replaces
+    it, as writing an object to the same key does, also when it has become empty: every listed
+    file brings one mark row (``line_no`` -1) with its size and time, which readers do
+    not see.  ``append`` adds rows.  One distributed write, Parquet with zstd; returns
     the raw zone as a DataFrame.
     """
-    rows = raw_lines_with_source(spark, src, line_sep)
-    writer = rows.write.option("compression", "zstd")
+    if mode not in ("append", "replace_source"):
+        raise ValueError("mode must be 'replace_source' or 'append'")
+    listing = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(src)
+    clean = F.regexp_replace("source_path", "^file:/+", "file:///")  # listings write a local path's slashes differently
+    sized = listing.select(F.col("path").alias("source_path"), F.col("length").alias("source_size"),
+                           F.col("modificationTime").alias("source_mtime")).withColumn("source_path", clean)
+    # A scan skips empty files; the file index (names on the driver, as for any read) has them too.
+    named = spark.createDataFrame([(f,) for f in listing.inputFiles()], "source_path string").withColumn("source_path", clean)
+    files = named.join(sized, "source_path", "left").select(
+        "source_path", F.lit(-1).cast("long").alias("line_no"), F.lit(None).cast("string").alias("value"),
+        F.coalesce("source_size", F.lit(0)).cast("long").alias("source_size"), "source_mtime")
+    lines = raw_lines_with_source(spark, src, line_sep).select(
+        "source_path", "line_no", "value", F.lit(None).cast("long").alias("source_size"),
+        F.lit(None).cast("timestamp").alias("source_mtime"))
+    rows = lines.withColumn("source_path", clean).unionByName(files)
+    writer = rows.write.option("compression", "zstd").partitionBy("source_path")
     if mode == "append":
         writer.mode("append").parquet(raw_path)
-    elif mode == "replace_source":
-        key = "spark.sql.sources.partitionOverwriteMode"
-        before = spark.conf.get(key, None)
-        spark.conf.set(key, "dynamic")
-        try:
-            writer.mode("overwrite").partitionBy("source_path").parquet(raw_path)
-        finally:
-            spark.conf.set(key, before) if before is not None else spark.conf.unset(key)
     else:
-        raise ValueError("mode must be 'replace_source' or 'append'")
+        writer.option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(raw_path)
+    return raw_zone(spark, raw_path)
+
+
+def raw_zone(spark: SparkSession, raw_path: str) -> DataFrame:
+    """The landed lines: ``(source_path, source_size, source_mtime, line_no, value)``."""
     zone = spark.read.option("basePath", raw_path).parquet(raw_path)
-    return zone.select("source_path", "source_size", "source_mtime", "value")
+    marks = zone.where(F.col("line_no") == -1).groupBy("source_path").agg(
+        F.max("source_size").alias("source_size"), F.max("source_mtime").alias("source_mtime"))
+    return zone.where(F.col("line_no") >= 0).select("source_path", "line_no", "value").join(marks, "source_path").select(
+        "source_path", "source_size", "source_mtime", "line_no", "value")

@@ -27,12 +27,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .spread import names_unsplittable, spread_if_narrow
+from .spread import layout_of, spread_if_narrow
 
 # Row bound of the split table below which it is broadcast (about 100 bytes a row).
 SPLIT_BROADCAST_ROWS = 200_000
-# File count up to which the names are checked for the one-file-per-partition case.
-NAME_CHECK_FILES = 10_000  # names cross Py4J one by one
 # monotonically_increasing_id(): partition id in the upper 31 bits, record
 # number within the partition in the lower 33 (as documented in the API).
 RECORD_BITS = (1 << 33) - 1
@@ -45,12 +43,11 @@ def _reader(spark: SparkSession, line_sep: str | None):
     return r
 
 
-def _spread_choice(paths: str | list[str], spread: bool | None) -> bool | None:
-    """``None`` (auto): force a spread when a named file cannot be split, else
-    let the partition count decide; ``True``/``False`` force it."""
-    if spread is None and names_unsplittable(paths):
-        return True
-    return spread
+def _check_paths(paths: str | list[str]) -> str | list[str]:
+    """A path given twice would be read twice under one name: refuse it."""
+    if not isinstance(paths, str) and len({p.rstrip("/") for p in paths}) != len(list(paths)):
+        raise ValueError("the same path is given twice")
+    return paths
 
 
 def read_lines_raw(spark: SparkSession, paths: str | list[str], line_sep: str | None = None,
@@ -59,20 +56,12 @@ def read_lines_raw(spark: SparkSession, paths: str | list[str], line_sep: str |
 
     ``spread``: see ``read_lines``.
     """
+    _check_paths(paths)
     df = _reader(spark, line_sep).load(paths)
+    n_parts = df.rdd.getNumPartitions()
     df = df.select(F.col("_metadata.file_path").alias("file_path"), "value")
-    return spread_if_narrow(df, force=_spread_choice(paths, spread))
-
-
-def _one_file_per_partition(scan: DataFrame, n_parts: int, n_files: int) -> bool:
-    """Every input file is non-splittable and has a scan partition of its own.
-
-    Spark never plans an empty file partition, so equal counts mean one file
-    per partition; the names are only read when there are few enough.
-    """
-    if n_files != n_parts or n_files > NAME_CHECK_FILES:
-        return False
-    return all(names_unsplittable(f) for f in scan.inputFiles())
+    layout = layout_of(spark, paths) if spread is None else None
+    return spread_if_narrow(df, current=n_parts, force=spread, layout=layout)
 
 
 def read_lines(
@@ -90,16 +79,19 @@ def read_lines(
     e.g. ``"},"``; the default ends lines at LF, CRLF and CR.
     ``spread``: hash-spread the numbered lines before the per-line work.
     ``None`` spreads when the scan has fewer partitions than the cluster has
-    cores or a named file is not splittable (one big ``.gz``); pass ``True``
-    for a folder holding a few very large gzip files among many small ones.
+    cores, or the listing shows a file that cannot be split and holds far more
+    than a core's share.
     """
+    _check_paths(paths)
     reader = _reader(spark, line_sep)
     if recursive:
         reader = reader.option("recursiveFileLookup", "true")
     scan = reader.load(paths)
     n_parts = scan.rdd.getNumPartitions()
     n_files = len(scan._jdf.inputFiles())  # Py4J array: length read on the JVM side
-    if _one_file_per_partition(scan, n_parts, n_files):
+    layout = layout_of(spark, paths, recursive)
+    # Spark never plans an empty file partition, so equal counts mean one file per partition.
+    if layout.all_unsplittable and n_files == n_parts:
         # Each partition is one whole non-splittable file read from its
         # start, so the record number in the partition is the line number:
         # one pass, no split table.
@@ -108,8 +100,7 @@ def read_lines(
             (F.monotonically_increasing_id().bitwiseAND(F.lit(RECORD_BITS))).alias("line_no"),
             "value",
         )
-        return spread_if_narrow(lines, ["file_path", "line_no"], current=n_parts,
-                                force=_spread_choice(paths, spread))
+        return spread_if_narrow(lines, ["file_path", "line_no"], current=n_parts, force=spread, layout=layout)
     raw = scan.select(
         F.col("_metadata.file_path").alias("file_path"),
         F.col("_metadata.file_block_start").alias("_lk_split"),
@@ -137,8 +128,26 @@ def read_lines(
         "value",
     )
     # The broadcast join keeps the scan's partitioning.
-    return spread_if_narrow(lines, ["file_path", "line_no"], current=n_parts,
-                            force=_spread_choice(paths, spread))
+    return spread_if_narrow(lines, ["file_path", "line_no"], current=n_parts, force=spread, layout=layout)
+
+
+def first_lines(spark: SparkSession, paths: str | list[str], n: int, marker: str, line_sep: str | None = None) -> DataFrame:
+    """The first ``n`` lines that hold ``marker``, by path and place: ``(file_path, line_no, value)``.
+
+    Files are read in path order, one first, then twice as many each time, until there are enough
+    lines; a file's lines come in order of their split and record, so ``line_no``
+    (their rank here) orders them as the file does.  Nothing beyond those files is opened.
+    """
+    files = sorted(_reader(spark, line_sep).load(_check_paths(paths)).inputFiles())
+    at, step, got = 0, 1, []
+    while at < len(files) and len(got) < n:
+        rows = _reader(spark, line_sep).load(files[at: at + step]).where(F.col("value").contains(marker)).select(
+            F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_block_start").alias("split"),
+            F.monotonically_increasing_id().alias("record"), "value")
+        got += rows.orderBy("file_path", "split", "record").limit(n - len(got)).collect()  # n rows at most
+        at, step = at + step, step * 2
+    return spark.createDataFrame([(r["file_path"], i, r["value"]) for i, r in enumerate(got)],
+                                 "file_path string, line_no long, value string")
 
 
 def read_lines_stream(
@@ -146,15 +155,24 @@ def read_lines_stream(
     directory: str,
     max_files_per_trigger: int | None = None,
     line_sep: str | None = None,
+    spread: bool | None = None,
 ) -> DataFrame:
     """T1 source: new files in ``directory`` as a stream of ``(file_path, value)``.
 
     Each file is read once per checkpoint; ``max_files_per_trigger`` is the
-    micro-batch size (T2: text files have no row-count trigger).
+    micro-batch size (T2: text files have no row-count trigger).  ``spread`` deals each
+    micro-batch's lines out to all cores; ``None`` does so when the files there now
+    cannot be split and are fewer than the cores or lopsided.
     """
     r = spark.readStream.format("text")
     if line_sep is not None:
         r = r.option("lineSep", line_sep)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", int(max_files_per_trigger))
-    return r.load(directory).select(F.col("_metadata.file_path").alias("file_path"), "value")
+    lines = r.load(directory).select(F.col("_metadata.file_path").alias("file_path"), "value")
+    cores = spark.sparkContext.defaultParallelism
+    if spread is None:
+        now = layout_of(spark, directory)
+        per_batch = min(now.files, max_files_per_trigger or now.files)
+        spread = now.all_unsplittable and now.files > 0 and (per_batch < cores or now.lopsided(cores))
+    return lines.repartition(cores) if spread else lines

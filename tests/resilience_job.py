@@ -15,7 +15,7 @@ from pyspark.sql import SparkSession  # noqa: E402
 
 from linkyard.operators import assign_batches  # noqa: E402
 from linkyard.sources import read_lines  # noqa: E402
-from tests.fixtures import py_refs, write_text  # noqa: E402
+from tests.fixtures import scan_refs, write_text  # noqa: E402
 
 
 def flaky(batches):
@@ -42,7 +42,7 @@ def main() -> None:
     want, idx = [], 0
     for name, content in (("a.txt", lines), ("b.txt.gz", lines[:700])):
         for n, text in enumerate(content):
-            for p, u in enumerate(py_refs(text)):
+            for p, u in enumerate(scan_refs(text)):
                 want.append((name, n, p, u, idx, idx // 1000 + 1))
                 idx += 1
     assert numbered.rdd.getNumPartitions() > 4, "input must be split"

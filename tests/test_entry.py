@@ -11,13 +11,13 @@ SURVEY_QUERIES = (
     "reconcile summary_report run_result stream_file_refs url_parts format_hms file_inventory object_exists "
     "land_raw stream_progress"
 ).split()
-ROWS_ONLY = {"file_inventory", "object_exists"}
+NEW = "detailed_report replace_date_empty land_raw_emptied stream_table_refs".split()
 
 
 def test_every_survey_query_is_registered():
     q = E.queries()
-    assert set(SURVEY_QUERIES) <= set(q)
-    assert set(E.oracle_sql()) == set(q) - ROWS_ONLY
+    assert set(SURVEY_QUERIES + NEW) <= set(q)
+    assert set(E._ORACLE) == set(E._QUERIES) and set(E._QUERIES) <= set(q)
 
 
 def test_entry_runs_with_stable_schema(spark):

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from linkyard.operators import classified_refs, extract_refs, file_refs, ref_counters
 from linkyard.sources import read_lines
 
-from .fixtures import X2_EXPECTED, X2_LINES, py_network, py_refs, py_type, write_text, x1_lines
+from .fixtures import X2_EXPECTED, X2_LINES, duckdb_classes, scan_refs, write_text, x1_lines
 
 
 def _lines_df(spark, lines):
@@ -37,10 +37,10 @@ def test_x2_golden_rows(spark, workdir):
     assert got == sorted(X2_EXPECTED)
 
 
-def test_x2_equals_python_statement(spark):
+def test_x2_equals_scanner(spark):
     df = _lines_df(spark, X2_LINES)
     got = sorted(tuple(r) for r in extract_refs(df).select("line_no", "pos", "file_url").collect())
-    want = sorted((i, p, u) for i, line in enumerate(X2_LINES) for p, u in enumerate(py_refs(line)))
+    want = sorted((i, p, u) for i, line in enumerate(X2_LINES) for p, u in enumerate(scan_refs(line)))
     assert got == want
 
 
@@ -87,18 +87,17 @@ _LINE = st.one_of(
 
 @settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(_LINE, min_size=20, max_size=80))
-def test_random_lines_match_python_statement(spark, lines):
+def test_random_lines_match_scanner(spark, lines):
     df = _lines_df(spark, lines)
     got = sorted(tuple(r) for r in classified_refs(df)
                  .select("line_no", "pos", "file_url", "file_network", "file_type").collect())
-    want = sorted(
-        (i, p, u, py_network(u), py_type(u))
-        for i, line in enumerate(lines) for p, u in enumerate(py_refs(line))
-    )
-    assert got == want
+    assert [g[:3] for g in got] == sorted((i, p, u) for i, line in enumerate(lines) for p, u in enumerate(scan_refs(line)))
+    plain = [g[2:] for g in got if g[2].isascii() and "\x00" not in g[2]]
+    classes = duckdb_classes([g[0] for g in plain])
+    assert all(classes[u] == (n, t) for u, n, t in plain)
 
 
-def test_page_lines_match_python_statement(spark):
+def test_page_lines_match_scanner(spark):
     from linkyard.sources import page_lines
 
     from .conftest import SF_MID
@@ -107,8 +106,9 @@ def test_page_lines_match_python_statement(spark):
     rows = lines.collect()
     got = sorted(tuple(r) for r in classified_refs(lines)
                  .select("line_no", "pos", "file_url", "file_network", "file_type").collect())
-    want = sorted((r["line_no"], p, u, py_network(u), py_type(u))
-                  for r in rows for p, u in enumerate(py_refs(r["value"])))
-    assert got == want
+    want = sorted((r["line_no"], p, u) for r in rows for p, u in enumerate(scan_refs(r["value"])))
+    assert [g[:3] for g in got] == want
+    classes = duckdb_classes([g[2] for g in got])
+    assert all(classes[g[2]] == g[3:] for g in got)
     assert {g[3] for g in got} == {"in-network", "allowed-amount", "other"}
     assert {"gz", "json.gz", "csv", "unknown"} <= {g[4] for g in got}

@@ -8,10 +8,10 @@ from pyspark.sql import functions as F
 
 from linkyard.operators import (
     assign_batches, batch_counts, cap_records, classified_refs, exclusive_prefix_sum, extract_refs,
-    first_refs, indexed_refs, sample_urls, with_ordinal,
+    first_refs, first_refs_of_lines, indexed_refs, sample_urls, with_ordinal,
 )
 
-from .fixtures import py_refs, x1_lines
+from .fixtures import scan_refs, x1_lines
 
 
 def _lines_df(spark, lines, keys=None):
@@ -66,7 +66,7 @@ def test_index_follows_encounter_order(spark):
     keys = sorted(rnd.sample(range(10**9), 400))
     lines = _lines_df(spark, texts, keys)
     got = sorted((r["ref_index"], r["line_no"], r["pos"], r["file_url"]) for r in indexed_refs(lines).collect())
-    want = [(k, p, u) for k, t in zip(keys, texts) for p, u in enumerate(py_refs(t))]
+    want = [(k, p, u) for k, t in zip(keys, texts) for p, u in enumerate(scan_refs(t))]
     assert [g[1:] for g in got] == want
     assert [g[0] for g in got] == list(range(len(want)))
 
@@ -95,12 +95,29 @@ def test_caps_small_large_and_zero(spark):
     assert large == order[:15_001]
 
 
-def test_first_refs_rejects_unbounded_top_k(spark):
+def test_first_refs_of_lines_reads_on_until_there_are_enough(spark):
+    # The first 300 lines hold the marker but no reference.
+    lines = _lines_df(spark, ["http nothing"] * 300 + [f"https://a/{i} https://b/{i}" for i in range(50)])
+    got = [(r["sample_rank"], r["line_no"], r["pos"]) for r in first_refs_of_lines(lines, 7).orderBy("sample_rank").collect()]
+    assert got == [(i + 1, 300 + i // 2, i % 2) for i in range(7)]
+    assert first_refs_of_lines(lines, 1000).count() == 100
+
+
+def test_ordered_operators_need_line_numbers(spark):
     import pytest
 
-    refs = extract_refs(_lines_df(spark, ["https://a"]))
-    with pytest.raises(ValueError):
-        first_refs(refs, 10**6)
+    raw = spark.createDataFrame([("f", "https://a")], "file_path string, value string")
+    for call in (lambda: indexed_refs(raw), lambda: first_refs(extract_refs(raw), 5), lambda: cap_records(raw, 3),
+                 lambda: first_refs_of_lines(raw, 3)):
+        with pytest.raises(ValueError):
+            call()
+
+
+def test_batch_counts_beyond_an_array(spark):
+    refs = spark.range(2**31 + 10).select(F.col("id"))
+    b = batch_counts(refs, 1)
+    row = b.agg(F.count(F.lit(1)).alias("n"), F.max("batch_no").alias("last"), F.sum("n_refs").alias("refs")).first()
+    assert (row["n"], row["last"], row["refs"]) == (2**31 + 10,) * 3
 
 
 def test_hot_file_and_hot_line(spark, workdir):
@@ -126,24 +143,19 @@ def test_hot_file_and_hot_line(spark, workdir):
     want, idx = [], 0
     for name in sorted(files):  # encounter order: file path, then line, then position
         for n, text in enumerate(files[name]):
-            for p, _ in enumerate(py_refs(text)):
+            for p, _ in enumerate(scan_refs(text)):
                 want.append((name, n, p, idx, idx // 777 + 1))
                 idx += 1
     assert got == sorted(want)
 
 
-def test_cap_switches_to_index_beyond_merge_budget(spark, monkeypatch):
-    import linkyard.operators.ordering as ordering
-
+def test_cap_is_a_filter_on_the_index_at_any_size(spark):
     lines = _lines_df(spark, [f"https://a/{i} https://b/{i}" for i in range(3000)])
-    top_k_plan = ordering.cap_records(lines, 100)._jdf.queryExecution().executedPlan().toString()
-    assert "TakeOrderedAndProject" in top_k_plan
-    monkeypatch.setattr(ordering, "TOP_K_MERGE_BUDGET", 10)
-    capped = ordering.cap_records(lines, 100)
-    plan = capped._jdf.queryExecution().executedPlan().toString()
-    assert "TakeOrderedAndProject" not in plan
-    got = sorted((r["line_no"], r["pos"]) for r in capped.collect())
-    assert got == [(i, p) for i in range(50) for p in range(2)]
+    for n in (1, 100, 5999, 10**6):
+        capped = cap_records(lines, n)
+        assert "TakeOrderedAndProject" not in capped._jdf.queryExecution().executedPlan().toString()
+        got = sorted((r["line_no"], r["pos"]) for r in capped.collect())
+        assert got == [(i, p) for i in range(3000) for p in range(2)][:n]
 
 
 def test_prefix_sum_over_very_sparse_keys(spark):

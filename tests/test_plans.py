@@ -64,7 +64,9 @@ def test_listing_reads_no_content(spark):
     assert "ReadSchema: struct<path:string,length:bigint>" in plan
 
 
-def test_spread_choice_for_one_gzip_file(spark, workdir):
+def test_spread_follows_the_listing(spark, workdir):
+    import random
+
     from linkyard.sources import read_lines, read_lines_raw
 
     from .fixtures import write_text, x1_lines
@@ -74,6 +76,35 @@ def test_spread_choice_for_one_gzip_file(spark, workdir):
     assert "Exchange hashpartitioning(file_path" in auto and "line_no" in auto.split("Exchange hashpartitioning(file_path")[1][:80]
     assert "Exchange" not in _plan(read_lines_raw(spark, path, spread=False))
     assert "RoundRobinPartitioning" in _plan(read_lines_raw(spark, path))
+    # As many gzip files as there are cores, all alike: the scan is wide already, also when named by a glob.
+    cores = spark.sparkContext.defaultParallelism
+    for k in range(2 * cores):
+        write_text(f"{workdir}/wide/p{k:03d}.json.gz", x1_lines(), gz=True)
+    old = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1k")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1k")
+    try:
+        wide = read_lines_raw(spark, f"{workdir}/wide/*.json.gz")
+        assert wide.rdd.getNumPartitions() == 2 * cores and "Exchange" not in _plan(wide)
+        # One large file among them: spread without a flag, into no fewer partitions than the scan has.
+        rnd = random.Random(1)
+        write_text(f"{workdir}/wide/q.json.gz", [str(rnd.random()) for _ in range(40_000)], gz=True)
+        lopsided = read_lines_raw(spark, f"{workdir}/wide/*.json.gz")
+        assert "RoundRobinPartitioning" in _plan(lopsided) and lopsided.rdd.getNumPartitions() >= 2 * cores + 1
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
+def test_a_path_given_twice_is_refused(spark, workdir):
+    from linkyard.sources import read_lines, read_lines_raw
+
+    from .fixtures import write_text
+
+    path = write_text(f"{workdir}/twice/a.txt", ["x"])
+    for read in (read_lines, read_lines_raw):
+        with pytest.raises(ValueError):
+            read(spark, [path, path])
 
 
 def test_partitioned_write_adds_no_sort(spark, workdir):

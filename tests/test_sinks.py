@@ -7,7 +7,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from linkyard.operators import classified_refs, reconcile, run_result, summary_lines
+from linkyard.operators import classified_refs, reconcile
 from linkyard.plans import ExtractionConfig, extract_index_file, run_extraction, write_summary
 from linkyard.schema import FILE_REFS_COLUMNS, file_refs_ddl
 from linkyard.sinks import ensure_table, table_exists, table_rows, write_refs
@@ -62,23 +62,54 @@ def test_replace_date_keeps_other_dates(spark, workdir):
     assert "PartitionFilters: [isnotnull(file_date" in plan
 
 
-def test_run_result_reconcile_and_summary(spark, workdir):
+def test_replace_date_with_nothing_clears_the_date(spark, workdir):
     t = _table(spark, workdir)
     lines = _lines(spark)
-    rep = write_refs(file_refs(lines, "E", "payer", "2025-05-01", "2025-05-01 00:00:00"), t)
-    c = classified_refs(lines)
-    res = run_result(c, rep.records_written).first()
+    for day in ("2025-04-01", "2025-05-01"):
+        write_refs(file_refs(lines, "E", "payer", day, f"{day} 00:00:00"), t)
+    none = file_refs(lines.where("false"), "E", "payer", "2025-05-01", "2025-05-01 00:00:00")
+    assert write_refs(none, t, "replace_date", run_date="2025-05-01").records_written == 0
+    assert {str(r["file_date"]): r["count"] for r in spark.table(t).groupBy("file_date").count().collect()} == {"2025-04-01": 200}
+    # The whole job, replacing with lines that hold nothing.
+    cfg = ExtractionConfig(table=t, entity_name="E", mode="replace_date", as_of="2025-04-01", as_of_ts="2025-04-01 00:00:00")
+    run = run_extraction(spark, spark.createDataFrame([(0, "no link")], "line_no long, value string"), cfg)
+    assert run.counters["written"] == 0 and run.result.first()["sample_urls"] == [] and spark.table(t).count() == 0
+
+
+def test_run_result_reconcile_and_reports(spark, workdir):
+    lines = _lines(spark)
+    t = f"t_{uuid.uuid4().hex[:8]}"
+    cfg = ExtractionConfig(table=t, entity_name="E", location=f"{workdir}/{t}", batch_size=64, catalog="cat", warehouse="s3a://w",
+                           as_of="2025-05-01", as_of_ts="2025-05-01 00:00:00")
+    run = run_extraction(spark, lines, cfg)
+    res = run.result.first()
     assert res["total_file_refs_identified"] == res["total_records_written"] == 200
     assert (res["in_network_count"], res["allowed_amount_count"], res["other_count"]) == (68, 66, 66)
     assert len(res["sample_urls"]) == 15
     assert res["sample_urls"][0] == res["sample_urls"][1] == "https://example.com/in-network/file0.json.gz"
+    c = classified_refs(lines)
     rec = reconcile(c, table_rows(spark, t)).first()
     assert (rec["identified"], rec["written"], rec["lost"]) == (200, 200, 0)
     lost = reconcile(c, table_rows(spark, t).limit(150)).first()
     assert lost["lost"] == 50
-    text = [r["text"] for r in summary_lines(run_result(c, 200), t, 64, 4, "now").orderBy("line_no").collect()]
-    assert "References identified: 200" in text and "Batches: 4" in text
-    assert text[-1] == "- https://example.com/allowed-amount/file7.json"
+    text = [r["text"] for r in run.summary(cfg, "now").orderBy("line_no").collect()]
+    assert {"References identified: 200", "Batches: 4", "Catalog: cat", "Warehouse: s3a://w", f"Table: {t}"} <= set(text)
+    assert text[-1] == "- https://example.com/in-network/file9.json.gz"
+    details = [r["text"] for r in run.details(cfg, "now").orderBy("line_no").collect()]
+    assert "In-network: 68 (34.00 %)" in details and details[-1].startswith("Columns: reporting_entity_name, ")
+
+
+def test_job_caches_nothing_and_writes_without_numbers(spark, workdir):
+    import inspect
+
+    import linkyard.plans.job as job
+
+    assert "persist" not in inspect.getsource(job)
+    path = write_text(f"{workdir}/nc/index.json.gz", x1_lines(), gz=True)
+    from linkyard.sources import read_lines_raw
+
+    plan = file_refs(read_lines_raw(spark, path), "E")._jdf.queryExecution().executedPlan().toString()
+    assert "line_no" not in plan and "Window" not in plan and "Aggregate" not in plan and "Join" not in plan
 
 
 def test_whole_job_over_gzip_index(spark, workdir):
@@ -119,7 +150,39 @@ def test_command_line_job(spark, workdir):
                         "--warehouse-location", f"{workdir}/wh2", "--entity-name", "E", "--stream",
                         "--progress-interval", "0", "--checkpoint", f"{workdir}/cli-ckpt"])
     sout = run(spark, sargs)
-    assert sum(b["refs"] for b in sout["batches"]) == 200
+    assert sum(b["records_written"] for b in sout["batches"]) == sout["totals"]["refs"] == 200
+
+
+def test_stream_report_has_every_batch_and_a_restart_adds_none(spark, workdir):
+    from linkyard.plans.cli import parse_args, run
+
+    src, table = f"{workdir}/cli5", f"cli5_{uuid.uuid4().hex[:6]}"
+    for i in range(5):
+        write_text(f"{src}/f{i}.txt", [f"https://a/{i} https://b/{i}"])
+    argv = ["--index-file", src, "--file-refs-table", table, "--warehouse-location", f"{workdir}/wh5", "--entity-name", "E",
+            "--stream", "--progress-interval", "0", "--max-files-per-trigger", "1"]
+    key = "spark.sql.streaming.numRecentProgressUpdates"
+    spark.conf.set(key, "2")
+    try:
+        out = run(spark, parse_args(argv))
+        again = run(spark, parse_args(argv))  # no --checkpoint: the same one is found again
+    finally:
+        spark.conf.unset(key)
+    assert [b["records_written"] for b in out["batches"]] == [2] * 5
+    assert out["totals"]["batches"] == 5 and out["totals"]["refs"] == 10
+    assert again["checkpoint"] == out["checkpoint"] and again["batches"] == out["batches"]
+    assert spark.read.parquet(f"{workdir}/wh5/{table}").count() == 10
+
+
+def test_stream_refuses_flags_it_cannot_honour(spark):
+    import pytest
+
+    from linkyard.plans.cli import parse_args
+
+    base = ["--index-file", "x", "--entity-name", "E", "--stream"]
+    for more in (["--max-records", "3"], ["--mode", "replace_date"], ["--batch-size", "7"], ["--summary-path", "s"]):
+        with pytest.raises(SystemExit):
+            parse_args(base + more)
 
 
 def test_records_per_file_caps_output_files(spark, workdir):

@@ -86,7 +86,7 @@ def test_inventory_exists_and_raw_landing(spark, workdir):
     assert object_exists(spark, f"{workdir}/land", f"file://{workdir}/land/b.txt.gz")
     assert not object_exists(spark, f"{workdir}/land", f"{workdir}/land/x")  # a folder is not an object
     raw = land_raw(spark, f"{workdir}/land", f"{workdir}/raw")
-    assert raw.columns == ["source_path", "source_size", "source_mtime", "value"]
+    assert raw.columns == ["source_path", "source_size", "source_mtime", "line_no", "value"]
     assert sorted(r["value"] for r in raw.collect()) == ["one", "three", "two"]
     assert raw.where(F.col("source_size") <= 0).count() == 0
     assert {os.path.basename(r["source_path"]) for r in raw.collect()} == {"a.txt", "b.txt.gz"}
@@ -95,6 +95,21 @@ def test_inventory_exists_and_raw_landing(spark, workdir):
     land_raw(spark, f"{workdir}/land", f"{workdir}/raw")
     again = land_raw(spark, f"{workdir}/land2", f"{workdir}/raw")
     assert sorted(r["value"] for r in again.collect()) == ["four", "one", "three", "three", "two"]
+    # A file that has become empty leaves nothing; a file's bytes can be rebuilt, CR included.
+    open(f"{workdir}/land/x/a.txt", "w").close()
+    write_text(f"{workdir}/land/c.txt", ["p", "", "q"], eol="\r\n")
+    zone = land_raw(spark, f"{workdir}/land", f"{workdir}/raw")
+    names = {os.path.basename(r["source_path"]): [] for r in zone.collect()}
+    for r in zone.orderBy("source_path", "line_no").collect():
+        names[os.path.basename(r["source_path"])].append(r["value"])
+    assert "a.txt" not in names and "".join(v + "\n" for v in names["c.txt"]) == "p\r\n\r\nq\r\n"
+
+
+def test_object_exists_hides_no_name(spark, workdir):
+    write_text(f"{workdir}/hidden/_only", ["x"])
+    assert object_exists(spark, f"{workdir}/hidden")
+    os.makedirs(f"{workdir}/hollow/deeper")
+    assert not object_exists(spark, f"{workdir}/hollow")
 
 
 def test_raw_scan_has_no_line_numbers(spark, workdir):

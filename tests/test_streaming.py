@@ -7,7 +7,7 @@ import uuid
 from linkyard.operators import file_refs
 from linkyard.sinks import ensure_table
 from linkyard.sources import read_lines
-from linkyard.streaming import progress_rows, stream_file_refs, stream_into_table
+from linkyard.streaming import committed_batches, progress_rows, stream_file_refs, stream_into_table, write_stream_batch
 
 from .fixtures import write_text, x1_lines
 
@@ -42,18 +42,43 @@ def test_stream_equals_batch_and_restart_reads_nothing_twice(spark, workdir):
     assert spark.read.parquet(sink).count() == 202
 
 
-def test_stream_into_table_skips_replayed_batches(spark, workdir):
+def test_a_batch_that_comes_again_is_not_doubled(spark, workdir):
+    """The batch function, called again with one id: after the mark, and after a crash before it."""
+    import shutil
+
+    table, ckpt = f"st_{uuid.uuid4().hex[:8]}", f"{workdir}/ckpt2"
+    ensure_table(spark, table, location=f"{workdir}/{table}")
+    lines = spark.createDataFrame(list(enumerate(x1_lines())), "line_no long, value string")
+    one, two = (file_refs(lines.where(f"line_no % 2 = {k}"), "E", "payer", *TS) for k in (0, 1))
+
+    def stored():
+        return spark.read.parquet(f"{workdir}/{table}").count()  # the files, whatever a session has cached
+
+    assert write_stream_batch(one, 0, table, ckpt) == one.count()
+    assert write_stream_batch(two, 1, table, ckpt) == two.count()
+    assert stored() == 200
+    assert write_stream_batch(two, 1, table, ckpt) is None
+    assert stored() == 200
+    shutil.rmtree(f"{ckpt}/linkyard_batches_done/1")  # the crash: files are in the table, the mark is not
+    assert write_stream_batch(two, 1, table, ckpt) == two.count()
+    assert stored() == 200
+    spark.catalog.refreshTable(table)
+    assert _rows(spark.table(table)) == _rows(file_refs(lines, "E", "payer", *TS).select(*spark.table(table).columns))
+    assert sorted(r["batch_id"] for r in committed_batches(spark, ckpt).collect()) == [0, 1]
+
+
+def test_stream_into_table_restart_and_callers_view(spark, workdir):
     src = f"{workdir}/src2"
     write_text(f"{src}/a.json.gz", x1_lines(), gz=True)
     table = f"st_{uuid.uuid4().hex[:8]}"
     ensure_table(spark, table, location=f"{workdir}/{table}")
-    ckpt = f"{workdir}/ckpt2"
+    ckpt = f"{workdir}/ckpt3t"
+    assert spark.table(table).count() == 0  # the caller has listed the empty table
     stream_into_table(spark, src, table, ckpt, "E", "payer", *TS).awaitTermination()
     assert spark.table(table).count() == 200
-    ledger = spark.read.parquet(ckpt + "/linkyard_committed_batches")
-    assert [r["records_written"] for r in ledger.collect()] == [200]
+    write_text(f"{src}/b.json.gz", x1_lines(), gz=True)
     stream_into_table(spark, src, table, ckpt, "E", "payer", *TS).awaitTermination()
-    assert spark.table(table).count() == 200
+    assert spark.table(table).count() == 400 == spark.read.parquet(f"{workdir}/{table}").count()
 
 
 def test_progress_recorder_keeps_every_batch(spark, workdir):
@@ -79,6 +104,7 @@ def test_progress_recorder_keeps_every_batch(spark, workdir):
     rows = [r for r in rec.for_query(q) if r["input_rows"] > 0]
     assert len(rows) == 5 and sum(r["refs"] for r in rows) == 198  # lines 0-99: header + 99 URL lines x 2
     assert all(r["batch_id"] % 2 == 0 for r in rec.reports)
+    assert rec.totals[str(q.id)]["refs"] == 198 and rec.totals[str(q.id)]["batches"] == 5
 
 
 def test_stream_caps_rows_per_file(spark, workdir):
