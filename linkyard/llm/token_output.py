@@ -34,6 +34,7 @@ from .textual import mix64
 
 NULL_KEY = -(2**63)
 GAMMA = 2.0
+RANGES_PER_TASK = 8
 
 
 # --- minimal perfect hash --------------------------------------------------
@@ -264,7 +265,7 @@ def _pack(width: int, shard_bytes: int):
 
 
 def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = 2, key: str = "doc_id",
-                 shard_bytes: int = 8 << 20, range_bytes: int = 16 << 20, max_ranges: int = 20_000) -> None:
+                 shard_bytes: int = 8 << 20, range_bytes: int = 2 << 20, max_ranges: int = 20_000) -> None:
     """Encode ``docs.text`` and write shards under ``path/shards`` and the directory
     under ``path/directory``.  Shards follow each other in ascending key."""
     spark = docs.sparkSession
@@ -280,7 +281,8 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int =
     found = docs.select(key).filter(F.col(key).isNotNull()).approxQuantile(key, cut, 0.2 / n_ranges) if cut else []
     bounds = np.unique(np.array([int(x) for x in found], np.int64))
     rows = docs.mapInArrow(_encode(tokenizer_path, end_id, key, bounds), "shard int, key long, n long, ids binary")
-    shards = (rows.repartition(n_ranges, "shard").sortWithinPartitions("shard", "key", "n", "ids")
+    # Several ranges a task, so that tasks come out alike however the ranges are dealt.
+    shards = (rows.repartition(-(-n_ranges // RANGES_PER_TASK), "shard").sortWithinPartitions("shard", "key", "n", "ids")
               .mapInArrow(_pack(width, shard_bytes), SHARD))
     shards.write.option("compression", "zstd").parquet(f"{path}/shards")
     heads = spark.read.parquet(f"{path}/shards").select("shard", "part", "n_docs", "n_ids", "first_key", "last_key")

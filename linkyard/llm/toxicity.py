@@ -2,7 +2,7 @@
 
 Words that look disguised (a digit or sign among letters, a letter three times in a row, a row of
 single letters) become character lattices: a sign stands for one of its letters or for nothing, a
-repeated letter may be one, separators may vanish.  Viterbi decoding under a character trigram
+repeated letter may be one, separators may vanish.  Viterbi decoding under a character four-gram
 model, counted over all training texts, picks the restored word.  Words and byte six-grams
 of the text, and the restored words, then feed a logistic model of the labels.
 
@@ -39,7 +39,7 @@ SEPARATORS = " .-_*~'`,:;/\\"
 _CLASS = np.zeros(256, np.int32)  # 0: no letter, 1-26: a-z, 27: a byte of another letter
 _CLASS[0x61:0x7B] = _CLASS[0x41:0x5B] = np.arange(1, 27)
 _CLASS[0x80:] = 27
-CLASSES = 28
+CLASSES, ORDER = 28, 4
 _LETTER = _CLASS > 0
 _LEADS = np.zeros(256, bool)
 _LEADS[[ord(c) for c in LEET]] = True
@@ -52,43 +52,49 @@ _GRAM_CODES[~ALNUM] = np.uint64(0x2545F4914F6CDD1D)
 # --- character model -------------------------------------------------------
 
 def character_counts(docs: DataFrame) -> np.ndarray:
-    """Trigram counts of character classes over every text, as a dense ``CLASSES ** 3`` table."""
+    """Four-gram counts of character classes over every text, as a dense ``CLASSES ** ORDER`` table."""
 
     def run(batches):
-        total = np.zeros(CLASSES ** 3, np.int64)
+        total = np.zeros(CLASSES ** ORDER, np.int64)
         for batch in batches:
             data, off = text_bytes(batch.column(0))
             for lo, hi in doc_blocks(off):
                 part = data[off[lo]: off[hi]]
                 for at in range(0, len(part), 2 * BLOCK):
-                    c = _CLASS[part[at: at + 2 * BLOCK + 2]]
-                    if len(c) >= 3:
-                        total += np.bincount((c[:-2] * CLASSES + c[1:-1]) * CLASSES + c[2:], minlength=CLASSES ** 3)
+                    c = _CLASS[part[at: at + 2 * BLOCK + ORDER - 1]]
+                    n = len(c) - ORDER + 1
+                    if n > 0:
+                        cell = c[:n]
+                        for k in range(1, ORDER):
+                            cell = cell * CLASSES + c[k: n + k]
+                        total += np.bincount(cell, minlength=CLASSES ** ORDER)
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int64()), pa.array(total[seen])], names=["k", "n"])
 
-    out = np.zeros(CLASSES ** 3, np.int64)
-    # At most CLASSES ** 3 rows whatever the corpus.
-    for r in docs.select("text").mapInArrow(run, "k long, n long").groupBy("k").agg(F.sum("n").alias("n")).collect():
-        out[r["k"]] = r["n"]
+    out = np.zeros(CLASSES ** ORDER, np.int64)
+    # At most CLASSES ** ORDER rows whatever the corpus.
+    rows = docs.select("text").mapInArrow(run, "k long, n long").groupBy("k").agg(F.sum("n").alias("n")).toArrow()
+    out[rows.column("k").to_numpy()] = rows.column("n").to_numpy()
     return out
 
 
 def character_model(counts: np.ndarray) -> np.ndarray:
-    """``log P(c | a, b)`` with add-one smoothing."""
-    c = counts.reshape(CLASSES, CLASSES, CLASSES) + 1.0
-    return np.log(c / c.sum(axis=2, keepdims=True))
+    """``log P(d | a, b, c)``, smoothed by a tenth of a count."""
+    c = counts.reshape((CLASSES,) * ORDER) + 0.1
+    return np.log(c / c.sum(axis=-1, keepdims=True)).astype(np.float32)
 
 
 # --- lattice decoding ------------------------------------------------------
 
-KEEP, SWAP, DROP_REPEAT, DROP_SIGN, KEEP_REPEAT = 0.0, -0.7, -0.5, -2.0, -1.5
+# Log weights of the channel.  Dropping a sign saves the model's price of a letter, so it costs more
+# than any letter does; a separator among letters is dropped at no great cost.
+KEEP, SWAP, DROP_REPEAT, DROP_SIGN, DROP_SEPARATOR, KEEP_REPEAT = 0.0, -0.7, -0.5, -9.0, -0.5, -1.5
 
 
 def decode(observed: str, model: np.ndarray) -> str:
     """The likeliest plain word behind ``observed`` (lower case)."""
-    # state: the last two classes and the last character; value: score and text.
-    states = {(0, 0, ""): (0.0, "")}
+    # state: the last three classes and the last character; value: score and text.
+    states = {(0, 0, 0, ""): (0.0, "")}
     for at, c in enumerate(observed):
         again = at > 0 and observed[at - 1] == c
         arcs = []
@@ -98,21 +104,21 @@ def decode(observed: str, model: np.ndarray) -> str:
                 arcs.append(("", DROP_REPEAT))
         else:
             arcs += [(x, SWAP) for x in LEET.get(c, "")]
-            arcs.append(("", DROP_SIGN + (1.5 if c in SEPARATORS else 0.0)))
+            arcs.append(("", DROP_SEPARATOR if c in SEPARATORS else DROP_SIGN))
         nxt: dict = {}
-        for (a, b, last), (score, text) in states.items():
+        for (a, b, d, last), (score, text) in states.items():
             for x, cost in arcs:
                 if not x:
                     if c.isalpha() and last != c:
                         continue
-                    key, value = (a, b, last), (score + cost, text)
+                    key, value = (a, b, d, last), (score + cost, text)
                 else:
                     k = ord(x) - 96 if "a" <= x <= "z" else 27
-                    key, value = (b, k, x), (score + cost + float(model[a, b, k]), text + x)
+                    key, value = (b, d, k, x), (score + cost + float(model[a, b, d, k]), text + x)
                 if key not in nxt or value[0] > nxt[key][0]:
                     nxt[key] = value
         states = nxt or states
-    best = max(((s + float(model[a, b, 0]), t) for (a, b, _), (s, t) in states.items()), default=(0.0, ""))
+    best = max(((s + float(model[a, b, d, 0]), t) for (a, b, d, _), (s, t) in states.items()), default=(0.0, ""))
     return best[1]
 
 
@@ -170,7 +176,9 @@ class Restorer:
         stop = np.flatnonzero(single & (edge[1:] | ~np.concatenate((single[1:], [False])))) + 1
         for a, b in zip(begin.tolist(), stop.tolist()):
             if b - a >= 4:
-                out.append((int(doc[a]), self.word(low[starts[a:b]].tobytes().decode("ascii", "ignore"))))
+                # A word of one letter may stand next to the row: also without its first or last one.
+                row = low[starts[a:b]].tobytes().decode("ascii", "ignore")
+                out += [(int(doc[a]), self.word(x)) for x in (row, row[1:], row[:-1])]
         return out
 
 
