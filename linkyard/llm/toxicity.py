@@ -88,7 +88,8 @@ def character_model(counts: np.ndarray) -> np.ndarray:
 
 # Log weights of the channel.  Dropping a sign saves the model's price of a letter, so it costs more
 # than any letter does; a separator among letters is dropped at no great cost.
-KEEP, SWAP, DROP_REPEAT, DROP_SIGN, DROP_SEPARATOR, KEEP_REPEAT = 0.0, -0.7, -0.5, -9.0, -0.5, -1.5
+KEEP, SWAP, DROP_SIGN, DROP_SEPARATOR = 0.0, -0.7, -9.0, -0.5
+KEEP_DOUBLE, DROP_DOUBLE, KEEP_MORE, DROP_MORE = 0.0, -4.0, -1.5, -0.5  # a letter met twice in a row; in a longer row
 
 
 def decode(observed: str, model: np.ndarray) -> str:
@@ -97,11 +98,12 @@ def decode(observed: str, model: np.ndarray) -> str:
     states = {(0, 0, 0, ""): (0.0, "")}
     for at, c in enumerate(observed):
         again = at > 0 and observed[at - 1] == c
+        more = again and (observed[at - 2: at - 1] == c or observed[at + 1: at + 2] == c)
         arcs = []
         if c.isalpha():
-            arcs.append((c, KEEP_REPEAT if again else KEEP))
+            arcs.append((c, (KEEP_MORE if more else KEEP_DOUBLE) if again else KEEP))
             if again:
-                arcs.append(("", DROP_REPEAT))
+                arcs.append(("", DROP_MORE if more else DROP_DOUBLE))
         else:
             arcs += [(x, SWAP) for x in LEET.get(c, "")]
             arcs.append(("", DROP_SEPARATOR if c in SEPARATORS else DROP_SIGN))
@@ -257,8 +259,9 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, max_labelled: int, key:
     return docs.select(key, "text").join(F.broadcast(some), key).select("label", "text")
 
 
-def fit(sample: DataFrame, model: np.ndarray, n_features: int = 3000, rounds: int = 300, l2: float = 1.0):
-    """``(feature ids, weights, bias)`` of a logistic model on the features that tell the labels apart best."""
+def fit(sample: DataFrame, model: np.ndarray, n_features: int = 3000, rounds: int = 300, l2: float = 0.2, least_gain: float = 10.0):
+    """``(feature ids, weights, bias)`` of a logistic model on the features that tell the labels apart
+    best, and by ``least_gain`` nats at least (among a million features, chance alone gives less)."""
     def run(batches):
         restorer = Restorer(model)
         for batch in batches:
@@ -288,7 +291,7 @@ def fit(sample: DataFrame, model: np.ndarray, n_features: int = 3000, rounds: in
         + (neg - n0) * np.log(np.maximum(1 - p0, 1e-9) / np.maximum(1 - p, 1e-9))
     gain[(n1 + n0) < 2] = 0
     chosen = np.argsort(-gain, kind="stable")[:n_features]
-    chosen = np.sort(chosen[gain[chosen] > 0])
+    chosen = np.sort(chosen[gain[chosen] >= least_gain])
     rows = np.concatenate([np.full(len(h), i) for i, d in enumerate(docs) if len(h := np.flatnonzero(np.isin(d, chosen)))]
                           or [np.empty(0, np.int64)]).astype(np.int64)
     cols = np.concatenate([np.searchsorted(chosen, d[np.isin(d, chosen)]) for d in docs] or [np.empty(0, np.int64)]).astype(np.int64)
