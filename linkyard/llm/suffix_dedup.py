@@ -305,10 +305,10 @@ def _edge_verdicts(rows, n_tokens: int, least: int) -> list[np.ndarray]:
 
 
 def shared_suffixes(rows: DataFrame, make_rows, n_tokens: int, least: int, sample: DataFrame, n_rows_bytes: float,
-                    n_buckets: int, tag: str) -> DataFrame:
+                    n_buckets: int, tag: str, range_bytes: int) -> DataFrame:
     """Verdict parcels by address bucket, of all rows that ``make_rows`` makes and that share ``least`` tokens with another."""
     spark = rows.sparkSession
-    n_ranges = partitions_for(n_rows_bytes, 16 << 20)
+    n_ranges = partitions_for(n_rows_bytes, range_bytes)
 
     def keys(batches):
         for batch in batches:
@@ -415,8 +415,12 @@ def _cut(length: int, with_bytes: bool):
     return run
 
 
-def remove_repeats(docs: DataFrame, length: int = 400, spread: int = SPREAD, key: str = "doc_id", with_bytes: bool = True) -> DataFrame:
-    """Per row of ``docs``: bytes, removed bytes, maximal removed spans, and the bytes that stay."""
+def remove_repeats(docs: DataFrame, length: int = 400, spread: int = SPREAD, key: str = "doc_id", with_bytes: bool = True,
+                   range_bytes: int = 16 << 20) -> DataFrame:
+    """Per row of ``docs``: bytes, removed bytes, maximal removed spans, and the bytes that stay.  Suffixes are
+    dealt to ranges of about ``range_bytes``."""
+    if length - spread + 1 < GRAM:
+        raise ValueError("length must be at least spread + 15")
     spark = docs.sparkSession
     ship(spark)
     rows = docs.select(F.col(key).alias("_sd_key"), F.coalesce("text", F.lit("")).alias("text")).withColumn("addr", F.xxhash64("text"))
@@ -424,7 +428,7 @@ def remove_repeats(docs: DataFrame, length: int = 400, spread: int = SPREAD, key
     n_docs, n_bytes = slim.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).head()
     n_buckets = partitions_for(n_bytes, 16 << 20)
     sample = slim.sample(min(1.0, 4.0 * SAMPLED_TEXTS / max(1, n_docs)), seed=1).limit(SAMPLED_TEXTS)
-    suffixes = shared_suffixes(slim, _anchor_rows(length, spread), 3, 2, sample, ROW_BYTES * 2 * n_bytes / spread, n_buckets, "suffixes")
+    suffixes = shared_suffixes(slim, _anchor_rows(length, spread), 3, 2, sample, ROW_BYTES * 2 * n_bytes / spread, n_buckets, "suffixes", range_bytes)
     by_text = stored(suffixes.repartition(n_buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(_by_text(3), BY_TEXT), "suffix-texts")
 
     squeeze = F.arrow_udf(_squeeze, T.BinaryType())
@@ -434,7 +438,7 @@ def remove_repeats(docs: DataFrame, length: int = 400, spread: int = SPREAD, key
     n_look = look.count()
     n_strings = look.mapInArrow(_count_strings, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).head()[0]
     some = look.sample(min(1.0, 4.0 * SAMPLED_TEXTS / max(1, n_look)), seed=1).limit(SAMPLED_TEXTS)
-    strings = shared_suffixes(look, _string_rows(length), 2, 2, some, 28 * n_strings, n_buckets, "strings")
+    strings = shared_suffixes(look, _string_rows(length), 2, 2, some, 28 * n_strings, n_buckets, "strings", range_bytes)
     single = stored(strings.repartition(n_buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(_by_text(2), BY_TEXT), "string-texts")
 
     found = texts.join(by_text.select("addr", F.col("whole").alias("a")), "addr", "left") \
