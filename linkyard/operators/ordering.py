@@ -10,8 +10,9 @@ weighs its number of references), not a window over all references:
 3. bucket bases come from a running sum over the bucket totals, a table
    ``width`` times smaller than the lines; while that table is still large
    its running sum is found the same way, one level up (``FANOUT`` buckets
-   per upper bucket), so the one-task running sum at the top only sees a
-   table that is small whatever the data size;
+   per upper bucket), and over many files the top table is cut into ranges of
+   paths, so the one-task running sum only sees a table that is small whatever
+   the data size;
 4. a line's base + the position of a reference in it = its index.
 
 Nothing is materialised and nothing depends on partition ids, so a lost
@@ -34,6 +35,8 @@ MAX_BUCKET_WIDTH = 1 << 20
 FILE_BUCKET_WIDTH = 1 << 16
 # Buckets of one level per bucket of the next level up.
 FANOUT = 1 << 16
+# Files per range of paths at the top level, and the most ranges: a one-task sum over ranges.
+FILES_PER_RANGE, MOST_RANGES = 1000, 4096
 # Widths stay inside a long (very sparse keys can ask for more).
 MAX_WIDTH = 1 << 62
 # A bucket table up to this size gets its running sum in one task.
@@ -68,8 +71,33 @@ def _levels_for(n_buckets: int) -> int:
     return levels
 
 
+def _path_bounds(df: DataFrame, files_per_range: int = FILES_PER_RANGE, most: int = MOST_RANGES) -> list[str]:
+    """Paths that cut the input's files, by name, into ranges of about ``files_per_range`` (``most`` at
+    most), from the listing the driver holds anyway."""
+    n = len(df._jdf.inputFiles())  # a length, no names
+    ranges = min(most, -(-n // files_per_range))
+    if ranges < 2:
+        return []
+    files = sorted(df.inputFiles())
+    return [files[n * i // ranges] for i in range(1, ranges)]
+
+
+def _range_bases(totals: DataFrame, grp: list[str], last: str, total: str, base: str, bounds: list[str]) -> DataFrame:
+    """``totals`` with ``base``, the sum of all totals before each in ``(*grp, last)`` order: a running sum
+    within each range of the first group column, and one over the ranges."""
+    cuts = F.array(*[F.lit(b) for b in bounds])
+    rng = F.size(F.filter(cuts, lambda b: b <= F.col(grp[0])))
+    ranged = totals.withColumn("_lk_range", rng)
+    over = Window.orderBy("_lk_range").rowsBetween(Window.unboundedPreceding, -1)  # one row per range
+    heads = ranged.groupBy("_lk_range").agg(F.sum(total).alias("_lk_range_total")).select(
+        "_lk_range", F.coalesce(F.sum("_lk_range_total").over(over), F.lit(0)).alias("_lk_range_base"))
+    within = Window.partitionBy("_lk_range").orderBy(*grp, last).rowsBetween(Window.unboundedPreceding, -1)
+    return ranged.withColumn("_lk_in_range", F.coalesce(F.sum(total).over(within), F.lit(0))).join(heads, "_lk_range", "left").withColumn(
+        base, F.col("_lk_range_base") + F.col("_lk_in_range")).drop("_lk_range", "_lk_range_base", "_lk_in_range")
+
+
 def _prefix_level(df: DataFrame, grp: list[str], num: str, w: Column, out: str,
-                  low: int, width: int, level: int, levels: int, fanout: int) -> DataFrame:
+                  low: int, width: int, level: int, levels: int, fanout: int, bounds: list[str]) -> DataFrame:
     tag = f"_lk{level}"
     bkt, total, last, base = f"{tag}_bucket", f"{tag}_total", f"{tag}_last", f"{tag}_base"
     keyed = df.withColumn(bkt, F.expr(f"(`{num}` - {low}) div {width}")).repartition(*grp, bkt)
@@ -83,8 +111,10 @@ def _prefix_level(df: DataFrame, grp: list[str], num: str, w: Column, out: str,
         # bucket's last key, so both consumers of the upper exchange read the
         # same columns (one exchange, reused) and the totals are built once.
         upper = _prefix_level(totals.select(*grp, total, last), grp, last, F.col(total), base,
-                              low, min(width * fanout, MAX_WIDTH), level + 1, levels, fanout)
+                              low, min(width * fanout, MAX_WIDTH), level + 1, levels, fanout, bounds)
         bases = upper.select(*grp, F.expr(f"(`{last}` - {low}) div {width}").alias(bkt), base)
+    elif grp and bounds:
+        bases = _range_bases(totals, grp, last, total, base, bounds).select(*grp, bkt, base)
     else:
         before_bucket = Window.orderBy(*grp, last).rowsBetween(Window.unboundedPreceding, -1)
         bases = totals.select(*grp, bkt, F.coalesce(F.sum(total).over(before_bucket), F.lit(0)).alias(base))
@@ -107,6 +137,7 @@ def exclusive_prefix_sum(
     low: int | None = None,
     levels: int | None = None,
     fanout: int = FANOUT,
+    bounds: list[str] | None = None,
 ) -> DataFrame:
     """Add ``out`` = sum of ``weight`` over all rows strictly before each row.
 
@@ -117,8 +148,9 @@ def exclusive_prefix_sum(
 
     Rows go into key-range buckets of ``width`` keys; bucket bases come from
     the same procedure one level up (``FANOUT`` buckets a bucket) until the
-    top table is small, so no single task ever sees a table that grows with
-    the data faster than the number of groups.
+    top table is small.  Over many files the top table has a row per file: it is
+    cut into ranges of paths at ``bounds`` (taken from the input's listing), and the one-task
+    sum sees one row per range.
 
     When ``df`` holds only the order columns and what ``weight`` reads, both
     consumers of the bucket exchange (totals and running sum) need the same
@@ -133,7 +165,9 @@ def exclusive_prefix_sum(
     if width is None or low is None:
         low, width, n_buckets = _bucket_width(df, num)
         levels = _levels_for(n_buckets) if levels is None else levels
-    return _prefix_level(df, grp, num, w, out, low, width, 0, levels or 0, fanout)
+    if bounds is None:
+        bounds = _path_bounds(df) if grp == ["file_path"] else []
+    return _prefix_level(df, grp, num, w, out, low, width, 0, levels or 0, fanout, bounds)
 
 
 def with_ordinal(df: DataFrame, order_cols: list[str], out: str = "ordinal") -> DataFrame:

@@ -36,6 +36,9 @@ def test_exclusive_prefix_sum_brute_force(spark):
     deep = exclusive_prefix_sum(df, ["g", "k"], "w", "s", width=7, low=-5000, levels=3, fanout=4)
     assert {(r["g"], r["k"]): r["s"] for r in deep.collect()} == want
     flat = exclusive_prefix_sum(df.select("k", "w"), ["k"], "w", "s", width=5, low=-5000, levels=2, fanout=3)
+    # Ranges of the group column: bounds need not be groups themselves.
+    ranged = exclusive_prefix_sum(df, ["g", "k"], "w", "s", width=7, low=-5000, levels=1, fanout=4, bounds=["f1", "f1x", "f3", "zz"])
+    assert {(r["g"], r["k"]): r["s"] for r in ranged.collect()} == want
     run, want_flat = 0, {}
     for k, wt in sorted((k, wt) for _, k, wt in rows):
         want_flat[k] = run
@@ -169,3 +172,22 @@ def test_prefix_sum_over_very_sparse_keys(spark):
         want[k] = run
         run += w
     assert got == want
+
+
+def test_many_files_are_summed_by_ranges_of_paths(spark, workdir, monkeypatch):
+    import linkyard.operators.ordering as ordering
+    from linkyard.sources import read_lines
+
+    from .fixtures import write_text
+
+    rnd = random.Random(11)
+    files = {f"d{k % 3}/f{k:02d}.txt": [" ".join(f"https://{k}/{i}-{j}" for j in range(rnd.randint(0, 4))) for i in range(rnd.randint(0, 30))]
+             for k in range(24)}
+    for name, content in files.items():
+        write_text(f"{workdir}/many/{name}", content)
+    monkeypatch.setattr(ordering._path_bounds, "__defaults__", (4, 5))
+    lines = read_lines(spark, f"{workdir}/many", recursive=True)
+    assert len(ordering._path_bounds(lines)) == 4
+    got = sorted((r["ref_index"], r["file_url"]) for r in indexed_refs(lines).collect())
+    want = [u for name in sorted(files) for text in files[name] for u in scan_refs(text)]
+    assert got == list(enumerate(want))
