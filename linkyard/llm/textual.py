@@ -1,6 +1,6 @@
 """Arrow text columns as numpy byte arrays: word bounds and word hashes.
 
-All work is per Arrow batch and in blocks of about a megabyte, so memory does
+All work is per Arrow batch and in blocks of about half a megabyte, so memory does
 not depend on the length of a text beyond the text itself.
 """
 
@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-BLOCK = 1 << 20
+BLOCK = 1 << 18
 
 # Byte classes of the word patterns.
 #   SPACED: words are [^\x20\x09-\x0D]+      ALNUM: [^\x00-\x2F\x3A-\x60\x7B-\x7F]+ after A-Z are lowered

@@ -122,7 +122,7 @@ class PieceEncoder:
     and goes straight to the library's model; any other goes through all of it.
     """
 
-    def __init__(self, tokenizer_path: str, keep: int = 200_000):
+    def __init__(self, tokenizer_path: str, keep: int = 150_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -134,7 +134,7 @@ class PieceEncoder:
         self.code = "H" if self.width.itemsize == 2 else "I"
 
     @classmethod
-    def shared(cls, tokenizer_path: str, keep: int = 200_000) -> "PieceEncoder":
+    def shared(cls, tokenizer_path: str, keep: int = 150_000) -> "PieceEncoder":
         """One per worker process, so that later tasks find the pieces of earlier ones."""
         key = (tokenizer_path, keep)
         if key not in _ENCODERS:
@@ -185,7 +185,7 @@ class PieceEncoder:
         return [b"".join(map(get, ps)) + end for ps in cut]
 
 
-def _encode(tokenizer_path: str, end_id: int, key: str, bounds: np.ndarray, batch_chars: int = 1 << 22):
+def _encode(tokenizer_path: str, end_id: int, key: str, bounds: np.ndarray, batch_chars: int = 1 << 20):
     def run(batches):
         enc, squeeze = PieceEncoder.shared(tokenizer_path), zstandard.ZstdCompressor(1)
         for batch in batches:
@@ -208,6 +208,7 @@ def _encode(tokenizer_path: str, end_id: int, key: str, bounds: np.ndarray, batc
                     [pa.array(np.searchsorted(bounds, k, "right").astype(np.int32)), pa.array(k), pa.array(n, pa.int64()),
                      pa.array([squeeze.compress(x) for x in ids], pa.binary())], names=["shard", "key", "n", "ids"])
                 lo = hi
+        enc.older = {}  # the worker process stays for later tasks of any kind
 
     return run
 
