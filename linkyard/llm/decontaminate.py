@@ -222,10 +222,11 @@ def _add_hits(batch, sam, vocab, near, shortest, names, text_column):
 
 
 def benchmark_hits(docs: DataFrame, benchmark: DataFrame, window: int = 10, block_words: int = 2_000_000,
-                   text_column: str = "text") -> DataFrame:
+                   text_column: str = "text", finish=None, finish_schema=None) -> DataFrame:
     """``docs`` with the columns of ``HITS``.  Each pass holds one automaton of at
     most about ``block_words`` benchmark words; a larger benchmark takes more passes,
-    each stored before the next."""
+    each stored before the next.  ``finish`` maps the last pass's Arrow batches to batches of
+    ``finish_schema`` in the same worker."""
     ship(docs.sparkSession)
     out, schema = docs, T.StructType([*docs.schema.fields, *HITS.fields])
     waiting = None
@@ -233,7 +234,10 @@ def benchmark_hits(docs: DataFrame, benchmark: DataFrame, window: int = 10, bloc
         if waiting is not None:
             out = stored(out.mapInArrow(_scan(waiting, window, text_column), schema), "decontaminate")
         waiting = block
-    return out.mapInArrow(_scan(waiting or [], window, text_column), schema)
+    scan = _scan(waiting or [], window, text_column)
+    if finish is None:
+        return out.mapInArrow(scan, schema)
+    return out.mapInArrow(lambda batches: finish(scan(batches)), finish_schema)
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10, **how) -> DataFrame:
@@ -250,20 +254,17 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10, **how
 
 def remove_benchmark(docs: DataFrame, benchmark: DataFrame, window: int = 10, max_coverage: float = 0.8, **how) -> DataFrame:
     """``docs`` without benchmark text: every hit span leaves its text (with the
-    blanks after it); a document of which over ``max_coverage`` of the words are hit,
-    or nothing but blanks is left, goes.  Texts without a hit stay as they are."""
-    ship(docs.sparkSession)
+    blanks after it); a document with hits goes if over ``max_coverage`` of its words are hit or
+    nothing but blanks is left.  Texts without a hit stay as they are."""
     names = docs.columns
-    hits = benchmark_hits(docs, benchmark, window, **how)
-    covered = F.aggregate(F.zip_with("_bd_from", "_bd_to", lambda a, b: b - a), F.lit(0).cast("long"), lambda x, y: x + y)
 
     def cut(batches):
         for batch in batches:
             at = batch.schema.get_field_index
             texts = batch.column(at("text")).to_pylist()
-            spans = [batch.column(at(c)).to_pylist() for c in ("_bd_byte_from", "_bd_byte_to")]
-            new = []
-            for text, xs, ys in zip(texts, *spans):
+            words, *spans = (batch.column(at(c)).to_pylist() for c in ("_bd_words", "_bd_from", "_bd_to", "_bd_byte_from", "_bd_byte_to"))
+            keep, new = [], []
+            for i, (text, n, fs, ts, xs, ys) in enumerate(zip(texts, words, *spans)):
                 if xs:
                     raw, kept, end = text.encode(), [], 0
                     for x, y in zip(xs, ys):
@@ -271,10 +272,12 @@ def remove_benchmark(docs: DataFrame, benchmark: DataFrame, window: int = 10, ma
                         end = y
                     kept.append(raw[end:])
                     text = b" ".join(p for k in kept if (p := k.strip(b" \t"))).decode()
+                    if sum(ts) - sum(fs) > max_coverage * n or not text.strip():
+                        continue
+                keep.append(i)
                 new.append(text)
-            cols = [pa.array(new, batch.schema.field(at("text")).type) if c == "text" else batch.column(at(c)) for c in names]
+            rows = batch.select(names).take(pa.array(keep, pa.int64()))
+            cols = [pa.array(new, rows.schema.field(c).type) if c == "text" else rows.column(k) for k, c in enumerate(names)]
             yield pa.RecordBatch.from_arrays(cols, names=names)
 
-    kept = hits.filter(covered <= max_coverage * F.col("_bd_words")).mapInArrow(cut, docs.schema)
-    return kept.filter(F.col("text").isNull() | (F.length("text") == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]")) \
-        if "text" in names else kept
+    return benchmark_hits(docs, benchmark, window, finish=cut, finish_schema=docs.schema, **how)
