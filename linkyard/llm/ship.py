@@ -13,10 +13,17 @@ from ..session import scratch_path
 _sent: set[str] = set()
 
 
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+TEXT_ROWS = 1000  # rows of whole texts per Arrow batch
+
+
 def ship(spark: SparkSession) -> None:
     """Give the executors this package once per application (``addPyFile``),
-    so workers can import it wherever they run."""
+    so workers can import it wherever they run.  Rows of whole texts are large: where the
+    session has Spark's default of 10 000 rows per Arrow batch, it gets ``TEXT_ROWS``."""
     sc = spark.sparkContext
+    if spark.conf.get(ARROW_ROWS, "10000") == "10000":
+        spark.conf.set(ARROW_ROWS, str(TEXT_ROWS))
     if sc.applicationId in _sent:
         return
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
