@@ -140,3 +140,30 @@ def test_odd_rows_and_empty_tables(spark, odd_docs, odd_rows, no_docs):
     assert katz_report(no_docs).count() == 0
     alone = katz_scores(odd_docs, no_docs).collect()
     assert len(alone) == len(odd_rows) and {r["score"] for r in alone} == {0.0} and {r["n_known"] for r in alone} == {0}
+
+
+def _all_pairs_match(spark, texts, fresh, **how):
+    plain = Plain(texts, 1 << 60)  # every word a unit of its own
+    train = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts + fresh)], "doc_id long, text string")
+    got = {r["doc_id"]: r for r in katz_scores(docs.repartition(3), train, **how).collect()}
+    assert len(got) == len(texts + fresh)
+    for i, t in enumerate(texts + fresh):
+        r = got[i]
+        assert (r["n_tokens"], r["n_known"]) == (len(tokens(t)), sum(w in plain.count for w in tokens(t)))
+        # Relative: a sum of 138 000 terms depends on their order in the last digits.
+        assert (r["base_score"], r["score"]) == (pytest.approx(plain.base(t), rel=1e-9), pytest.approx(plain.score(t), rel=1e-9))
+
+
+def test_rare_words_keep_their_pairs_in_a_larger_corpus(spark):
+    # Over 131 072 tokens: words of one occurrence were once merged into a class.
+    texts = _texts(11, 60, 400) + ["a b c a c b " * 23_000] + [None, "", "W1"]
+    assert sum(len(tokens(t)) for t in texts) > 1 << 17
+    _all_pairs_match(spark, texts, ["W1 never seen", "W399 W398 a", None])
+
+
+@pytest.mark.parametrize("cached, hot_pairs", [(1 << 17, 1 << 19), (40, 50), (100, 5_000), (1, 1)])
+def test_caches_and_buckets_do_not_change_scores(spark, monkeypatch, cached, hot_pairs):
+    monkeypatch.setattr("linkyard.llm.katz.PAIR_BUCKET_BYTES", 2_000)
+    texts = _texts(12, 200, 500) + [None, "", "  ", "été ÉTÉ 漢"]
+    _all_pairs_match(spark, texts, _texts(62, 30, 1000) + ["never seen words", "W1 W1 W1"], cached=cached, hot_pairs=hot_pairs)
