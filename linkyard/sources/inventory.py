@@ -2,7 +2,8 @@
 
 The listing uses the ``binaryFile`` source with its ``content`` column
 pruned: Spark lists the files on the driver's file index and reads no
-bytes (the scan's ReadSchema has path and length only).
+bytes (the scan's ReadSchema has path and length only).  What that index leaves
+out, hidden names and empty files, comes from a file-system iterator.
 """
 
 from __future__ import annotations
@@ -13,26 +14,42 @@ from pyspark.sql import functions as F
 from .lines import read_lines
 
 
-def file_inventory(spark: SparkSession, root: str, limit: int | None = None) -> DataFrame:
-    """S5: ``(path, length)`` of every file under ``root``; ``limit`` = first keys by path.
+def _fs(spark: SparkSession, path: str):
+    """The path and its file system (any Hadoop scheme)."""
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hpath, hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
-    As Spark lists them: names that begin with ``_`` or ``.`` are hidden, and empty files are not read.
-    """
-    listing = (
+
+def _beside_scan(spark: SparkSession, root: str) -> DataFrame:
+    """``(path, length)`` of the files that a scan of ``root`` may leave out: empty ones, and those with a
+    hidden name or folder below ``root``.  The driver walks all names and holds only these."""
+    hpath, fs = _fs(spark, root)
+    rows = []
+    for top in fs.globStatus(hpath) or []:
+        above = len(top.getPath().toString())
+        files = fs.listFiles(top.getPath(), True)
+        while files.hasNext():
+            f = files.next()
+            path, length = f.getPath().toString(), f.getLen()
+            names = path[above:].split("/")
+            if length == 0 or path[above:] == "" or any(n.startswith(("_", ".")) or n.endswith("._COPYING_") for n in names):
+                rows.append((path, length))
+    return spark.createDataFrame(rows, "path string, length long")
+
+
+def file_inventory(spark: SparkSession, root: str, limit: int | None = None) -> DataFrame:
+    """S5: ``(path, length)`` of every file under ``root``, hidden names (``_``, ``.``) and empty files
+    included; ``limit`` = first keys by path."""
+    scan = (
         spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
         .select("path", "length")
     )
+    listing = scan.unionByName(_beside_scan(spark, root).join(scan, "path", "left_anti"))
     if limit is not None and limit > 0:
         listing = listing.orderBy("path").limit(limit)
     return listing
 
 
-def _fs(spark: SparkSession, path: str):
-    """The path and its file system (any Hadoop scheme)."""
-    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return hpath, hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-
-
 def object_exists(spark: SparkSession, root: str, path: str | None = None) -> bool:
     """S6: does ``root`` hold any file?  With ``path``: is ``path`` a file
     (the one-object probe)?  A missing root or object is False.

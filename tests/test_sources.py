@@ -72,6 +72,20 @@ def test_written_index_reads_back_in_order(spark, workdir):
     assert [r["value"] for r in back.collect()] == [r["value"] for r in gen.orderBy("line_no").collect()]
 
 
+def test_inventory_lists_hidden_and_empty_files(spark, workdir):
+    sizes = {"_SUCCESS": 0, "_a.txt": 3, "_day=1/x.txt": 6, "_tmp/b.txt": 4, ".c": 5, "d/e.txt": 0, "f.txt": 2}
+    for name, size in sizes.items():
+        os.makedirs(os.path.dirname(f"{workdir}/_up/{name}"), exist_ok=True)
+        with open(f"{workdir}/_up/{name}", "w") as f:
+            f.write("x" * size)
+
+    def listed(**how):
+        return [(r["path"].split("/_up/")[1], r["length"]) for r in file_inventory(spark, f"{workdir}/_up", **how).collect()]
+
+    assert sorted(listed()) == sorted(sizes.items())
+    assert listed(limit=3) == sorted(sizes.items())[:3]
+
+
 def test_inventory_exists_and_raw_landing(spark, workdir):
     write_text(f"{workdir}/land/x/a.txt", ["one", "two"])
     write_text(f"{workdir}/land/b.txt.gz", ["three"], gz=True)
