@@ -12,6 +12,7 @@ from .chat import format_and_read, with_hard_conversation
 from .decontaminate import contamination
 from .katz import katz_report
 from .langid import language_report
+from .merkle import MANIFEST_SQL, manifest_report
 from .mixing import MIX_SQL, mix_report
 from .quality_crf import quality_report
 from .simhash import near_duplicates
@@ -64,6 +65,10 @@ def op10_restored_toxicity(spark, sf_dir):
     return toxicity_scores(_t(spark, sf_dir, "documents"), _t(spark, sf_dir, "labels"), threshold=0.3)
 
 
+def op12_merkle_manifest(spark, sf_dir):
+    return manifest_report(_t(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_shards": op1_token_shards,
     "op2_curriculum_mix": op2_curriculum_mix,
@@ -75,7 +80,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_suffix_automaton": op8_suffix_automaton,
     "op9_katz": op9_katz,
     "op10_restored_toxicity": op10_restored_toxicity,
+    "op12_merkle_manifest": op12_merkle_manifest,
     "pipeline": corpus_pipeline.run,
 }
 
-ORACLES: dict[str, str] = {"op2_curriculum_mix": MIX_SQL}
+ORACLES: dict[str, str] = {"op2_curriculum_mix": MIX_SQL, "op12_merkle_manifest": MANIFEST_SQL}
