@@ -12,6 +12,7 @@ from .chat import format_and_read, with_hard_conversation
 from .decontaminate import contamination
 from .katz import katz_report
 from .langid import language_report
+from .licences import licence_scan
 from .merkle import MANIFEST_SQL, manifest_report
 from .mixing import MIX_SQL, mix_report
 from .quality_crf import quality_report
@@ -69,6 +70,10 @@ def op12_merkle_manifest(spark, sf_dir):
     return manifest_report(_t(spark, sf_dir, "documents"))
 
 
+def op13_licence_scan(spark, sf_dir):
+    return licence_scan(_t(spark, sf_dir, "documents")).drop("notices")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_shards": op1_token_shards,
     "op2_curriculum_mix": op2_curriculum_mix,
@@ -81,6 +86,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_katz": op9_katz,
     "op10_restored_toxicity": op10_restored_toxicity,
     "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_licence_scan": op13_licence_scan,
     "pipeline": corpus_pipeline.run,
 }
 
