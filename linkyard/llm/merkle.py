@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .ship import partitions_for, ship, stored
+from .sqltext import CRC_TABLE, crc32_of
 
 ARITY = 3
 LEVELS = 7           # levels of a block: 2 187 nodes
@@ -290,18 +291,12 @@ def manifest_report(documents: DataFrame) -> DataFrame:
 
 
 #: The manifest in DuckDB: levels of all trees, siblings by level, and the fold of what is shown.
-MANIFEST_SQL = """
-WITH RECURSIVE bits(n, c) AS (
-  SELECT range, range FROM range(256)
-), crc_step AS (
-  SELECT n, list_reduce([c] || range(8), lambda x, i: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END) AS c FROM bits
-), crc_table AS (SELECT list(c ORDER BY n) AS t FROM crc_step),
-fields AS (
+MANIFEST_SQL = f"""
+WITH RECURSIVE {CRC_TABLE}, fields AS (
   SELECT doc_id, source, text,
     coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
     || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') AS head,
-    xor(list_reduce([4294967295] || list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda d: CAST(ord(d) AS BIGINT)),
-      lambda x, b: xor(x >> 8, t[1 + (xor(x, b) & 255)])), 4294967295) % 2 = 0 AS hit
+    {crc32_of('CAST(doc_id AS VARCHAR)')} % 2 = 0 AS hit
   FROM documents, crc_table
 ), hashed AS (
   SELECT doc_id, source, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf, hit, head,

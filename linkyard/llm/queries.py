@@ -16,6 +16,7 @@ from .licences import licence_scan
 from .merkle import MANIFEST_SQL, manifest_report
 from .mixing import MIX_SQL, mix_report
 from .quality_crf import quality_report
+from .repair import REPAIR_SQL, repair_report
 from .simhash import near_duplicates
 from .suffix_dedup import repeat_report
 from .token_output import encode_and_read
@@ -66,6 +67,10 @@ def op10_restored_toxicity(spark, sf_dir):
     return toxicity_scores(_t(spark, sf_dir, "documents"), _t(spark, sf_dir, "labels"), threshold=0.3)
 
 
+def op11_conversation_repair(spark, sf_dir):
+    return repair_report(_t(spark, sf_dir, "conversations"))
+
+
 def op12_merkle_manifest(spark, sf_dir):
     return manifest_report(_t(spark, sf_dir, "documents"))
 
@@ -85,9 +90,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_suffix_automaton": op8_suffix_automaton,
     "op9_katz": op9_katz,
     "op10_restored_toxicity": op10_restored_toxicity,
+    "op11_conversation_repair": op11_conversation_repair,
     "op12_merkle_manifest": op12_merkle_manifest,
     "op13_licence_scan": op13_licence_scan,
     "pipeline": corpus_pipeline.run,
 }
 
-ORACLES: dict[str, str] = {"op2_curriculum_mix": MIX_SQL, "op12_merkle_manifest": MANIFEST_SQL}
+ORACLES: dict[str, str] = {"op2_curriculum_mix": MIX_SQL, "op11_conversation_repair": REPAIR_SQL, "op12_merkle_manifest": MANIFEST_SQL}
