@@ -50,6 +50,6 @@ def stored(df: DataFrame, tag: str, partition_by: list[str] | None = None) -> Da
     return spark.read.schema(df.schema).parquet(path)
 
 
-def partitions_for(n_bytes: float, per_partition: float, least: int = 1, most: int = 1_000_000) -> int:
+def partitions_for(n_bytes: float, per_partition: float, least: int = 1) -> int:
     """How many partitions of about ``per_partition`` bytes hold ``n_bytes``."""
-    return int(min(most, max(least, -(-n_bytes // per_partition))))
+    return int(max(least, -(-n_bytes // per_partition)))

@@ -14,11 +14,10 @@ equal key stay together, ordered by their ids; an empty table gives no shard.
 
 from __future__ import annotations
 
+import json
 import os
-import re
 import struct
 import zlib
-from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -30,11 +29,13 @@ from pyspark.sql import Window
 
 from ..session import scratch_path
 from .ship import partitions_for, ship
-from .textual import mix64
+from .textual import byte_codes, doc_blocks, find, mix64, text_bytes, word_hashes
 
 NULL_KEY = -(2**63)
 GAMMA = 2.0
 RANGES_PER_TASK = 8
+KEYS_PER_RANGE = 20  # sampled keys per key range, on average
+BLOCK_BYTES = 3 << 19
 
 
 # --- minimal perfect hash --------------------------------------------------
@@ -98,8 +99,8 @@ class Mph:
 
 # --- encoding --------------------------------------------------------------
 
-_LONE_MARK = re.compile(r"[.,](?<=[\W_][.,])")  # a stop or comma after something that is no letter or digit
-_ENCODERS: dict[tuple[str, int], "PieceEncoder"] = {}
+_ENCODERS: dict[str, "PieceEncoder"] = {}
+_CODES = byte_codes(1, lower=False), byte_codes(2, lower=False)
 
 
 def _byte_letters() -> dict[int, str]:
@@ -110,6 +111,59 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) if b in plain else chr(next(rest)) for b in range(256)}
 
 
+def can_be_cut(tokenizer: dict) -> bool:
+    """Whether a tokenizer (its JSON) is a byte-level BPE with the usual split pattern and nothing that looks across
+    blanks, line feeds, stops or commas, so that texts may be encoded in pieces."""
+    model, split = tokenizer.get("model") or {}, tokenizer.get("pre_tokenizer") or {}
+    plain = not any(model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges"))
+    marks = [t for t in tokenizer.get("added_tokens") or []
+             if t.get("single_word") or t.get("lstrip") or t.get("rstrip") or not t.get("content") or set(t["content"]) & set(" \n.,")]
+    return (model.get("type") == "BPE" and plain and not marks and tokenizer.get("normalizer") is None and split.get("type") == "ByteLevel"
+            and split.get("use_regex", True) and not split.get("add_prefix_space"))
+
+
+_VISIBLE = np.ones(256, bool)
+_VISIBLE[[0x20, *range(0x09, 0x0E), *range(0x1C, 0x20)]] = False
+_ASCII_ALNUM = np.zeros(256, bool)
+_ASCII_ALNUM[0x30:0x3A] = _ASCII_ALNUM[0x41:0x5B] = _ASCII_ALNUM[0x61:0x7B] = True
+_SPACE_LEADS = np.zeros(256, bool)
+_SPACE_LEADS[[0xC2, 0xE1, 0xE2, 0xE3]] = True
+
+
+def _visible(data: np.ndarray) -> np.ndarray:
+    """Bytes that belong to no white space of Unicode (the control characters 28 to 31 count as white, too)."""
+    seen = _VISIBLE[data]
+    for i in np.flatnonzero(_SPACE_LEADS[data]).tolist() if _SPACE_LEADS[data].any() else []:
+        two, three = data[i: i + 2].tobytes(), data[i: i + 3].tobytes()
+        if two in (b"\xc2\x85", b"\xc2\xa0"):
+            seen[i: i + 2] = False
+        elif len(three) == 3 and three[0] != 0xC2 and three.decode("utf-8", "replace").isspace():
+            seen[i: i + 3] = False
+    return seen
+
+
+def piece_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Where the pieces of the texts begin, ascending; a text that is not empty begins one."""
+    n = len(data)
+    start = np.zeros(n + 1, bool)
+    start[offsets] = True
+    inside = ~start[:n]                      # not the first byte of a text
+    goes_on = ~start[1:]                     # not the last one
+    seen = _visible(data)
+    before, after = np.zeros(n, bool), np.zeros(n, bool)
+    before[1:], after[:-1] = seen[:-1], seen[1:]
+    alone = before & after & inside & goes_on
+    start[:n] |= alone & (data == 0x20)
+    feed = np.flatnonzero(alone & (data == 0x0A))
+    start[feed] = start[feed + 1] = True
+    mark = np.flatnonzero(((data == 0x2E) | (data == 0x2C)) & inside)
+    last = data[mark - 1]
+    # Letters from U+00C0 to U+00FF are 0xC3 and a byte, but for the signs 0x97 and 0xB7.
+    latin = (last >= 0x80) & (last != 0x97) & (last != 0xB7) & (mark >= 2) & (data[np.maximum(mark - 2, 0)] == 0xC3)
+    start[mark[_ASCII_ALNUM[last] | latin]] = True
+    return np.flatnonzero(start[:n])
+
+
 class PieceEncoder:
     """Ids of whole texts by the tokenizers library, a piece at a time.
 
@@ -117,98 +171,138 @@ class PieceEncoder:
     a single blank between two visible characters, on both sides of a single
     line feed between two, and before a stop or comma that follows a letter or
     digit.  So the ids of a text are the ids of the pieces between such places,
-    one after another.  Pieces repeat; those met lately are remembered, up to
-    twice ``keep`` of them.  A piece of letters is one word of the split pattern
-    and goes straight to the library's model; any other goes through all of it.
+    one after another.  Pieces repeat; those met lately are remembered as two 64-bit hashes and their
+    ids, up to twice ``keep`` of them, in plain arrays.  A piece of letters is one word of the split pattern
+    and goes straight to the library's model; any other goes through all of it.  With any other
+    kind of tokenizer (``can_be_cut``) whole texts go through the library.
     """
 
-    def __init__(self, tokenizer_path: str, keep: int = 150_000):
+    def __init__(self, tokenizer_path: str, keep: int = 600_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(tokenizer_path)
+        self.cuts = can_be_cut(json.loads(self.tok.to_str()))
         self.word = self.tok.model.tokenize
         self.letters = _byte_letters()
-        self.keep, self.known, self.older = keep, {}, {}
         self.width = np.dtype("<u2" if self.tok.get_vocab_size() <= 1 << 16 else "<u4")
-        self.code = "H" if self.width.itemsize == 2 else "I"
+        self.keep = keep
+        self.forget()
 
     @classmethod
-    def shared(cls, tokenizer_path: str, keep: int = 150_000) -> "PieceEncoder":
+    def shared(cls, tokenizer_path: str) -> "PieceEncoder":
         """One per worker process, so that later tasks find the pieces of earlier ones."""
-        key = (tokenizer_path, keep)
-        if key not in _ENCODERS:
-            _ENCODERS[key] = cls(tokenizer_path, keep)
-        return _ENCODERS[key]
-
-    @staticmethod
-    def pieces(text: str) -> list[str]:
-        # No blank but " " and line feed, so that adjacent blanks show as pieces "" or " ".
-        if text.replace("\n", "").isprintable():
-            cut = text.replace("\n", "\0\n\0").replace(" ", "\0 ")
-            if not _LONE_MARK.search(text):
-                cut = cut.replace(",\0", "\0,\0").replace(".\0", "\0.\0").replace("\0\0", "\0")
-                if text.find("  ") < 0 and text.find(" \n") < 0 and text.find("\n ") < 0 and text.find("\n\n") < 0:
-                    return cut.split("\0")
-            elif "" not in (parts := cut.split("\0")) and " " not in parts:
-                return parts
-        parts = text.split(" ")
-        out, begin = [], [parts[0]]
-        for before, part in zip(parts, parts[1:]):
-            if part and before and not part[0].isspace() and not before[-1].isspace():
-                out.append(begin[0] if len(begin) == 1 else " ".join(begin))
-                begin = [" " + part]
+        if tokenizer_path not in _ENCODERS:
+            _ENCODERS[tokenizer_path] = cls(tokenizer_path)
+        return _ENCODERS[tokenizer_path]
+
+    def _no_pieces(self):
+        e = np.empty(0, np.uint64)
+        return e, e, np.zeros(1, np.int64), np.empty(0, self.width)
+
+    def forget(self) -> None:
+        """Hashes (ascending first ones), second hashes, bounds of ids, ids: of late pieces and of those before them."""
+        self.late = self.older = self._no_pieces()
+
+    def _ids_of(self, pieces: list[str]) -> list[list[int]]:
+        out: list = [None] * len(pieces)
+        rest = []
+        for i, p in enumerate(pieces):
+            if p[:1] == " " and p[1:].isalpha():
+                out[i] = [t.id for t in self.word(p.encode().decode("latin-1").translate(self.letters))]
             else:
-                begin.append(part)
-        out.append(begin[0] if len(begin) == 1 else " ".join(begin))
+                rest.append(i)
+        for at in range(0, len(rest), 10_000):
+            some = rest[at: at + 10_000]
+            for i, e in zip(some, self.tok.encode_batch_fast([pieces[i] for i in some], add_special_tokens=False)):
+                out[i] = e.ids
         return out
 
+    @staticmethod
+    def _gather(table, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """``(number of ids, ids)`` of the pieces at ``at``, one after the other."""
+        bounds, ids = table[2], table[3]
+        n = bounds[at + 1] - bounds[at]
+        return n, ids[np.repeat(bounds[at] - (np.cumsum(n) - n), n) + np.arange(n.sum())]
+
+    def _learn(self, one: np.ndarray, two: np.ndarray, pieces) -> None:
+        """Make ``late`` hold all of the given distinct pieces; ``pieces(i)`` are the texts of those at ``i``."""
+        if len(self.late[0]) > self.keep:
+            self.older, self.late = self.late, self._no_pieces()
+        new = np.flatnonzero(find(self.late[0], one) < 0)
+        at = find(self.older[0], one[new])
+        met = at >= 0
+        met[met] = self.older[1][at[met]] == two[new[met]]  # else another piece with the same first hash
+        n_old, old = self._gather(self.older, at[met])
+        fresh = self._ids_of(pieces(new[~met]))
+        ids = np.concatenate((old, np.array([i for x in fresh for i in x], self.width)))
+        rows = np.concatenate((new[met], new[~met]))
+        n = np.concatenate((n_old, np.array([len(x) for x in fresh], np.int64)))
+        key = np.concatenate((self.late[0], one[rows]))
+        order = np.argsort(key, kind="stable")
+        both = (None, None, np.concatenate(([0], np.cumsum(np.concatenate((np.diff(self.late[2]), n))))), np.concatenate((self.late[3], ids)))
+        size, ids = self._gather(both, order)
+        self.late = key[order], np.concatenate((self.late[1], two[rows]))[order], np.concatenate(([0], np.cumsum(size))), ids
+
+    def encode_block(self, data: np.ndarray, offsets: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """``(bounds, ids)`` of texts laid end to end; every text ends with ``end_id``."""
+        n_docs = len(offsets) - 1
+        if not self.cuts:
+            texts = [data[a:b].tobytes().decode() for a, b in zip(offsets[:-1], offsets[1:])]
+            rows = [e.ids for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
+            per_doc = np.array([len(x) for x in rows], np.int64)
+            ids = np.array([i for x in rows for i in x], self.width)
+        else:
+            starts = piece_starts(data, offsets)
+            ends = np.append(starts[1:], len(data))
+            one, two = (word_hashes(data, starts, ends, c) for c in _CODES)
+            key, first, which = np.unique(one, return_index=True, return_inverse=True)
+            if (two[first][which] != two).any():
+                # Two pieces with one first hash: encode this block by itself, by both hashes.
+                return self._apart(data, offsets, end_id)
+            self._learn(key, two[first], lambda i: [data[starts[j]: ends[j]].tobytes().decode() for j in first[i].tolist()])
+            at = find(self.late[0], key)
+            if (self.late[1][at] != two[first]).any():
+                return self._apart(data, offsets, end_id)
+            n, ids = self._gather(self.late, at[which])
+            cut = np.searchsorted(starts, offsets)
+            total = np.concatenate(([0], np.cumsum(n)))
+            per_doc = total[cut[1:]] - total[cut[:-1]]
+        bounds = np.concatenate(([0], np.cumsum(per_doc + 1)))
+        out = np.empty(len(ids) + n_docs, self.width)
+        out[np.arange(len(ids)) + np.repeat(np.arange(n_docs), per_doc)] = ids
+        out[bounds[1:] - 1] = end_id
+        return bounds, out
+
+    def _apart(self, data, offsets, end_id):
+        """The block without the memory of pieces, in which a first hash stands for one piece."""
+        cuts, self.cuts = self.cuts, False
+        try:
+            return self.encode_block(data, offsets, end_id)
+        finally:
+            self.cuts = cuts
+
     def encode(self, texts: list[str], end_id: int) -> list[bytes]:
-        cut = [self.pieces(t) if t else [] for t in texts]
-        known, older, rest = self.known, self.older, []
-        if len(known) > self.keep:
-            self.older = older = known
-            self.known = known = {}
-        for p in set().union(*cut).difference(known):
-            if p in older:
-                known[p] = older[p]
-            elif p[:1] == " " and p[1:].isalpha():
-                known[p] = array(self.code, [t.id for t in self.word(p.encode().decode("latin-1").translate(self.letters))]).tobytes()
-            else:
-                rest.append(p)
-        for at in range(0, len(rest), 10_000):
-            some = rest[at: at + 10_000]
-            for p, e in zip(some, self.tok.encode_batch_fast(some, add_special_tokens=False)):
-                known[p] = array(self.code, e.ids).tobytes()
-        end = array(self.code, [end_id]).tobytes()
-        get = known.__getitem__
-        return [b"".join(map(get, ps)) + end for ps in cut]
+        data, offsets = text_bytes(pa.array(texts, pa.large_string()))
+        bounds, ids = self.encode_block(data, offsets, end_id)
+        return [ids[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:])]
 
 
-def _encode(tokenizer_path: str, end_id: int, key: str, bounds: np.ndarray, batch_chars: int = 1 << 20):
+def _encode(tokenizer_path: str, end_id: int, key: str, bounds: np.ndarray):
     def run(batches):
         enc, squeeze = PieceEncoder.shared(tokenizer_path), zstandard.ZstdCompressor(1)
         for batch in batches:
             at = batch.schema.get_field_index
             keys = batch.column(at(key)).fill_null(NULL_KEY).to_numpy(zero_copy_only=False).astype(np.int64)
-            texts = batch.column(at("text"))
-            lo = 0
-            while lo < len(keys):
-                hi, chars = lo, 0
-                some = []
-                while hi < len(keys) and (hi == lo or chars < batch_chars):
-                    t = texts[hi].as_py() or ""
-                    some.append(t)
-                    chars += len(t)
-                    hi += 1
-                ids = enc.encode(some, end_id)
-                n = [len(x) // enc.width.itemsize for x in ids]
+            data, offsets = text_bytes(batch.column(at("text")))
+            for lo, hi in doc_blocks(offsets, BLOCK_BYTES):
+                part = offsets[lo: hi + 1]
+                edge, ids = enc.encode_block(data[part[0]: part[-1]], part - part[0], end_id)
                 k = keys[lo:hi]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.searchsorted(bounds, k, "right").astype(np.int32)), pa.array(k), pa.array(n, pa.int64()),
-                     pa.array([squeeze.compress(x) for x in ids], pa.binary())], names=["shard", "key", "n", "ids"])
-                lo = hi
-        enc.older = {}  # the worker process stays for later tasks of any kind
+                    [pa.array(np.searchsorted(bounds, k, "right").astype(np.int32)), pa.array(k), pa.array(np.diff(edge), pa.int64()),
+                     pa.array([squeeze.compress(ids[a:b].tobytes()) for a, b in zip(edge[:-1].tolist(), edge[1:].tolist())], pa.binary())],
+                    names=["shard", "key", "n", "ids"])
 
     return run
 
@@ -265,10 +359,26 @@ def _pack(width: int, shard_bytes: int):
     return run
 
 
+def range_bounds(keys: DataFrame, key: str, n_ranges: int) -> np.ndarray:
+    """Keys that cut ``keys`` into about ``n_ranges`` ranges alike, from a sample of ``KEYS_PER_RANGE`` keys each."""
+    if n_ranges < 2:
+        return np.empty(0, np.int64)
+    keys = keys.select(key).filter(F.col(key).isNotNull())
+    total = keys.count()
+    share = min(1.0, n_ranges * KEYS_PER_RANGE / max(1, total))
+    some = keys if share == 1.0 else keys.sample(share, seed=1)
+    found = np.sort(some.toArrow().column(0).to_numpy().astype(np.int64))  # 8 bytes each, 160 a range
+    return np.unique(found[np.arange(1, n_ranges) * len(found) // n_ranges]) if len(found) else found
+
+
 def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = 2, key: str = "doc_id",
-                 shard_bytes: int = 8 << 20, range_bytes: int = 2 << 20, max_ranges: int = 20_000) -> None:
+                 shard_bytes: int = 8 << 20, range_bytes: int = 2 << 20) -> None:
     """Encode ``docs.text`` and write shards under ``path/shards`` and the directory
-    under ``path/directory``.  Shards follow each other in ascending key."""
+    under ``path/directory``.  Shards follow each other in ascending key.
+
+    Keys are cut into ranges of about ``range_bytes`` of text, as many as the text asks for (the driver holds 160 bytes a
+    range while it cuts them); only a key that repeats can make a range larger.
+    """
     spark = docs.sparkSession
     ship(spark)
     from tokenizers import Tokenizer
@@ -276,11 +386,8 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int =
     width = 2 if Tokenizer.from_file(tokenizer_path).get_vocab_size() <= 1 << 16 else 4
     docs = docs.select(F.col(key).cast("long").alias(key), "text")
     n_bytes = docs.agg(F.sum(F.octet_length("text"))).head()[0] or 0
-    n_ranges = partitions_for(n_bytes, range_bytes, 1, max_ranges)
-    # Key bounds of the ranges, from a sketch of the keys alone; a range is cut into shards as it is packed.
-    cut = [i / n_ranges for i in range(1, n_ranges)]
-    found = docs.select(key).filter(F.col(key).isNotNull()).approxQuantile(key, cut, 0.2 / n_ranges) if cut else []
-    bounds = np.unique(np.array([int(x) for x in found], np.int64))
+    n_ranges = partitions_for(n_bytes, range_bytes)
+    bounds = range_bounds(docs, key, n_ranges)
     rows = docs.mapInArrow(_encode(tokenizer_path, end_id, key, bounds), "shard int, key long, n long, ids binary")
     # Several ranges a task, so that tasks come out alike however the ranges are dealt.
     shards = (rows.repartition(-(-n_ranges // RANGES_PER_TASK), "shard").sortWithinPartitions("shard", "key", "n", "ids")

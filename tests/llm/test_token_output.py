@@ -77,3 +77,30 @@ def test_perfect_hash_is_minimal_and_found_again(keys):
     other = np.setdiff1d(np.arange(1000, dtype=np.int64) * 7919 + 13, keys)
     at = Mph(index).slots(other)
     assert not any(table[s] == f for s, f in zip(at, fingerprint(other)) if s >= 0)
+
+
+def test_only_the_usual_split_is_cut_into_pieces():
+    texts = ["Hello World. A  b,c\nd", "don't stop", "  x ", "Ünïcode, é."]
+    for name, cut in (("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)):
+        enc = PieceEncoder(public_tokenizers.path(name))
+        assert enc.cuts is cut
+        assert [np.frombuffer(x, enc.width).tolist() for x in enc.encode(texts, 2)] == [
+            enc.tok.encode(t, add_special_tokens=False).ids + [2] for t in texts]
+
+
+def test_pieces_forgotten_and_met_again():
+    enc = PieceEncoder(PATH, keep=50)
+    texts = [" ".join(f"word{i % 97}x" for i in range(k, k + 60)) + ". Ende, été\nneu" for k in range(0, 900, 45)]
+    for at in (0, 7, 14, 0):
+        some = texts[at: at + 7]
+        assert [np.frombuffer(x, enc.width).tolist() for x in enc.encode(some, 2)] == [
+            enc.tok.encode(t, add_special_tokens=False).ids + [2] for t in some]
+    assert len(enc.late[0]) < 200
+
+
+def test_many_ranges_from_sampled_keys(spark, workdir):
+    docs = spark.range(5000).selectExpr("id * 3 AS doc_id", "concat('text number ', id) AS text")
+    write_tokens(docs, f"{workdir}/many", PATH, range_bytes=1000)
+    assert spark.read.parquet(f"{workdir}/many/shards").select("shard").distinct().count() > 60
+    starts = encode_and_read(docs, PATH).orderBy("doc_id").collect()
+    assert [r["start"] for r in starts] == list(np.cumsum([0] + [r["n_tokens"] for r in starts[:-1]]))
