@@ -8,7 +8,8 @@ All but the last return the columns of ``documents``.
 * simhash: of every group of near copies one document stays;
 * decontaminate: benchmark passages leave the texts, and documents that hardly hold anything else go;
 * mix: every document is there as often as the curriculum reads it, in training order;
-* tokens: ids in binary shards; returns each stored document's digest, read back by key.
+* tokens: ids in binary shards, in the order the mix is stored in, which is training order; returns the digest of
+  each reading, read back by its position.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from linkyard.llm.decontaminate import remove_benchmark
 from linkyard.llm.mixing import mixed
 from linkyard.llm.ship import stored
 from linkyard.llm.simhash import drop_near_copies
-from linkyard.llm.token_output import encode_and_read
+from linkyard.llm.token_output import encode_in_order
 from linkyard.llm.toxicity import drop_toxic
 
 
@@ -45,7 +46,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return encode_and_read(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    return encode_in_order(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
 STAGES = [("toxicity", toxicity), ("simhash", simhash), ("decontaminate", decontaminate), ("mix", mix), ("tokens", tokens)]

@@ -27,17 +27,16 @@ from __future__ import annotations
 from hashlib import sha256
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .ship import partitions_for, ship, stored
+from .ranges import RANGE_BYTES, positions
+from .ship import ship, stored
 from .sqltext import CRC_TABLE, crc32_of
 
 ARITY = 3
 LEVELS = 7           # levels of a block: 2 187 nodes
-ROW_BYTES = 120      # of a slim leaf row
-RANGE_BYTES = 16e6
 FIELDS = ["doc_id", "source", "lang", "n_chars", "text"]
 
 
@@ -204,23 +203,6 @@ def _verify(levels: int, arity: int):
     return run
 
 
-def positions(rows: DataFrame, order: list[str], range_bytes: float = RANGE_BYTES) -> DataFrame:
-    """``rows`` (``tree`` and the columns of ``order``) with ``pos``, a row's place in its tree in that order, from 0, and
-    ``size``, the tree's number of rows.  Equal rows are numbered one after the other."""
-    slim = stored(rows.groupBy("tree", *order).agg(F.count(F.lit(1)).alias("n")), "merkle-rows")
-    ranges = partitions_for(slim.count() * ROW_BYTES, range_bytes)
-    ranged = stored(slim.repartitionByRange(ranges, "tree", *order).withColumn("rng", F.spark_partition_id()), "merkle-ranges")
-    # One row per range and tree: what the ranges before hold of the tree, and the tree's size.
-    by_tree = Window.partitionBy("tree")
-    heads = ranged.groupBy("tree", "rng").agg(F.sum("n").alias("in_range")).select(
-        "tree", "rng", F.sum("in_range").over(by_tree).alias("size"),
-        F.coalesce(F.sum("in_range").over(by_tree.orderBy("rng").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("base"))
-    before = Window.partitionBy("tree", "rng").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    first = F.col("base") + F.col("in_range_before")
-    return (ranged.withColumn("in_range_before", F.coalesce(F.sum("n").over(before), F.lit(0))).join(heads, ["tree", "rng"])
-            .select("tree", *order, "size", F.explode(F.sequence(first, first + F.col("n") - 1)).alias("pos")))
-
-
 def _sorted_blocks(nodes: DataFrame, heads: DataFrame | None = None) -> DataFrame:
     """Rows with ``tree, block, pos``, dealt out by block and sorted for ``_blocks_of``; ``heads`` has a row per block."""
     if heads is not None:

@@ -10,9 +10,9 @@ the time when D reaches u.  A source is read again from its first document when
 is used up, in the same order, and stops at the document whose middle passes the target.
 The mix is the documents in range-sorted order of that time.
 
-Order within a source: md5 of the key, then the size, so reruns agree.  Running sums
-go by hash slices of the source, so a source of any share of the rows is
-summed by many tasks.
+Order within a source: md5 of the key, then the size, then a hash of the row, so reruns agree.
+Running sums go by ranges of that order, over slim rows without texts; equal rows are one row with a
+count, so neither a source nor a repeated row of any share of the table is summed by one task.
 
 Defined results: a null source is a source of its own, last; null and wordless texts have
 size 0 and are never read; rows of equal key follow each other; an empty table mixes to an
@@ -27,12 +27,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .ranges import positions, running_sums
 from .ship import ship, stored
 from .textual import SPACED, doc_blocks, text_bytes, word_bounds
 
-SLICE_ROWS, MOST_SLICES = 2_000, 1 << 16
-
-
 def _count_words(texts: pa.Array) -> pa.Array:
     data, off = text_bytes(texts)
     out = np.zeros(len(off) - 1, np.int64)
@@ -82,38 +80,44 @@ def source_targets(sizes: DataFrame, curriculum=default_curriculum, max_repeats:
     return per.select("_mx_source", "_mx_source_size", "_mx_start", "_mx_end", target.alias("_mx_target"))
 
 
-def mix_plan(docs: DataFrame, key: str = "doc_id", source: str = "source", curriculum=default_curriculum,
-             max_repeats: int = 3) -> DataFrame:
-    """``docs`` with the size of each document, of its source, the source's target, the number of
-    times it is read (``_mx_reads``) and the training time of each reading (``_mx_times``)."""
+COPIES_AT_ONCE = 1000  # copies of one row that a task multiplies
+
+
+def _row_id(names: list[str]) -> list[Column]:
+    """Two 64-bit hashes over all columns: equal rows share them."""
+    return [F.xxhash64(F.lit(7), *names).alias("_mx_row1"), F.xxhash64(*names).alias("_mx_row2")]
+
+
+_ORDER = ["_mx_order", "_mx_size", "_mx_row1", "_mx_row2"]
+
+
+def _per_row(docs: DataFrame, key: str, source: str, curriculum, max_repeats: int) -> DataFrame:
+    """The plan without texts: one row per distinct row of ``docs``, with the number of its copies, the words its
+    source gives before them, and what the source is to give."""
     ship(docs.sparkSession)
     names = docs.columns
     order = F.md5(F.coalesce(F.col(key).cast("string"), F.lit("")))
-    # The slimmest table first: sizes by hash slice, from the text column alone.
-    slim = stored(docs.select(F.col(source).alias("_mx_source"), order.alias("_mx_order"), word_count("text").alias("_mx_size")),
-                  "mix-sizes")
-    slices = max(1, min(MOST_SLICES, -(-slim.count() // SLICE_ROWS)))
-    # The first 6 hex digits of the order, so slices follow each other in that order.
-    slice_no = F.floor(F.conv(F.substring("_mx_order", 1, 6), 16, 10).cast("long") * slices / (1 << 24)).cast("int")
-    slim = slim.withColumn("_mx_slice", slice_no)
-    targets = source_targets(slim, curriculum, max_repeats)
-    sums = slim.groupBy("_mx_source", "_mx_slice").agg(F.sum("_mx_size").alias("_mx_slice_size"))
-    earlier = Window.partitionBy("_mx_source").orderBy("_mx_slice").rowsBetween(Window.unboundedPreceding, -1)
-    sums = sums.withColumn("_mx_base", F.coalesce(F.sum("_mx_slice_size").over(earlier), F.lit(0)))
-    small = sums.join(targets, sums["_mx_source"].eqNullSafe(targets["_mx_source"])).drop(targets["_mx_source"])
-    small = small.select("_mx_source", "_mx_slice", "_mx_base", "_mx_source_size", "_mx_start", "_mx_end", "_mx_target")
-
-    within = Window.partitionBy("_mx_source", "_mx_slice").orderBy("_mx_order", "_mx_size").rowsBetween(
-        Window.unboundedPreceding, -1)
-    rows = docs.withColumn("_mx_source", F.col(source)).withColumn("_mx_order", order)
-    rows = rows.withColumn("_mx_size", word_count("text")).withColumn("_mx_slice", slice_no)
-    rows = rows.withColumn("_mx_before", F.coalesce(F.sum("_mx_size").over(within), F.lit(0)))
-    small = small.withColumnRenamed("_mx_source", "_mx_s").withColumnRenamed("_mx_slice", "_mx_k")
-    rows = rows.join(small, rows["_mx_source"].eqNullSafe(F.col("_mx_s")) & (F.col("_mx_slice") == F.col("_mx_k")))
-    middle = F.col("_mx_base") + F.col("_mx_before") + F.col("_mx_size") / 2
-    reads = sum((F.when((F.col("_mx_size") > 0) & (F.col("_mx_source_size") * e + middle < F.col("_mx_target")), 1).otherwise(0)
+    tree = F.when(F.col(source).isNull(), F.lit("0")).otherwise(F.concat(F.lit("1"), F.col(source).cast("string")))
+    slim = docs.select(tree.alias("tree"), order.alias("_mx_order"), word_count("text").alias("_mx_size"), *_row_id(names),
+                       F.col(key).alias("_mx_key"), F.col(source).alias("_mx_source"))
+    slim = running_sums(slim, [*_ORDER, "_mx_key", "_mx_source"], "_mx_size")
+    targets = source_targets(slim.select("_mx_source", (F.col("_mx_size") * F.col("n")).alias("_mx_size")), curriculum, max_repeats)
+    of_tree = F.when(F.col("_mx_source").isNull(), F.lit("0")).otherwise(F.concat(F.lit("1"), F.col("_mx_source").cast("string")))
+    targets = targets.withColumn("tree", of_tree).drop("_mx_source")
+    return slim.join(targets, "tree").withColumnsRenamed({"n": "_mx_n", "before": "_mx_before", "tree": "_mx_tree"}).drop("total")
+
+
+def _with_times(plan: DataFrame, max_repeats: int) -> DataFrame:
+    """A row of the plan per copy (``_mx_copy``): how often it is read, and the training time of each reading."""
+    first, last = F.lit(0).cast("long"), F.col("_mx_n") - 1
+    if "_mx_chunk" in plan.columns:
+        first = F.col("_mx_chunk") * COPIES_AT_ONCE
+        last = F.least(last, first + COPIES_AT_ONCE - 1)
+    rows = plan.withColumn("_mx_copy", F.explode(F.sequence(first, last)))
+    rows = rows.withColumn("_mx_middle", F.col("_mx_before") + F.col("_mx_copy") * F.col("_mx_size") + F.col("_mx_size") / 2)
+    reads = sum((F.when((F.col("_mx_size") > 0) & (F.col("_mx_source_size") * e + F.col("_mx_middle") < F.col("_mx_target")), 1).otherwise(0)
                  for e in range(max_repeats)), F.lit(0))
-    rows = rows.withColumn("_mx_middle", middle).withColumn("_mx_reads", reads)
+    rows = rows.withColumn("_mx_reads", reads)
     a, b = F.col("_mx_start"), F.col("_mx_end")
 
     def time_of(epoch: Column) -> Column:
@@ -122,23 +126,55 @@ def mix_plan(docs: DataFrame, key: str = "doc_id", source: str = "source", curri
         return F.when(a == b, u).otherwise((F.sqrt(a * a + (b * b - a * a) * u) - a) / (b - a))
 
     times = F.transform(F.sequence(F.lit(0), F.col("_mx_reads") - 1), time_of)
-    return rows.withColumn("_mx_times", F.when(F.col("_mx_reads") > 0, times).otherwise(F.array().cast("array<double>"))).select(
-        *names, "_mx_size", "_mx_source_size", "_mx_target", "_mx_reads", "_mx_times")
+    return rows.withColumn("_mx_times", F.when(F.col("_mx_reads") > 0, times).otherwise(F.array().cast("array<double>")))
+
+
+def mix_plan(docs: DataFrame, key: str = "doc_id", source: str = "source", curriculum=default_curriculum,
+             max_repeats: int = 3) -> DataFrame:
+    """``docs`` with the size of each document, of its source, the source's target, the number of
+    times it is read (``_mx_reads``) and the training time of each reading (``_mx_times``)."""
+    names = docs.columns
+    plan = stored(_per_row(docs, key, source, curriculum, max_repeats).drop("_mx_key", "_mx_source"), "mix-plan")
+    # Equal rows meet as one (combined before the exchange), find their plan, and are multiplied again.
+    rows = docs.withColumns({"_mx_row1": _row_id(names)[0], "_mx_row2": _row_id(names)[1]}).groupBy("_mx_row1", "_mx_row2").agg(
+        F.any_value(F.struct(*[F.col(f"`{c}`") for c in names])).alias("_mx_fields"))
+    rows = rows.join(plan, ["_mx_row1", "_mx_row2"])
+    chunks = F.sequence(F.lit(0).cast("long"), F.expr(f"(_mx_n - 1) div {COPIES_AT_ONCE}"))
+    many = rows.filter(F.col("_mx_n") > COPIES_AT_ONCE).withColumn("_mx_chunk", F.explode(chunks)).repartition("_mx_row1", "_mx_chunk")
+    rows = _with_times(rows.filter(F.col("_mx_n") <= COPIES_AT_ONCE), max_repeats).unionByName(_with_times(many, max_repeats).drop("_mx_chunk"))
+    return rows.select("_mx_fields.*", "_mx_size", "_mx_source_size", "_mx_target", "_mx_reads", "_mx_times", "_mx_tree", *_ORDER[2:], "_mx_order", "_mx_copy")
+
+
+_TIE = ["_mx_order", "_mx_size", "_mx_tree", "_mx_row1", "_mx_row2", "_mx_copy"]
 
 
 def mixed(docs: DataFrame, **how) -> DataFrame:
     """The mix: ``docs``' rows, each as often as it is read, range-sorted by training time."""
     names = docs.columns
-    tie = F.xxhash64(*names)
     plan = mix_plan(docs, **how).withColumn("_mx_time", F.explode("_mx_times"))
-    return plan.repartitionByRange("_mx_time", tie).sortWithinPartitions("_mx_time", tie).select(*names)
+    return plan.repartitionByRange("_mx_time", *_TIE).sortWithinPartitions("_mx_time", *_TIE).select(*names)
+
 
+def training_positions(readings: DataFrame) -> DataFrame:
+    """``readings`` (``_mx_time`` and the columns of ``_TIE``) with ``pos``, the place of each in training, from 0."""
+    return positions(readings.select(F.lit("").alias("tree"), "_mx_time", *_TIE), ["_mx_time", *_TIE])
 
-def mix_report(docs: DataFrame) -> DataFrame:
-    """Per document: its size, its source's size and target, and the words the mix takes from it."""
-    return mix_plan(docs.select("doc_id", "source", "text")).select(
-        "doc_id", F.col("_mx_size").alias("size"), F.col("_mx_source_size").alias("source_size"),
-        F.col("_mx_target").alias("target"), (F.col("_mx_size") * F.col("_mx_reads")).cast("long").alias("taken"))
+
+def mix_report(docs: DataFrame, max_repeats: int = 3) -> DataFrame:
+    """Per document: its size, its source's size and target, the words the mix takes from it, and its first
+    position in training (null if it is never read).
+
+    The mix itself runs here, but for the texts: every reading gets its training time, readings are
+    range-sorted by it and numbered, and a document's words are counted from its readings.
+    """
+    plan = _per_row(docs.select("doc_id", "source", "text"), "doc_id", "source", default_curriculum, max_repeats)
+    copies = stored(_with_times(plan, max_repeats).select(*_TIE, "_mx_key", "_mx_source_size", "_mx_target", "_mx_times"), "mix-copies")
+    placed = training_positions(copies.select(*_TIE, F.explode("_mx_times").alias("_mx_time")))
+    same = ["_mx_row1", "_mx_row2", "_mx_copy"]
+    read = placed.groupBy(*same).agg(F.count(F.lit(1)).alias("reads"), F.min("pos").alias("first_position"))
+    return copies.join(read, same, "left").select(
+        F.col("_mx_key").alias("doc_id"), F.col("_mx_size").alias("size"), F.col("_mx_source_size").alias("source_size"),
+        F.col("_mx_target").alias("target"), (F.col("_mx_size") * F.coalesce("reads", F.lit(0))).cast("long").alias("taken"), "first_position")
 
 
 #: The same rows by DuckDB.
@@ -153,12 +189,15 @@ p AS (SELECT *, CAST((SELECT sum(source_size) FROM s) - coalesce(sum(source_size
                ORDER BY source_size * 3 / weight, rank ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS room,
              sum(weight) OVER (ORDER BY source_size * 3 / weight, rank ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS rest FROM w),
 c AS (SELECT *, weight * room / rest >= source_size * 3 AS capped FROM p),
-t AS (SELECT source, source_size, CASE WHEN capped THEN CAST(source_size * 3 AS DOUBLE)
+t AS (SELECT source, source_size, weight, rank % 2 = 0 AS rising, CASE WHEN capped THEN CAST(source_size * 3 AS DOUBLE)
         ELSE weight * (SELECT max(room) FROM c WHERE NOT capped) / (SELECT max(rest) FROM c WHERE NOT capped) END AS target FROM c),
-r AS (SELECT d.doc_id, d.size, t.source_size, t.target,
+r AS (SELECT d.doc_id, d.size, d.source, d.o, t.source_size, t.target, t.rising, t.weight,
              coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY o, d.size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
-             + d.size / 2 AS middle FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
-SELECT doc_id, size, source_size, target, CAST(size * (CASE WHEN middle < target THEN 1 ELSE 0 END
-  + CASE WHEN source_size + middle < target THEN 1 ELSE 0 END + CASE WHEN 2 * source_size + middle < target THEN 1 ELSE 0 END) AS BIGINT) AS taken
-FROM r
+             + d.size / 2 AS middle, row_number() OVER () AS row FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
+e AS (SELECT r.*, (source_size * epoch + middle) / target AS u, CASE WHEN rising THEN weight * 0.5 ELSE weight * 1.5 END AS a,
+        CASE WHEN rising THEN weight * 1.5 ELSE weight * 0.5 END AS b FROM r, (SELECT range AS epoch FROM range(3)) WHERE size > 0 AND source_size * epoch + middle < target),
+n AS (SELECT row, row_number() OVER (ORDER BY (sqrt(a * a + (b * b - a * a) * u) - a) / (b - a), o, size, source NULLS FIRST) - 1 AS pos FROM e),
+f AS (SELECT row, min(pos) AS first_position, count(*) AS reads FROM n GROUP BY row)
+SELECT doc_id, size, source_size, target, CAST(size * coalesce(reads, 0) AS BIGINT) AS taken, first_position
+FROM r LEFT JOIN f USING (row)
 """

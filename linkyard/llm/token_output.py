@@ -22,13 +22,14 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import zstandard
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window
 
 from ..session import scratch_path
-from .ship import partitions_for, ship
+from .ship import partitions_for, ship, stored
 from .textual import byte_codes, doc_blocks, find, mix64, text_bytes, word_hashes
 
 NULL_KEY = -(2**63)
@@ -499,3 +500,40 @@ def encode_and_read(docs: DataFrame, tokenizer_path: str, end_id: int = 2) -> Da
     path = scratch_path(spark, "tokens")
     write_tokens(docs, path, tokenizer_path, end_id)
     return token_digests(spark, path, docs)
+
+
+FILES_AT_ONCE = 200_000  # rows (about 150 bytes each) of a table of files that may be broadcast
+
+
+def in_stored_order(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``position``, 0-based: the place of each row in its Parquet files, files by their part number
+    and rows as they lie in a file.  A frame that isn't read straight from Parquet files is stored first.
+
+    Rows are not moved: a file's rows are counted, and each file gets the number of rows before it.
+    """
+    names = docs.columns
+    try:
+        placed = docs.select("*", F.col("_metadata.file_path").alias("_tk_file"), F.col("_metadata.row_index").alias("_tk_row"))
+    except AnalysisException:  # not read from Parquet
+        return in_stored_order(stored(docs, "tokens-input"))
+    number = F.coalesce(F.regexp_extract("_tk_file", r"part-(\d+)[^/]*$", 1).try_cast("long"), F.lit(0).cast("long"))
+    files = placed.groupBy("_tk_file").agg(F.count(F.lit(1)).alias("n")).withColumn("number", number)
+    before = Window.orderBy("number", "_tk_file").rowsBetween(Window.unboundedPreceding, -1)  # one row per file
+    files = stored(files.select("_tk_file", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_tk_base")), "tokens-files")
+    if files.count() <= FILES_AT_ONCE:
+        files = F.broadcast(files)
+    return placed.join(files, "_tk_file").select(*names, (F.col("_tk_base") + F.col("_tk_row")).alias("position"))
+
+
+def encode_in_order(docs: DataFrame, tokenizer_path: str, end_id: int = 2) -> DataFrame:
+    """Write ``docs`` as token shards in the order they are stored in; the key of a row is its position there, so
+    a document that is stored several times is written at each of its places.
+
+    Returns per stored row, read back by position: doc_id, start, n_tokens, ids_crc32, position.
+    """
+    spark = docs.sparkSession
+    path = scratch_path(spark, "tokens")
+    placed = in_stored_order(docs.select("doc_id", "text"))
+    write_tokens(placed, path, tokenizer_path, end_id, key="position")
+    found = token_digests(spark, path, placed, "position").withColumnRenamed("doc_id", "position")
+    return placed.select("position", "doc_id").join(found, "position").select("doc_id", "start", "n_tokens", "ids_crc32", "position")

@@ -13,6 +13,7 @@ from tokenizers import Tokenizer
 import corpus_pipeline
 from linkyard.llm.mixing import MIX_SQL
 from linkyard.llm.ship import stored
+from linkyard.llm.token_output import in_stored_order
 
 from .test_decontaminate import brute as brute_windows, words
 from .test_simhash import brute_components, brute_fp
@@ -78,14 +79,32 @@ def test_mix_reads_each_row_as_often_as_sql_says(results):
     assert all(r == by[r["doc_id"]] for r in rows(results["mix"]))
 
 
-def test_tokens_of_the_mix(spark, results):
+def test_mix_is_stored_in_training_order(results):
+    """Times worked out from the targets, by plain arithmetic, ascend over the stored rows."""
+    before = rows(results["decontaminate"])
+    con = duckdb.connect()
+    con.register("documents", pd.DataFrame(before)[["doc_id", "text", "source"]])
+    first = dict(con.execute(f"SELECT doc_id, first_position FROM ({MIX_SQL})").fetchall())
+    stored_rows = [r["doc_id"] for r in sorted(rows(in_stored_order(results["mix"])), key=lambda r: r["position"])]
+    met = {}
+    for i, k in enumerate(stored_rows):
+        met.setdefault(k, i)
+    assert met == {k: v for k, v in first.items() if v is not None}
+
+
+def test_tokens_lie_in_training_order(spark, results):
+    """Shards hold the readings of the mix one after the other, repeats at their own places."""
     tok = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     want, start = [], 0
-    for r in sorted(rows(results["mix"]), key=lambda r: r["doc_id"]):
+    order = sorted(rows(in_stored_order(results["mix"])), key=lambda r: r["position"])
+    assert [r["position"] for r in order] == list(range(len(order)))
+    for r in order:
         n = len(tok.encode(r["text"], add_special_tokens=False).ids) + 1
-        want.append((r["doc_id"], start, n))
+        want.append((r["doc_id"], start, n, r["position"]))
         start += n
-    assert sorted((r["doc_id"], r["start"], r["n_tokens"]) for r in rows(results["tokens"])) == want
+    got = rows(results["tokens"])
+    assert sorted(((r["doc_id"], r["start"], r["n_tokens"], r["position"]) for r in got), key=lambda r: r[3]) == want
+    assert len({r["doc_id"] for r in got}) < len(got)  # some are read more than once
     assert corpus_pipeline.run(spark, SF).count() == len(want) and corpus_pipeline.ORACLE_SQL is None
 
 
@@ -93,5 +112,5 @@ def test_stages_take_odd_and_empty_tables(spark, odd_docs, no_docs):
     for docs in (odd_docs, no_docs):
         for _, stage in corpus_pipeline.STAGES:
             docs = stage(spark, docs, SF)
-        assert docs.columns == ["doc_id", "start", "n_tokens", "ids_crc32"]
+        assert docs.columns == ["doc_id", "start", "n_tokens", "ids_crc32", "position"]
         assert docs.count() == 0 or docs.where("n_tokens > 0").count() == docs.count()
