@@ -21,9 +21,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .ranges import running_sums
 from .ship import ship, stored
 from .textual import ALNUM, doc_blocks, find, per_doc, text_bytes, word_bounds, word_hashes
 
+BLOCK_WORDS = 200_000  # about 1 KB of automaton a word, in each worker
+
 HITS = T.StructType([
     T.StructField("_bd_words", T.LongType()),
     T.StructField("_bd_from", T.ArrayType(T.LongType())),   # hit word ranges [from, to), ascending, disjoint
@@ -121,34 +124,46 @@ class SuffixAutomaton:
         return out
 
 
-def _item_words(texts: list[str]) -> tuple[list[np.ndarray], np.ndarray]:
-    data, off = text_bytes(pa.array(texts, pa.string()))
-    s, e, d = word_bounds(data, off, ALNUM)
-    h = word_hashes(data, s, e)
-    first = per_doc(d, len(texts))
-    return [h[first[i]: first[i + 1]] for i in range(len(texts))], h
+ITEMS = T.StructType([T.StructField("item", T.StringType()), T.StructField("part", T.LongType()), T.StructField("n", T.LongType()),
+                      T.StructField("words", T.BinaryType())])
+
+
+def _hash_items(window: int, most: int):
+    """Items to the hashes of their words; an item of over ``most`` words in parts that share ``window - 1`` words."""
+    def run(batches):
+        for batch in batches:
+            names = ["" if i is None else str(i) for i in batch.column(0).to_pylist()]
+            data, off = text_bytes(batch.column(1))
+            for lo, hi in doc_blocks(off):
+                part = data[off[lo]: off[hi]]
+                s, e, d = word_bounds(part, off[lo: hi + 1] - off[lo], ALNUM)
+                h, first, rows = word_hashes(part, s, e), per_doc(d, hi - lo), []
+                for i in range(hi - lo):
+                    words = h[first[i]: first[i + 1]]
+                    if len(words):
+                        rows += [(names[lo + i], k, x) for k, a in enumerate(range(0, max(1, len(words) - window + 1), most - window + 1))
+                                 if len(x := words[a: a + most])]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.int64()),
+                     pa.array([len(r[2]) for r in rows], pa.int64()), pa.array([r[2].tobytes() for r in rows], pa.binary())], names=ITEMS.names)
+    return run
 
 
-def benchmark_blocks(benchmark: DataFrame, block_words: int):
-    """Lists of ``(item_id, word hashes)`` of at most about ``block_words`` words, one item at least."""
-    block, size = [], 0
-    for r in benchmark.select("item_id", "text").toLocalIterator():
-        words, _ = _item_words([r["text"] or ""])
-        if not len(words[0]):
-            continue
-        if block and size + len(words[0]) > block_words:
-            yield block
-            block, size = [], 0
-        block.append((r["item_id"], words[0]))
-        size += len(words[0])
-    if block:
-        yield block
+def benchmark_items(benchmark: DataFrame, window: int, block_words: int) -> DataFrame:
+    """``(item, part, n, words, block)``, stored: the hashed items, dealt to blocks of at most ``block_words``
+    words (twice that with the item that ends a block) by a running sum of their sizes."""
+    ship(benchmark.sparkSession)
+    items = benchmark.select(F.col("item_id").cast("string"), "text").mapInArrow(_hash_items(window, max(block_words, 2 * window)), ITEMS)
+    items = stored(items.withColumn("h", F.xxhash64("words")).dropDuplicates(["item", "part", "n", "h"]), "benchmark-items")
+    placed = running_sums(items.select(F.lit("").alias("tree"), "item", "part", F.col("n").alias("size"), "h"), ["item", "part", "size", "h"], "size")
+    blocks = placed.select("item", "part", "h", F.floor(F.col("before") / block_words).cast("long").alias("block"))
+    return stored(items.join(blocks, ["item", "part", "h"]).drop("h"), "benchmark-blocks")
 
 
 def _scan(block, window: int, text_column: str):
     """The function that adds this block's hits to every row of Arrow batches."""
     vocab = np.unique(np.concatenate([w for _, w in block])) if block else np.empty(0, np.uint64)
-    names = ["" if i is None else str(i) for i, _ in block]
+    names = [i for i, _ in block]
     sequences = [(n, find(vocab, w).tolist()) for n, (_, w) in enumerate(block)]
     shortest = min([window, *(len(w) for _, w in block)])
 
@@ -221,19 +236,23 @@ def _add_hits(batch, sam, vocab, near, shortest, names, text_column):
     return pa.RecordBatch.from_arrays([*keep.columns, *arrays], names=[*keep.schema.names, *(f.name for f in HITS.fields)])
 
 
-def benchmark_hits(docs: DataFrame, benchmark: DataFrame, window: int = 10, block_words: int = 2_000_000,
+def benchmark_hits(docs: DataFrame, benchmark: DataFrame, window: int = 10, block_words: int = BLOCK_WORDS,
                    text_column: str = "text", finish=None, finish_schema=None) -> DataFrame:
     """``docs`` with the columns of ``HITS``.  Each pass holds one automaton of at
-    most about ``block_words`` benchmark words; a larger benchmark takes more passes,
-    each stored before the next.  ``finish`` maps the last pass's Arrow batches to batches of
+    most about twice ``block_words`` benchmark words; a larger benchmark takes more passes,
+    each stored before the next.  Items are hashed and dealt to blocks by Spark; the driver passes on one block at a time.  ``finish`` maps the last pass's Arrow batches to batches of
     ``finish_schema`` in the same worker."""
     ship(docs.sparkSession)
     out, schema = docs, T.StructType([*docs.schema.fields, *HITS.fields])
+    items = benchmark_items(benchmark, window, block_words)
+    numbers = [r[0] for r in items.select("block").distinct().orderBy("block").collect()]  # one a block
     waiting = None
-    for block in benchmark_blocks(benchmark, block_words):
+    for number in numbers:
         if waiting is not None:
             out = stored(out.mapInArrow(_scan(waiting, window, text_column), schema), "decontaminate")
-        waiting = block
+        # A block at a time: at most 8 bytes a word, and the items' ids.
+        waiting = [(r["item"], np.frombuffer(r["words"], np.uint64)) for r in
+                   items.filter(F.col("block") == number).select("item", "words").collect()]
     scan = _scan(waiting or [], window, text_column)
     if finish is None:
         return out.mapInArrow(scan, schema)

@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .samples import one_of_each
 from .ship import ship
 from .textual import ALNUM, BLOCK, CODES, INV, POW, doc_blocks, text_bytes
 from .toxicity import fold
@@ -111,11 +112,9 @@ def decode_codes(f: np.ndarray, code: np.ndarray, bit_weights: np.ndarray) -> np
 
 
 def labelled_vectors(docs: DataFrame, max_labelled: int, key: str = "doc_id"):
-    """At most ``max_labelled`` rows ``(lang, vector)``, collected."""
-    keys = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull()).select(key, "lang") \
-        .orderBy(F.xxhash64(key), key).limit(max_labelled).select(key).distinct()
-    some = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull()).select(key, "lang", "text") \
-        .join(F.broadcast(keys), key).select("lang", "text")  # bounded by the parameter
+    """At most ``max_labelled`` rows ``(lang, vector)``, collected: one of each key and language, those with the smallest hashes of both."""
+    known = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull()).select(F.col(key).alias("key"), "lang", "text")
+    some = one_of_each(known, ["key", "lang"], ["text"], max_labelled).select("lang", "text")
 
     def run(batches):
         for batch in batches:

@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .samples import labelled_rows
 from .ship import ship
 from .textual import RAW_CODES, SPACED, doc_blocks, find, mix64, per_doc, text_bytes, word_bounds, word_hashes
 
@@ -209,9 +210,7 @@ def viterbi(em: np.ndarray, trans: np.ndarray) -> list[int]:
 def train_chain(docs: DataFrame, labels: DataFrame, max_labelled: int = 2000, key: str = "doc_id"):
     """The chain learned from the quality labels of at most ``max_labelled`` texts; None if they are all alike."""
     ship(docs.sparkSession)
-    some = (labels.filter(F.col("quality").isNotNull()).select(key, F.col("quality").cast("int").alias("label"))
-            .orderBy(F.xxhash64(key), key).limit(max_labelled))
-    rows = docs.select(key, "text").join(F.broadcast(some), key).select(key, "label", "text")  # bounded by the parameter
+    rows = labelled_rows(docs, labels, "quality", max_labelled, key)
 
     def run(batches):
         for batch in batches:

@@ -19,10 +19,12 @@ TEXT_ROWS = 1000  # rows of whole texts per Arrow batch
 
 def ship(spark: SparkSession) -> None:
     """Give the executors this package once per application (``addPyFile``),
-    so workers can import it wherever they run.  Rows of whole texts are large: where the
-    session has Spark's default of 10 000 rows per Arrow batch, it gets ``TEXT_ROWS``."""
+    so workers can import it wherever they run.
+
+    Rows of whole texts are large: a session that names no number of rows per Arrow batch gets ``TEXT_ROWS`` (for good,
+    since results are computed after the operator has returned).  A number that was set stays, whatever it is."""
     sc = spark.sparkContext
-    if spark.conf.get(ARROW_ROWS, "10000") == "10000":
+    if ARROW_ROWS not in spark.conf.getAll:
         spark.conf.set(ARROW_ROWS, str(TEXT_ROWS))
     if sc.applicationId in _sent:
         return

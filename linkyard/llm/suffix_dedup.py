@@ -37,7 +37,8 @@ from .textual import BLOCK, INV, POW, RAW_CODES, mix64, text_bytes
 GRAM = 16
 SPREAD = 160
 FLUSH = 1 << 21  # suffixes a map task holds before it sends them
-SAMPLED_TEXTS = 2000
+SAMPLED_TEXTS = 8000     # expected number of texts whose suffixes may become splitters
+ROWS_PER_RANGE = 40      # expected number of sampled suffixes a range
 ROW_BYTES = 40
 _PLACE = np.uint64(0xFFFFF)
 
@@ -304,21 +305,30 @@ def _edge_verdicts(rows, n_tokens: int, least: int) -> list[np.ndarray]:
     return [np.array([o[k] for o in out], d) for k, d in enumerate(VERDICT_TYPES)]
 
 
-def shared_suffixes(rows: DataFrame, make_rows, n_tokens: int, least: int, sample: DataFrame, n_rows_bytes: float,
+def shared_suffixes(rows: DataFrame, make_rows, n_tokens: int, least: int, n_texts: int, n_rows: float, row_bytes: int,
                     n_buckets: int, tag: str, range_bytes: int) -> DataFrame:
-    """Verdict parcels by address bucket, of all rows that ``make_rows`` makes and that share ``least`` tokens with another."""
+    """Verdict parcels by address bucket, of all rows that ``make_rows`` makes and that share ``least`` tokens with another.
+
+    Splitters come from texts sampled over all of ``rows``, and of their suffixes (about ``n_rows`` in all, of ``n_texts`` texts)
+    from those whose hash is small enough, ``ROWS_PER_RANGE`` a range: their number doesn't depend on the texts' lengths.
+    """
     spark = rows.sparkSession
-    n_ranges = partitions_for(n_rows_bytes, range_bytes)
+    n_ranges = partitions_for(n_rows * row_bytes, range_bytes)
+    of_texts = min(1.0, SAMPLED_TEXTS / max(1, n_texts))
+    of_rows = np.uint64(min(1.0, n_ranges * ROWS_PER_RANGE / max(1.0, n_rows * of_texts)) * (2**64 - 2**12))
 
     def keys(batches):
         for batch in batches:
             for tokens, addr, first, _ in make_rows(batch):
+                with np.errstate(over="ignore"):
+                    low = mix64(addr.astype(np.uint64) ^ (first.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))) <= of_rows
+                tokens, addr, first = [t[low] for t in tokens], addr[low], first[low]
                 yield pa.RecordBatch.from_arrays([pa.array(c.astype(np.uint64).view(np.int64)) for c in (*tokens, addr, first)],
                                                  names=[f"k{i}" for i in range(n_tokens + 2)])
 
     splitters: list[tuple] = []
     if n_ranges > 1:
-        got = sample.mapInArrow(keys, ", ".join(f"k{i} long" for i in range(n_tokens + 2))).toArrow()
+        got = rows.sample(of_texts, seed=1).mapInArrow(keys, ", ".join(f"k{i} long" for i in range(n_tokens + 2))).toArrow()
         cols = [c.to_numpy().view(np.uint64) for c in got.columns]
         if len(cols[0]):
             order = multikey_order(cols)
@@ -427,8 +437,7 @@ def remove_repeats(docs: DataFrame, length: int = 400, spread: int = SPREAD, key
     slim = rows.select("addr", "text")
     n_docs, n_bytes = slim.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).head()
     n_buckets = partitions_for(n_bytes, 16 << 20)
-    sample = slim.sample(min(1.0, 4.0 * SAMPLED_TEXTS / max(1, n_docs)), seed=1).limit(SAMPLED_TEXTS)
-    suffixes = shared_suffixes(slim, _anchor_rows(length, spread), 3, 2, sample, ROW_BYTES * 2 * n_bytes / spread, n_buckets, "suffixes", range_bytes)
+    suffixes = shared_suffixes(slim, _anchor_rows(length, spread), 3, 2, n_docs, 2 * n_bytes / spread, ROW_BYTES, n_buckets, "suffixes", range_bytes)
     by_text = stored(suffixes.repartition(n_buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(_by_text(3), BY_TEXT), "suffix-texts")
 
     squeeze = F.arrow_udf(_squeeze, T.BinaryType())
@@ -437,8 +446,7 @@ def remove_repeats(docs: DataFrame, length: int = 400, spread: int = SPREAD, key
     look = stored(look, "suffix-look")
     n_look = look.count()
     n_strings = look.mapInArrow(_count_strings, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).head()[0]
-    some = look.sample(min(1.0, 4.0 * SAMPLED_TEXTS / max(1, n_look)), seed=1).limit(SAMPLED_TEXTS)
-    strings = shared_suffixes(look, _string_rows(length), 2, 2, some, 28 * n_strings, n_buckets, "strings", range_bytes)
+    strings = shared_suffixes(look, _string_rows(length), 2, 2, n_look, n_strings, 28, n_buckets, "strings", range_bytes)
     single = stored(strings.repartition(n_buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(_by_text(2), BY_TEXT), "string-texts")
 
     found = texts.join(by_text.select("addr", F.col("whole").alias("a")), "addr", "left") \

@@ -1,13 +1,14 @@
 """Toxicity scores over text restored by a noisy channel.
 
-Words that look disguised (a digit or sign among letters, a letter three times in a row, a row of
-single letters) become character lattices: a sign stands for one of its letters or for nothing, a
+Words that look disguised (any run of digits or signs between letters, a letter three times in a row, a row of
+two or more single letters) become character lattices: a sign stands for one of its letters or for nothing, a
 repeated letter may be one, separators may vanish.  Viterbi decoding under a character four-gram
-model, counted over all training texts, picks the restored word.  Words and byte six-grams
+model, counted over all training texts, picks the restored word.  A row that becomes a word of two or three letters counts only if
+the corpus has that word.  Words and byte six-grams
 of the text, and the restored words, then feed a logistic model of the labels.
 
-The label model is fitted on at most ``max_labelled`` labelled rows (those with the smallest hashes of
-their key); the character model counts every training text.
+The label model is fitted on at most ``max_labelled`` labelled rows (one a key, those with the smallest hashes of
+it); the character model counts every training text.
 
 Defined results: null and empty texts get the score of a text without any feature; repeated rows
 score alike; with no labelled rows (or one class only) every score is the share of label 1 in
@@ -23,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .samples import labelled_rows
 from .ship import ship
 from .textual import (
     ALNUM, BLOCK, CODES, INV, LOWER, POW, SPACED, doc_blocks, mix64, text_bytes, word_bounds, word_hashes,
@@ -51,15 +53,30 @@ _GRAM_CODES[~ALNUM] = np.uint64(0x2545F4914F6CDD1D)
 
 # --- character model -------------------------------------------------------
 
-def character_counts(docs: DataFrame) -> np.ndarray:
-    """Four-gram counts of character classes over every text, as a dense ``CLASSES ** ORDER`` table."""
+SHORT = 27 ** 3  # words of two or three letters a-z
+
+
+def _short_words(part: np.ndarray, off: np.ndarray) -> np.ndarray:
+    """Cells of the words of two or three letters a-z."""
+    s, e, _ = word_bounds(part, off, ALNUM)
+    size = e - s
+    s, size = s[(size == 2) | (size == 3)], size[(size == 2) | (size == 3)]
+    c = [_CLASS[part[s]], _CLASS[part[s + 1]], np.where(size == 3, _CLASS[part[np.minimum(s + 2, len(part) - 1)]], 0)]
+    plain = (c[0] % 27 > 0) & (c[1] % 27 > 0) & (c[2] < 27) & ((size == 2) | (c[2] > 0))
+    return (c[0] * 27 + c[1])[plain] * 27 + c[2][plain]
+
+
+def corpus_counts(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Over every text: four-gram counts of character classes, as a dense ``CLASSES ** ORDER`` table, and counts of
+    the words of two or three letters, as a table of ``SHORT`` cells."""
 
     def run(batches):
-        total = np.zeros(CLASSES ** ORDER, np.int64)
+        total = np.zeros(CLASSES ** ORDER + SHORT, np.int64)
         for batch in batches:
             data, off = text_bytes(batch.column(0))
             for lo, hi in doc_blocks(off):
                 part = data[off[lo]: off[hi]]
+                total[CLASSES ** ORDER:] += np.bincount(_short_words(part, off[lo: hi + 1] - off[lo]), minlength=SHORT)
                 for at in range(0, len(part), 2 * BLOCK):
                     c = _CLASS[part[at: at + 2 * BLOCK + ORDER - 1]]
                     n = len(c) - ORDER + 1
@@ -67,15 +84,20 @@ def character_counts(docs: DataFrame) -> np.ndarray:
                         cell = c[:n]
                         for k in range(1, ORDER):
                             cell = cell * CLASSES + c[k: n + k]
-                        total += np.bincount(cell, minlength=CLASSES ** ORDER)
+                        total[: CLASSES ** ORDER] += np.bincount(cell, minlength=CLASSES ** ORDER)
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int64()), pa.array(total[seen])], names=["k", "n"])
 
-    out = np.zeros(CLASSES ** ORDER, np.int64)
-    # At most CLASSES ** ORDER rows whatever the corpus.
+    out = np.zeros(CLASSES ** ORDER + SHORT, np.int64)
+    # At most CLASSES ** ORDER + SHORT rows whatever the corpus.
     rows = docs.select("text").mapInArrow(run, "k long, n long").groupBy("k").agg(F.sum("n").alias("n")).toArrow()
     out[rows.column("k").to_numpy()] = rows.column("n").to_numpy()
-    return out
+    return out[: CLASSES ** ORDER], out[CLASSES ** ORDER:]
+
+
+def character_counts(docs: DataFrame) -> np.ndarray:
+    """The four-gram counts of ``corpus_counts``."""
+    return corpus_counts(docs)[0]
 
 
 def character_model(counts: np.ndarray) -> np.ndarray:
@@ -124,18 +146,21 @@ def decode(observed: str, model: np.ndarray) -> str:
     return best[1]
 
 
-def _near(mask: np.ndarray, k: int) -> np.ndarray:
-    """``mask`` shifted so that position i shows position i + k."""
-    out = np.zeros(len(mask), bool)
-    out[: len(mask) - k] = mask[k:]
-    return out
+class Restorer:
+    """Restored words of text blocks; remembers up to ``keep`` decoded words.
 
+    ``short`` (``SHORT`` cells) are the corpus counts of words of two and three letters: a row of so few single letters
+    is taken for a word only if the corpus has that word.
+    """
 
-class Restorer:
-    """Restored words of text blocks; remembers up to ``keep`` decoded words."""
+    def __init__(self, model: np.ndarray, short: np.ndarray | None = None, keep: int = 200_000):
+        self.model, self.short, self.keep, self.known = model, short, keep, {}
 
-    def __init__(self, model: np.ndarray, keep: int = 200_000):
-        self.model, self.keep, self.known = model, keep, {}
+    def is_short_word(self, word: str) -> bool:
+        if self.short is None or not (2 <= len(word) <= 3 and word.isascii() and word.isalpha()):
+            return False
+        a, b, c = [ord(x) - 96 for x in word.ljust(3, "`")]
+        return bool(self.short[(a * 27 + b) * 27 + c])
 
     def word(self, observed: str) -> str:
         if observed not in self.known:
@@ -152,35 +177,39 @@ class Restorer:
         low = LOWER[part]
         letter = _LETTER[low]
         sign = ~letter & SPACED[low]
-        inner = np.zeros(len(low), bool)
-        run = letter
-        for k in (1, 2, 3):
-            run = run & _near(sign, k)
-            inner |= run & _near(letter, k + 1)
-        inner |= letter & _repeats(low)
-        marks = np.searchsorted(starts, np.flatnonzero(inner), "right") - 1
+        # A run of signs, however long, with letters on both sides of it: signs between a word's first and last letter.
+        at = np.flatnonzero(letter)
+        signs = np.concatenate(([0], np.cumsum(sign)))
+        one, end = np.searchsorted(at, starts), np.searchsorted(at, ends) - 1
+        some = end > one
+        among = np.zeros(len(starts), bool)
+        among[some] = signs[at[end[some]]] > signs[at[one[some]]]
+        marks = np.searchsorted(starts, np.flatnonzero(letter & _repeats(low)), "right") - 1
         size = ends - starts
         first, last = low[starts], low[ends - 1]
         second = low[np.minimum(starts + 1, ends - 1)]
         before = low[np.maximum(ends - 2, starts)]
         flag = (size > 1) & ((_LEADS[first] & _LETTER[second]) | (_TRAILS[last] & _LETTER[before]))
         flag[marks] = True
+        flag |= among
         out = []
         for w in np.flatnonzero(flag).tolist():
             seen = low[starts[w]: ends[w]].tobytes().decode("utf-8", "ignore").rstrip(".,!?;:\"')]}")
             if seen and (word := self.word(seen)) != seen:
                 out.append((int(doc[w]), word))
-        # Rows of four or more one-character words: "a b c d".
+        # Rows of one-character words: "a b c d".
         single = (size == 1) & (_LETTER[first] | _LEADS[first])
         edge = np.ones(len(doc) + 1, bool)
         edge[1:-1] = doc[1:] != doc[:-1]
         begin = np.flatnonzero(single & (edge[:-1] | ~np.concatenate(([False], single[:-1]))))
         stop = np.flatnonzero(single & (edge[1:] | ~np.concatenate((single[1:], [False])))) + 1
         for a, b in zip(begin.tolist(), stop.tolist()):
-            if b - a >= 4:
-                # A word of one letter may stand next to the row: also without its first or last one.
-                row = low[starts[a:b]].tobytes().decode("ascii", "ignore")
-                out += [(int(doc[a]), self.word(x)) for x in (row, row[1:], row[:-1])]
+            if b - a < 2:
+                continue
+            # A word of one letter may stand next to the row: also without its first or last one.
+            row = low[starts[a:b]].tobytes().decode("ascii", "ignore")
+            words = [self.word(x) for x in (row, row[1:], row[:-1])]
+            out += [(int(doc[a]), w) for w in words if len(w) > 3 or self.is_short_word(w)]
         return out
 
 
@@ -252,18 +281,15 @@ def block_features(part: np.ndarray, off: np.ndarray, restorer: Restorer, wanted
 # --- label model -----------------------------------------------------------
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, max_labelled: int, key: str = "doc_id", label: str = "toxic") -> DataFrame:
-    """At most ``max_labelled`` rows ``(label, text)``: those with the smallest key hashes."""
-    some = (labels.filter(F.col(label).isNotNull()).select(key, F.col(label).cast("int").alias("label"))
-            .withColumn("order", F.xxhash64(key)).orderBy("order", key).limit(max_labelled).select(key, "label"))
-    # Bounded by the parameter, so it may be broadcast.
-    return docs.select(key, "text").join(F.broadcast(some), key).select("label", "text")
+    """At most ``max_labelled`` rows ``(label, text)``, one per key: those with the smallest key hashes."""
+    return labelled_rows(docs, labels, label, max_labelled, key).select("label", "text")
 
 
-def fit(sample: DataFrame, model: np.ndarray, n_features: int = 3000, rounds: int = 300, l2: float = 0.2, least_gain: float = 10.0):
+def fit(sample: DataFrame, model: np.ndarray, short: np.ndarray | None = None, n_features: int = 3000, rounds: int = 300, l2: float = 0.2, least_gain: float = 10.0):
     """``(feature ids, weights, bias)`` of a logistic model on the features that tell the labels apart
     best, and by ``least_gain`` nats at least (among a million features, chance alone gives less)."""
     def run(batches):
-        restorer = Restorer(model)
+        restorer = Restorer(model, short)
         for batch in batches:
             data, off = text_bytes(batch.column(1))
             for lo, hi in doc_blocks(off):
@@ -310,7 +336,7 @@ def fit(sample: DataFrame, model: np.ndarray, n_features: int = 3000, rounds: in
     return chosen, w, b
 
 
-def score_column(text: str, model: np.ndarray, ids: np.ndarray, weights: np.ndarray, bias: float) -> Column:
+def score_column(text: str, model: np.ndarray, ids: np.ndarray, weights: np.ndarray, bias: float, short: np.ndarray | None = None) -> Column:
     """The toxicity score of a text column."""
     from pyspark.sql import types as T
 
@@ -319,7 +345,7 @@ def score_column(text: str, model: np.ndarray, ids: np.ndarray, weights: np.ndar
         wanted[ids] = True
         value = np.zeros(1 << FEATURE_BITS)
         value[ids] = weights
-        restorer = Restorer(model)
+        restorer = Restorer(model, short)
         data, off = text_bytes(texts)
         z = np.full(len(off) - 1, bias)
         for lo, hi in doc_blocks(off):
@@ -336,9 +362,10 @@ def train(docs: DataFrame, labels: DataFrame, training: Callable[[Column], Colum
     ship(docs.sparkSession)
     if training is not None:
         docs, labels = docs.filter(training(F.col(key))), labels.filter(training(F.col(key)))
-    model = character_model(character_counts(docs))
-    ids, weights, bias = fit(labelled_sample(docs, labels, max_labelled, key), model)
-    return lambda text: score_column(text, model, ids, weights, bias)
+    counts, short = corpus_counts(docs)
+    model = character_model(counts)
+    ids, weights, bias = fit(labelled_sample(docs, labels, max_labelled, key), model, short)
+    return lambda text: score_column(text, model, ids, weights, bias, short)
 
 
 def fold(key: Column, folds: int) -> Column:
@@ -356,5 +383,4 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, threshold: float = 0.3,
 def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, max_labelled: int = 8000) -> DataFrame:
     """``docs`` without the rows whose score reaches ``threshold``."""
     score = train(docs, labels, lambda k: fold(k, 4) != 2, max_labelled)
-    names = docs.columns
-    return docs.withColumn("_tx_score", score("text")).filter(F.col("_tx_score") < threshold).select(*names)
+    return docs.filter(score("text") < threshold)

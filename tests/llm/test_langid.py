@@ -58,3 +58,29 @@ def test_odd_rows(odd_docs, odd_rows, no_docs):
     assert len(by[5]) == 1 and by[5].pop()[0] in {"en", "fr", "de", "es"}
     assert language_report(no_docs).count() == 0
     assert {r["lang_pred"] for r in identify(odd_docs, no_docs).collect()} == {"und"}
+
+
+def test_predictions_against_plain_decoding(spark):
+    """Every prediction is the language whose codeword has the least weighted logistic loss, found by plain loops."""
+    import math
+
+    import numpy as np
+    import pyarrow as pa
+
+    from linkyard.llm.langid import block_vectors, fit_codes, identify, labelled_vectors
+    from linkyard.llm.textual import text_bytes
+
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    langs, x, y = labelled_vectors(docs, 3000)
+    code, w, b, weights = fit_codes(x, y, len(langs))
+    got = {r["doc_id"]: r for r in identify(docs, docs).collect()}
+    for r in docs.select("doc_id", "text").collect():
+        if not any(c.isalpha() for c in r["text"] or ""):
+            assert got[r["doc_id"]]["lang_pred"] == "und"
+            continue
+        margins = (block_vectors(*text_bytes(pa.array([r["text"]]))) @ w + b)[0]
+        losses = [sum(weights[k][j] * math.log1p(math.exp(-float(margins[j]) * code[k][j])) for j in range(code.shape[1])) * code.shape[1]
+                  for k in range(len(langs))]
+        best = int(np.argmin(losses))
+        assert got[r["doc_id"]]["lang_pred"] == langs[best]
+        assert abs(got[r["doc_id"]]["score"] - 1 / sum(math.exp(losses[best] - v) for v in losses)) < 1e-3
