@@ -14,6 +14,7 @@ Fixed literals pin the run date and time, so results are deterministic.
 from __future__ import annotations
 
 import datetime as dt
+import logging
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,9 +30,10 @@ from linkyard.schema import FILE_REFS_COLUMNS, FILE_REFS_SCHEMA
 from linkyard.session import scratch_path, unique_table_name
 from linkyard.sinks import ensure_table, table_exists, table_rows, write_refs
 from linkyard.sources import (
-    file_inventory, generate_index_lines, land_raw, object_exists, order_lines, page_lines, read_lines,
+    file_inventory, generate_index_lines, land_raw, object_exists, order_lines, page_lines, read_lines, read_lines_ordered,
     read_lines_raw, varied_order_lines, write_index_files,
 )
+from linkyard.operators.files import cap_file_refs, first_file_refs
 from linkyard.operators.ordering import with_ordinal
 from linkyard.plans import ExtractionConfig, extract_index_file, run_extraction
 from linkyard.streaming import progress_rows, stream_file_refs, stream_into_table
@@ -95,13 +97,34 @@ def q_scan_lines(spark, sf_dir):
 
 
 def q_scan_text_lines(spark, sf_dir):
-    """S1, plain text: the split-table numbering path (splittable files)."""
+    """S1, plain text: one scan with an order key, numbered by those who ask for it."""
     gen = generate_index_lines(_t(spark, sf_dir, "orders"), "o_orderkey", ENTITY, ENTITY_TYPE)
     path = write_index_files(gen, scratch_path(spark, "index-txt"), compression=None)
-    numbered = with_ordinal(read_lines(spark, path), ["file_path", "line_no"], "global_line_no")
+    numbered = with_ordinal(read_lines_ordered(spark, path), ["file_path", "split", "record"], "global_line_no")
     return numbered.select(F.col("global_line_no").alias("line_no"), "value")
 
 
+def _varied_files(spark, sf_dir, tag, compression=None):
+    """The varied lines as text files in line order."""
+    return write_index_files(_varied(spark, sf_dir), scratch_path(spark, tag), compression)
+
+
+def q_file_batch_assign(spark, sf_dir):
+    """W1 over files: references numbered in the scan tasks, no text is shuffled."""
+    lines = read_lines_ordered(spark, _varied_files(spark, sf_dir, "index-batches"))
+    return assign_batches(lines, BATCH_SIZE).select("ref_index", "batch_no", "pos", "file_url")
+
+
+def q_file_max_records(spark, sf_dir):
+    """L3 over gzip files: the first files in path order until the cap is met, the others stay closed."""
+    return cap_file_refs(spark, _varied_files(spark, sf_dir, "index-cap", "gzip"), SMALL_CAP).select("pos", "file_url")
+
+
+def q_file_sample_20(spark, sf_dir):
+    """L1 over files: a top-k on references in the scan tasks."""
+    return first_file_refs(spark, _varied_files(spark, sf_dir, "index-sample"), 20).select("sample_rank", "file_url")
+
+
 def q_one_line_index_refs(spark, sf_dir):
     """S1 with ``line_sep``: each written file is one long line of JSON
     objects; reading it with ``line_sep="},"`` cuts it back into objects."""
@@ -429,6 +452,9 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "max_records": q_max_records,
     "max_records_large": q_max_records_large,
     "batch_assign": q_batch_assign,
+    "file_batch_assign": q_file_batch_assign,
+    "file_max_records": q_file_max_records,
+    "file_sample_20": q_file_sample_20,
     "batch_counts": q_batch_counts,
     "table_columns": q_table_columns,
     "table_exists": q_table_exists,
@@ -456,9 +482,8 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 # The training-data operators live in a subpackage of their own that may be absent.
 try:
     from linkyard.llm import queries as _llm
-except ModuleNotFoundError as _missing:
-    if not (_missing.name or "").startswith(("linkyard.llm", "corpus_pipeline")):
-        raise
+except ImportError as _missing:  # the subpackage, or a library that it alone needs
+    logging.getLogger(__name__).warning("training-data queries are left out: %s", _missing)
     _llm = None
 
 
@@ -695,6 +720,10 @@ _ORACLE: dict[str, str] = {
     "max_records": f"SELECT line_no, pos, file_url FROM ({VARIED_REFS}) r ORDER BY line_no, pos LIMIT {SMALL_CAP}",
     "max_records_large": f"SELECT line_no, pos, file_url FROM ({VARIED_REFS}) r ORDER BY line_no, pos LIMIT {LARGE_CAP}",
     "batch_assign": f"SELECT *, CAST(ref_index // {BATCH_SIZE} + 1 AS BIGINT) AS batch_no FROM ({_indexed_sql(VARIED_CLASSIFIED)}) i",
+    "file_batch_assign": (f"SELECT ref_index, CAST(ref_index // {BATCH_SIZE} + 1 AS BIGINT) AS batch_no, pos, file_url "
+                          f"FROM ({_indexed_sql(VARIED_CLASSIFIED)}) i"),
+    "file_max_records": f"SELECT pos, file_url FROM (SELECT * FROM ({VARIED_REFS}) r ORDER BY line_no, pos LIMIT {SMALL_CAP}) c",
+    "file_sample_20": f"SELECT sample_rank, file_url FROM ({_sample(20, VARIED_CLASSIFIED)}) s",
     "batch_counts": (
         f"SELECT CAST(ref_index // {BATCH_SIZE} + 1 AS BIGINT) AS batch_no, CAST(count(*) AS BIGINT) AS n_refs "
         f"FROM ({INDEXED}) i GROUP BY 1"

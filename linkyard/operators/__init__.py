@@ -5,7 +5,7 @@ from .metrics import (
 )
 from .ordering import (
     assign_batches, batch_counts, cap_records, exclusive_prefix_sum, first_refs, first_refs_of_lines,
-    indexed_refs, with_ordinal,
+    indexed_file_refs, indexed_refs, with_ordinal,
 )
 from .refs import (
     classified_refs, classify, extract_refs, file_refs, filter_http, line_key, ref_key, refs_array, to_file_refs,
@@ -15,7 +15,7 @@ __all__ = [
     "extract_refs", "filter_http", "classify", "classified_refs", "to_file_refs", "file_refs",
     "line_key", "ref_key", "refs_array",
     "exclusive_prefix_sum", "with_ordinal", "indexed_refs", "assign_batches", "batch_counts",
-    "first_refs", "first_refs_of_lines", "cap_records",
+    "first_refs", "first_refs_of_lines", "indexed_file_refs", "cap_records",
     "ref_counters", "refs_by_network", "sample_urls", "reconcile",
     "summary_lines", "detailed_lines",
 ]

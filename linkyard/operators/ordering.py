@@ -15,6 +15,10 @@ weighs its number of references), not a window over all references:
    the data size;
 4. a line's base + the position of a reference in it = its index.
 
+Lines scanned from files (``file_path, split, record``) need none of that: the scan task itself numbers the
+references it meets, and a small table with one row per input split tells how many references the earlier splits
+hold (``indexed_file_refs``).  No line and no URL is shuffled.
+
 Nothing is materialised and nothing depends on partition ids, so a lost
 executor just recomputes its tasks.
 """
@@ -26,6 +30,7 @@ from pyspark.sql import functions as F
 
 from ..functions.extract import might_hold_url
 from ..functions.patterns import DEFAULT_BATCH_SIZE
+from ..session import SPLIT_BROADCAST_ROWS, scan_partitions
 from .refs import extract_refs, filter_http, line_key, ref_key, refs_array
 
 # Upper bound of lines per bucket: a bucket is one window partition.
@@ -44,9 +49,9 @@ TOP_LEVEL_ROWS = 1 << 16
 
 
 def _require_number(df: DataFrame) -> None:
-    """Encounter order needs numbered lines: without ``line_no`` the order would be arbitrary."""
-    if "line_no" not in df.columns:
-        raise ValueError("encounter order needs a line_no column; read the lines with read_lines, not read_lines_raw")
+    """Encounter order needs a line key: without ``line_no`` or ``record`` the order would be arbitrary."""
+    if "line_no" not in df.columns and "record" not in df.columns:
+        raise ValueError("encounter order needs a line_no or record column; read the lines with read_lines or read_lines_ordered")
 
 
 def _bucket_width(df: DataFrame, num: str) -> tuple[int, int, int]:
@@ -158,21 +163,49 @@ def exclusive_prefix_sum(
     """
     *grp, num = order_cols
     w = F.col(weight) if isinstance(weight, str) else weight
-    if (width is None or low is None) and order_cols[:1] == ["file_path"] and num == "line_no":
-        # Dense per-file numbers from 0: size is unknown but no job is needed.
+    if (width is None or low is None) and order_cols[:1] == ["file_path"] and num in ("line_no", "record"):
+        # Numbers that run on along a file or split: size is unknown but no job is needed.
         low, width = 0, FILE_BUCKET_WIDTH
         levels = 1 if levels is None else levels
     if width is None or low is None:
         low, width, n_buckets = _bucket_width(df, num)
         levels = _levels_for(n_buckets) if levels is None else levels
     if bounds is None:
-        bounds = _path_bounds(df) if grp == ["file_path"] else []
+        bounds = _path_bounds(df) if grp[:1] == ["file_path"] else []
     return _prefix_level(df, grp, num, w, out, low, width, 0, levels or 0, fanout, bounds)
 
 
 def with_ordinal(df: DataFrame, order_cols: list[str], out: str = "ordinal") -> DataFrame:
-    """0-based rank of each row in ``order_cols`` order (keys must be unique)."""
-    return exclusive_prefix_sum(df, order_cols, F.lit(1), out)
+    """0-based rank of each row in ``order_cols`` order (keys must be unique).
+
+    The weight of a row is 1, written so that it reads every other column: the totals then need the same columns as the running
+    sum, both read one exchange, and the input is scanned once."""
+    others = [F.col(c).isNull().cast("long") for c in df.columns if c not in order_cols]
+    return exclusive_prefix_sum(df, order_cols, F.greatest(F.lit(1).cast("long"), *others) if others else F.lit(1), out)
+
+
+def indexed_file_refs(lines: DataFrame, value: str = "value") -> DataFrame:
+    """``(file_path, split, record, pos, file_url, ref_index)`` of lines scanned from files, by path and place.
+
+    References are numbered in the scan task, after the explode (``monotonically_increasing_id`` rises along a split); a
+    table with one row per split, its first number and its count, gives every split the number of references before it by
+    a running sum in (path, split) order.  The text is scanned twice and never shuffled; both scans are planned from one listing,
+    so they number alike, also in a task that runs again.
+    """
+    found = filter_http(extract_refs(lines, "both", value)).withColumn("_lk_rid", F.monotonically_increasing_id())
+    totals = found.groupBy("file_path", "split").agg(F.min("_lk_rid").alias("_lk_rid0"), F.count(F.lit(1)).alias("_lk_n"))
+    bounds = _path_bounds(lines)
+    if bounds:
+        bases = _range_bases(totals, ["file_path"], "split", "_lk_n", "_lk_base", bounds)
+    else:
+        before = Window.orderBy("file_path", "split").rowsBetween(Window.unboundedPreceding, -1)
+        bases = totals.withColumn("_lk_base", F.coalesce(F.sum("_lk_n").over(before), F.lit(0)))
+    bases = bases.select("file_path", "split", "_lk_rid0", "_lk_base")
+    # One row per split at most: files and partitions are known from the listing.
+    if len(lines._jdf.inputFiles()) + (scan_partitions(lines) or 0) <= SPLIT_BROADCAST_ROWS:
+        bases = F.broadcast(bases)
+    return found.join(bases, ["file_path", "split"]).select(
+        "file_path", "split", "record", "pos", "file_url", (F.col("_lk_base") + F.col("_lk_rid") - F.col("_lk_rid0")).alias("ref_index"))
 
 
 def indexed_refs(lines: DataFrame, value: str = "value") -> DataFrame:
@@ -183,6 +216,8 @@ def indexed_refs(lines: DataFrame, value: str = "value") -> DataFrame:
     and leaves no gap in the index.
     """
     _require_number(lines)
+    if "record" in lines.columns:
+        return indexed_file_refs(lines, value)
     keys = line_key(lines)
     per_line = lines.where(F.col(value).contains("http")).select(*keys, refs_array(value).alias("_lk_refs"))
     based = exclusive_prefix_sum(per_line, keys, F.size("_lk_refs"), "_lk_line_base")
@@ -224,28 +259,56 @@ def first_refs(refs: DataFrame, n: int) -> DataFrame:
     return top.withColumn("sample_rank", F.row_number().over(Window.orderBy(*order)))
 
 
+# Lines whose keys the first step of a sample looks at.
+FIRST_LINES = 100
+
+
 def first_refs_of_lines(lines: DataFrame, n: int, value: str = "value") -> DataFrame:
-    """The first ``n`` references of ``lines`` without extracting from all of them: the first lines
-    that can hold a URL, four times as many while they yield too few.
+    """The first ``n`` references of numbered ``lines``, ranked, without extracting from all lines if the first few do.
 
-    Lines are picked by a top-k on the line key; the patterns run on those lines only.
+    The keys of the first ``FIRST_LINES`` lines that can hold a URL bound the first try.  If the lines up to there hold fewer
+    than ``n`` references, the second and last step is a top-k over the references of all lines: each task keeps
+    ``n`` of them.  No line value leaves a task, and the driver gets ``FIRST_LINES`` keys or ``n`` references at most.
     """
     _require_number(lines)
-    marked = lines.where(might_hold_url(value))
-    m = max(1, n)
-    while True:
-        some = marked.orderBy(*line_key(lines)).limit(m)
-        refs = filter_http(extract_refs(some, "both", value))
-        if refs.limit(n).count() >= n or some.count() < m:
-            return first_refs(refs, n)
-        m *= 4
+    keys = line_key(lines)
+    heads = lines.where(might_hold_url(value)).select(*keys).orderBy(*keys).limit(FIRST_LINES).collect()
+    if len(heads) == FIRST_LINES:
+        last = F.struct(*[F.lit(heads[-1][k]).alias(k) for k in keys])
+        few = first_refs(filter_http(extract_refs(lines.where(F.struct(*keys) <= last), "both", value)), n)
+        found = few.collect()  # n references at most
+        if len(found) == n:
+            return lines.sparkSession.createDataFrame(found, few.schema)
+    return first_refs(filter_http(extract_refs(lines, "both", value)), n)
 
 
 def cap_records(lines: DataFrame, max_records: int, value: str = "value") -> DataFrame:
     """L3: the first ``max_records`` references in encounter order; 0 keeps all.
 
-    ``(<line key>, pos, file_url)``: a filter on the global index, exact and distributed at any cap.
+    ``(<line key>, pos, file_url)``, exact and distributed at any cap.  Of lines keyed by a number, only those up to the
+    key range in which the count of references reaches the cap are numbered.  (Over files, ``cap_file_refs`` also leaves the files
+    closed that the cap doesn't need.)
     """
     if max_records <= 0:
         return extract_refs(lines, "both", value)
-    return indexed_refs(lines, value).where(F.col("ref_index") < max_records).drop("ref_index")
+    _require_number(lines)
+    return indexed_refs(_keys_for(lines, max_records, value), value).where(F.col("ref_index") < max_records).drop("ref_index")
+
+
+def _keys_for(lines: DataFrame, n: int, value: str) -> DataFrame:
+    """The lines up to the end of the key range in which the running count of references reaches ``n``.
+
+    The ranges are those of the prefix sum, counted by a partial aggregate: one row a range, no text moves."""
+    *grp, num = line_key(lines)
+    if grp:
+        return lines
+    low, width, n_ranges = _bucket_width(lines, num)
+    counts = lines.where(might_hold_url(value)).groupBy(F.expr(f"(`{num}` - {low}) div {width}").alias("_lk_range")).agg(
+        F.sum(F.size(refs_array(value))).alias("_lk_n"))
+    if n_ranges > TOP_LEVEL_ROWS:  # too many ranges for one running sum: coarser ones
+        width *= -(-n_ranges // TOP_LEVEL_ROWS)
+        counts = lines.where(might_hold_url(value)).groupBy(F.expr(f"(`{num}` - {low}) div {width}").alias("_lk_range")).agg(
+            F.sum(F.size(refs_array(value))).alias("_lk_n"))
+    so_far = Window.orderBy("_lk_range").rowsBetween(Window.unboundedPreceding, 0)
+    reached = counts.withColumn("_lk_so_far", F.sum("_lk_n").over(so_far)).where(F.col("_lk_so_far") >= n).agg(F.min("_lk_range")).first()[0]
+    return lines if reached is None else lines.where(F.col(num) < low + (reached + 1) * width)

@@ -1,7 +1,7 @@
 """Lines -> file references -> classified, typed file-reference records.
 
-A *lines* DataFrame has a ``value`` string column and a line key: either
-``line_no`` alone or ``(file_path, line_no)``.  Every operator here is a
+A *lines* DataFrame has a ``value`` string column and a line key: ``line_no``
+alone, ``(file_path, line_no)`` or ``(file_path, split, record)``.  Every operator here is a
 narrow projection/explode over it, so the whole chain runs as one
 whole-stage-codegen stage right behind the scan, with no shuffle.
 """
@@ -26,8 +26,8 @@ _EXTRACTORS = {
 
 
 def line_key(df: DataFrame) -> list[str]:
-    """The columns that order lines: ``[file_path,] line_no`` (whatever exists)."""
-    return [c for c in ("file_path", "line_no") if c in df.columns]
+    """The columns that order lines: ``[file_path,] line_no``, or ``file_path, split, record`` (whatever exists)."""
+    return [c for c in ("file_path", "split", "record", "line_no") if c in df.columns]
 
 
 def ref_key(df: DataFrame) -> list[str]:

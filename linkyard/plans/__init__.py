@@ -1,5 +1,5 @@
 """End-to-end job plans built from the operators."""
 
-from .job import ExtractionConfig, ExtractionRun, extract_index_file, run_extraction, sample_of_files, write_details, write_summary
+from .job import ExtractionConfig, ExtractionRun, extract_index_file, run_extraction, write_details, write_summary
 
-__all__ = ["ExtractionConfig", "ExtractionRun", "extract_index_file", "run_extraction", "sample_of_files", "write_summary", "write_details"]
+__all__ = ["ExtractionConfig", "ExtractionRun", "extract_index_file", "run_extraction", "write_summary", "write_details"]

@@ -8,8 +8,8 @@ Plan of one run (``explain`` shows it):
   shuffle (unless a lopsided scan is spread) and no Python in that stage.
 * The counters of the run are observed on the write itself
   (``Observation``), so they cost no second pass.
-* The sample (first 20 in encounter order) reads the first lines only: the first
-  files in path order until there are enough, or a top-k on the line key.
+* The sample (first 20 in encounter order) is a top-k on references in the scan tasks, over the first
+  files in path order until there are enough, or over the first lines by key.  No line reaches the driver.
 """
 
 from __future__ import annotations
@@ -21,14 +21,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.patterns import (
-    ALLOWED_AMOUNT, DEFAULT_BATCH_SIZE, DEFAULT_ENTITY_TYPE, IN_NETWORK, OTHER, RESULT_SAMPLE_SIZE, SAMPLE_SIZE, URL_MARKER,
+    ALLOWED_AMOUNT, DEFAULT_BATCH_SIZE, DEFAULT_ENTITY_TYPE, IN_NETWORK, OTHER, RESULT_SAMPLE_SIZE, SAMPLE_SIZE,
 )
 from ..operators.metrics import detailed_lines, summary_lines
-from ..operators.ordering import cap_records, first_refs, first_refs_of_lines
-from ..operators.refs import classified_refs, classify, extract_refs, filter_http, to_file_refs
+from ..operators.files import cap_file_refs, first_file_refs
+from ..operators.ordering import cap_records, first_refs_of_lines
+from ..operators.refs import classified_refs, classify, filter_http, to_file_refs
 from ..session import checkpoint_dir
 from ..sinks.tables import ensure_table, write_refs
-from ..sources.lines import first_lines, read_lines, read_lines_raw
+from ..sources.lines import read_lines_raw
 
 
 @dataclass
@@ -63,18 +64,20 @@ class ExtractionRun:
         return detailed_lines(self.report, cfg.table, completed_at, cfg.catalog, cfg.warehouse)
 
 
-def run_extraction(spark: SparkSession, lines: DataFrame, cfg: ExtractionConfig,
-                   sample: DataFrame | None = None) -> ExtractionRun:
+def run_extraction(spark: SparkSession, lines: DataFrame | None, cfg: ExtractionConfig,
+                   sample: DataFrame | None = None, refs: DataFrame | None = None) -> ExtractionRun:
     """Extract, classify and write all references of ``lines``; return the run result.
 
     The write is one uncached pass over ``lines``, which need no numbers unless a cap is set.
     ``sample``: the first references, ranked, if the caller has found them
-    already; else they are taken from the first (numbered) lines.
+    already; else they are taken from the first (numbered) lines.  ``refs``: the references to write, instead of ``lines``.
     """
     ensure_table(spark, cfg.table, cfg.provider, cfg.location)
     # One date for the whole run, also for what a replacing run without rows clears.
     as_of = cfg.as_of or spark.range(1).select(F.current_date()).first()[0]
-    if cfg.max_records > 0:
+    if refs is not None:
+        classified = classify(filter_http(refs))
+    elif cfg.max_records > 0:
         classified = classify(filter_http(cap_records(lines, cfg.max_records)))
     else:
         classified = classified_refs(lines)
@@ -112,24 +115,16 @@ def _sample_size(cfg: ExtractionConfig) -> int:
     return min(SAMPLE_SIZE, cfg.max_records) if cfg.max_records > 0 else SAMPLE_SIZE
 
 
-def sample_of_files(spark: SparkSession, paths: str | list[str], n: int, line_sep: str | None = None) -> DataFrame:
-    """The first ``n`` references of the files in path order, from their first lines only."""
-    m = n
-    while True:
-        lines = first_lines(spark, paths, m, URL_MARKER, line_sep)
-        refs = filter_http(extract_refs(lines))
-        if refs.count() >= n or lines.count() < m:
-            return first_refs(refs, n)
-        m *= 4
-
-
 def extract_index_file(spark: SparkSession, index_path: str, cfg: ExtractionConfig,
                        line_sep: str | None = None, spread: bool | None = None) -> ExtractionRun:
-    """The job over text/gzip index files at ``index_path`` (any Hadoop scheme).  Lines are only
-    numbered for a capped run; the table itself has no order."""
-    read = read_lines if cfg.max_records > 0 else read_lines_raw
-    lines = read(spark, index_path, line_sep=line_sep, spread=spread)
-    return run_extraction(spark, lines, cfg, sample=sample_of_files(spark, index_path, _sample_size(cfg), line_sep))
+    """The job over text/gzip index files at ``index_path`` (any Hadoop scheme).
+
+    The table itself has no order, so its lines are scanned without a key and may be spread; the sample, and the
+    cap of a capped run, look at the first files in path order only."""
+    sample = first_file_refs(spark, index_path, _sample_size(cfg), line_sep)
+    if cfg.max_records > 0:
+        return run_extraction(spark, None, cfg, sample, refs=cap_file_refs(spark, index_path, cfg.max_records, line_sep))
+    return run_extraction(spark, read_lines_raw(spark, index_path, line_sep, spread), cfg, sample)
 
 
 def write_summary(run: ExtractionRun, cfg: ExtractionConfig, path: str, completed_at: str) -> str:

@@ -15,6 +15,10 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+# Row bound below which a table with one row per input split is broadcast (about 100 bytes a row).
+SPLIT_BROADCAST_ROWS = 1_000_000
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The session's checkpoint folder; set one only if none is configured."""
     sc = spark.sparkContext

@@ -5,10 +5,10 @@ from .derived import (
     lineitem_lines, order_lines, page_lines, varied_order_lines, write_index_files,
 )
 from .inventory import file_inventory, land_raw, object_exists, raw_lines_with_source, raw_zone
-from .lines import first_lines, read_lines, read_lines_raw, read_lines_stream
+from .lines import read_lines, read_lines_ordered, read_lines_raw, read_lines_stream
 
 __all__ = [
-    "read_lines", "read_lines_raw", "read_lines_stream", "first_lines",
+    "read_lines", "read_lines_raw", "read_lines_ordered", "read_lines_stream",
     "index_lines_from", "index_line_value", "order_lines", "varied_order_lines", "lineitem_lines", "page_lines",
     "generate_index_lines", "header_text", "write_index_files",
     "file_inventory", "object_exists", "raw_lines_with_source", "land_raw", "raw_zone",

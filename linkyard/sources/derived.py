@@ -57,7 +57,7 @@ def order_lines(orders: DataFrame) -> DataFrame:
     return index_lines_from(orders, "o_orderkey")
 
 
-def varied_order_lines(orders: DataFrame) -> DataFrame:
+def varied_order_lines(orders: DataFrame, spread: bool | None = None) -> DataFrame:
     """One line per order with ``o_orderkey % 6`` references (0 to 5): plain text, bare URLs
     and keyed members in turn, so encounter order and weights differ from line to line."""
     k = F.col("o_orderkey")
@@ -73,7 +73,8 @@ def varied_order_lines(orders: DataFrame) -> DataFrame:
              .when(n == 3, F.concat(keyed[0], F.lit(" see "), url(2)))
              .when(n == 4, F.concat(*keyed))
              .otherwise(F.concat(*keyed, F.lit(" see "), url(3))))
-    return orders.select(k.cast("long").alias("line_no"), value.alias("value"))
+    src = spread_if_narrow(orders.select("o_orderkey"), ["o_orderkey"], force=spread)
+    return src.select(k.cast("long").alias("line_no"), value.alias("value"))
 
 
 def lineitem_lines(lineitem: DataFrame) -> DataFrame:

@@ -27,10 +27,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..session import SPLIT_BROADCAST_ROWS
 from .spread import layout_of, spread_if_narrow
 
-# Row bound of the split table below which it is broadcast (about 100 bytes a row).
-SPLIT_BROADCAST_ROWS = 200_000
 # monotonically_increasing_id(): partition id in the upper 31 bits, record
 # number within the partition in the lower 33 (as documented in the API).
 RECORD_BITS = (1 << 33) - 1
@@ -131,23 +130,33 @@ def read_lines(
     return spread_if_narrow(lines, ["file_path", "line_no"], current=n_parts, force=spread, layout=layout)
 
 
-def first_lines(spark: SparkSession, paths: str | list[str], n: int, marker: str, line_sep: str | None = None) -> DataFrame:
-    """The first ``n`` lines that hold ``marker``, by path and place: ``(file_path, line_no, value)``.
+def read_lines_ordered(spark: SparkSession, paths: str | list[str], line_sep: str | None = None,
+                       recursive: bool = False, path_range: tuple[str, str] | None = None) -> DataFrame:
+    """S1 without dense numbers: ``(file_path, split, record, value)`` from one scan, with no shuffle and no job.
 
-    Files are read in path order, one first, then twice as many each time, until there are enough
-    lines; a file's lines come in order of their split and record, so ``line_no``
-    (their rank here) orders them as the file does.  Nothing beyond those files is opened.
+    ``(file_path, split, record)`` orders lines as the files do: ``split`` is the byte where the line's input split
+    begins, ``record`` rises along the split (it is not dense).  Whoever needs dense numbers asks ``with_ordinal`` or ``read_lines``.
+    ``path_range``: only files whose path, as in ``file_path``, lies between the two; the others are left out when files are
+    listed for the scan.
     """
-    files = sorted(_reader(spark, line_sep).load(_check_paths(paths)).inputFiles())
-    at, step, got = 0, 1, []
-    while at < len(files) and len(got) < n:
-        rows = _reader(spark, line_sep).load(files[at: at + step]).where(F.col("value").contains(marker)).select(
-            F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_block_start").alias("split"),
-            F.monotonically_increasing_id().alias("record"), "value")
-        got += rows.orderBy("file_path", "split", "record").limit(n - len(got)).collect()  # n rows at most
-        at, step = at + step, step * 2
-    return spark.createDataFrame([(r["file_path"], i, r["value"]) for i, r in enumerate(got)],
-                                 "file_path string, line_no long, value string")
+    _check_paths(paths)
+    reader = _reader(spark, line_sep)
+    if recursive:
+        reader = reader.option("recursiveFileLookup", "true")
+    scan = reader.load(paths)
+    if path_range is not None:
+        # On the scan itself, below the record numbers: Spark prunes its file listing by it.
+        scan = scan.where(F.col("_metadata.file_path").between(*path_range))
+    return scan.select(
+        F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_block_start").alias("split"),
+        F.monotonically_increasing_id().alias("record"), "value")
+
+
+def ordered_paths(spark: SparkSession, paths: str | list[str]) -> list[str]:
+    """The input's files as ``file_path`` names them, in order: names that the listing holds on the driver anyway."""
+    names = _reader(spark, None).load(_check_paths(paths)).inputFiles()
+    # A local path is listed with one slash or three.
+    return sorted("file:" + n[len("file://"):] if n.startswith("file:///") else n for n in names)
 
 
 def read_lines_stream(
