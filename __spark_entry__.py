@@ -24,11 +24,11 @@ from linkyard.functions.patterns import BARE_URL_RE2, KEYED_URL_RE2
 from linkyard.functions.urls import url_authority, url_key, format_hms
 from linkyard.operators import (
     assign_batches, batch_counts, cap_records, classified_refs, detailed_lines, extract_refs, file_refs, filter_http,
-    reconcile, ref_counters, refs_by_network, sample_urls, summary_lines,
+    reconcile, reconcile_files, ref_counters, refs_by_network, sample_urls, summary_lines,
 )
 from linkyard.schema import FILE_REFS_COLUMNS, FILE_REFS_SCHEMA
 from linkyard.session import scratch_path, unique_table_name
-from linkyard.sinks import ensure_table, table_exists, table_rows, write_refs
+from linkyard.sinks import committed_files, ensure_stream_table, ensure_table, table_exists, table_location, table_rows, write_refs
 from linkyard.sources import (
     file_inventory, generate_index_lines, land_raw, object_exists, order_lines, page_lines, read_lines, read_lines_ordered,
     read_lines_raw, varied_order_lines, write_index_files,
@@ -36,7 +36,7 @@ from linkyard.sources import (
 from linkyard.operators.files import cap_file_refs, first_file_refs
 from linkyard.operators.ordering import with_ordinal
 from linkyard.plans import ExtractionConfig, extract_index_file, run_extraction
-from linkyard.streaming import progress_rows, stream_file_refs, stream_into_table
+from linkyard.streaming import committed_batches, progress_rows, stream_file_refs, stream_into_table
 
 # Fixed values of the checked runs.
 ENTITY = "Example Health Plan"
@@ -49,6 +49,7 @@ BATCH_SIZE = 10_000
 SMALL_CAP = 1_000
 LARGE_CAP = 12_345
 STREAM_BATCHES = 4
+STREAM_GROUPS, FILES_PER_GROUP = 3, 4
 
 
 # ---------------------------------------------------------------------------
@@ -345,6 +346,15 @@ def q_stream_progress(spark, sf_dir):
                            ("input_rows", "refs", "in_network_count", "allowed_amount_count", "other_count")])
 
 
+def _forget_last_batch(spark, ckpt):
+    """As after a crash between the table's files and the end of the last batch: its mark and Spark's commit entry are gone."""
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = hpath(ckpt).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    last = max(int(f.getPath().getName()) for f in fs.globStatus(hpath(f"{ckpt}/commits/[0-9]*")))
+    fs.delete(hpath(f"{ckpt}/commits/{last}"), False)
+    fs.delete(hpath(f"{ckpt}/linkyard_batches_done/{last}"), True)
+
+
 def q_stream_table_refs(spark, sf_dir):
     """T1/T4 into a table, with the last batch replayed as after a crash between the
     table's files and the end of the batch: its mark and Spark's commit entry are gone."""
@@ -356,15 +366,56 @@ def q_stream_table_refs(spark, sf_dir):
                           max_files_per_trigger=per_batch).awaitTermination()
 
     run()
-    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    fs = hpath(ckpt).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    last = max(int(f.getPath().getName()) for f in fs.globStatus(hpath(f"{ckpt}/commits/[0-9]*")))
-    fs.delete(hpath(f"{ckpt}/commits/{last}"), False)
-    fs.delete(hpath(f"{ckpt}/linkyard_batches_done/{last}"), True)
+    _forget_last_batch(spark, ckpt)
     run()
     return table_rows(spark, t)
 
 
+def q_stream_whole_batches(spark, sf_dir):
+    """T1: a stream into a table that takes whole batches, the last batch replayed; with the rows of each batch as its partitions hold them."""
+    src, per_batch = _stream_source(spark, sf_dir)
+    t, ckpt = unique_table_name("streambatches"), scratch_path(spark, "stream-batches-ckpt")
+    ensure_stream_table(spark, t, "parquet", scratch_path(spark, "table-streambatches"))
+
+    def run():
+        stream_into_table(spark, src, t, ckpt, ENTITY, ENTITY_TYPE, AS_OF, _instant(AS_OF_TS), max_files_per_trigger=per_batch).awaitTermination()
+
+    run()
+    _forget_last_batch(spark, ckpt)
+    run()
+    return table_rows(spark, t)
+
+
+def q_stream_batches(spark, sf_dir):
+    """T2: number and rows of the micro-batches, from the committed marks.
+
+    The source gets three groups of lines one after the other, each in as many files as a micro-batch takes."""
+    src, lines = scratch_path(spark, "stream-groups"), _varied(spark, sf_dir)
+    for group in range(STREAM_GROUPS):
+        some = lines.where(F.pmod("line_no", F.lit(STREAM_GROUPS)) == group).select("value").repartition(FILES_PER_GROUP)
+        some.write.mode("append").option("compression", "gzip").text(src)
+    t, ckpt = unique_table_name("streamgroups"), scratch_path(spark, "stream-groups-ckpt")
+    ensure_stream_table(spark, t, "parquet", scratch_path(spark, "table-streamgroups"))
+    stream_into_table(spark, src, t, ckpt, ENTITY, ENTITY_TYPE, AS_OF, _instant(AS_OF_TS), max_files_per_trigger=FILES_PER_GROUP).awaitTermination()
+    return committed_batches(spark, ckpt).select("batch_id", "records_written")
+
+
+def q_reconcile_loss(spark, sf_dir):
+    """K5/A7: two writes, then the files of the second are lost; the footers that are left tell what is missing."""
+    t, lines = _fresh_table(spark, "loss"), _varied(spark, sf_dir)
+    observed, kept = 0, None
+    for group in (0, 1):
+        rows = file_refs(lines.where(F.pmod("line_no", F.lit(2)) == group), ENTITY, ENTITY_TYPE, AS_OF, _instant(AS_OF_TS))
+        observed += write_refs(rows, t).records_written
+        kept = kept or [r["file"] for r in committed_files(spark, t).collect()]  # of the first write
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = hpath(table_location(spark, t)).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for r in committed_files(spark, t).where(~F.col("file").isin(kept)).collect():
+        fs.delete(hpath(r["file"]), False)
+    spark.catalog.refreshTable(t)
+    return reconcile_files(observed, committed_files(spark, t, AS_OF))
+
+
 def q_url_parts(spark, sf_dir):
     pages = _t(spark, sf_dir, "pages")
     return pages.select("page_id", "url", url_authority("url").alias("authority"),
@@ -476,6 +527,9 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "detailed_report": q_detailed_report,
     "stream_table_refs": q_stream_table_refs,
     "stream_progress": q_stream_progress,
+    "stream_whole_batches": q_stream_whole_batches,
+    "stream_batches": q_stream_batches,
+    "reconcile_loss": q_reconcile_loss,
 }
 
 
@@ -742,6 +796,11 @@ _ORACLE: dict[str, str] = {
     "detailed_report": DETAILS,
     "replace_date_empty": PER_DATE_NET.format(mult=1, src=_file_refs_sql(EARLIER_DATE, EARLIER_TS)),
     "stream_table_refs": FILE_REFS,
+    "stream_whole_batches": FILE_REFS,
+    "stream_batches": (f"SELECT CAST(line_no % {STREAM_GROUPS} AS BIGINT) AS batch_id, CAST(count(*) AS BIGINT) AS records_written "
+                       f"FROM ({VARIED_CLASSIFIED}) c GROUP BY 1"),
+    "reconcile_loss": (f"SELECT CAST(count(*) AS BIGINT) AS identified, CAST(count(*) FILTER (line_no % 2 = 0) AS BIGINT) AS written, "
+                       f"CAST(count(*) FILTER (line_no % 2 = 1) AS BIGINT) AS lost FROM ({VARIED_CLASSIFIED}) c"),
     "file_inventory": f"SELECT CAST(sum(strlen(value) + 1) AS BIGINT) AS total_bytes, true AS listed FROM ({LINES}) l",
     "object_exists": ("SELECT true AS root_exists, false AS missing_exists, true AS mark_exists, "
                       "CAST(count(*) AS BIGINT) AS n_lines FROM orders"),

@@ -55,6 +55,14 @@ def reconcile(identified: DataFrame, written: DataFrame) -> DataFrame:
     ).withColumn("lost", F.col("identified") - F.col("written"))
 
 
+def reconcile_files(observed: int | Column, files: DataFrame) -> DataFrame:
+    """A7/K5: ``identified, written, lost``: what the writes of a run observed against the rows of the files that the table
+    holds now (``sinks.committed_files``), so a file that got lost after its write shows."""
+    seen = F.lit(observed) if isinstance(observed, int) else observed
+    return files.agg(F.coalesce(F.sum("n_rows"), F.lit(0)).cast("long").alias("written")).select(
+        seen.cast("long").alias("identified"), "written", (seen.cast("long") - F.col("written")).alias("lost"))
+
+
 def _kv(label: str, col: Column) -> Column:
     return F.concat(F.lit(label + ": "), col.cast("string"))
 

@@ -19,7 +19,7 @@ from pyspark.sql import SparkSession
 
 from ..functions.patterns import DEFAULT_BATCH_SIZE, DEFAULT_ENTITY_TYPE
 from ..session import stable_checkpoint_root
-from ..sinks.tables import ensure_table
+from ..sinks import ensure_stream_table, table_exists
 from ..streaming.ingest import ProgressRecorder, committed_batches, stream_into_table
 from .job import ExtractionConfig, extract_index_file, write_details, write_summary
 
@@ -94,7 +94,8 @@ def run(spark: SparkSession, args: argparse.Namespace) -> dict:
     start = time.time()
     spread = {"auto": None, "always": True, "never": False}[args.spread]
     if args.stream:
-        ensure_table(spark, table, args.provider, location)
+        if not table_exists(spark, table):  # a table of its own takes whole batches; one that is there is used as it is
+            ensure_stream_table(spark, table, args.provider, location)
         ckpt = args.checkpoint or _stream_checkpoint(spark, table, args.index_file)
         recorder = ProgressRecorder(on_report=lambda row: print(json.dumps({"progress": row}), flush=True))
         spark.streams.addListener(recorder)

@@ -10,13 +10,14 @@ the write job really saw, without a second pass.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..schema import FILE_REFS_COLUMNS, PARTITION_COLUMN, file_refs_ddl
+from ..schema import FILE_REFS_COLUMNS, FILE_REFS_SCHEMA, PARTITION_COLUMN, file_refs_ddl
 
 MODES = ("append", "replace_date")
 
@@ -34,6 +35,55 @@ def ensure_table(spark: SparkSession, table: str, provider: str = "parquet",
     return table
 
 
+# The partition column that names the batch a row came with, in a table that streams write to.
+BATCH_COLUMN = "ingest_batch"
+
+
+def ensure_stream_table(spark: SparkSession, table: str, provider: str = "parquet", location: str | None = None) -> str:
+    """K1/T4: a table that takes whole batches at once.
+
+    For Parquet, ``table`` is a view with the ten columns over ``<table>_batches``, which is partitioned by ``file_date``
+    and by batch: a batch becomes visible when its partitions are added to the catalog, all in one statement.  Other
+    providers commit atomically by themselves and get the plain table.
+    """
+    if provider.lower() != "parquet":
+        return ensure_table(spark, table, provider, location)
+    columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in FILE_REFS_SCHEMA.fields)
+    place = f" LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {batches_name(table)} ({columns}, {BATCH_COLUMN} STRING) USING parquet "
+              f"PARTITIONED BY ({PARTITION_COLUMN}, {BATCH_COLUMN}){place}")
+    spark.sql(f"CREATE VIEW IF NOT EXISTS {table} AS SELECT {', '.join(FILE_REFS_COLUMNS)} FROM {batches_name(table)}")
+    return table
+
+
+def batches_name(table: str) -> str:
+    return f"{table}_batches"
+
+
+def takes_batches(spark: SparkSession, table: str) -> bool:
+    """Whether ``table`` was made by ``ensure_stream_table`` for Parquet."""
+    return table_exists(spark, batches_name(table)) and spark.catalog.getTable(table).tableType == "VIEW"
+
+
+def published_batch(spark: SparkSession, table: str, batch: str) -> int | None:
+    """The rows of a published batch; None if it isn't published."""
+    parts = spark.sql(f"SHOW PARTITIONS {batches_name(table)} PARTITION ({BATCH_COLUMN} = '{batch}')")
+    if parts.isEmpty():
+        return None
+    return spark.table(batches_name(table)).where(F.col(BATCH_COLUMN) == batch).count()
+
+
+def publish_batch(spark: SparkSession, table: str, batch: str, folder: str) -> None:
+    """Make the files of ``folder`` (``file_date=.../part-...``) the batch ``batch`` of ``table``: one statement adds
+    its partitions where they lie.  Nothing is renamed; a reader plans with all of them or with none."""
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{folder}/{PARTITION_COLUMN}=*")
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    days = sorted(f.getPath().getName().split("=", 1)[1] for f in fs.globStatus(hpath) or [])
+    if days:
+        spark.sql(f"ALTER TABLE {batches_name(table)} ADD " + " ".join(
+            f"PARTITION ({PARTITION_COLUMN} = DATE '{d}', {BATCH_COLUMN} = '{batch}') LOCATION '{folder}/{PARTITION_COLUMN}={d}'" for d in days))
+
+
 def table_exists(spark: SparkSession, table: str) -> bool:
     """K2: catalog lookup (False for a missing table or database)."""
     return spark.catalog.tableExists(table)
@@ -90,7 +140,16 @@ def write_refs(df: DataFrame, table: str, mode: str = "append",
     extra = [c.alias(name) for name, c in (metrics or {}).items()]
     rows = df.select(*FILE_REFS_COLUMNS).observe(obs, F.count(F.lit(1)).alias("written"), *extra)
     settings = {"spark.sql.files.maxRecordsPerFile": str(int(records_per_file)) if records_per_file else None}
-    if is_v2(spark, table):
+    if takes_batches(spark, table):
+        if mode != "append":
+            raise ValueError("a table of ensure_stream_table takes appends only")
+        batch = f"run-{uuid.uuid4().hex[:16]}"
+        folder = f"{table_location(spark, batches_name(table)).rstrip('/')}/_linkyard_runs/{batch}"
+        with _session_conf(spark, settings):
+            rows.write.partitionBy(PARTITION_COLUMN).parquet(folder)
+        publish_batch(spark, table, batch, folder)
+        spark.catalog.refreshTable(batches_name(table))
+    elif is_v2(spark, table):
         with _session_conf(spark, settings):
             writer = rows.writeTo(table)
             writer.append() if mode == "append" else writer.overwritePartitions()
@@ -125,6 +184,14 @@ def table_location(spark: SparkSession, table: str) -> str:
     return spark.sql(f"DESCRIBE FORMATTED {table}").where(F.col("col_name") == "Location").first()["data_type"]
 
 
+def committed_files(spark: SparkSession, table: str, file_date: str | dt.date | None = None) -> DataFrame:
+    """``(file, n_rows)`` of the files the table consists of now, counted from their footers (no column is read)."""
+    t = spark.table(table)
+    if file_date is not None:
+        t = t.where(F.col(PARTITION_COLUMN) == F.lit(str(file_date)).cast("date"))
+    return t.groupBy(F.col("_metadata.file_path").alias("file")).agg(F.count(F.lit(1)).alias("n_rows"))
+
+
 def table_rows(spark: SparkSession, table: str, file_date: str | None = None) -> DataFrame:
     """The table, optionally one ``file_date`` (partition-pruned)."""
     t = spark.table(table)

@@ -9,9 +9,11 @@ Sinks:
 * ``stream_file_refs``: Parquet file sink partitioned by ``file_date``;
   exactly-once through the sink's ``_spark_metadata`` log.
 * ``stream_into_table``: ``foreachBatch`` into the catalog table.  ``foreachBatch`` is
-  at-least-once, so a batch is written to a folder of its own, replaced if the batch comes again, and
-  its files then go into the table under names made from checkpoint and batch id, which a
-  replay replaces too; a mark file per batch, looked up by its path, ends it.  (Never
+  at-least-once, so a batch is written to a folder of its own, named after checkpoint and batch id and replaced if the
+  batch comes again before it is published.  Into a table of ``ensure_stream_table`` it is published by adding its
+  partitions to the catalog in one statement: readers see all of it or nothing, no file is renamed, and a
+  published batch is not written twice.  Into a plain Parquet table its files are renamed one by one, under names that
+  a replay replaces (readers may see a part meanwhile).  A mark per batch, looked up by its path, ends it.  (Never
   combine this with ``replace_date``: a later batch of the same date would replace the earlier one.)
 """
 
@@ -28,7 +30,7 @@ from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 from ..functions.patterns import ALLOWED_AMOUNT, DEFAULT_ENTITY_TYPE, IN_NETWORK, OTHER
 from ..operators.refs import classified_refs, to_file_refs
 from ..schema import FILE_REFS_COLUMNS, PARTITION_COLUMN
-from ..sinks.tables import is_v2, table_location, write_refs
+from ..sinks.tables import batches_name, is_v2, publish_batch, published_batch, table_location, takes_batches, write_refs
 from ..sources.inventory import object_exists
 from ..sources.lines import read_lines_stream
 
@@ -125,20 +127,27 @@ def write_stream_batch(batch: DataFrame, batch_id: int, table: str, checkpoint:
     mark = _batch_mark(checkpoint, batch_id)
     if object_exists(spark, mark, f"{mark}/_SUCCESS"):
         return None
-    if is_v2(spark, table):
+    if not takes_batches(spark, table) and is_v2(spark, table):
         written = write_refs(batch, table, "append").records_written
     else:
         stem = f"stream-{hashlib.sha1(checkpoint.rstrip('/').encode()).hexdigest()[:12]}-{int(batch_id):012d}"
-        # Below the table, so that publishing is a rename; readers skip names with an underscore.
-        staged = f"{table_location(spark, table).rstrip('/')}/_linkyard_stream/{stem}"
-        obs = Observation("linkyard_stream_batch")
-        rows = batch.select(*FILE_REFS_COLUMNS).observe(obs, F.count(F.lit(1)).alias("written"))
-        w = rows.write.mode("overwrite").partitionBy(PARTITION_COLUMN)
-        if records_per_file:
-            w = w.option("maxRecordsPerFile", int(records_per_file))
-        w.parquet(staged)
-        written = int(obs.get["written"])
-        _publish(spark, staged, table, stem)
+        whole = takes_batches(spark, table)
+        written = published_batch(spark, table, stem) if whole else None
+        if written is None:
+            # Below the table; readers skip names with an underscore, and see a batch's folder by its partitions only.
+            root = table_location(spark, batches_name(table) if whole else table).rstrip("/")
+            staged = f"{root}/_linkyard_stream/{stem}"
+            obs = Observation("linkyard_stream_batch")
+            rows = batch.select(*FILE_REFS_COLUMNS).observe(obs, F.count(F.lit(1)).alias("written"))
+            w = rows.write.mode("overwrite").partitionBy(PARTITION_COLUMN)
+            if records_per_file:
+                w = w.option("maxRecordsPerFile", int(records_per_file))
+            w.parquet(staged)
+            written = int(obs.get["written"])
+            if whole:
+                publish_batch(spark, table, stem, staged)
+            else:
+                _publish(spark, staged, table, stem)
     spark.range(1).select(F.lit(batch_id).cast("long").alias("batch_id"), F.lit(written).cast("long").alias("records_written")) \
         .write.mode("overwrite").parquet(mark)
     return written
@@ -175,7 +184,7 @@ def stream_into_table(
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         write_stream_batch(batch, batch_id, table, checkpoint, records_per_file)
         # The batch runs in the stream's own session: the caller's must list the new files too.
-        spark.catalog.refreshTable(table)
+        spark.catalog.refreshTable(batches_name(table) if takes_batches(spark, table) else table)
 
     w = df.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
     if available_now:

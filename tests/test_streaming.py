@@ -118,3 +118,77 @@ def test_stream_caps_rows_per_file(spark, workdir):
     part = f"{sink}/file_date=2025-05-01"
     files = [f for f in os.listdir(part) if f.endswith(".parquet")]
     assert len(files) >= 200 // 30 and spark.read.parquet(sink).count() == 200
+
+
+def test_readers_see_whole_batches_only(spark, workdir, monkeypatch):
+    """Batches of several dates and many files: every read, at each step of publishing and from a thread all
+    the time, gives the rows of whole batches; no file moves."""
+    import threading
+
+    from pyspark.sql import functions as F
+
+    from linkyard.sinks import ensure_stream_table, tables, write_refs
+
+    table = f"sw_{uuid.uuid4().hex[:8]}"
+    ensure_stream_table(spark, table, location=f"{workdir}/{table}")
+    lines = spark.createDataFrame(list(enumerate(x1_lines() * 3)), "line_no long, value string").repartition(6)
+    batches = [file_refs(lines.where(f"line_no % 3 = {k}"), "E", "payer", *TS).withColumn(
+        "file_date", F.expr("date_add(file_date, cast(length(file_url) % 4 as int))")) for k in range(3)]
+    sizes = [b.count() for b in batches]
+    allowed = {sum(sizes[:k]) for k in range(4)}
+    seen, stop = set(), threading.Event()
+
+    def read_on():
+        while not stop.is_set():
+            seen.add(spark.table(table).count())
+
+    steps = []
+    publish = tables.publish_batch
+
+    def watched(*a):
+        steps.append(spark.table(table).count())
+        publish(*a)
+        steps.append(spark.table(table).count())
+    monkeypatch.setattr("linkyard.streaming.ingest.publish_batch", watched)
+    reader = threading.Thread(target=read_on)
+    reader.start()
+    try:
+        for k, b in enumerate(batches):
+            assert write_stream_batch(b, k, table, f"{workdir}/ckpt_sw") == sizes[k]
+    finally:
+        stop.set()
+        reader.join()
+    assert seen <= allowed and steps == [x for k in range(3) for x in (sum(sizes[:k]), sum(sizes[:k + 1]))]
+    assert spark.table(table).columns == batches[0].columns
+    # A replay after the partitions were added but before the mark was written changes nothing.
+    import shutil
+
+    shutil.rmtree(f"{workdir}/ckpt_sw/linkyard_batches_done/2")
+    assert write_stream_batch(batches[2], 2, table, f"{workdir}/ckpt_sw") == sizes[2]
+    assert spark.table(table).count() == sum(sizes)
+    # A batch run is one more batch of such a table; an empty batch adds nothing.
+    assert write_refs(batches[0], table).records_written == sizes[0]
+    assert write_stream_batch(batches[0].where("false"), 7, table, f"{workdir}/ckpt_sw") == 0
+    assert spark.table(table).count() == sum(sizes) + sizes[0]
+    assert _rows(spark.table(table)) == _rows(batches[0].union(batches[0]).union(batches[1]).union(batches[2]))
+
+
+def test_lost_files_show_in_the_reconciliation(spark, workdir):
+    import os
+    from glob import glob
+
+    from linkyard.operators import reconcile_files
+    from linkyard.sinks import committed_files, write_refs
+
+    table = f"rl_{uuid.uuid4().hex[:8]}"
+    ensure_table(spark, table, location=f"{workdir}/{table}")
+    lines = spark.createDataFrame(list(enumerate(x1_lines())), "line_no long, value string").repartition(4)
+    report = write_refs(file_refs(lines, "E", "payer", *TS), table)
+    whole = reconcile_files(report.records_written, committed_files(spark, table)).first()
+    assert (whole["identified"], whole["written"], whole["lost"]) == (200, 200, 0)
+    victim = sorted(glob(f"{workdir}/{table}/file_date=*/*.parquet"))[0]
+    n = spark.read.parquet(victim).count()
+    os.remove(victim)
+    spark.catalog.refreshTable(table)
+    after = reconcile_files(report.records_written, committed_files(spark, table, TS[0])).first()
+    assert (after["written"], after["lost"]) == (200 - n, n) and n > 0
