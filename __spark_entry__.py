@@ -30,7 +30,7 @@ from linkyard.schema import FILE_REFS_COLUMNS, FILE_REFS_SCHEMA
 from linkyard.session import scratch_path, unique_table_name
 from linkyard.sinks import committed_files, ensure_stream_table, ensure_table, table_exists, table_location, table_rows, write_refs
 from linkyard.sources import (
-    file_inventory, generate_index_lines, land_raw, object_exists, order_lines, page_lines, read_lines, read_lines_ordered,
+    file_inventory, generate_index_lines, land_files, land_raw, landed_digests, object_exists, order_lines, page_lines, read_lines, read_lines_ordered,
     read_lines_raw, varied_order_lines, write_index_files,
 )
 from linkyard.operators.files import cap_file_refs, first_file_refs
@@ -50,6 +50,7 @@ SMALL_CAP = 1_000
 LARGE_CAP = 12_345
 STREAM_BATCHES = 4
 STREAM_GROUPS, FILES_PER_GROUP = 3, 4
+INVENTORY_FOLDERS, INVENTORY_EMPTY = 5, ["_note", ".hidden", "empty.txt"]
 
 
 # ---------------------------------------------------------------------------
@@ -437,10 +438,18 @@ def _text_index(spark, sf_dir, tag: str) -> str:
 
 
 def q_file_inventory(spark, sf_dir):
-    """S5 over an index written as plain text: the listed bytes are those of the lines."""
-    src = _text_index(spark, sf_dir, "inventory-src")
-    return file_inventory(spark, src).agg(
-        F.sum("length").cast("long").alias("total_bytes"), (F.count(F.lit(1)) > 0).alias("listed"))
+    """S5: every file of a tree by folder, name and bytes, with an underscore name, a dot name and an empty file."""
+    src, lines = scratch_path(spark, "inventory-src"), _lines(spark, sf_dir)
+    grouped = lines.select((F.col("line_no") % INVENTORY_FOLDERS).alias("folder"), "value")
+    # One file a folder: a folder's lines meet in one task.
+    grouped.repartition(INVENTORY_FOLDERS, "folder").write.partitionBy("folder").option("compression", "none").text(src)
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = hpath(src).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for name in INVENTORY_EMPTY:
+        fs.create(hpath(f"{src}/{name}"), True).close()
+    found = file_inventory(spark, src).select(F.substring_index("path", "/inventory-src-", -1).alias("p"), "length")
+    found = found.select(F.expr("substr(p, instr(p, '/') + 1)").alias("p"), "length")
+    return found.select(F.when(F.col("p").startswith("folder="), F.substring_index("p", "/", 1)).otherwise(F.col("p")).alias("path"), "length")
 
 
 def q_object_exists(spark, sf_dir):
@@ -463,6 +472,25 @@ def q_land_raw(spark, sf_dir):
         F.col("global_line_no").alias("line_no"), "value", "has_provenance")
 
 
+def q_land_files(spark, sf_dir):
+    """S7: files as bytes. The index as plain text with CR line ends and as gzip, both landed twice; every rebuilt
+    file's digest is compared with that of the source's bytes."""
+    src = scratch_path(spark, "land-bytes")
+    lines = _lines(spark, sf_dir).select("value")
+    lines.write.option("compression", "none").option("lineSep", "\r\n").text(f"{src}/plain")
+    lines.write.option("compression", "gzip").text(f"{src}/gz")
+    raw = scratch_path(spark, "raw-bytes")
+    land_files(spark, src, raw)
+    land_files(spark, src, raw)
+    rebuilt = landed_digests(spark, raw).withColumn("source_path", F.regexp_replace("source_path", "^file:/+", "file:///"))
+    own = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(src).select(
+        F.regexp_replace("path", "^file:/+", "file:///").alias("source_path"), "length", F.sha2("content", 256).alias("own"))
+    same = own.join(rebuilt, "source_path", "left").withColumn("plain", F.col("source_path").contains("/plain/"))
+    equal = F.coalesce((F.col("own") == F.col("sha256")) & (F.col("length") == F.col("n_bytes")), F.lit(False))
+    return same.agg(F.sum(F.when(F.col("plain"), F.col("n_bytes"))).alias("plain_bytes"), F.count_if(~F.col("plain") & equal).alias("_gz"),
+                    F.count_if(~equal).alias("n_differ")).select("plain_bytes", (F.col("_gz") > 0).alias("compressed_landed"), "n_differ")
+
+
 def q_land_raw_emptied(spark, sf_dir):
     """S7: files that have become empty, landed again, leave no old line behind."""
     src, lines = scratch_path(spark, "land-emptied"), _lines(spark, sf_dir)
@@ -523,6 +551,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "object_exists": q_object_exists,
     "land_raw": q_land_raw,
     "land_raw_emptied": q_land_raw_emptied,
+    "land_files": q_land_files,
     "replace_date_empty": q_replace_date_empty,
     "detailed_report": q_detailed_report,
     "stream_table_refs": q_stream_table_refs,
@@ -801,7 +830,10 @@ _ORACLE: dict[str, str] = {
                        f"FROM ({VARIED_CLASSIFIED}) c GROUP BY 1"),
     "reconcile_loss": (f"SELECT CAST(count(*) AS BIGINT) AS identified, CAST(count(*) FILTER (line_no % 2 = 0) AS BIGINT) AS written, "
                        f"CAST(count(*) FILTER (line_no % 2 = 1) AS BIGINT) AS lost FROM ({VARIED_CLASSIFIED}) c"),
-    "file_inventory": f"SELECT CAST(sum(strlen(value) + 1) AS BIGINT) AS total_bytes, true AS listed FROM ({LINES}) l",
+    "file_inventory": (f"SELECT 'folder=' || CAST(line_no % {INVENTORY_FOLDERS} AS VARCHAR) AS path, CAST(sum(strlen(value) + 1) AS BIGINT) AS length "
+                       f"FROM ({LINES}) l GROUP BY 1 UNION ALL "
+                       f"SELECT unnest([{', '.join(_s(n) for n in [*INVENTORY_EMPTY, '_SUCCESS'])}]), CAST(0 AS BIGINT)"),
+    "land_files": f"SELECT CAST(sum(strlen(value) + 2) AS BIGINT) AS plain_bytes, true AS compressed_landed, CAST(0 AS BIGINT) AS n_differ FROM ({LINES}) l",
     "object_exists": ("SELECT true AS root_exists, false AS missing_exists, true AS mark_exists, "
                       "CAST(count(*) AS BIGINT) AS n_lines FROM orders"),
     "land_raw_emptied": f"SELECT value FROM ({LINES}) l WHERE line_no % 2 = 0",

@@ -1,4 +1,4 @@
-"""Object listing, existence probe and raw landing (S5-S7) as DataFrames.
+"""Object listing and existence probe (S5, S6).
 
 The listing uses the ``binaryFile`` source with its ``content`` column
 pruned: Spark lists the files on the driver's file index and reads no
@@ -9,9 +9,6 @@ out, hidden names and empty files, comes from a file-system iterator.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from .lines import read_lines
 
 
 def _fs(spark: SparkSession, path: str):
@@ -63,56 +60,3 @@ def object_exists(spark: SparkSession, root: str, path: str | None = None) -> bo
     if path is not None:
         return bool(fs.getFileStatus(hpath).isFile())
     return bool(fs.listFiles(hpath, True).hasNext())
-
-
-def raw_lines_with_source(spark: SparkSession, src: str, line_sep: str | None = "\n") -> DataFrame:
-    """Numbered lines of ``src`` with their provenance: the raw-landing schema.
-
-    Lines end at LF only, so a CR before it stays in the value and each file's bytes can be
-    put together again from its lines and its size.
-    """
-    lines = read_lines(spark, src, line_sep=line_sep, recursive=True, spread=False)
-    return lines.select(F.col("file_path").alias("source_path"), "line_no", "value")
-
-
-def land_raw(spark: SparkSession, src: str, raw_path: str, line_sep: str | None = "\n",
-             mode: str = "replace_source") -> DataFrame:
-    """S7: land the lines of ``src`` unchanged and numbered, with provenance, in a raw zone.
-
-    ``replace_source`` (default) partitions the zone by source file and
-    overwrites the partitions of the files listed now, so landing a file again replaces
-    it, as writing an object to the same key does, also when it has become empty: every listed
-    file brings one mark row (``line_no`` -1) with its size and time, which readers do
-    not see.  ``append`` adds rows.  One distributed write, Parquet with zstd; returns
-    the raw zone as a DataFrame.
-    """
-    if mode not in ("append", "replace_source"):
-        raise ValueError("mode must be 'replace_source' or 'append'")
-    listing = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(src)
-    clean = F.regexp_replace("source_path", "^file:/+", "file:///")  # listings write a local path's slashes differently
-    sized = listing.select(F.col("path").alias("source_path"), F.col("length").alias("source_size"),
-                           F.col("modificationTime").alias("source_mtime")).withColumn("source_path", clean)
-    # A scan skips empty files; the file index (names on the driver, as for any read) has them too.
-    named = spark.createDataFrame([(f,) for f in listing.inputFiles()], "source_path string").withColumn("source_path", clean)
-    files = named.join(sized, "source_path", "left").select(
-        "source_path", F.lit(-1).cast("long").alias("line_no"), F.lit(None).cast("string").alias("value"),
-        F.coalesce("source_size", F.lit(0)).cast("long").alias("source_size"), "source_mtime")
-    lines = raw_lines_with_source(spark, src, line_sep).select(
-        "source_path", "line_no", "value", F.lit(None).cast("long").alias("source_size"),
-        F.lit(None).cast("timestamp").alias("source_mtime"))
-    rows = lines.withColumn("source_path", clean).unionByName(files)
-    writer = rows.write.option("compression", "zstd").partitionBy("source_path")
-    if mode == "append":
-        writer.mode("append").parquet(raw_path)
-    else:
-        writer.option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(raw_path)
-    return raw_zone(spark, raw_path)
-
-
-def raw_zone(spark: SparkSession, raw_path: str) -> DataFrame:
-    """The landed lines: ``(source_path, source_size, source_mtime, line_no, value)``."""
-    zone = spark.read.option("basePath", raw_path).parquet(raw_path)
-    marks = zone.where(F.col("line_no") == -1).groupBy("source_path").agg(
-        F.max("source_size").alias("source_size"), F.max("source_mtime").alias("source_mtime"))
-    return zone.where(F.col("line_no") >= 0).select("source_path", "line_no", "value").join(marks, "source_path").select(
-        "source_path", "source_size", "source_mtime", "line_no", "value")

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import os
+
+import pytest
 import re
 
 from pyspark.sql import functions as F
@@ -153,3 +155,66 @@ def test_gzip_one_pass_with_crlf_and_empty_lines(spark, workdir):
     want = sorted([("a.txt.gz", i, v) for i, v in enumerate(lines)] +
                   [("b.txt.gz", i, v) for i, v in enumerate(lines[::-1])])
     assert got == want
+
+
+def test_landed_bytes_are_those_of_the_files(spark, workdir):
+    """CR, NUL, invalid UTF-8, byte order marks, missing last line ends, compressed and empty files, large files in many splits."""
+    import bz2
+    import gzip
+    import hashlib
+    import random
+
+    from linkyard.sources import land_files, landed_digests, landed_pieces, raw_manifest
+
+    rnd = random.Random(2)
+    files = {
+        "a/crlf.txt": b"one\r\ntwo\r\n", "a/nul.txt": b"x\x00y\n\x00", "no end.txt": b"p\n\nq", "feeds.txt": b"\n\n\n", "bad%20.txt": b"\xff\xfe\n\x80",
+        "bom.txt": b"\xef\xbb\xbffirst\nsecond\n", "bom2.txt": b"\xef\xbb\xbfno end", "empty.txt": b"", "z.json.gz": gzip.compress(rnd.randbytes(200_000)),
+        "z.json.bz2": bz2.compress(rnd.randbytes(3000)), "not really.zst": rnd.randbytes(5000), "large.bin": rnd.randbytes(300_000), "deep/er/t.gz": b"\xef\xbb\xbf",
+    }
+
+    def put(content):
+        for name, data in content.items():
+            os.makedirs(os.path.dirname(f"{workdir}/bytes/{name}"), exist_ok=True)
+            with open(f"{workdir}/bytes/{name}", "wb") as f:
+                f.write(data)
+
+    def landed():
+        from urllib.parse import unquote
+
+        return {unquote(r["source_path"].split("/bytes/")[1]): (r["n_bytes"], r["sha256"]) for r in landed_digests(spark, f"{workdir}/zone").collect()}
+
+    def want(content):
+        return {n: (len(d), hashlib.sha256(d).hexdigest()) for n, d in content.items() if d.removeprefix(b"\xef\xbb\xbf")}
+
+    put(files)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20k")
+    try:
+        manifest = land_files(spark, f"{workdir}/bytes", f"{workdir}/zone")
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert landed() == want(files)
+    assert manifest.count() == len(files) and landed_pieces(spark, f"{workdir}/zone").count() > 1000
+    assert not [d for d, _, _ in os.walk(f"{workdir}/zone/pieces") if "source_path" in d]
+    # Landed again: changed files replace their old pieces, emptied ones leave none.
+    files |= {"a/crlf.txt": b"", "no end.txt": b"new\n", "new.txt": b"n"}
+    put(files)
+    land_files(spark, f"{workdir}/bytes", f"{workdir}/zone")
+    assert landed() == want(files)
+    assert raw_manifest(spark, f"{workdir}/zone").count() == len(files)
+
+
+def test_a_landing_is_seen_whole_or_not_at_all(spark, workdir, monkeypatch):
+    from linkyard.sources import land_files, landed_digests, landing
+
+    write_text(f"{workdir}/whole/a.txt", ["x"] * 50)
+    land_files(spark, f"{workdir}/whole", f"{workdir}/wzone")
+    before = sorted(map(str, landed_digests(spark, f"{workdir}/wzone").collect()))
+    write_text(f"{workdir}/whole/a.txt", ["y"] * 70)
+    pieces = landing.file_pieces
+    monkeypatch.setattr(landing, "file_pieces", lambda *a: pieces(*a).limit(10))  # some pieces get lost
+    with pytest.raises(RuntimeError, match="not landed whole"):
+        land_files(spark, f"{workdir}/whole", f"{workdir}/wzone")
+    assert sorted(map(str, landed_digests(spark, f"{workdir}/wzone").collect())) == before
+    with pytest.raises(ValueError):
+        land_files(spark, f"{workdir}/whole", f"{workdir}/wzone", mode="other")
