@@ -20,10 +20,6 @@ task; that changes where a count is found, not the score.  The pairs after any o
 they cannot fill; the pairs after a cached word are spread by the hash of both.  Words are told apart by 64-bit
 hashes, pairs by a 64-bit hash of both.
 
-With ``vocabulary`` given, pairs are counted over the words that make up at least one in ``vocabulary`` of all training
-tokens and one class for all others, and words of the class back off to their own counts: a smaller model of its
-own, which no query uses.
-
 Defined results: null and empty texts are one end token; repeated rows are scored one by one; with no
 training texts every score is 0; other columns are not read.
 """
@@ -39,6 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import scan_partitions
 from .blobs import bucket_of, by_bucket, count_sorted, pack, pack_sorted, unpack, unpack_sorted
 from .ship import partitions_for, ship, stored
 from .textual import SPACED, doc_blocks, find, per_doc, text_bytes, word_bounds, word_hashes
@@ -46,7 +43,6 @@ from .toxicity import fold
 
 FLUSH = 1 << 22  # tokens a map task holds before it sends them
 DISCOUNTED = 5
-BUCKET_BYTES = 16 << 20
 
 COUNTS = T.StructType([T.StructField("bucket", T.IntegerType()), T.StructField("keys", T.BinaryType()),
                        T.StructField("counts", T.BinaryType())])
@@ -156,55 +152,6 @@ def _profile(table: DataFrame, least: int = 0):
     return values[0], values[1], np.array([0, *values[2:]], np.float64)
 
 
-@dataclass
-class Katz:
-    """What every scoring task needs; its size is bounded by the two parameters."""
-
-    n_train: int          # documents, one end token each
-    n: int                # training tokens
-    v: int                # distinct training tokens
-    vocab: np.ndarray     # sorted hashes of the vocabulary
-    vocab_counts: np.ndarray
-    p1: np.ndarray        # P(u) of vocabulary, class, end
-    d1: np.ndarray        # word discounts
-    unknown: float        # mass of the unknown word
-    d2: np.ndarray        # pair discounts
-    context: np.ndarray   # c(v)
-    alpha: np.ndarray
-    scale: np.ndarray     # 1, or what makes the seen words after v sum to one where none is left
-    pairs: np.ndarray     # sorted keys of the frequent pairs
-    pair_counts: np.ndarray
-
-    @property
-    def other(self) -> int:
-        return len(self.vocab)
-
-    @property
-    def end(self) -> int:
-        return len(self.vocab) + 1
-
-    def units(self, hashes: np.ndarray) -> np.ndarray:
-        u = find(self.vocab, hashes)
-        u[u < 0] = self.other
-        return u
-
-    def pair_scores(self, keys: np.ndarray, counts: np.ndarray) -> np.ndarray:
-        """``log10 P(u | v)`` of pair keys with their training counts (0: unseen)."""
-        width = len(self.vocab) + 3
-        v, u = (keys // np.uint64(width)).astype(np.int64), (keys % np.uint64(width)).astype(np.int64)
-        d = self.d2[np.minimum(counts, DISCOUNTED + 1)]
-        seen = self.scale[v] * d * counts / np.maximum(self.context[v], 1)
-        return np.log10(np.where(counts > 0, seen, self.alpha[v] * self.p1[u]))
-
-    def word_scores(self, counts: np.ndarray) -> np.ndarray:
-        """``log10 P(word | class)`` of words outside the vocabulary, by their training counts."""
-        p = np.where(counts > 0, self.d1[np.minimum(counts, DISCOUNTED + 1)] * counts / max(self.n, 1), self.unknown)
-        return np.log10(p / self.p1[self.other])
-
-    def base(self, counts: np.ndarray) -> np.ndarray:
-        return np.log10((counts + 1) / (self.n + self.v + 1))
-
-
 def _words(part, off):
     s, e, d = word_bounds(part, off, SPACED)
     return word_hashes(part, s, e), d
@@ -214,30 +161,6 @@ def _word_keys(part, off):
     return _words(part, off)[0]
 
 
-def _pair_keys(vocab: np.ndarray):
-    """Pair keys of texts: begin, words, end."""
-    width, other, end, begin = len(vocab) + 3, len(vocab), len(vocab) + 1, len(vocab) + 2
-
-    def keys(part, off):
-        h, d = _words(part, off)
-        u = find(vocab, h)
-        u[u < 0] = other
-        n = len(off) - 1
-        first = per_doc(d, n)
-        # Each text's words with its end after them.
-        row = np.empty(len(u) + n, np.int64)
-        place = np.arange(len(u)) + d
-        row[place] = u
-        ends = first[1:] + np.arange(n)
-        row[ends] = end
-        before = np.empty_like(row)
-        before[1:] = row[:-1]
-        before[first[:-1] + np.arange(n)] = begin
-        return (before * width + row).astype(np.uint64)
-
-    return keys
-
-
 def _freed(n_words: int, n1: np.ndarray, d1: np.ndarray) -> float:
     """Counts that discounting takes from all words, by count class: they belong to the unknown word."""
     small = np.arange(1, DISCOUNTED + 1)
@@ -245,61 +168,6 @@ def _freed(n_words: int, n1: np.ndarray, d1: np.ndarray) -> float:
     return n_words - (float((n1[small] * small * d1[small]).sum()) + large * d1[DISCOUNTED + 1])
 
 
-def train_katz(training: DataFrame, vocabulary: int = 1 << 17, hot_pairs: int = 1 << 19):
-    """``(Katz, word table, pair table, buckets)`` learned from ``training(text)``."""
-    spark = training.sparkSession
-    ship(spark)
-    texts = training.select(F.coalesce("text", F.lit("")).alias("text"))
-    n_train, n_bytes = texts.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).head()
-    n_buckets = partitions_for(n_bytes, BUCKET_BYTES)
-    words = count_table(texts, _word_keys, n_buckets, "katz-words")
-    n_words, v_words, n1 = _profile(words)
-    n, v = n_words + n_train, v_words + (n_train > 0)
-    vocab, vocab_counts = _profile(words, max(1, -(-n // vocabulary)))
-    d1 = discounts(n1)
-    counts = np.concatenate((vocab_counts, [0, n_train])).astype(np.float64)
-    p1 = d1[np.minimum(counts, DISCOUNTED + 1).astype(np.int64)] * counts / max(n, 1)
-    p1[-1] = n_train / max(n, 1)
-    unknown = _freed(n_words, n1, d1) / n if n else 1.0
-    if unknown <= 0:  # a corpus of end tokens only
-        unknown = 1.0 / (n + 1)
-        p1 *= n / (n + 1)
-    p1[-2] = 0.0
-    p1[-2] = max(1.0 - float(p1.sum()), unknown)
-    pairs = count_table(texts, _pair_keys(vocab), n_buckets, "katz-pairs")
-    _, _, n2 = _profile(pairs)
-    d2 = discounts(n2)
-    width = len(vocab) + 3
-
-    def contexts(batches):
-        for batch in batches:
-            for kb, cb in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-                k, c = unpack_sorted(kb), unpack(cb, np.uint64).astype(np.int64)
-                ctx, u = (k // np.uint64(width)).astype(np.int64), (k % np.uint64(width)).astype(np.int64)
-                first = np.flatnonzero(np.concatenate((np.ones(min(1, len(ctx)), bool), ctx[1:] != ctx[:-1])))
-                add = lambda x: pa.array(np.add.reduceat(x, first))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(ctx[first]), add(c), add(d2[np.minimum(c, DISCOUNTED + 1)] * c), add(p1[u])], names=["v", "c", "kept", "mass"])
-
-    context, kept, mass = np.zeros(width), np.zeros(width), np.zeros(width)
-    # One row per word of the bounded vocabulary.
-    rows = pairs.mapInArrow(contexts, "v long, c long, kept double, mass double").groupBy("v").agg(
-        F.sum("c").alias("c"), F.sum("kept").alias("kept"), F.sum("mass").alias("mass")).toArrow()
-    at = rows.column("v").to_numpy()
-    for name, into in (("c", context), ("kept", kept), ("mass", mass)):
-        into[at] = rows.column(name).to_numpy()
-    share, room, scale = kept / np.maximum(context, 1), 1 - mass, np.ones(width)
-    # Where no count after v is discounted, one more count makes room for the words not seen there.
-    tight = (context > 0) & (share > 1 - 1e-9)
-    scale[tight] = context[tight] / (context[tight] + 1)
-    alpha = np.where(context > 0, (1 - scale * share) / np.where(room > 1e-9, room, 1.0), 1.0)
-    full = (context > 0) & (room <= 1e-9)
-    alpha[full], scale[full] = 0.0, 1 / share[full]
-    hot_keys, hot_counts = _profile(pairs, max(2, -(-n // hot_pairs)))
-    model = Katz(n_train, n, v, vocab, vocab_counts, p1, d1, unknown, d2, context, alpha, scale, hot_keys, hot_counts)
-    return model, words, pairs, n_buckets
-
-
 # --- all pairs -------------------------------------------------------------
 
 PAIR_FLUSH = 1 << 21  # tokens whose pairs a map task holds before it sends them
@@ -584,8 +452,8 @@ def train_pairs(training: DataFrame, cached: int = 1 << 17, hot_pairs: int = 1 <
 
 #: One exchange carries tables (kind 0: words, 1: pairs), the tokens to look up there (2: words, 3: pairs) and the
 #: texts' own sums (4); ``part`` and the positions in ``docs`` name the texts.
-PARCEL = T.StructType([T.StructField("bucket", T.IntegerType()), T.StructField("kind", T.IntegerType()),
-                       T.StructField("part", T.IntegerType()), T.StructField("keys", T.BinaryType()), T.StructField("docs", T.BinaryType())])
+WIDE = T.StructType([T.StructField("bucket", T.IntegerType()), T.StructField("kind", T.IntegerType()), T.StructField("part", T.IntegerType()),
+                     *(T.StructField(x, T.BinaryType()) for x in ("keys", "docs", "u", "cu"))])
 SUMS = np.dtype([("doc", "<u4"), ("known", "<u4"), ("base", "<f8"), ("score", "<f8")])
 #: Per map task: the positions of its texts with partial sums, and (kind 4) their keys and sizes.
 PARTIAL = T.StructType([T.StructField("part", T.IntegerType()), T.StructField("kind", T.IntegerType()),
@@ -593,63 +461,21 @@ PARTIAL = T.StructType([T.StructField("part", T.IntegerType()), T.StructField("k
 HEAD = np.dtype([("doc", "<u4"), ("null", "<u4"), ("key", "<i8"), ("tokens", "<i8")])
 
 
-def _parcels(model: Katz, n_buckets: int):
-    pair_keys = _pair_keys(model.vocab)
+def _packed(sums: np.ndarray) -> bytes:
+    """Sums of distinct texts, ascending, column by column."""
+    parts = [pack_sorted(sums["doc"].astype(np.uint64)), pack(sums["known"].astype("<u4")), pack(np.concatenate((sums["base"], sums["score"])).view("<u8"))]
+    return b"".join(len(x).to_bytes(4, "little") + x for x in parts)
 
-    def run(batches):
-        part, at = TaskContext.get().partitionId(), 0
-        held: dict[int, list] = {2: [], 3: []}
-        size = 0
 
-        def send():
-            for kind, chunks in held.items():
-                if not chunks:
-                    continue
-                keys, docs = np.concatenate([k for k, _ in chunks]), np.concatenate([d for _, d in chunks])
-                order = np.argsort(keys, kind="stable")
-                keys, docs = keys[order], docs[order].astype("<u4")
-                for b, i in by_bucket(keys, n_buckets):
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([x], pa.int32()) for x in (b, kind, part)]
-                        + [pa.array([pack_sorted(keys[i])], pa.binary()), pa.array([pack(docs[i])], pa.binary())], names=PARCEL.names)
-                chunks.clear()
-
-        for batch in batches:
-            ids = batch.column(0)
-            empty = ids.is_null().to_numpy(zero_copy_only=False)
-            ids = ids.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
-            data, off = text_bytes(batch.column(1))
-            for lo, hi in doc_blocks(off):
-                p, o, n = data[off[lo]: off[hi]], off[lo: hi + 1] - off[lo], hi - lo
-                h, d = _words(p, o)
-                where = find(model.vocab, h)
-                rare = np.flatnonzero(where < 0)
-                held[2].append((h[rare], at + d[rare]))
-                common = np.flatnonzero(where >= 0)
-                sums = np.zeros(n, SUMS)
-                sums["doc"] = at + np.arange(n)
-                sums["known"] = np.bincount(d[common], minlength=n) + (model.n_train > 0)
-                sums["base"] = np.bincount(d[common], model.base(model.vocab_counts[where[common]]), n) + model.base(np.array(model.n_train))
-                keys = pair_keys(p, o)
-                first = per_doc(d, n)
-                of = np.repeat(np.arange(n), np.diff(first) + 1)
-                hot = find(model.pairs, keys)
-                is_hot = hot >= 0
-                sums["score"] = np.bincount(of[is_hot], model.pair_scores(keys[is_hot], model.pair_counts[hot[is_hot]]), n)
-                held[3].append((keys[~is_hot], at + of[~is_hot]))
-                size += len(keys)
-                head = np.zeros(n, HEAD)
-                head["doc"], head["null"], head["key"], head["tokens"] = sums["doc"], empty[lo:hi], ids[lo:hi], np.diff(first) + 1
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([part % n_buckets], pa.int32()), pa.array([4], pa.int32()), pa.array([part], pa.int32()),
-                     pa.array([sums.tobytes()], pa.binary()), pa.array([head.tobytes()], pa.binary())], names=PARCEL.names)
-                at += n
-                if size >= FLUSH:
-                    yield from send()
-                    size = 0
-        yield from send()
-
-    return run
+def _unpacked(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """``(texts, known, base, score)`` of ``_packed``."""
+    parts, at = [], 0
+    while at < len(blob):
+        n = int.from_bytes(blob[at: at + 4], "little")
+        parts.append(blob[at + 4: at + 4 + n])
+        at += 4 + n
+    values = unpack(parts[2], "<u8").view(np.float64)
+    return unpack_sorted(parts[0]).astype(np.int64), unpack(parts[1], "<u4"), values[: len(values) // 2], values[len(values) // 2:]
 
 
 def _partial(part, sums, head=b"", kind=0):
@@ -657,43 +483,6 @@ def _partial(part, sums, head=b"", kind=0):
                                        pa.array([sums], pa.binary()), pa.array([head], pa.binary())], names=PARTIAL.names)
 
 
-def _lookup(model: Katz):
-    """Parcels sorted by bucket and kind to partial sums per map task of texts."""
-
-    def run(batches):
-        now, tables = None, {}
-        for batch in batches:
-            for bucket, kind, part, kb, db in zip(*(c.to_pylist() for c in batch.columns)):
-                if bucket != now:
-                    now, tables = bucket, {}
-                if kind < 2:
-                    tables[kind] = (unpack_sorted(kb), unpack(db, np.uint64).astype(np.int64))
-                elif kind == 4:
-                    yield _partial(part, kb, db, 4)
-                else:
-                    keys, docs = unpack_sorted(kb), unpack(db, "<u4")
-                    have, counts = tables.get(kind - 2, (np.empty(0, np.uint64), np.empty(0, np.int64)))
-                    i = find(have, keys)
-                    c = np.zeros(len(keys), np.int64)
-                    c[i >= 0] = counts[i[i >= 0]]
-                    distinct, at = np.unique(docs, return_inverse=True)
-                    sums = np.zeros(len(distinct), SUMS)
-                    sums["doc"] = distinct
-                    if kind == 2:
-                        sums["known"] = np.bincount(at, c > 0)
-                        sums["base"] = np.bincount(at, model.base(c))
-                        sums["score"] = np.bincount(at, model.word_scores(c))
-                    else:
-                        sums["score"] = np.bincount(at, model.pair_scores(keys, c))
-                    yield _partial(part, sums.tobytes())
-
-    return run
-
-
-#: Parcels with what pairs (kind 1) have besides.
-WIDE = T.StructType([*PARCEL.fields, T.StructField("u", T.BinaryType()), T.StructField("cu", T.BinaryType())])
-
-
 def _pair_parcels(model: PairKatz, n_buckets: int):
     cache = model.cache
     begin, end = (int(find(cache.keys, np.array([x]))[0]) for x in (BEGIN, END))
@@ -783,12 +572,23 @@ def _pair_lookup(model: PairKatz):
         out[i >= 0] = table[1][i[i >= 0]]
         return out
 
+    def together(sums):
+        """One row per map task of texts: the sums of all its parcels in a bucket."""
+        for part, cells in sums.items():
+            docs, at = np.unique(np.concatenate([c[0] for c in cells]), return_inverse=True)
+            out = np.zeros(len(docs), SUMS)
+            out["doc"] = docs
+            for k, name in ((1, "known"), (2, "base"), (3, "score")):
+                out[name] = np.bincount(at, np.concatenate([c[k] for c in cells]), len(docs))
+            yield _partial(part, _packed(out))
+
     def run(batches):
-        now = None
+        now, sums = None, {}
         for batch in batches:
             for bucket, kind, part, kb, db, ub, cub in zip(*(c.to_pylist() for c in batch.columns)):
                 if bucket != now:
-                    now, words, pairs, alphas = bucket, (none[0], np.empty(0, np.int64)), none, none
+                    yield from together(sums)
+                    now, sums, words, pairs, alphas = bucket, {}, (none[0], np.empty(0, np.int64)), none, none
                 if kind == 0:
                     words = unpack_sorted(kb), unpack(db, np.uint64).astype(np.int64)
                 elif kind == 1:
@@ -798,16 +598,14 @@ def _pair_lookup(model: PairKatz):
                 else:
                     keys = unpack_sorted(kb)
                     distinct, at = np.unique(unpack(db, "<u4"), return_inverse=True)
-                    sums = np.zeros(len(distinct), SUMS)
-                    sums["doc"] = distinct
+                    nothing = np.zeros(len(distinct))
                     if kind == 2:
                         c = take(words, keys)
-                        sums["known"] = np.bincount(at, c > 0)
-                        sums["base"] = np.bincount(at, model.base(c))
-                        sums["score"] = np.bincount(at, np.log10(model.word(c)) + take(alphas, keys))
+                        cell = np.bincount(at, c > 0), np.bincount(at, model.base(c)), np.bincount(at, np.log10(model.word(c)) + take(alphas, keys))
                     else:
-                        sums["score"] = np.bincount(at, take(pairs, keys))
-                    yield _partial(part, sums.tobytes())
+                        cell = nothing, nothing, np.bincount(at, take(pairs, keys))
+                    sums.setdefault(part, []).append((distinct, *cell))
+        yield from together(sums)
 
     return run
 
@@ -833,11 +631,10 @@ def _finish(batches):
         n = 1 + max(int(h["doc"].max()) for h in heads)
         if known is None:
             known, base, score = np.zeros(n, np.int64), np.zeros(n), np.zeros(n)
-        for blob in blobs:
-            s = np.frombuffer(blob, SUMS)
-            np.add.at(known, s["doc"], s["known"])
-            np.add.at(base, s["doc"], s["base"])
-            np.add.at(score, s["doc"], s["score"])
+        for docs, k, b, s in blobs:  # a text is there once in each
+            known[docs] += k
+            base[docs] += b
+            score[docs] += s
 
     for batch in batches:
         for part, kind, sums, head in zip(*(c.to_pylist() for c in batch.columns)):
@@ -848,33 +645,32 @@ def _finish(batches):
                 now, heads, waiting, known = part, [], [], None
             if kind == 4:
                 heads.append(np.frombuffer(head, HEAD))
-                waiting.append(sums)
+                own = np.frombuffer(sums, SUMS)
+                waiting.append((own["doc"].astype(np.int64), own["known"], own["base"], own["score"]))
             else:
                 if waiting:
                     add(waiting)
                     waiting = []
-                add([sums])
+                add([_unpacked(sums)])
     if heads:
         add(waiting)
         yield rows()
 
 
-def katz_scores(docs: DataFrame, training: DataFrame, vocabulary: int | None = None, hot_pairs: int = 1 << 19,
-                cached: int = 1 << 17) -> DataFrame:
-    """``(doc_id, n_tokens, n_known, base_score, score, train_tokens)`` of every row of ``docs``."""
+def katz_scores(docs: DataFrame, training: DataFrame, hot_pairs: int = 1 << 19, cached: int = 1 << 17) -> DataFrame:
+    """``(doc_id, n_tokens, n_known, base_score, score, train_tokens)`` of every row of ``docs``.
+
+    On the way a text is named by its map task and its place there.  A scan of files gives a task the same rows whenever it runs;
+    rows that come out of a shuffle need not, so they are stored first."""
     rows = docs.select(F.col("doc_id").cast("long"), "text")
-    if vocabulary is None:
-        model, words, pairs, n_buckets = train_pairs(training, cached, hot_pairs)
-        make, look, schema = _pair_parcels, _pair_lookup, WIDE
-        pairs = pairs.select("bucket", F.lit(1).alias("kind"), F.lit(-1).alias("part"), F.col("v").alias("keys"), F.col("counts").alias("docs"), "u", "cu")
-    else:
-        model, words, pairs, n_buckets = train_katz(training, vocabulary, hot_pairs)
-        make, look, schema = _parcels, _lookup, PARCEL
-        pairs = pairs.select("bucket", F.lit(1).alias("kind"), F.lit(-1).alias("part"), "keys", F.col("counts").alias("docs"))
+    if scan_partitions(rows) is None:
+        rows = stored(rows, "katz-texts")
+    model, words, pairs, n_buckets = train_pairs(training, cached, hot_pairs)
+    pairs = pairs.select("bucket", F.lit(1).alias("kind"), F.lit(-1).alias("part"), F.col("v").alias("keys"), F.col("counts").alias("docs"), "u", "cu")
     words = words.select("bucket", F.lit(0).alias("kind"), F.lit(-1).alias("part"), "keys", F.col("counts").alias("docs"),
-                         *(F.lit(b"").alias(x) for x in pairs.columns[5:]))
-    parcels = rows.mapInArrow(make(model, n_buckets), schema).union(words).union(pairs)
-    partial = parcels.repartition(n_buckets, "bucket").sortWithinPartitions("bucket", "kind").mapInArrow(look(model), PARTIAL)
+                         *(F.lit(b"").alias(x) for x in ("u", "cu")))
+    parcels = rows.mapInArrow(_pair_parcels(model, n_buckets), WIDE).union(words).union(pairs)
+    partial = parcels.repartition(n_buckets, "bucket").sortWithinPartitions("bucket", "kind").mapInArrow(_pair_lookup(model), PARTIAL)
     done = partial.repartition("part").sortWithinPartitions(F.col("part"), F.col("kind").desc()).mapInArrow(_finish, RESULT)
     empty = model.n_train == 0
     return done.withColumn("score", F.lit(0.0) if empty else F.col("score")).withColumn("train_tokens", F.lit(model.n).cast("long"))

@@ -10,7 +10,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from linkyard.llm.katz import DISCOUNTED, Katz, discounts, katz_report, katz_scores, train_katz
+from linkyard.llm.katz import DISCOUNTED, SUMS, _packed, _unpacked, discounts, katz_report, katz_scores
 from linkyard.llm.toxicity import fold
 
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
@@ -93,14 +93,14 @@ def _texts(seed, n, vocabulary, most=60):
     return [" ".join(words[min(int(rnd.expovariate(6 / vocabulary)), vocabulary - 1)] for _ in range(rnd.randint(0, most))) for _ in range(n)]
 
 
-@pytest.mark.parametrize("seed, vocabulary, limit", [(1, 30, 1 << 17), (2, 500, 1 << 17), (3, 500, 40), (4, 3000, 100)])
-def test_scores_equal_plain_recursion(spark, seed, vocabulary, limit):
+@pytest.mark.parametrize("seed, vocabulary, cached", [(1, 30, 1 << 17), (2, 500, 1 << 17), (3, 500, 40), (4, 3000, 100)])
+def test_scores_equal_plain_recursion(spark, seed, vocabulary, cached):
     texts = _texts(seed, 200, vocabulary) + [None, "", "  ", "été ÉTÉ 漢", "W1"]
     fresh = _texts(seed + 50, 30, 2 * vocabulary) + [None, "never seen words", "W1 W1 W1"]
     train = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
     docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts + fresh)] + [(None, "W1"), (3, texts[3])], "doc_id long, text string")
-    plain = Plain(texts, limit)
-    got = katz_scores(docs.repartition(3), train, vocabulary=limit, hot_pairs=50).collect()
+    plain = Plain(texts, 1 << 60)  # every word a unit of its own
+    got = katz_scores(docs.repartition(3), train, cached=cached, hot_pairs=50).collect()
     want = sorted(((str(i), len(tokens(t)), sum(w in plain.count for w in tokens(t)), round(plain.base(t), 6), round(plain.score(t), 6))
                    for i, t in [*enumerate(texts + fresh), (None, "W1"), (3, texts[3])]), key=str)
     assert sorted(((str(r["doc_id"]), r["n_tokens"], r["n_known"], round(r["base_score"], 6), round(r["score"], 6)) for r in got), key=str) == want
@@ -108,20 +108,25 @@ def test_scores_equal_plain_recursion(spark, seed, vocabulary, limit):
 
 
 def test_every_distribution_sums_to_one(spark):
-    texts = _texts(9, 150, 60) + ["only"] * 9
-    model, _, pairs, _ = train_katz(spark.createDataFrame([(t,) for t in texts], "text string"), vocabulary=50)
-    assert isinstance(model, Katz)
-    width, units = len(model.vocab) + 3, len(model.vocab) + 2
-    from linkyard.llm.blobs import unpack, unpack_sorted
-
-    count = np.zeros((width, width), np.int64)
-    for r in pairs.collect():
-        k = unpack_sorted(r["keys"]).astype(np.int64)
-        count[k // width, k % width] = unpack(r["counts"], np.uint64)
-    assert abs(model.p1.sum() - 1) < 1e-9
-    for v in np.flatnonzero(model.context):
-        keys = (v * width + np.arange(units)).astype(np.uint64)
-        assert abs((10 ** model.pair_scores(keys, count[v, :units])).sum() - 1) < 1e-9
+    """Over all words, the end and the unknown word, after every word of training: read off the scores of two-word texts."""
+    texts = _texts(9, 60, 12) + ["only"] * 9
+    train = spark.createDataFrame([(t,) for t in texts], "text string")
+    plain = Plain(texts, 1 << 60)
+    words = sorted(w.decode() for w in plain.count if w != END)
+    asked = [(v, u) for v in words for u in [*words, "unseen"]] + [(v, None) for v in words]
+    docs = spark.createDataFrame([(i, v if u is None else f"{v} {u}") for i, (v, u) in enumerate(asked)], "doc_id long, text string")
+    got = {asked[r["doc_id"]]: r["score"] for r in katz_scores(docs, train).collect()}
+    end_after = {u: math.log10(plain.p_unit(END, plain.unit(u.encode()))) for u in [*words, "unseen"]}
+    for v in words:
+        first = math.log10(plain.p_unit(v.encode(), None))
+        total = sum(10 ** (got[v, u] - first - end_after[u]) for u in [*words, "unseen"]) + 10 ** (got[v, None] - first)
+        assert abs(total - 1) < 1e-9
+
+
+def test_sums_packed_and_back():
+    sums = np.zeros(5, SUMS)
+    sums["doc"], sums["known"], sums["base"], sums["score"] = [0, 3, 4, 70_000, 2**32 - 1], [1, 0, 9, 4, 2], np.linspace(-9, 0, 5), np.linspace(-1e6, 1, 5)
+    assert [x.tolist() for x in _unpacked(_packed(sums))] == [sums[k].tolist() for k in ("doc", "known", "base", "score")]
 
 
 def test_report_folds_and_better_than_base(spark):
