@@ -2,7 +2,8 @@
 (under spark-submit, a two-line driver script calling ``main()``).
 
 The same seven parameters as a containerised extraction run, plus the run
-mode.  Batch mode runs the whole job once (extract, write, result, summary);
+mode.  Batch mode runs the whole job once (extract, write, result, summary), reporting the running
+stages every ``--progress-interval`` seconds;
 ``--stream`` ingests new files of a folder with Structured Streaming,
 ``--progress-interval`` seconds per micro-batch (0 = process what is there
 and stop).
@@ -22,6 +23,7 @@ from ..session import stable_checkpoint_root
 from ..sinks import ensure_stream_table, table_exists
 from ..streaming.ingest import ProgressRecorder, committed_batches, stream_into_table
 from .job import ExtractionConfig, extract_index_file, write_details, write_summary
+from .progress import reported
 
 
 def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
@@ -37,7 +39,7 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
                    help="first N references in file order, 0 = all (batch mode; a stream has no global order)")
     p.add_argument("--records-per-file", type=int, default=None,
                    help="cap rows per output file (file-level write batches); unset for large runs")
-    p.add_argument("--progress-interval", type=int, default=30, help="seconds per micro-batch in --stream mode")
+    p.add_argument("--progress-interval", type=int, default=30, help="seconds between progress reports; with --stream also per micro-batch (0: none, and a stream stops when all is read)")
     p.add_argument("--entity-name", required=True)
     p.add_argument("--entity-type", default=DEFAULT_ENTITY_TYPE)
     p.add_argument("--provider", default="parquet", help="parquet, or iceberg when its runtime is present")
@@ -114,7 +116,8 @@ def run(spark: SparkSession, args: argparse.Namespace) -> dict:
         out = {"table": table, "checkpoint": ckpt, "totals": recorder.totals.get(str(q.id), {}),
                "batches": [r.asDict() for r in batches.toLocalIterator()]}
     else:
-        job = extract_index_file(spark, args.index_file, cfg, line_sep=args.line_sep, spread=spread)
+        with reported(spark, args.progress_interval, lambda row: print(json.dumps({"progress": row}), flush=True)):
+            job = extract_index_file(spark, args.index_file, cfg, line_sep=args.line_sep, spread=spread)
         row = job.result.first().asDict()
         out = {"table": table, "batch_count": job.batch_count, **row}
         if args.summary_path:

@@ -73,15 +73,28 @@ def published_batch(spark: SparkSession, table: str, batch: str) -> int | None:
     return spark.table(batches_name(table)).where(F.col(BATCH_COLUMN) == batch).count()
 
 
-def publish_batch(spark: SparkSession, table: str, batch: str, folder: str) -> None:
-    """Make the files of ``folder`` (``file_date=.../part-...``) the batch ``batch`` of ``table``: one statement adds
-    its partitions where they lie.  Nothing is renamed; a reader plans with all of them or with none."""
-    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{folder}/{PARTITION_COLUMN}=*")
+def write_batch_files(rows: DataFrame, table: str, batch: str) -> None:
+    """The files of a batch, in the folders that its partitions will name; those of an earlier try go first.  Nothing is visible
+    through the table yet."""
+    spark = rows.sparkSession
+    root = table_location(spark, batches_name(table)).rstrip("/")
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{root}/{PARTITION_COLUMN}=*/{BATCH_COLUMN}={batch}")
     fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    days = sorted(f.getPath().getName().split("=", 1)[1] for f in fs.globStatus(hpath) or [])
+    for old in fs.globStatus(hpath) or []:
+        fs.delete(old.getPath(), True)
+    rows.withColumn(BATCH_COLUMN, F.lit(batch)).write.mode("append").partitionBy(PARTITION_COLUMN, BATCH_COLUMN).parquet(root)
+
+
+def publish_batch(spark: SparkSession, table: str, batch: str) -> None:
+    """Make a written batch part of ``table``: one statement adds all its partitions, where they lie.  Nothing is renamed; a
+    reader of the table plans with all of them or with none."""
+    root = table_location(spark, batches_name(table)).rstrip("/")
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{root}/{PARTITION_COLUMN}=*/{BATCH_COLUMN}={batch}")
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    days = sorted(f.getPath().getParent().getName().split("=", 1)[1] for f in fs.globStatus(hpath) or [])
     if days:
         spark.sql(f"ALTER TABLE {batches_name(table)} ADD " + " ".join(
-            f"PARTITION ({PARTITION_COLUMN} = DATE '{d}', {BATCH_COLUMN} = '{batch}') LOCATION '{folder}/{PARTITION_COLUMN}={d}'" for d in days))
+            f"PARTITION ({PARTITION_COLUMN} = DATE '{d}', {BATCH_COLUMN} = '{batch}')" for d in days))
 
 
 def table_exists(spark: SparkSession, table: str) -> bool:
@@ -103,7 +116,7 @@ class WriteReport:
 
 
 @contextmanager
-def _session_conf(spark: SparkSession, settings: dict[str, str | None]):
+def session_conf(spark: SparkSession, settings: dict[str, str | None]):
     """Set session settings for one write and put the old values back."""
     before = {k: spark.conf.get(k, None) for k in settings}
     try:
@@ -144,13 +157,12 @@ def write_refs(df: DataFrame, table: str, mode: str = "append",
         if mode != "append":
             raise ValueError("a table of ensure_stream_table takes appends only")
         batch = f"run-{uuid.uuid4().hex[:16]}"
-        folder = f"{table_location(spark, batches_name(table)).rstrip('/')}/_linkyard_runs/{batch}"
-        with _session_conf(spark, settings):
-            rows.write.partitionBy(PARTITION_COLUMN).parquet(folder)
-        publish_batch(spark, table, batch, folder)
+        with session_conf(spark, settings):
+            write_batch_files(rows, table, batch)
+        publish_batch(spark, table, batch)
         spark.catalog.refreshTable(batches_name(table))
     elif is_v2(spark, table):
-        with _session_conf(spark, settings):
+        with session_conf(spark, settings):
             writer = rows.writeTo(table)
             writer.append() if mode == "append" else writer.overwritePartitions()
     else:
@@ -159,7 +171,7 @@ def write_refs(df: DataFrame, table: str, mode: str = "append",
         ordered = rows.select(*spark.table(table).columns)
         if mode == "replace_date":
             settings["spark.sql.sources.partitionOverwriteMode"] = "dynamic"
-        with _session_conf(spark, settings):
+        with session_conf(spark, settings):
             ordered.write.insertInto(table, overwrite=(mode == "replace_date"))
     got = {k: int(v) for k, v in obs.get.items()}
     if mode == "replace_date" and run_date is not None and not got.get("written"):
@@ -175,7 +187,7 @@ def clear_date(spark: SparkSession, table: str, run_date: str | dt.date) -> None
         return
     nothing = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()}) AS {f.name}"
                         for f in spark.table(table).schema.fields if f.name != PARTITION_COLUMN)
-    with _session_conf(spark, {"spark.sql.sources.partitionOverwriteMode": "static"}):
+    with session_conf(spark, {"spark.sql.sources.partitionOverwriteMode": "static"}):
         spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION ({PARTITION_COLUMN} = DATE '{day}') SELECT {nothing} WHERE 1 = 0")
 
 

@@ -30,7 +30,9 @@ from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 from ..functions.patterns import ALLOWED_AMOUNT, DEFAULT_ENTITY_TYPE, IN_NETWORK, OTHER
 from ..operators.refs import classified_refs, to_file_refs
 from ..schema import FILE_REFS_COLUMNS, PARTITION_COLUMN
-from ..sinks.tables import batches_name, is_v2, publish_batch, published_batch, table_location, takes_batches, write_refs
+from ..sinks.tables import (
+    batches_name, is_v2, publish_batch, published_batch, session_conf, table_location, takes_batches, write_batch_files, write_refs,
+)
 from ..sources.inventory import object_exists
 from ..sources.lines import read_lines_stream
 
@@ -134,18 +136,18 @@ def write_stream_batch(batch: DataFrame, batch_id: int, table: str, checkpoint:
         whole = takes_batches(spark, table)
         written = published_batch(spark, table, stem) if whole else None
         if written is None:
-            # Below the table; readers skip names with an underscore, and see a batch's folder by its partitions only.
-            root = table_location(spark, batches_name(table) if whole else table).rstrip("/")
-            staged = f"{root}/_linkyard_stream/{stem}"
             obs = Observation("linkyard_stream_batch")
             rows = batch.select(*FILE_REFS_COLUMNS).observe(obs, F.count(F.lit(1)).alias("written"))
-            w = rows.write.mode("overwrite").partitionBy(PARTITION_COLUMN)
-            if records_per_file:
-                w = w.option("maxRecordsPerFile", int(records_per_file))
-            w.parquet(staged)
+            with session_conf(spark, {"spark.sql.files.maxRecordsPerFile": str(int(records_per_file)) if records_per_file else None}):
+                if whole:
+                    write_batch_files(rows, table, stem)
+                else:
+                    # Below the table, so that publishing is a rename; readers skip names with an underscore.
+                    staged = f"{table_location(spark, table).rstrip('/')}/_linkyard_stream/{stem}"
+                    rows.write.mode("overwrite").partitionBy(PARTITION_COLUMN).parquet(staged)
             written = int(obs.get["written"])
             if whole:
-                publish_batch(spark, table, stem, staged)
+                publish_batch(spark, table, stem)
             else:
                 _publish(spark, staged, table, stem)
     spark.range(1).select(F.lit(batch_id).cast("long").alias("batch_id"), F.lit(written).cast("long").alias("records_written")) \

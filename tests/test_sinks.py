@@ -194,3 +194,19 @@ def test_records_per_file_caps_output_files(spark, workdir):
     assert len(files) == 4
     assert spark.conf.get("spark.sql.files.maxRecordsPerFile") in ("0", None)
     assert spark.table(t).count() == 200
+
+
+def test_batch_runs_report_their_stages(spark, workdir):
+    import time
+
+    from linkyard.plans.progress import reported
+
+    seen = []
+    with reported(spark, 0.2, seen.append):
+        spark.range(4).repartition(2).rdd.map(lambda r: time.sleep(0.8) or r).count()
+    assert len(seen) >= 2 and [r["elapsed_s"] for r in seen] == sorted(r["elapsed_s"] for r in seen)
+    stages = [s for r in seen for s in r["stages"]]
+    assert stages and all(0 <= s["done"] <= s["tasks"] for s in stages)
+    with reported(spark, 0, seen.append):
+        n = len(seen)
+    assert len(seen) == n
