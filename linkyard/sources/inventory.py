@@ -3,7 +3,8 @@
 The listing uses the ``binaryFile`` source with its ``content`` column
 pruned: Spark lists the files on the driver's file index and reads no
 bytes (the scan's ReadSchema has path and length only).  What that index leaves
-out, hidden names and empty files, comes from a file-system iterator.
+out, hidden names and empty files, comes from a file-system iterator.  The first n keys
+need no such index: folders are listed in key order until there are enough.
 """
 
 from __future__ import annotations
@@ -34,17 +35,44 @@ def _beside_scan(spark: SparkSession, root: str) -> DataFrame:
     return spark.createDataFrame(rows, "path string, length long")
 
 
+def _entries(fs, folder) -> list[tuple[str, object]]:
+    """``(key, status)`` of a folder's entries in key order; a sub-folder's key ends with a slash, as its files' keys go on."""
+    return sorted(((f.getPath().getName() + ("/" if f.isDirectory() else ""), f) for f in fs.listStatus(folder)), key=lambda e: e[0].encode())
+
+
+def first_keys(spark: SparkSession, root: str, n: int) -> DataFrame:
+    """``(path, length)`` of the first ``n`` files under ``root`` by path: folders are listed in key order, one at a
+    time, until there are enough; what lies behind them is not listed."""
+    hpath, fs = _fs(spark, root)
+    found: list[tuple[str, int]] = []
+
+    def walk(folder) -> None:
+        for _, f in _entries(fs, folder):
+            if len(found) >= n:
+                return
+            if f.isDirectory():
+                walk(f.getPath())
+            else:
+                found.append((f.getPath().toString(), f.getLen()))
+
+    for top in sorted(fs.globStatus(hpath) or [], key=lambda f: f.getPath().toString().encode()):
+        if top.isDirectory():
+            walk(top.getPath())
+        else:
+            found.append((top.getPath().toString(), top.getLen()))
+    return spark.createDataFrame(found[:n], "path string, length long")
+
+
 def file_inventory(spark: SparkSession, root: str, limit: int | None = None) -> DataFrame:
     """S5: ``(path, length)`` of every file under ``root``, hidden names (``_``, ``.``) and empty files
-    included; ``limit`` = first keys by path."""
+    included; ``limit`` = first keys by path (``first_keys``)."""
+    if limit is not None and limit > 0:
+        return first_keys(spark, root, limit)
     scan = (
         spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
         .select("path", "length")
     )
-    listing = scan.unionByName(_beside_scan(spark, root).join(scan, "path", "left_anti"))
-    if limit is not None and limit > 0:
-        listing = listing.orderBy("path").limit(limit)
-    return listing
+    return scan.unionByName(_beside_scan(spark, root).join(scan, "path", "left_anti"))
 
 
 def object_exists(spark: SparkSession, root: str, path: str | None = None) -> bool:

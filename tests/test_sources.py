@@ -218,3 +218,23 @@ def test_a_landing_is_seen_whole_or_not_at_all(spark, workdir, monkeypatch):
     assert sorted(map(str, landed_digests(spark, f"{workdir}/wzone").collect())) == before
     with pytest.raises(ValueError):
         land_files(spark, f"{workdir}/whole", f"{workdir}/wzone", mode="other")
+
+
+def test_first_keys_list_no_folder_behind_them(spark, workdir, monkeypatch):
+    from linkyard.sources import inventory
+
+    names = ["a.txt", "a/x.txt", "a/y/_z", "a0.txt", "b/c/d/e.txt", "b/c/f.txt", "b.txt", "é/u.txt", "z/last.txt"]
+    for name in names:
+        os.makedirs(os.path.dirname(f"{workdir}/keys/{name}"), exist_ok=True)
+        open(f"{workdir}/keys/{name}", "w").close()
+    listed = []
+    entries = inventory._entries
+    monkeypatch.setattr(inventory, "_entries", lambda fs, folder: listed.append(folder.getName()) or entries(fs, folder))
+    ordered = sorted(names, key=str.encode)
+    for n in range(1, len(names) + 2):
+        listed.clear()
+        got = [r["path"].split("/keys/")[1] for r in file_inventory(spark, f"{workdir}/keys", n).collect()]
+        assert got == ordered[:n]
+        if n <= 3:
+            assert set(listed) <= {"keys", "a", "y"}
+    assert file_inventory(spark, f"{workdir}/none", 3).count() == 0
