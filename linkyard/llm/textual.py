@@ -143,8 +143,3 @@ def find(sorted_keys: np.ndarray, x: np.ndarray) -> np.ndarray:
     at = np.searchsorted(sorted_keys, x)
     at[at == len(sorted_keys)] = 0
     return np.where(sorted_keys[at] == x, at, -1)
-
-
-def columns_without(schema, names: list[str]) -> list[str]:
-    """Columns of ``schema`` but those of ``names``."""
-    return [f.name for f in schema.fields if f.name not in names]
