@@ -170,7 +170,8 @@ def _freed(n_words: int, n1: np.ndarray, d1: np.ndarray) -> float:
 
 # --- all pairs -------------------------------------------------------------
 
-PAIR_FLUSH = 1 << 21  # tokens whose pairs a map task holds before it sends them
+PAIR_FLUSH = 1 << 21  # tokens whose pairs a map task holds before it counts and sends them
+LOOKUP_FLUSH = 1 << 22  # tokens a map task holds before it sends them to be looked up
 PAIR_BUCKET_BYTES = 8 << 20
 BEGIN, END = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)  # as words, beside the words' hashes
 
@@ -539,7 +540,7 @@ def _pair_parcels(model: PairKatz, n_buckets: int):
                 head["tokens"] = np.bincount(of, minlength=n)
                 yield parcel(part % n_buckets, 4, part, sums.tobytes(), head.tobytes())
                 at += n
-                if size >= PAIR_FLUSH:
+                if size >= LOOKUP_FLUSH:
                     yield from send()
                     size = 0
         yield from send()
