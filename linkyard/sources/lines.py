@@ -24,6 +24,8 @@ planning depends only on the file listing.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -136,7 +138,7 @@ def read_lines_ordered(spark: SparkSession, paths: str | list[str], line_sep: st
 
     ``(file_path, split, record)`` orders lines as the files do: ``split`` is the byte where the line's input split
     begins, ``record`` rises along the split (it is not dense).  Whoever needs dense numbers asks ``with_ordinal`` or ``read_lines``.
-    ``path_range``: only files whose path, as in ``file_path``, lies between the two; the others are left out when files are
+    ``path_range``: only files whose path, as ``ordered_paths`` gives it, lies between the two; the others are left out when files are
     listed for the scan.
     """
     _check_paths(paths)
@@ -146,17 +148,17 @@ def read_lines_ordered(spark: SparkSession, paths: str | list[str], line_sep: st
     scan = reader.load(paths)
     if path_range is not None:
         # On the scan itself, below the record numbers: Spark prunes its file listing by it.
-        scan = scan.where(F.col("_metadata.file_path").between(*path_range))
+        scan = scan.where(F.regexp_replace("_metadata.file_path", "^file:/+", "file:/").between(*path_range))
     return scan.select(
         F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_block_start").alias("split"),
         F.monotonically_increasing_id().alias("record"), "value")
 
 
 def ordered_paths(spark: SparkSession, paths: str | list[str]) -> list[str]:
-    """The input's files as ``file_path`` names them, in order: names that the listing holds on the driver anyway."""
+    """The input's files in path order, as ``path_range`` takes them: names that the listing holds on the driver anyway."""
     names = _reader(spark, None).load(_check_paths(paths)).inputFiles()
-    # A local path is listed with one slash or three.
-    return sorted("file:" + n[len("file://"):] if n.startswith("file:///") else n for n in names)
+    # A local path is listed with one slash or with three.
+    return sorted(re.sub("^file:/+", "file:/", n) for n in names)
 
 
 def read_lines_stream(

@@ -98,6 +98,15 @@ def test_cap_opens_only_the_files_it_needs(spark, workdir):
     assert [r["file_url"] for r in first_file_refs(spark, root, 20).orderBy("sample_rank").collect()] == want[:20]
 
 
+@pytest.mark.parametrize("form", ["{}", "file://{}", "file:{}", "{}/*"])
+def test_paths_in_any_form(spark, workdir, form):
+    want = expected(spark, some_files(f"{workdir}/forms", 3))
+    path = form.format(f"{workdir}/forms")
+    got = cap_file_refs(spark, path, 30).orderBy("file_path", "split", "record", "pos")
+    assert [r["file_url"] for r in got.collect()] == want[:30]
+    assert [r["file_url"] for r in first_file_refs(spark, path, 9).orderBy("sample_rank").collect()] == want[:9]
+
+
 def test_cap_beyond_all_and_none(spark, workdir):
     want = expected(spark, some_files(f"{workdir}/f", 5))
     got = cap_file_refs(spark, f"{workdir}/f", 10**6).orderBy("file_path", "split", "record", "pos")
