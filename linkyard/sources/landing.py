@@ -8,7 +8,8 @@ is overwritten, and a landing that fails leaves nothing to see.
 
 ``land_files`` keeps bytes.  Hadoop would decompress names like ``.gz``; a pass-through codec keeps it from that, so
 every file is read as a stream, in bounded memory whatever its size, and cut behind its line feeds.  A piece's place is
-``(split, record)``: the byte where its input split begins, and a number that rises along the split.
+``(split, record)``: the byte where its input split begins, and a number that rises along the split.  One task writes the
+pieces of a split, in order, so a scan of the zone meets them in order.
 
 ``land_raw`` keeps decoded, numbered lines in the same way.
 """
@@ -18,7 +19,9 @@ from __future__ import annotations
 import hashlib
 import time
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,6 +33,8 @@ from .spread import UNSPLITTABLE_SUFFIXES
 # Suffixes for which Hadoop has a codec.
 CODEC_SUFFIXES = (*UNSPLITTABLE_SUFFIXES, ".bz2")
 MODES = ("append", "replace_source")
+BLOCK_BYTES = 1 << 20    # of neighbouring pieces that a digest's sort moves as one row
+DIGEST_BYTES = 64 << 20  # of files a digest's partition, if the session's partitions would hold more
 
 
 def _plain(path: str = "source_path"):
@@ -103,12 +108,20 @@ def raw_manifest(spark: SparkSession, raw_path: str) -> DataFrame:
         F.col("_lk_from").isNull() | (F.col("landing") >= F.col("_lk_from"))).drop("_lk_from")
 
 
-def _pieces(spark: SparkSession, raw_path: str, columns: str) -> DataFrame:
+def _visible(spark: SparkSession, raw_path: str) -> tuple[DataFrame, bool, int]:
+    """The manifest rows a reader goes by, marked for a broadcast if they are few; whether they are; the bytes of their files."""
     visible = raw_manifest(spark, raw_path).select("landing", "source_path", "source_size", "source_mtime", "held")
-    if visible.count() <= SPLIT_BROADCAST_ROWS:
-        visible = F.broadcast(visible)
-    rows = spark.read.schema(f"landing string, source_path string, {columns}").parquet(f"{raw_path.rstrip('/')}/pieces")
-    return rows.join(visible, ["landing", "source_path"])
+    n_rows, n_bytes = visible.agg(F.count(F.lit(1)), F.coalesce(F.sum("source_size"), F.lit(0))).first()
+    few = n_rows <= SPLIT_BROADCAST_ROWS
+    return F.broadcast(visible) if few else visible, few, n_bytes
+
+
+def _stored_pieces(spark: SparkSession, raw_path: str, columns: str) -> DataFrame:
+    return spark.read.schema(f"landing string, source_path string, {columns}").parquet(f"{raw_path.rstrip('/')}/pieces")
+
+
+def _pieces(spark: SparkSession, raw_path: str, columns: str) -> DataFrame:
+    return _stored_pieces(spark, raw_path, columns).join(_visible(spark, raw_path)[0], ["landing", "source_path"])
 
 
 BYTES = "split long, record long, bytes binary"
@@ -132,17 +145,46 @@ def landed_pieces(spark: SparkSession, raw_path: str) -> DataFrame:
     return _pieces(spark, raw_path, BYTES).select("source_path", "landing", "source_size", "held", "split", "record", "bytes")
 
 
+def _blocks(pieces: DataFrame) -> DataFrame:
+    """``(source_path, landing, split, record, last, block)``: neighbouring pieces, from ``record`` to ``last``, with their
+    line feeds and compressed: a sort holds neither a row nor a path for every line."""
+    def packed(batches):
+        press = pa.Codec("zstd", 1)
+        for batch in batches:
+            n = batch.num_rows
+            if not n:
+                continue
+            path, landing, split, record, lines = batch.columns
+            split, record, lines = split.to_numpy(), record.to_numpy(), lines.cast(pa.large_binary())
+            off = np.frombuffer(lines.buffers()[1], np.int64, n + 1, 8 * lines.offset)
+            data = lines.buffers()[2]
+            part = (off[:-1] - off[0]) // BLOCK_BYTES
+            fresh = np.ones(n, bool)
+            fresh[1:] = (split[1:] != split[:-1]) | (record[1:] <= record[:-1]) | (part[1:] != part[:-1])
+            for c in (path, landing):
+                fresh[1:] |= pc.not_equal(c[1:], c[:-1]).to_numpy(zero_copy_only=False)
+            first = np.flatnonzero(fresh)
+            end = np.append(first[1:], n)
+            yield pa.RecordBatch.from_arrays(
+                [path.take(pa.array(first)), landing.take(pa.array(first)), pa.array(split[first]), pa.array(record[first]), pa.array(record[end - 1]),
+                 pa.array([press.compress(data[a:b], asbytes=True) for a, b in zip(off[first].tolist(), off[end].tolist())], pa.binary())],
+                names=["source_path", "landing", "split", "record", "last", "block"])
+
+    return pieces.select("source_path", "landing", "split", "record", F.concat("bytes", F.lit(b"\n")).alias("lines")).mapInArrow(
+        packed, "source_path string, landing string, split long, record long, last long, block binary")
+
+
 def landed_digests(spark: SparkSession, raw_path: str) -> DataFrame:
     """``(source_path, landing, n_bytes, sha256)`` of every landed file that has a piece, rebuilt from its pieces (an
     empty file has none, nor has one that holds a byte order mark only).
 
-    A SHA-256 is sequential: a task streams the pieces of a file in order and holds one piece at a time."""
+    A SHA-256 is sequential: a task streams the blocks of a file's pieces in order and holds two blocks at a time."""
     def digests(batches):
-        now, sha, size, want, last = None, None, 0, None, None
+        now, sha, size, want, held_back, at = None, None, 0, None, None, None
 
         def end():
             # Every piece but the last ends with a line feed; the last one if the file did.
-            tail = last + b"\n" if want[0] - want[1] in (0, 3) else last
+            tail = held_back if want[0] - want[1] in (0, 3) else held_back[:-1]
             sha.update(tail)
             return now[0], now[1], size + len(tail), sha.hexdigest()
 
@@ -152,25 +194,36 @@ def landed_digests(spark: SparkSession, raw_path: str) -> DataFrame:
 
         for batch in batches:
             out = []
-            for path, landing, total, held, piece in zip(*(c.to_pylist() for c in batch.columns)):
+            for path, landing, total, held, split, record, last, block in zip(*(batch.column(i) for i in range(8))):
+                path, landing, total, held, split, record, last = (x.as_py() for x in (path, landing, total, held, split, record, last))
                 if (path, landing) != now:
                     if now is not None:
                         out.append(end())
-                    now, sha, size, want, last = (path, landing), hashlib.sha256(), 0, (total, held), None
+                    now, sha, size, want = (path, landing), hashlib.sha256(), 0, (total, held)
                     if total - held in (2, 3):
                         sha.update(b"\xef\xbb\xbf")
                         size = 3
                 else:
-                    sha.update(last + b"\n")
-                    size += len(last) + 1
-                last = piece
+                    if split == at[0] and record <= at[1]:
+                        raise ValueError(f"pieces of {path} are not stored in order")
+                    sha.update(held_back)
+                    size += len(held_back)
+                held_back, at = pa.input_stream(block.as_buffer(), compression="zstd").read(), (split, last)
             if out:
                 yield batch_of(out)
         if now is not None:
             yield batch_of([end()])
 
-    rows = landed_pieces(spark, raw_path).repartition("source_path", "landing").sortWithinPartitions("source_path", "landing", "split", "record")
-    return rows.select("source_path", "landing", "source_size", "held", "bytes").mapInArrow(
+    visible, few, n_bytes = _visible(spark, raw_path)
+    pieces = _stored_pieces(spark, raw_path, BYTES)
+    if few:  # a broadcast join leaves the scan's order, a shuffle join has to wait for the blocks
+        pieces = pieces.join(visible, ["landing", "source_path"], "left_semi")
+    blocks = _blocks(pieces).join(visible, ["landing", "source_path"])
+    n = -(-n_bytes // DIGEST_BYTES)
+    by_file = ["source_path", "landing"]
+    dealt = blocks.repartition(n, *by_file) if n > int(spark.conf.get("spark.sql.shuffle.partitions")) else blocks.repartition(*by_file)
+    return dealt.sortWithinPartitions(*by_file, "split", "record").select(
+        *by_file, "source_size", "held", "split", "record", "last", "block").mapInArrow(
         digests, "source_path string, landing string, n_bytes long, sha256 string")
 
 

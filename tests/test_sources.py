@@ -204,6 +204,57 @@ def test_landed_bytes_are_those_of_the_files(spark, workdir):
     assert raw_manifest(spark, f"{workdir}/zone").count() == len(files)
 
 
+def _sort_memory(plan):
+    """Bytes that a run plan's sorts held at most, summed over tasks."""
+    if plan.getClass().getSimpleName() == "AdaptiveSparkPlanExec":
+        return _sort_memory(plan.executedPlan())
+    if plan.getClass().getSimpleName().endswith("QueryStageExec"):
+        return _sort_memory(plan.plan())
+    own = plan.metrics().apply("peakMemory").value() if plan.getClass().getSimpleName() == "SortExec" else 0
+    return own + sum(_sort_memory(plan.children().apply(i)) for i in range(plan.children().size()))
+
+
+def test_a_digest_sorts_less_than_its_file_holds(spark, workdir):
+    """The sort once held a row with the file's path for every line, some five times the file."""
+    import hashlib
+
+    from linkyard.sources import land_files, landed_digests
+
+    data = b"".join(b'{"url": "https://example.com/%d"},\n' % i for i in range(400_000))
+    os.makedirs(f"{workdir}/one")
+    with open(f"{workdir}/one/large.txt", "wb") as f:
+        f.write(data)
+    land_files(spark, f"{workdir}/one", f"{workdir}/onezone")
+    digests = landed_digests(spark, f"{workdir}/onezone")
+    (got,) = digests.collect()
+    assert (got["n_bytes"], got["sha256"]) == (len(data), hashlib.sha256(data).hexdigest())
+    assert 0 < _sort_memory(digests._jdf.queryExecution().executedPlan()) < 2 * len(data)
+
+
+def test_digests_of_many_blocks_and_of_more_partitions_than_the_session_names(spark, workdir, monkeypatch):
+    """Blocks of a few bytes, a partition per file, and the manifest joined by a shuffle."""
+    import hashlib
+    import random
+
+    from linkyard.sources import land_files, landed_digests, landing
+
+    rnd = random.Random(5)
+    files = {f"f{i}.bin": rnd.randbytes(40_000) + b"\n" * (i % 2) for i in range(6)} | {"bom.txt": b"\xef\xbb\xbfa\nb", "feed.txt": b"\n", "one.txt": b"x"}
+    os.makedirs(f"{workdir}/many")
+    for name, data in files.items():
+        with open(f"{workdir}/many/{name}", "wb") as f:
+            f.write(data)
+    want = sorted((n, len(d), hashlib.sha256(d).hexdigest()) for n, d in files.items())
+    land_files(spark, f"{workdir}/many", f"{workdir}/mzone")
+    land_files(spark, f"{workdir}/many", f"{workdir}/mzone")
+    monkeypatch.setattr(landing, "BLOCK_BYTES", 3000)
+    monkeypatch.setattr(landing, "DIGEST_BYTES", 5000)
+    for rows in (landing.SPLIT_BROADCAST_ROWS, 0):
+        monkeypatch.setattr(landing, "SPLIT_BROADCAST_ROWS", rows)
+        digests = landed_digests(spark, f"{workdir}/mzone")
+        assert sorted((r["source_path"].rsplit("/", 1)[1], r["n_bytes"], r["sha256"]) for r in digests.collect()) == want
+
+
 def test_a_landing_is_seen_whole_or_not_at_all(spark, workdir, monkeypatch):
     from linkyard.sources import land_files, landed_digests, landing
 
