@@ -8,8 +8,7 @@ is overwritten, and a landing that fails leaves nothing to see.
 
 ``land_files`` keeps bytes.  Hadoop would decompress names like ``.gz``; a pass-through codec keeps it from that, so
 every file is read as a stream, in bounded memory whatever its size, and cut behind its line feeds.  A piece's place is
-``(split, record)``: the byte where its input split begins, and a number that rises along the split.  One task writes the
-pieces of a split, in order, so a scan of the zone meets them in order.
+``(split, record)``: the byte where its input split begins, and a number that rises along the split.
 
 ``land_raw`` keeps decoded, numbered lines in the same way.
 """
@@ -146,8 +145,10 @@ def landed_pieces(spark: SparkSession, raw_path: str) -> DataFrame:
 
 
 def _blocks(pieces: DataFrame) -> DataFrame:
-    """``(source_path, landing, split, record, last, block)``: neighbouring pieces, from ``record`` to ``last``, with their
-    line feeds and compressed: a sort holds neither a row nor a path for every line."""
+    """``(source_path, landing, split, record, block)``: neighbouring pieces from ``record`` on, without a gap, with their
+    line feeds and compressed: a sort holds neither a row nor a path for every line.
+
+    A scan meets the pieces of a split in the order they were written in; in another order blocks would only be shorter."""
     def packed(batches):
         press = pa.Codec("zstd", 1)
         for batch in batches:
@@ -160,18 +161,18 @@ def _blocks(pieces: DataFrame) -> DataFrame:
             data = lines.buffers()[2]
             part = (off[:-1] - off[0]) // BLOCK_BYTES
             fresh = np.ones(n, bool)
-            fresh[1:] = (split[1:] != split[:-1]) | (record[1:] <= record[:-1]) | (part[1:] != part[:-1])
+            fresh[1:] = (split[1:] != split[:-1]) | (record[1:] != record[:-1] + 1) | (part[1:] != part[:-1])
             for c in (path, landing):
                 fresh[1:] |= pc.not_equal(c[1:], c[:-1]).to_numpy(zero_copy_only=False)
             first = np.flatnonzero(fresh)
             end = np.append(first[1:], n)
             yield pa.RecordBatch.from_arrays(
-                [path.take(pa.array(first)), landing.take(pa.array(first)), pa.array(split[first]), pa.array(record[first]), pa.array(record[end - 1]),
+                [path.take(pa.array(first)), landing.take(pa.array(first)), pa.array(split[first]), pa.array(record[first]),
                  pa.array([press.compress(data[a:b], asbytes=True) for a, b in zip(off[first].tolist(), off[end].tolist())], pa.binary())],
-                names=["source_path", "landing", "split", "record", "last", "block"])
+                names=["source_path", "landing", "split", "record", "block"])
 
     return pieces.select("source_path", "landing", "split", "record", F.concat("bytes", F.lit(b"\n")).alias("lines")).mapInArrow(
-        packed, "source_path string, landing string, split long, record long, last long, block binary")
+        packed, "source_path string, landing string, split long, record long, block binary")
 
 
 def landed_digests(spark: SparkSession, raw_path: str) -> DataFrame:
@@ -180,11 +181,11 @@ def landed_digests(spark: SparkSession, raw_path: str) -> DataFrame:
 
     A SHA-256 is sequential: a task streams the blocks of a file's pieces in order and holds two blocks at a time."""
     def digests(batches):
-        now, sha, size, want, held_back, at = None, None, 0, None, None, None
+        now, sha, size, want, last = None, None, 0, None, None
 
         def end():
             # Every piece but the last ends with a line feed; the last one if the file did.
-            tail = held_back if want[0] - want[1] in (0, 3) else held_back[:-1]
+            tail = last if want[0] - want[1] in (0, 3) else last[:-1]
             sha.update(tail)
             return now[0], now[1], size + len(tail), sha.hexdigest()
 
@@ -194,8 +195,7 @@ def landed_digests(spark: SparkSession, raw_path: str) -> DataFrame:
 
         for batch in batches:
             out = []
-            for path, landing, total, held, split, record, last, block in zip(*(batch.column(i) for i in range(8))):
-                path, landing, total, held, split, record, last = (x.as_py() for x in (path, landing, total, held, split, record, last))
+            for path, landing, total, held, block in zip(*(c.to_pylist() for c in batch.columns)):
                 if (path, landing) != now:
                     if now is not None:
                         out.append(end())
@@ -204,11 +204,9 @@ def landed_digests(spark: SparkSession, raw_path: str) -> DataFrame:
                         sha.update(b"\xef\xbb\xbf")
                         size = 3
                 else:
-                    if split == at[0] and record <= at[1]:
-                        raise ValueError(f"pieces of {path} are not stored in order")
-                    sha.update(held_back)
-                    size += len(held_back)
-                held_back, at = pa.input_stream(block.as_buffer(), compression="zstd").read(), (split, last)
+                    sha.update(last)
+                    size += len(last)
+                last = pa.input_stream(pa.py_buffer(block), compression="zstd").read()
             if out:
                 yield batch_of(out)
         if now is not None:
@@ -216,14 +214,14 @@ def landed_digests(spark: SparkSession, raw_path: str) -> DataFrame:
 
     visible, few, n_bytes = _visible(spark, raw_path)
     pieces = _stored_pieces(spark, raw_path, BYTES)
-    if few:  # a broadcast join leaves the scan's order, a shuffle join has to wait for the blocks
+    if few:  # a broadcast join leaves the scan's order; a shuffle join comes after the blocks
         pieces = pieces.join(visible, ["landing", "source_path"], "left_semi")
     blocks = _blocks(pieces).join(visible, ["landing", "source_path"])
     n = -(-n_bytes // DIGEST_BYTES)
     by_file = ["source_path", "landing"]
     dealt = blocks.repartition(n, *by_file) if n > int(spark.conf.get("spark.sql.shuffle.partitions")) else blocks.repartition(*by_file)
     return dealt.sortWithinPartitions(*by_file, "split", "record").select(
-        *by_file, "source_size", "held", "split", "record", "last", "block").mapInArrow(
+        *by_file, "source_size", "held", "block").mapInArrow(
         digests, "source_path string, landing string, n_bytes long, sha256 string")
 
 

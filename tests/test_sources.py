@@ -232,10 +232,12 @@ def test_a_digest_sorts_less_than_its_file_holds(spark, workdir):
 
 
 def test_digests_of_many_blocks_and_of_more_partitions_than_the_session_names(spark, workdir, monkeypatch):
-    """Blocks of a few bytes, a partition per file, and the manifest joined by a shuffle."""
+    """Blocks of a few bytes, a partition per file, the manifest joined by a shuffle, and pieces met in any order."""
     import hashlib
     import random
 
+    from pyspark.sql import functions as F
+
     from linkyard.sources import land_files, landed_digests, landing
 
     rnd = random.Random(5)
@@ -249,8 +251,10 @@ def test_digests_of_many_blocks_and_of_more_partitions_than_the_session_names(sp
     land_files(spark, f"{workdir}/many", f"{workdir}/mzone")
     monkeypatch.setattr(landing, "BLOCK_BYTES", 3000)
     monkeypatch.setattr(landing, "DIGEST_BYTES", 5000)
-    for rows in (landing.SPLIT_BROADCAST_ROWS, 0):
+    stored = landing._stored_pieces
+    for rows, pieces in ((landing.SPLIT_BROADCAST_ROWS, stored), (0, stored), (0, lambda *a: stored(*a).orderBy(F.xxhash64("record")))):
         monkeypatch.setattr(landing, "SPLIT_BROADCAST_ROWS", rows)
+        monkeypatch.setattr(landing, "_stored_pieces", pieces)
         digests = landed_digests(spark, f"{workdir}/mzone")
         assert sorted((r["source_path"].rsplit("/", 1)[1], r["n_bytes"], r["sha256"]) for r in digests.collect()) == want
 
