@@ -30,13 +30,13 @@ from pyspark.sql import Window
 
 from ..session import scratch_path
 from .ship import partitions_for, ship, stored
-from .textual import byte_codes, doc_blocks, find, mix64, text_bytes, word_hashes
+from .textual import byte_codes, doc_blocks, find, give_back, mix64, text_bytes, word_hashes
 
 NULL_KEY = -(2**63)
 GAMMA = 2.0
 RANGES_PER_TASK = 8
 KEYS_PER_RANGE = 20  # sampled keys per key range, on average
-BLOCK_BYTES = 3 << 19
+BLOCK_BYTES = 1 << 19
 
 
 # --- minimal perfect hash --------------------------------------------------
@@ -173,12 +173,12 @@ class PieceEncoder:
     line feed between two, and before a stop or comma that follows a letter or
     digit.  So the ids of a text are the ids of the pieces between such places,
     one after another.  Pieces repeat; those met lately are remembered as two 64-bit hashes and their
-    ids, up to twice ``keep`` of them, in plain arrays.  A piece of letters is one word of the split pattern
+    ids, up to twice ``keep`` of them, in plain arrays (about 33 bytes a piece).  A piece of letters is one word of the split pattern
     and goes straight to the library's model; any other goes through all of it.  With any other
     kind of tokenizer (``can_be_cut``) whole texts go through the library.
     """
 
-    def __init__(self, tokenizer_path: str, keep: int = 600_000):
+    def __init__(self, tokenizer_path: str, keep: int = 300_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -199,10 +199,11 @@ class PieceEncoder:
 
     def _no_pieces(self):
         e = np.empty(0, np.uint64)
-        return e, e, np.zeros(1, np.int64), np.empty(0, self.width)
+        return e, e, np.empty(0, np.int32), np.empty(0, np.int32), np.empty(0, self.width)
 
     def forget(self) -> None:
-        """Hashes (ascending first ones), second hashes, bounds of ids, ids: of late pieces and of those before them."""
+        """Hashes (ascending first ones), second hashes, where their ids begin, how many they are, ids in the order they
+        were met: of late pieces and of those before them."""
         self.late = self.older = self._no_pieces()
 
     def _ids_of(self, pieces: list[str]) -> list[list[int]]:
@@ -222,9 +223,9 @@ class PieceEncoder:
     @staticmethod
     def _gather(table, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """``(number of ids, ids)`` of the pieces at ``at``, one after the other."""
-        bounds, ids = table[2], table[3]
-        n = bounds[at + 1] - bounds[at]
-        return n, ids[np.repeat(bounds[at] - (np.cumsum(n) - n), n) + np.arange(n.sum())]
+        _, _, begin, size, ids = table
+        n = size[at].astype(np.int64)
+        return n, ids[np.repeat(begin[at] - (np.cumsum(n) - n), n) + np.arange(n.sum())]
 
     def _learn(self, one: np.ndarray, two: np.ndarray, pieces) -> None:
         """Make ``late`` hold all of the given distinct pieces; ``pieces(i)`` are the texts of those at ``i``."""
@@ -236,14 +237,16 @@ class PieceEncoder:
         met[met] = self.older[1][at[met]] == two[new[met]]  # else another piece with the same first hash
         n_old, old = self._gather(self.older, at[met])
         fresh = self._ids_of(pieces(new[~met]))
-        ids = np.concatenate((old, np.array([i for x in fresh for i in x], self.width)))
+        ids = np.concatenate((self.late[4], old, np.array([i for x in fresh for i in x], self.width)))
         rows = np.concatenate((new[met], new[~met]))
         n = np.concatenate((n_old, np.array([len(x) for x in fresh], np.int64)))
-        key = np.concatenate((self.late[0], one[rows]))
-        order = np.argsort(key, kind="stable")
-        both = (None, None, np.concatenate(([0], np.cumsum(np.concatenate((np.diff(self.late[2]), n))))), np.concatenate((self.late[3], ids)))
-        size, ids = self._gather(both, order)
-        self.late = key[order], np.concatenate((self.late[1], two[rows]))[order], np.concatenate(([0], np.cumsum(size))), ids
+        begin = len(self.late[4]) + np.cumsum(n) - n
+        # The ids stay where they are; only the rows that tell where they lie are put in order.
+        order = np.argsort(one[rows], kind="stable")
+        rows = rows[order]
+        place = np.searchsorted(self.late[0], one[rows])
+        added = one[rows], two[rows], begin[order], n[order]
+        self.late = *(np.insert(held, place, x) for held, x in zip(self.late, added)), ids
 
     def encode_block(self, data: np.ndarray, offsets: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """``(bounds, ids)`` of texts laid end to end; every text ends with ``end_id``."""
@@ -304,6 +307,7 @@ def _encode(tokenizer_path: str, end_id: int, key: str, bounds: np.ndarray):
                     [pa.array(np.searchsorted(bounds, k, "right").astype(np.int32)), pa.array(k), pa.array(np.diff(edge), pa.int64()),
                      pa.array([squeeze.compress(ids[a:b].tobytes()) for a, b in zip(edge[:-1].tolist(), edge[1:].tolist())], pa.binary())],
                     names=["shard", "key", "n", "ids"])
+        give_back()
 
     return run
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -104,3 +105,21 @@ def test_many_ranges_from_sampled_keys(spark, workdir):
     assert spark.read.parquet(f"{workdir}/many/shards").select("shard").distinct().count() > 60
     starts = encode_and_read(docs, PATH).orderBy("doc_id").collect()
     assert [r["start"] for r in starts] == list(np.cumsum([0] + [r["n_tokens"] for r in starts[:-1]]))
+
+
+def test_a_new_piece_costs_little_beside_the_pieces_held():
+    """Learning pieces copies the rows that tell where ids lie, never the ids of every piece piece by piece."""
+    enc, rng = PieceEncoder(PATH), np.random.default_rng(3)
+    words = ["".join(w) for w in rng.choice(list("abcdefghijklmnopqrstuvwxyz"), (60_000, 9)).tolist()]
+    enc.encode([" ".join(words)], 2)
+    held = sum(x.nbytes for x in enc.late)
+    assert len(enc.late[0]) > 59_000
+    texts = ["one newpieceqq two", words[0] + " " + words[-1] + " again"]
+    tracemalloc.start()
+    try:
+        got = [np.frombuffer(x, enc.width).tolist() for x in enc.encode(texts, 2)]
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 1.5 * held
+    assert got == [enc.tok.encode(t, add_special_tokens=False).ids + [2] for t in texts]
